@@ -2,10 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once per row.
+
+    A lambda that names a computed array would otherwise compute it anew for
+    every element, and every further use multiplies that.
+    """
+    return F.get(F.transform(F.array(value), lambda v: body(v)), F.lit(0))
+
+
 def argmax(scores: Column) -> Column:
     """0-based index of the first maximum; NULL for an empty array."""
     return (F.array_position(scores, F.array_max(scores)) - 1).cast("int")
@@ -22,9 +33,12 @@ def top_k(scores: Column, k: int = 5) -> Column:
 
 def reshape2d(values: Column, rows: int, cols: int) -> Column:
     """Row-major split of a flat array into ``rows`` arrays of ``cols`` values."""
-    return F.transform(
-        F.sequence(F.lit(0), F.lit(rows - 1)),
-        lambda r: F.slice(values, r * cols + 1, F.lit(cols)),
+    return let(
+        values,
+        lambda v: F.transform(
+            F.sequence(F.lit(0), F.lit(rows - 1)),
+            lambda r: F.slice(v, r * cols + 1, F.lit(cols)),
+        ),
     )
 
 
@@ -40,7 +54,9 @@ def minmax(values: Column, low, high) -> Column:
 
 def log_softmax(scores: Column) -> Column:
     """Log-probabilities of a score vector, shifted by its maximum."""
-    zero = F.lit(0.0).cast("double")
-    peak = F.array_max(scores)
-    total = F.aggregate(scores, zero, lambda acc, s: acc + F.exp(s - peak))
-    return F.transform(scores, lambda s: s - peak - F.log(total))
+
+    def from_peak(s: Column, peak: Column) -> Column:
+        total = F.aggregate(s, F.lit(0.0), lambda acc, v: acc + F.exp(v - peak))
+        return let(peak + F.log(total), lambda shift: F.transform(s, lambda v: v - shift))
+
+    return let(scores, lambda s: let(F.array_max(s), lambda peak: from_peak(s, peak)))

@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from gradmill.functions.arrays import let
 from gradmill.functions.hashing import coin, keyed_hash
 
 #: Channel means and deviations (R, G, B) of the image classifiers.
@@ -30,23 +31,24 @@ def _floor_div(a: Column, b: Column) -> Column:
 
 def _gather(pixels: Column, size, source: Callable[[Column], Column]) -> Column:
     """``out[i] = pixels[source(i)]`` for i in 0..size-1."""
-    return F.transform(
-        F.sequence(F.lit(0), _as_int(size) - 1), lambda i: F.get(pixels, source(i).cast("int"))
+    indices = F.sequence(F.lit(0), _as_int(size) - 1)
+    return let(
+        pixels, lambda p: F.transform(indices, lambda i: F.get(p, source(i).cast("int")))
     )
 
 
 def _window(pixels: Column, width, channels: int, out_h: int, out_w: int, top, left) -> Column:
     """The ``out_h`` x ``out_w`` window whose corner is at (top, left)."""
-    span = out_w * channels
-    rows = F.transform(
-        F.sequence(F.lit(0), F.lit(out_h - 1)),
-        lambda r: F.slice(
-            pixels,
-            (((r + top) * width + left) * channels + 1).cast("int"),
-            F.lit(span),
-        ),
-    )
-    return F.flatten(rows)
+    span = F.lit(out_w * channels)
+
+    def rows(p: Column, at: Column) -> Column:
+        return F.transform(
+            F.sequence(F.lit(0), F.lit(out_h - 1)),
+            lambda r: F.slice(p, (at + r * width * channels + 1).cast("int"), span),
+        )
+
+    corner = (top * width + left) * channels
+    return F.flatten(let(pixels, lambda p: let(corner, lambda at: rows(p, at))))
 
 
 def scale_u8(pixels: Column, normalize: float = 255.0) -> Column:
@@ -90,11 +92,14 @@ def _bilinear(image: np.ndarray, out_h: int, out_w: int) -> np.ndarray:
     return np.floor(mixed + 0.5).astype(np.int16)
 
 
-def resize_bilinear(data: Column, height, width, channels, out_h: int, out_w: int) -> Column:
+def resize_bilinear(
+    data: Column, height, width, channels, out_h: int, out_w: int, bgr: bool = False
+) -> Column:
     """Bilinear resize of unsigned-byte images held in a binary column.
 
     Half-pixel centres, edges clamped, result rounded half up to bytes
-    (``array<smallint>``). Images of different sizes may share a column.
+    (``array<smallint>``); ``bgr`` reverses the channels. Images of different
+    sizes may share a column.
     """
 
     @F.arrow_udf("array<smallint>")
@@ -102,7 +107,8 @@ def resize_bilinear(data: Column, height, width, channels, out_h: int, out_w: in
         out = []
         for buf, ih, iw, ic in zip(data, h.to_pylist(), w.to_pylist(), c.to_pylist()):
             image = np.frombuffer(buf.as_buffer(), np.uint8).reshape(ih, iw, ic)
-            out.append(_bilinear(image.astype(np.float64), out_h, out_w).ravel())
+            small = _bilinear(image.astype(np.float64), out_h, out_w)
+            out.append((small[..., ::-1] if bgr else small).ravel())
         return pa.array(out, pa.list_(pa.int16()))
 
     return resize(data, _as_int(height), _as_int(width), _as_int(channels))
@@ -147,24 +153,28 @@ def flip_random(
     seed: int = 0, epoch: int = 0,
 ) -> Column:
     """Mirror a share ``p`` of the rows, chosen by the keyed coin."""
-    mirrored = flip_horizontal(pixels, height, width, channels)
-    return F.when(coin(key, p, seed, epoch), mirrored).otherwise(pixels)
+    heads = coin(key, p, seed, epoch)
+    return let(
+        pixels,
+        lambda a: F.when(heads, flip_horizontal(a, height, width, channels)).otherwise(a),
+    )
 
 
 def channel_normalize(pixels: Column, mean=CHANNEL_MEAN, std=CHANNEL_STD) -> Column:
     """``(x - mean[c]) / std[c]`` with the channel as the fastest index."""
-    n = len(mean)
+    n = F.lit(len(mean))
     means, stds = F.array(*map(F.lit, mean)), F.array(*map(F.lit, std))
     return F.transform(
         pixels,
-        lambda x, i: (x.cast("double") - F.get(means, F.pmod(i, F.lit(n))))
-        / F.get(stds, F.pmod(i, F.lit(n))),
+        lambda x, i: (x.cast("double") - F.get(means, F.pmod(i, n))) / F.get(stds, F.pmod(i, n)),
     )
 
 
 def swap_red_blue(pixels: Column) -> Column:
     """Exchange the first and third of three channels (BGR to RGB and back)."""
-    return F.transform(pixels, lambda x, i: F.get(pixels, i + 2 - F.pmod(i, F.lit(3)) * 2))
+    return let(
+        pixels, lambda p: F.transform(p, lambda x, i: F.get(p, i + 2 - F.pmod(i, F.lit(3)) * 2))
+    )
 
 
 def to_chw(pixels: Column, height, width, channels: int) -> Column:

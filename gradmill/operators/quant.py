@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gradmill.functions.arrays import let
+
 
 def _output_rows(shape: Column) -> Column:
     """Blocks that get a scale of their own: output rows, or a bias as a whole."""
@@ -25,25 +27,36 @@ def quantize(params: DataFrame) -> DataFrame:
     blocks = F.transform(
         F.sequence(F.lit(0), rows - 1), lambda r: F.slice("values", r * width + 1, width)
     )
-    scales = F.transform("blocks", lambda b: F.array_max(F.transform(b, F.abs)) / 127)
 
-    def as_bytes(block: Column, at: Column) -> Column:
-        scale = F.get("scales", at)
-        return F.transform(
-            block, lambda w: F.when(scale == 0, 0).otherwise(F.round(w / scale)).cast("tinyint")
+    def as_bytes(block: Column) -> Column:
+        scale = F.array_max(F.transform(block, lambda w: F.abs(w))) / 127
+        return let(
+            scale,
+            lambda s: F.struct(
+                s.alias("scale"),
+                F.transform(
+                    block, lambda w: F.when(s == 0, 0).otherwise(F.round(w / s)).cast("tinyint")
+                ).alias("q"),
+            ),
         )
 
-    return (
-        params.withColumn("blocks", blocks).withColumn("scales", scales)
-        .select("layer", "param", "shape", "scales", F.flatten(F.transform("blocks", as_bytes)).alias("q"))
+    both = F.transform(blocks, lambda b: let(b, as_bytes))
+    done = params.select("layer", "param", "shape", both.alias("_b"))
+    return done.select(
+        "layer", "param", "shape", F.col("_b.scale").alias("scales"), F.flatten("_b.q").alias("q")
     )
 
 
 def dequantize(quantized: DataFrame) -> DataFrame:
     """A parameter table of ``q * scale``."""
     width = F.size("q") / F.size("scales")
-    values = F.transform(
-        "q", lambda v, i: v * F.get("scales", F.floor(i / width).cast("int"))
+
+    def scaled(q: Column, scales: Column, n: Column) -> Column:
+        return F.transform(q, lambda v, i: v * F.get(scales, F.floor(i / n).cast("int")))
+
+    values = let(
+        F.struct(F.col("q").alias("q"), F.col("scales").alias("scales"), width.alias("n")),
+        lambda t: scaled(t["q"], t["scales"], t["n"]),
     )
     return quantized.select("layer", "param", "shape", values.alias("values"))
 

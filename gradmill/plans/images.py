@@ -16,10 +16,9 @@ CHANNELS = 3
 def resized(images: DataFrame, side: int, keep: list[str], bgr: bool = True) -> DataFrame:
     """``keep`` plus the image as ``pixels``: side x side x 3 bytes in R, G, B order."""
     small = px.resize_bilinear(
-        F.col("data"), F.col("height"), F.col("width"), F.col("nChannels"), side, side
+        F.col("data"), F.col("height"), F.col("width"), F.col("nChannels"), side, side, bgr
     )
-    out = images.select(*keep, small.alias("pixels"))
-    return out.withColumn("pixels", px.swap_red_blue(F.col("pixels"))) if bgr else out
+    return images.select(*keep, small.alias("pixels"))
 
 
 def train_view(side: int, crop: int, key: Column, seed: int, epoch: int = 0):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -57,3 +59,17 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
         root = tempfile.mkdtemp(prefix="gradmill-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers of a running session."""
+    sc = spark.sparkContext
+    if getattr(sc, "_gradmill_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="gradmill-code-")
+    archive = shutil.make_archive(
+        f"{folder}/gradmill", "zip", os.path.dirname(root), os.path.basename(root)
+    )
+    sc.addPyFile(archive)
+    sc._gradmill_shipped = True

@@ -19,12 +19,16 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 #: Magic numbers of unsigned-byte IDX files, by number of dimensions.
 MAGIC = {1: 2049, 3: 2051}
 BATCH_BYTES = 8 << 20
+SPLIT_BYTES = 64 << 20
 
 
 @dataclass
 class RecordRange(InputPartition):
+    images: str
+    labels: str
     start: int
     stop: int
+    first_id: int
 
 
 def _open(path: str):
@@ -44,38 +48,47 @@ def _header(stream) -> tuple[int, ...]:
 
 class IdxReader(DataSourceReader):
     def __init__(self, options):
-        self.images = options["images"]
-        self.labels = options["labels"]
+        pairs = zip(options["images"].split(","), options["labels"].split(","), strict=True)
         self.splits = int(options.get("splits", "0"))
-        with _open(self.images) as f:
-            self.count, self.height, self.width = _header(f)
-        with _open(self.labels) as f:
-            n_labels = _header(f)[0]
-        if n_labels != self.count:
-            raise ValueError(f"{self.count} images but {n_labels} labels")
+        self.files, first_id = [], 0
+        for images, labels in pairs:
+            with _open(images) as f:
+                count, self.height, self.width = _header(f)
+            with _open(labels) as f:
+                n_labels = _header(f)[0]
+            if n_labels != count:
+                raise ValueError(f"{count} images but {n_labels} labels in {images}")
+            self.files.append((images, labels, count, first_id))
+            first_id += count
 
     def partitions(self):
-        if self.images.endswith(".gz") or self.labels.endswith(".gz"):
-            return [RecordRange(0, self.count)]
-        size = self.height * self.width
-        n = self.splits or max(1, self.count * size // (64 << 20))
-        edges = [self.count * i // n for i in range(n + 1)]
-        return [RecordRange(a, b) for a, b in zip(edges, edges[1:]) if b > a]
+        ranges = []
+        for images, labels, count, first_id in self.files:
+            gzipped = images.endswith(".gz") or labels.endswith(".gz")
+            wanted = self.splits or count * self.height * self.width // SPLIT_BYTES
+            n = 1 if gzipped else max(1, wanted)
+            edges = [count * i // n for i in range(n + 1)]
+            ranges += [
+                RecordRange(images, labels, a, b, first_id)
+                for a, b in zip(edges, edges[1:]) if b > a
+            ]
+        return ranges or [RecordRange(*self.files[0][:2], 0, 0, 0)]
 
     def read(self, part):
         size = self.height * self.width
         step = max(1, BATCH_BYTES // (4 * size))
-        with _open(self.images) as images, _open(self.labels) as labels:
-            for stream, offset in ((images, 16 + part.start * size), (labels, 8 + part.start)):
-                stream.seek(offset)
+        with _open(part.images) as images, _open(part.labels) as labels:
+            images.seek(16 + part.start * size)
+            labels.seek(8 + part.start)
             for at in range(part.start, part.stop, step):
                 n = min(step, part.stop - at)
                 pixels = np.frombuffer(images.read(n * size), np.uint8).astype(np.float32)
                 label = np.frombuffer(labels.read(n), np.uint8).astype(np.int32)
+                ids = np.arange(at, at + n, dtype=np.int64) + part.first_id
                 offsets = np.arange(n + 1, dtype=np.int32) * size
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.arange(at, at + n, dtype=np.int64)),
+                        pa.array(ids),
                         pa.ListArray.from_arrays(pa.array(offsets), pa.array(pixels)),
                         pa.array(label),
                     ],
@@ -95,12 +108,16 @@ class IdxSource(DataSource):
         return IdxReader(self.options)
 
 
-def read_idx(spark: SparkSession, images: str, labels: str, splits: int = 0) -> DataFrame:
-    """``(id, pixels, label)`` of an image file and its label file, plain or gzipped.
+def read_idx(
+    spark: SparkSession, images: str | list[str], labels: str | list[str], splits: int = 0
+) -> DataFrame:
+    """``(id, pixels, label)`` of image files and their label files, plain or gzipped.
 
-    Both files are read at the same record range, so pairing them needs no
-    join. ``splits`` = 0 aims at 64 MB of pixels per task.
+    The id is the record number, counted on over a list of files. Both files of
+    a pair are read at the same record range, so pairing them needs no join.
+    ``splits`` per file; 0 aims at 64 MB of pixels per task.
     """
     spark.dataSource.register(IdxSource)
-    reader = spark.read.format("idx").option("images", images).option("labels", labels)
+    one = lambda paths: paths if isinstance(paths, str) else ",".join(paths)
+    reader = spark.read.format("idx").option("images", one(images)).option("labels", one(labels))
     return reader.option("splits", splits).load()

@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gradmill.functions import pixels as px
 from gradmill.operators.lookup import lookup, numbered_values
 
 IMAGE_FIELDS = ("height", "width", "nChannels", "data")
@@ -94,14 +93,15 @@ def image_data(
 
 
 def byte_pixels(data: Column, bgr: bool = True) -> Column:
-    """A binary column as ``array<smallint>`` of unsigned values, in R, G, B order."""
+    """Three-channel binary images as ``array<smallint>`` of bytes in R, G, B order."""
 
     @F.arrow_udf(T.ArrayType(T.ShortType()))
     def unpack(data: pa.Array) -> pa.Array:
-        lengths = pa.compute.binary_length(data).to_numpy(zero_copy_only=False)
+        lengths = [len(buf) for buf in data.to_pylist()]
         offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
         flat = np.frombuffer(b"".join(data.to_pylist()), np.uint8).astype(np.int16)
+        if bgr:
+            flat = flat.reshape(-1, 3)[:, ::-1].ravel()
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
 
-    unpacked = unpack(data)
-    return px.swap_red_blue(unpacked) if bgr else unpacked
+    return unpack(data)

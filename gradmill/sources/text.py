@@ -15,7 +15,7 @@ def _numbered_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def class_list(spark: SparkSession, path: str) -> DataFrame:
     """``(class_id, synonyms)``: comma-separated names, trimmed; blank line = no names."""
-    names = F.transform(F.split("line", ","), F.trim)
+    names = F.transform(F.split("line", ","), lambda name: F.trim(name))
     blank = F.array().cast("array<string>")
     return _numbered_lines(spark, path).select(
         "class_id", F.when(F.col("line") == "", blank).otherwise(names).alias("synonyms")
