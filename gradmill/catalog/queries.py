@@ -19,7 +19,7 @@ from gradmill.operators import evaluate, inspect, lookup, model_store, quant, re
 from gradmill.operators.metrics import MetricsLog
 from gradmill.plans import images, models, score, train
 from gradmill.plans.optim import SGD
-from gradmill.session import scratch_dir
+from gradmill.session import scratch_dir, spread
 from gradmill.sources.collections import lines_of
 from gradmill.sources.images import byte_pixels
 from gradmill.streaming.scoring import sample_stream, score_stream
@@ -35,19 +35,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """For work that is heavy per row: all cores take part even if the file is small."""
+    return spread(table(spark, sf_dir, name))
+
+
 def r6(value: Column) -> Column:
     return F.round(value.cast("double"), 6)
 
 
 def long_form(df: DataFrame, keep: list[str], values: Column, into: str = "value") -> DataFrame:
-    """``(keep…, idx, value)``: one row per array element."""
-    exploded = df.select(*keep, F.posexplode(values).alias("idx", "_v"))
-    return exploded.select(*keep, "idx", r6(F.col("_v")).alias(into))
+    """``(keep…, idx, value)``: one row per array element.
+
+    The outer form with a filter after it, because the optimizer guards a plain
+    ``posexplode`` by a filter that computes the array two more times.
+    """
+    exploded = df.select(*keep, F.posexplode_outer(values).alias("idx", "_v"))
+    return exploded.where("idx IS NOT NULL").select(*keep, "idx", r6(F.col("_v")).alias(into))
 
 
 def raw_samples(spark, sf_dir) -> DataFrame:
     """``(vec_id, x, label1)`` with the values as they are."""
-    e = table(spark, sf_dir, "embeddings")
+    e = spread_table(spark, sf_dir, "embeddings")
     return e.select(
         "vec_id", F.col("embedding").alias("x"), samples.to_one_based(F.col("label")).alias("label1")
     )
@@ -55,8 +64,8 @@ def raw_samples(spark, sf_dir) -> DataFrame:
 
 def z_samples(spark, sf_dir) -> DataFrame:
     """``(id, features, label1)`` normalized by the global statistics of the table."""
-    e = table(spark, sf_dir, "embeddings")
-    stats = samples.fit_normalizer(e, "embedding")
+    stats = samples.fit_normalizer(table(spark, sf_dir, "embeddings"), "embedding")
+    e = spread_table(spark, sf_dir, "embeddings")
     return samples.labelled_samples(e, stats, "vec_id", "embedding", "label")
 
 
@@ -69,15 +78,15 @@ def names_of(spark, sf_dir) -> DataFrame:
 
 
 def word_count(spark, sf_dir):
-    return relational.word_count(table(spark, sf_dir, "documents"), "text")
+    return relational.word_count(spread_table(spark, sf_dir, "documents"), "text")
 
 
 def word_count_turns(spark, sf_dir):
-    return relational.word_count(table(spark, sf_dir, "conversations"), "text")
+    return relational.word_count(spread_table(spark, sf_dir, "conversations"), "text")
 
 
 def log_error_count(spark, sf_dir):
-    lines = lines_of(table(spark, sf_dir, "documents"), F.col("text"), [])
+    lines = lines_of(spread_table(spark, sf_dir, "documents"), F.col("text"), [])
     return relational.like_count(lines, "line", "%er%")
 
 
@@ -86,7 +95,7 @@ def event_error_count(spark, sf_dir):
 
 
 def document_lines(spark, sf_dir):
-    return lines_of(table(spark, sf_dir, "documents"), F.col("text"), ["doc_id"])
+    return lines_of(spread_table(spark, sf_dir, "documents"), F.col("text"), ["doc_id"])
 
 
 def json_props(spark, sf_dir):
@@ -212,7 +221,7 @@ def minibatches(spark, sf_dir):
 
 def rgb_images(spark, sf_dir) -> DataFrame:
     """``(vec_id, label, rgb)``: an 8 x 8 x 3 unsigned-byte image out of every sample."""
-    e = table(spark, sf_dir, "embeddings")
+    e = spread_table(spark, sf_dir, "embeddings")
     grey = F.transform(
         "embedding", lambda v: F.pmod(F.floor(F.abs(v.cast("double")) * 1000), F.lit(256))
     )

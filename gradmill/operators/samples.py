@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from gradmill.functions import arrays
 
-BOUNDARY_SAMPLE = 4000
+MAX_RANGES = 4096
+ROWS_PER_RANGE = 20_000
+SAMPLES_PER_RANGE = 20
 
 
 @dataclass(frozen=True)
@@ -60,23 +62,34 @@ def self_target(df: DataFrame, key: str = "id", features: str = "features") -> D
     return df.select(key, features, F.col(features).alias("target"))
 
 
-def _boundaries(df: DataFrame, key: str, n: int) -> list:
-    """At most ``n - 1`` keys that cut ``df`` into ranges of similar size."""
+def _cuts(df: DataFrame, key: str, n: int, share: float) -> list:
+    """At most ``n - 1`` sampled keys that cut ``df`` into ranges of similar size."""
     keys = df.select(key)
-    share = min(1.0, BOUNDARY_SAMPLE / max(1, keys.count()))
-    drawn = keys if share == 1.0 else keys.sample(share, seed=7)
+    drawn = keys if share >= 1.0 else keys.sample(share, seed=7)
     seen = [row[0] for row in drawn.distinct().orderBy(key).collect()]
     return sorted({seen[len(seen) * i // n] for i in range(1, n)}) if seen else []
 
 
-def _ranged(df: DataFrame, key: str, ranges: int) -> tuple[DataFrame, list[int]]:
+def _range_of(key: Column, cuts: list) -> Column:
+    """Number of cuts not above the key, by halving steps over a literal array."""
+    if not cuts:
+        return F.lit(0)
+    table = F.array(*[F.lit(cut) for cut in cuts])
+    steps = F.array(*[F.lit(1 << b) for b in reversed(range(len(cuts).bit_length()))])
+    return F.aggregate(
+        steps,
+        F.lit(0),
+        lambda at, step: at + F.when(F.get(table, at + step - 1) <= key, step).otherwise(0),
+    )
+
+
+def _ranged(df: DataFrame, key: str, rows_per_range: int) -> tuple[DataFrame, list[int]]:
     """``df`` with its key range as ``_range``, and the first position of every range."""
-    cuts = _boundaries(df, key, ranges)
-    bucket = F.lit(0)
-    for cut in cuts:
-        bucket = bucket + (F.col(key) >= F.lit(cut)).cast("int")
-    ranged = df.withColumn("_range", bucket)
-    sizes = dict(ranged.groupBy("_range").count().collect())
+    total = df.count()
+    n = min(MAX_RANGES, max(1, total // rows_per_range))
+    cuts = _cuts(df, key, n, SAMPLES_PER_RANGE * n / total) if n > 1 else []
+    ranged = df.withColumn("_range", _range_of(F.col(key), cuts))
+    sizes = dict(ranged.groupBy("_range").count().collect()) if cuts else {0: total}
     starts = [0]
     for r in range(len(cuts) + 1):
         starts.append(starts[-1] + sizes.get(r, 0))
@@ -89,22 +102,25 @@ def _numbered(ranged: DataFrame, starts: list[int], key: str, into: str) -> Data
     return ranged.withColumn(into, place + first).drop("_range")
 
 
-def with_position(df: DataFrame, key: str, into: str = "pos", ranges: int = 64) -> DataFrame:
+def with_position(
+    df: DataFrame, key: str, into: str = "pos", rows_per_range: int = ROWS_PER_RANGE
+) -> DataFrame:
     """Number the rows 0, 1, … in the order of a unique key.
 
     Rows are cut into key ranges; each range is numbered by a window of its
     own and shifted by the number of rows before it, so no task ever sees more
     than a range. The cuts only balance the work: any cuts give the same numbers.
     """
-    ranged, starts = _ranged(df, key, ranges)
+    ranged, starts = _ranged(df, key, rows_per_range)
     return _numbered(ranged, starts, key, into)
 
 
 def zip_by_position(
-    a: DataFrame, b: DataFrame, key_a: str, key_b: str, ranges: int = 64
+    a: DataFrame, b: DataFrame, key_a: str, key_b: str, rows_per_range: int = ROWS_PER_RANGE
 ) -> DataFrame:
     """Pair the i-th row of ``a`` with the i-th row of ``b``; sizes must agree."""
-    (ranged_a, starts_a), (ranged_b, starts_b) = _ranged(a, key_a, ranges), _ranged(b, key_b, ranges)
+    ranged_a, starts_a = _ranged(a, key_a, rows_per_range)
+    ranged_b, starts_b = _ranged(b, key_b, rows_per_range)
     if starts_a[-1] != starts_b[-1]:
         raise ValueError(f"cannot zip {starts_a[-1]} rows with {starts_b[-1]} rows")
     left = _numbered(ranged_a, starts_a, key_a, "pos")

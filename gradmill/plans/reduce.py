@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame
 
 #: Values per row: long vectors travel as blocks that different tasks can add up.
 BLOCK = 1 << 16
-#: Vectors the driver adds up itself; beyond that a level of tasks goes between.
-DIRECT = 32
+#: Bytes of vectors the driver adds up itself; beyond that tasks go between.
+DIRECT_BYTES = 64 << 20
 SCHEMA = "block int, slot int, n bigint, loss double, part array<double>"
 
 Partial = tuple[int, float, np.ndarray]
@@ -60,16 +60,22 @@ def _adder(next_fan: int):
 
 
 def vector_sum(
-    df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Partial | None], parts: int
+    df: DataFrame,
+    work: Callable[[Iterator[pa.RecordBatch]], Partial | None],
+    parts: int,
+    size: int,
+    direct_bytes: int = DIRECT_BYTES,
 ) -> Partial | None:
     """Run ``work`` once per partition and add up its ``(n, loss, vector)`` results.
 
-    ``parts`` is the number of partitions of ``df``. Up to ``DIRECT`` vectors are
-    added by the driver; more pass through a level of about ``sqrt(parts)``
-    slots and a last one of one row per block, so that the driver receives one
-    vector whatever the size of the cluster. None if no task had rows.
+    ``parts`` is the number of partitions of ``df``, ``size`` the length of a
+    vector. As long as all vectors together are small, the driver adds them up;
+    otherwise they pass through a level of about ``sqrt(parts)`` slots and a
+    last one of one row per block, so that the driver receives one vector
+    whatever the size of the cluster. None if no task had rows.
     """
-    fan = math.isqrt(parts - 1) + 1 if parts > DIRECT else 1
+    tree = parts > 1 and parts * size * 8 > direct_bytes
+    fan = math.isqrt(parts - 1) + 1 if tree else 1
 
     def task(batches):
         done = work(batches)
@@ -81,7 +87,7 @@ def vector_sum(
             yield _batch([(block, slot, n, loss, vector[at : at + BLOCK])])
 
     partials = df.mapInArrow(task, SCHEMA)
-    if parts > DIRECT:
+    if tree:
         partials = partials.repartition(fan, "slot", "block").mapInArrow(_adder(1), SCHEMA)
         partials = partials.repartition(fan, "block").mapInArrow(_adder(1), SCHEMA)
     sums = _fold(partials.toArrow().to_batches())

@@ -14,7 +14,7 @@ from __future__ import annotations
 import copy
 import math
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 from pyspark import StorageLevel
@@ -59,6 +59,16 @@ class Log:
     parameters: Trigger = field(default_factory=lambda: several_iteration(50))
     low: float = -2.0
     high: float = 2.0
+    flush_every: int = 10
+    pending: dict[str, list[tuple[str, int, float]]] = field(default_factory=dict)
+
+    def add(self, phase: str, values: list[tuple[str, int, float]]) -> None:
+        self.pending.setdefault(phase, []).extend(values)
+
+    def flush(self) -> None:
+        """Write what has gathered, one file per phase rather than one per epoch."""
+        for phase in list(self.pending):
+            self.metrics.append(self.run_id, phase, self.pending.pop(phase))
 
 
 @dataclass
@@ -131,7 +141,7 @@ def gradient_sum(
     # labels travel as one-element arrays, so that both columns read alike
     pair = df.select(F.col(features).alias("x"), _as_array(df, target).alias("y"))
     try:
-        return vector_sum(pair, work, parts)
+        return vector_sum(pair, work, parts, model.size)
     finally:
         shared.destroy()
 
@@ -173,7 +183,8 @@ def _local_pass(df: DataFrame, model: Model, fit: Fit, features, target, batch_s
 
     pair = df.select(F.col(features).alias("x"), _as_array(df, target).alias("y"))
     try:
-        return vector_sum(pair, work, parts)
+        state_size = model.size * (1 + fit.optim.slots)
+        return vector_sum(pair, work, parts, state_size)
     finally:
         start.destroy()
 
@@ -232,6 +243,9 @@ def fit(
             partitions or spark.sparkContext.defaultParallelism, "_key"
         )
     samples = samples.persist(StorageLevel.MEMORY_AND_DISK)
+    if validation:
+        held_out = validation.data.select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
+        validation = replace(validation, data=held_out)
     try:
         counted = samples.select(F.spark_partition_id().alias("part")).agg(
             F.count(F.lit(1)).alias("rows"), F.max("part").alias("last")
@@ -250,16 +264,23 @@ def fit(
             run.epoch += 1
             run.losses += logged
             if log:
-                log.metrics.append(log.run_id, "train", [("Loss", s, v) for s, v in logged])
+                log.add("train", [("Loss", s, v) for s, v in logged])
             if validation and validation.trigger(run.epoch, run.step):
                 scores = validate(validation, model, run.vector, features, target)
                 run.scores += [(tag, run.step, v) for tag, v in scores]
                 if log:
-                    log.metrics.append(log.run_id, "val", [(t, run.step, v) for t, v in scores])
-            if checkpoint and checkpoint.trigger(run.epoch, run.step):
+                    log.add("val", [(t, run.step, v) for t, v in scores])
+            saving = checkpoint is not None and checkpoint.trigger(run.epoch, run.step)
+            if log and (saving or run.epoch % log.flush_every == 0):
+                log.flush()
+            if saving:
                 checkpoint.save(spark, model, run)
     finally:
         samples.unpersist()
+        if validation:
+            validation.data.unpersist()
+        if log:
+            log.flush()
     return run
 
 

@@ -7,7 +7,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Settings every job of this package is happy with.
 BASE_CONF = {
@@ -61,6 +61,16 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A file scan, redistributed only if it has fewer splits than there are cores.
+
+    That is the case of small inputs alone (at most one split per core, so the
+    move is bounded); a large scan has splits enough and is returned as it is.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Make this package importable in the Python workers of a running session."""
     sc = spark.sparkContext
