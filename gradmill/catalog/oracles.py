@@ -247,6 +247,7 @@ RGB = (
     "rgb AS (SELECT vec_id, label, list_transform(range(192), lambda i: "
     "(g[i // 3 + 1] * ((i % 3) * 2 + 1) + (i % 3) * 31) % 256) AS p FROM grey)"
 )
+BGR = "list_transform(p, lambda v, i: p[i + 2 - ((i - 1) % 3) * 2])"
 U8 = "list_transform(p, lambda v: ((v & 255) / 255::DOUBLE)::FLOAT)"
 MEANS, STDS = "[0.485, 0.456, 0.406]::DOUBLE[]", "[0.229, 0.224, 0.225]::DOUBLE[]"
 
@@ -255,12 +256,12 @@ def draw(key: str, seed: int, epoch: int) -> str:
     return f"('0x' || substr(md5(concat_ws(':', {key}, {seed}, {epoch})), 1, 8))::BIGINT"
 
 
-def pixels(*steps: str) -> str:
+def pixels(*steps: str, keep: str = "vec_id") -> str:
     """Chain of expressions over ``p``; every step replaces it."""
-    sql = f"WITH {RGB}, q0 AS (SELECT vec_id, p FROM rgb)"
+    sql = f"WITH {RGB}, q0 AS (SELECT vec_id, label + 1 AS label1, p FROM rgb)"
     for n, step in enumerate(steps):
-        sql += f", q{n + 1} AS (SELECT vec_id, {step} AS p FROM q{n})"
-    return f"{sql} {unnested(f'q{len(steps)}', 'vec_id', 'p')}"
+        sql += f", q{n + 1} AS (SELECT vec_id, label1, {step} AS p FROM q{n})"
+    return f"{sql} {unnested(f'q{len(steps)}', keep, 'p')}"
 
 
 def crop(side: int, out_h: int, out_w: int, top: str, left: str) -> str:
@@ -284,8 +285,8 @@ def random_flip(side: int, seed: int, epoch: int) -> str:
 
 
 NORMALIZED = (
-    f"list_transform(p, lambda v, i: (v::DOUBLE - ({MEANS})[(i - 1) % 3 + 1]) "
-    f"/ ({STDS})[(i - 1) % 3 + 1])"
+    f"list_transform(p, lambda v, i: ((v::DOUBLE - ({MEANS})[(i - 1) % 3 + 1]) "
+    f"/ ({STDS})[(i - 1) % 3 + 1])::FLOAT)"
 )
 
 
@@ -322,7 +323,7 @@ def _picture(scale: str) -> str:
         f"WITH {RGB}, small AS (SELECT vec_id, {bilinear(6)} AS p FROM rgb), "
         f"w AS (SELECT {matrix(10, 108, 0)} AS w0, {vector(10, 1)} AS b0), "
         "inputs AS (SELECT vec_id, list_transform(p, lambda v: "
-        + ("v / 127.5::DOUBLE - 1" if scale == "pm1" else "v::DOUBLE")
+        + ("(v / 127.5::DOUBLE - 1)::FLOAT::DOUBLE" if scale == "pm1" else "v::DOUBLE")
         + ") AS x FROM small), "
         f"raw AS (SELECT vec_id, {affine('x', 10, 'w0', 'b0')} AS s0 FROM inputs, w), "
         "logits AS (SELECT vec_id, list_transform(s0, lambda v: v"
@@ -418,8 +419,8 @@ def all_oracles() -> dict[str, str]:
         "p[(((i // 18) * 8 // 4) * 8 + ((i // 3) % 6) * 8 // 6) * 3 + i % 3 + 1])"
     )
     views = {
-        "image_transforms": random_crop(8, 6, 6, 11, 0),
-        "image_transforms_val": crop(8, 6, 6, "1", "1"),
+        "image_samples_train": random_crop(8, 6, 6, 11, 0),
+        "image_samples_val": crop(8, 6, 6, "1", "1"),
     }
     top5_linear = TOP5.format(scores="scores", source="scored")
     out = {
@@ -474,7 +475,7 @@ def all_oracles() -> dict[str, str]:
             "FROM embeddings"
         ),
         "scale_u8": pixels(U8),
-        "scale_pm1": pixels("list_transform(p, lambda v: v / 127.5::DOUBLE - 1)"),
+        "scale_pm1": pixels("list_transform(p, lambda v: (v / 127.5::DOUBLE - 1)::FLOAT)"),
         "resize_nearest": pixels(nearest),
         "resize_bilinear": pixels(bilinear(6)),
         "crop_center": pixels(crop(8, 6, 5, "1", "1")),
@@ -583,5 +584,5 @@ def all_oracles() -> dict[str, str]:
         "score_autoencoder": _autoencoder(),
     }
     for name, cut in views.items():
-        out[name] = pixels(U8, cut, random_flip(6, 12, 0), NORMALIZED, chw(6))
+        out[name] = pixels(BGR, U8, cut, random_flip(6, 12, 0), NORMALIZED, chw(6), keep="vec_id, label1")
     return out

@@ -236,23 +236,46 @@ def rgb_images(spark, sf_dir) -> DataFrame:
     return e.select("vec_id", "label", rgb.alias("rgb"))
 
 
-def _pixel_query(transform):
+def _pixel_query(*steps):
     def query(spark, sf_dir):
-        return long_form(rgb_images(spark, sf_dir), ["vec_id"], transform(F.col("rgb"), F.col("vec_id")))
+        view = px.from_array(F.col("rgb"), SIDE, SIDE, 3).then(*(step() for step in steps))
+        done = px.transformed(rgb_images(spark, sf_dir), view, ["vec_id"])
+        return long_form(done, ["vec_id"], F.col("features"))
 
     return query
 
 
-scale_u8 = _pixel_query(lambda p, k: px.scale_u8(p))
-scale_pm1 = _pixel_query(lambda p, k: px.scale_pm1(p))
-resize_nearest = _pixel_query(lambda p, k: px.resize_nearest(p, SIDE, SIDE, 3, 4, 6))
-crop_center = _pixel_query(lambda p, k: px.crop_center(p, SIDE, SIDE, 3, 6, 5))
-crop_random = _pixel_query(lambda p, k: px.crop_random(p, SIDE, SIDE, 3, 6, 5, k, 3, 1))
-flip_random = _pixel_query(lambda p, k: px.flip_random(p, SIDE, SIDE, 3, k, 0.5, 5, 2))
-channel_normalize = _pixel_query(lambda p, k: px.channel_normalize(px.scale_u8(p)))
-to_chw = _pixel_query(lambda p, k: px.to_chw(p, SIDE, SIDE, 3))
-image_transforms = _pixel_query(lambda p, k: images.train_view(SIDE, 6, k, 11)(p))
-image_transforms_val = _pixel_query(lambda p, k: images.validation_view(SIDE, 6, k, 11)(p))
+def _key() -> Column:
+    return F.col("vec_id")
+
+
+scale_u8 = _pixel_query(px.scale_u8)
+scale_pm1 = _pixel_query(px.scale_pm1)
+resize_nearest = _pixel_query(lambda: px.resize_nearest(4, 6))
+crop_center = _pixel_query(lambda: px.crop_center(6, 5))
+crop_random = _pixel_query(lambda: px.crop_random(6, 5, _key(), 3, 1))
+flip_random = _pixel_query(lambda: px.flip_random(_key(), 0.5, 5, 2))
+channel_normalize = _pixel_query(px.scale_u8, px.channel_normalize)
+to_chw = _pixel_query(px.to_chw)
+
+
+def _image_samples(split: str):
+    """Labelled images from bytes to samples (here the resize keeps the size)."""
+
+    def query(spark, sf_dir):
+        rgb = rgb_images(spark, sf_dir)
+        size = [F.lit(n).alias(c) for n, c in ((SIDE, "height"), (SIDE, "width"), (3, "nChannels"))]
+        data = F.unhex(F.array_join(F.transform("rgb", lambda v: F.lpad(F.hex(v), 2, "0")), ""))
+        done = images.image_samples(
+            rgb.select("vec_id", "label", data.alias("data"), *size), "vec_id", SIDE, 6, split, 11
+        )
+        return long_form(done, ["vec_id", "label1"], F.col("features"))
+
+    return query
+
+
+image_samples_train = _image_samples("train")
+image_samples_val = _image_samples("val")
 
 
 # --- files in image and sample formats ------------------------------------------
@@ -348,7 +371,9 @@ def top_k(spark, sf_dir):
 
 
 def top_k_named(spark, sf_dir):
-    named = score.top_k_named(linear_scores(spark, sf_dir), names_of(spark, sf_dir), ["vec_id"])
+    raw = raw_samples(spark, sf_dir)
+    best = score.predict_top_k(raw, LINEAR, LINEAR.formula(), ["vec_id"], 5, "x")
+    named = score.top_k_named(best, names_of(spark, sf_dir), ["vec_id"])
     return named.select("vec_id", "rank", "class_id", "name", r6(F.col("score")).alias("score"))
 
 
@@ -457,8 +482,8 @@ def classify_named(spark, sf_dir):
 
 def resize_bilinear(spark, sf_dir):
     scan = sources.image_folder(spark, _png_folder(spark, sf_dir), "train", has_label=False)
-    small = images.resized(scan.withColumn("vec_id", _file_id()), 6, ["vec_id"])
-    return long_form(small, ["vec_id"], F.col("pixels"))
+    done = px.transformed(scan.withColumn("vec_id", _file_id()), images.resized(6), ["vec_id"])
+    return long_form(done, ["vec_id"], F.col("features"))
 
 
 # --- parameter tables -----------------------------------------------------------
@@ -632,7 +657,7 @@ def all_queries() -> dict:
         "scale_u8": scale_u8, "scale_pm1": scale_pm1, "resize_nearest": resize_nearest,
         "crop_center": crop_center, "crop_random": crop_random, "flip_random": flip_random,
         "channel_normalize": channel_normalize, "to_chw": to_chw,
-        "image_transforms": image_transforms, "image_transforms_val": image_transforms_val,
+        "image_samples_train": image_samples_train, "image_samples_val": image_samples_val,
     }
     scoring = {
         f"score_{name}": _score_query(m)

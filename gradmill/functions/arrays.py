@@ -23,12 +23,26 @@ def argmax(scores: Column) -> Column:
 
 
 def top_k(scores: Column, k: int = 5) -> Column:
-    """The ``k`` best ``(class_id, score)`` structs, best first, ties to the lower class."""
-    keyed = F.transform(scores, lambda s, i: F.struct(s.alias("score"), (-i).alias("neg")))
-    best = F.slice(F.sort_array(keyed, asc=False), 1, k)
-    return F.transform(
-        best, lambda b: F.struct((-b["neg"]).alias("class_id"), b["score"].alias("score"))
-    )
+    """The ``k`` best ``(class_id, score)`` structs, best first, ties to the lower class.
+
+    Plain values are sorted to find the k-th best; only what reaches it is
+    turned into structs and sorted again.
+    """
+
+    def pick(s: Column, least: Column) -> Column:
+        at = F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: F.get(s, i) >= least)
+        keyed = F.transform(
+            at, lambda i: F.struct(F.get(s, i).alias("score"), (-i).alias("neg"))
+        )
+        return F.transform(
+            F.slice(F.sort_array(keyed, asc=False), 1, k),
+            lambda b: F.struct((-b["neg"]).alias("class_id"), b["score"].alias("score")),
+        )
+
+    def kth(s: Column) -> Column:
+        return F.get(F.sort_array(s, asc=False), F.least(F.size(s), F.lit(k)) - 1)
+
+    return let(scores, lambda s: let(kth(s), lambda least: pick(s, least)))
 
 
 def reshape2d(values: Column, rows: int, cols: int) -> Column:

@@ -1,19 +1,22 @@
-"""Image transforms as expressions over flat row-major H x W x C arrays.
+"""Image transforms on flat row-major H x W x C images.
 
-Sizes may be Python ints or integer columns. Every function maps an array
-column to an array column, so a chain of them stays one projection.
+An image has some hundred thousand values: too many for expressions that are
+interpreted element by element, and costly to move between the JVM and Python.
+So a chain of transforms is one numpy pass over the Arrow batches of its
+column, from the image bytes to the finished input. Random choices come in as
+columns, from the keyed hash of the row.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import types as T
 
-from gradmill.functions.arrays import let
 from gradmill.functions.hashing import coin, keyed_hash
 
 #: Channel means and deviations (R, G, B) of the image classifiers.
@@ -21,179 +24,185 @@ CHANNEL_MEAN = (0.485, 0.456, 0.406)
 CHANNEL_STD = (0.229, 0.224, 0.225)
 
 
-def _as_int(value) -> Column:
-    return value if isinstance(value, Column) else F.lit(value)
+@dataclass(frozen=True)
+class Step:
+    """``change(stack, *choices)`` on images stacked as (n, height, width, channels)."""
 
+    change: Callable[..., np.ndarray]
+    choices: tuple[Column, ...] = ()
 
-def _floor_div(a: Column, b: Column) -> Column:
-    return F.floor(a / b).cast("int")
 
+def scale_u8(normalize: float = 255.0) -> Step:
+    """Unsigned-byte values divided by ``normalize``."""
+    return Step(lambda s: ((s.astype(np.int32) & 255) / normalize).astype(np.float32))
 
-def _gather(pixels: Column, size, source: Callable[[Column], Column]) -> Column:
-    """``out[i] = pixels[source(i)]`` for i in 0..size-1."""
-    indices = F.sequence(F.lit(0), _as_int(size) - 1)
-    return let(
-        pixels, lambda p: F.transform(indices, lambda i: F.get(p, source(i).cast("int")))
-    )
 
+def scale_pm1() -> Step:
+    """Byte values mapped to [-1, 1]: ``x / 127.5 - 1``."""
+    return Step(lambda s: (s / 127.5 - 1.0).astype(np.float32))
 
-def _window(pixels: Column, width, channels: int, out_h: int, out_w: int, top, left) -> Column:
-    """The ``out_h`` x ``out_w`` window whose corner is at (top, left)."""
-    span = F.lit(out_w * channels)
 
-    def rows(p: Column, at: Column) -> Column:
-        return F.transform(
-            F.sequence(F.lit(0), F.lit(out_h - 1)),
-            lambda r: F.slice(p, (at + r * width * channels + 1).cast("int"), span),
-        )
+def channel_normalize(mean=CHANNEL_MEAN, std=CHANNEL_STD) -> Step:
+    """``(x - mean[c]) / std[c]``."""
+    return Step(
+        lambda s: ((s.astype(np.float64) - np.array(mean)) / np.array(std)).astype(np.float32)
+    )
 
-    corner = (top * width + left) * channels
-    return F.flatten(let(pixels, lambda p: let(corner, lambda at: rows(p, at))))
 
+def resize_nearest(out_h: int, out_w: int) -> Step:
+    """Nearest-neighbour resize."""
 
-def scale_u8(pixels: Column, normalize: float = 255.0) -> Column:
-    """Unsigned-byte values divided by ``normalize``, as floats."""
-    return F.transform(
-        pixels, lambda x: (x.cast("int").bitwiseAND(F.lit(255)) / F.lit(normalize)).cast("float")
-    )
+    def change(stack: np.ndarray) -> np.ndarray:
+        rows = np.arange(out_h) * stack.shape[1] // out_h
+        cols = np.arange(out_w) * stack.shape[2] // out_w
+        return stack[:, rows][:, :, cols]
 
+    return Step(change)
 
-def scale_pm1(pixels: Column) -> Column:
-    """Byte values mapped to [-1, 1]: ``x / 127.5 - 1``."""
-    return F.transform(pixels, lambda x: x.cast("double") / 127.5 - 1.0)
 
+def crop_center(out_h: int, out_w: int) -> Step:
+    """The central window; an odd margin leaves the extra pixel below and right."""
 
-def resize_nearest(pixels: Column, height, width, channels: int, out_h: int, out_w: int) -> Column:
-    """Nearest-neighbour resize."""
-    h, w = _as_int(height), _as_int(width)
+    def change(stack: np.ndarray) -> np.ndarray:
+        top, left = (stack.shape[1] - out_h) // 2, (stack.shape[2] - out_w) // 2
+        return stack[:, top : top + out_h, left : left + out_w]
 
-    def source(i: Column) -> Column:
-        c = F.pmod(i, F.lit(channels))
-        x = F.pmod(_floor_div(i, F.lit(channels)), F.lit(out_w))
-        y = _floor_div(i, F.lit(channels * out_w))
-        sy = _floor_div(y * h, F.lit(out_h))
-        sx = _floor_div(x * w, F.lit(out_w))
-        return (sy * w + sx) * channels + c
+    return Step(change)
 
-    return _gather(pixels, out_h * out_w * channels, source)
 
+def crop_random(out_h: int, out_w: int, key: Column, seed: int, epoch: int = 0) -> Step:
+    """A window whose corner is drawn from the keyed hash of the row."""
 
-def _taps(n_in: int, n_out: int):
-    centre = np.clip((np.arange(n_out) + 0.5) * n_in / n_out - 0.5, 0, n_in - 1)
-    low = np.floor(centre).astype(int)
-    return low, np.minimum(low + 1, n_in - 1), centre - low
+    def change(stack: np.ndarray, draw: np.ndarray) -> np.ndarray:
+        n, height, width, channels = stack.shape
+        n_top, n_left = height - out_h + 1, width - out_w + 1
+        out = np.empty((n, out_h, out_w, channels), stack.dtype)
+        for image, target, d in zip(stack, out, draw.tolist()):
+            top, left = d // n_left % n_top, d % n_left
+            target[:] = image[top : top + out_h, left : left + out_w]
+        return out
 
+    return Step(change, (keyed_hash(key, seed, epoch),))
 
-def _bilinear(image: np.ndarray, out_h: int, out_w: int) -> np.ndarray:
-    y0, y1, fy = _taps(image.shape[0], out_h)
-    x0, x1, fx = _taps(image.shape[1], out_w)
-    rows = image[y0] * (1 - fy)[:, None, None] + image[y1] * fy[:, None, None]
-    mixed = rows[:, x0] * (1 - fx)[None, :, None] + rows[:, x1] * fx[None, :, None]
-    return np.floor(mixed + 0.5).astype(np.int16)
 
+def flip_horizontal() -> Step:
+    """Mirror every row."""
+    return Step(lambda s: s[:, :, ::-1])
 
-def resize_bilinear(
-    data: Column, height, width, channels, out_h: int, out_w: int, bgr: bool = False
-) -> Column:
-    """Bilinear resize of unsigned-byte images held in a binary column.
 
-    Half-pixel centres, edges clamped, result rounded half up to bytes
-    (``array<smallint>``); ``bgr`` reverses the channels. Images of different
-    sizes may share a column.
-    """
+def flip_random(key: Column, p: float = 0.5, seed: int = 0, epoch: int = 0) -> Step:
+    """Mirror a share ``p`` of the images, chosen by the keyed coin."""
 
-    @F.arrow_udf("array<smallint>")
-    def resize(data: pa.Array, h: pa.Array, w: pa.Array, c: pa.Array) -> pa.Array:
-        out = []
-        for buf, ih, iw, ic in zip(data, h.to_pylist(), w.to_pylist(), c.to_pylist()):
-            image = np.frombuffer(buf.as_buffer(), np.uint8).reshape(ih, iw, ic)
-            small = _bilinear(image.astype(np.float64), out_h, out_w)
-            out.append((small[..., ::-1] if bgr else small).ravel())
-        return pa.array(out, pa.list_(pa.int16()))
+    def change(stack: np.ndarray, heads: np.ndarray) -> np.ndarray:
+        return np.where(heads.astype(bool)[:, None, None, None], stack[:, :, ::-1], stack)
 
-    return resize(data, _as_int(height), _as_int(width), _as_int(channels))
+    return Step(change, (coin(key, p, seed, epoch),))
 
 
-def crop_center(pixels: Column, height, width, channels: int, out_h: int, out_w: int) -> Column:
-    """The central window; an odd margin leaves the extra pixel below and right."""
-    h, w = _as_int(height), _as_int(width)
-    top = _floor_div(h - out_h, F.lit(2))
-    left = _floor_div(w - out_w, F.lit(2))
-    return _window(pixels, w, channels, out_h, out_w, top, left)
+def to_chw() -> Step:
+    """H x W x C order to C x H x W order."""
+    return Step(lambda s: s.transpose(0, 3, 1, 2))
+
+
+@dataclass(frozen=True)
+class Pixels:
+    """Images as columns, how to read them as a stack, and what is done to it."""
+
+    columns: tuple[Column, ...]
+    read: Callable[..., np.ndarray]
+    steps: tuple[Step, ...] = ()
+
+    def then(self, *steps: Step) -> Pixels:
+        """The same images with further transforms, applied left to right."""
+        return replace(self, steps=self.steps + steps)
+
+    def inputs(self) -> list[Column]:
+        """All columns the transforms need."""
+        return [*self.columns, *(c for step in self.steps for c in step.choices)]
+
+    def stack(self, arrays: list[pa.Array]) -> np.ndarray:
+        """The transformed stack of one Arrow batch, whose images are not null."""
+        at = len(self.columns)
+        out = self.read(*arrays[:at])
+        for step in self.steps:
+            drawn = arrays[at : at + len(step.choices)]
+            out = step.change(out, *[d.to_numpy(zero_copy_only=False) for d in drawn])
+            at += len(drawn)
+        return out
+
+    def reader(self) -> Callable[[list[pa.Array]], np.ndarray]:
+        """:meth:`stack` without the columns, which stay on the driver."""
+        steps = tuple(Step(s.change, (None,) * len(s.choices)) for s in self.steps)
+        return replace(self, columns=(None,) * len(self.columns), steps=steps).stack
+
+
+def _lists(stack: np.ndarray, present: np.ndarray) -> pa.Array:
+    ends = np.concatenate([[0], np.cumsum(present * int(np.prod(stack.shape[1:])))])
+    return pa.ListArray.from_arrays(
+        pa.array(ends.astype(np.int32)), pa.array(stack.astype(np.float32).ravel()),
+        mask=None if present.all() else pa.array(~present),
+    )
 
 
-def crop_random(
-    pixels: Column, height, width, channels: int, out_h: int, out_w: int,
-    key: Column, seed: int, epoch: int = 0,
-) -> Column:
-    """A window whose corner is drawn from the keyed hash of the row."""
-    h, w = _as_int(height), _as_int(width)
-    draw = keyed_hash(key, seed, epoch)
-    n_left = (w - out_w + 1).cast("bigint")
-    left = F.pmod(draw, n_left)
-    top = F.pmod(F.floor(draw / n_left), (h - out_h + 1).cast("bigint"))
-    return _window(pixels, w, channels, out_h, out_w, top.cast("int"), left.cast("int"))
+def transformed(df: DataFrame, pixels: Pixels, keep: list[str], into: str = "features") -> DataFrame:
+    """``keep`` plus the transformed images as flat ``array<float>``; null images stay null."""
+    stack, n_keep = pixels.reader(), len(keep)
+    named = [c.alias(f"_x{i}") for i, c in enumerate(pixels.inputs())]
+    fields = [f for f in df.select(*keep).schema]
+    schema = T.StructType([*fields, T.StructField(into, T.ArrayType(T.FloatType()))])
 
+    def run(batches):
+        for batch in batches:
+            arrays = batch.columns[n_keep:]
+            valid = arrays[0].is_valid()
+            present = valid.to_numpy(zero_copy_only=False)
+            done = stack([a.filter(valid) for a in arrays]) if present.any() else np.zeros((0, 0))
+            columns = [*batch.columns[:n_keep], _lists(done, present)]
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-def flip_horizontal(pixels: Column, height, width, channels: int) -> Column:
-    """Mirror every row."""
-    w = _as_int(width)
-
-    def source(i: Column) -> Column:
-        c = F.pmod(i, F.lit(channels))
-        pixel = _floor_div(i, F.lit(channels))
-        x = F.pmod(pixel, w)
-        return (pixel - x + w - 1 - x) * channels + c
-
-    return _gather(pixels, _as_int(height) * w * channels, source)
-
-
-def flip_random(
-    pixels: Column, height, width, channels: int, key: Column, p: float = 0.5,
-    seed: int = 0, epoch: int = 0,
-) -> Column:
-    """Mirror a share ``p`` of the rows, chosen by the keyed coin."""
-    heads = coin(key, p, seed, epoch)
-    return let(
-        pixels,
-        lambda a: F.when(heads, flip_horizontal(a, height, width, channels)).otherwise(a),
-    )
+    return df.select(*keep, *named).mapInArrow(run, schema)
 
 
-def channel_normalize(pixels: Column, mean=CHANNEL_MEAN, std=CHANNEL_STD) -> Column:
-    """``(x - mean[c]) / std[c]`` with the channel as the fastest index."""
-    n = F.lit(len(mean))
-    means, stds = F.array(*map(F.lit, mean)), F.array(*map(F.lit, std))
-    return F.transform(
-        pixels,
-        lambda x, i: (x.cast("double") - F.get(means, F.pmod(i, n))) / F.get(stds, F.pmod(i, n)),
-    )
+def from_array(pixels: Column, height: int, width: int, channels: int) -> Pixels:
+    """Images of one size held in an array column."""
 
+    def read(column: pa.Array) -> np.ndarray:
+        values = column.flatten().to_numpy(zero_copy_only=False)
+        return values.reshape(-1, height, width, channels)
 
-def swap_red_blue(pixels: Column) -> Column:
-    """Exchange the first and third of three channels (BGR to RGB and back)."""
-    return let(
-        pixels, lambda p: F.transform(p, lambda x, i: F.get(p, i + 2 - F.pmod(i, F.lit(3)) * 2))
-    )
+    return Pixels((pixels,), read)
 
 
-def to_chw(pixels: Column, height, width, channels: int) -> Column:
-    """H x W x C order to C x H x W order."""
-    plane = _as_int(height) * _as_int(width)
+def _taps(n_in: int, n_out: int):
+    centre = np.clip((np.arange(n_out) + 0.5) * n_in / n_out - 0.5, 0, n_in - 1)
+    low = np.floor(centre).astype(int)
+    return low, np.minimum(low + 1, n_in - 1), centre - low
 
-    def source(i: Column) -> Column:
-        at = F.pmod(i, plane)
-        return at * channels + _floor_div(i, plane)
 
-    return _gather(pixels, plane * channels, source)
+def _bilinear(image: np.ndarray, out_h: int, out_w: int) -> np.ndarray:
+    y0, y1, fy = _taps(image.shape[0], out_h)
+    x0, x1, fx = _taps(image.shape[1], out_w)
+    rows = image[y0] * (1 - fy)[:, None, None] + image[y1] * fy[:, None, None]
+    mixed = rows[:, x0] * (1 - fx)[None, :, None] + rows[:, x1] * fx[None, :, None]
+    return np.floor(mixed + 0.5).astype(np.int16)
 
 
-def compose(*steps: Callable[[Column], Column]) -> Callable[[Column], Column]:
-    """One transform out of several, applied left to right."""
+def resized_bytes(
+    data: Column, height: Column, width: Column, channels: Column, out_h: int, out_w: int,
+    bgr: bool = True,
+) -> Pixels:
+    """Unsigned-byte images of any sizes in a binary column, bilinearly resized.
 
-    def chained(pixels: Column) -> Column:
-        for step in steps:
-            pixels = step(pixels)
-        return pixels
+    Half-pixel centres, edges clamped, result rounded half up to bytes; ``bgr``
+    reverses the channels.
+    """
+
+    def read(data: pa.Array, h: pa.Array, w: pa.Array, c: pa.Array) -> np.ndarray:
+        out = []
+        for buf, ih, iw, ic in zip(data, h.to_pylist(), w.to_pylist(), c.to_pylist()):
+            image = np.frombuffer(buf.as_buffer(), np.uint8).reshape(ih, iw, ic)
+            small = _bilinear(image.astype(np.float64), out_h, out_w)
+            out.append(small[..., ::-1] if bgr else small)
+        return np.stack(out)
 
-    return chained
+    return Pixels((data, height, width, channels), read)

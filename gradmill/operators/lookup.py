@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gradmill.operators.samples import with_position
+
 BROADCAST_ROWS = 200_000
 SALTS = 32
 
@@ -27,12 +29,8 @@ def lookup(
 
 
 def numbered_values(df: DataFrame, value: str, into: str) -> DataFrame:
-    """``(value, into)``: the distinct values in order, numbered from 0.
-
-    Only the distinct values (class names) reach the single-partition window.
-    """
-    distinct = df.select(value).distinct()
-    return distinct.withColumn(into, F.row_number().over(Window.orderBy(value)) - 1)
+    """``(value, into)``: the distinct values in order, numbered from 0."""
+    return with_position(df.select(value).distinct(), value, into)
 
 
 def with_class_name(

@@ -8,48 +8,52 @@ from pyspark.sql import functions as F
 from gradmill.functions import pixels as px
 from gradmill.operators.lookup import with_class_name
 from gradmill.plans.models import Model
-from gradmill.plans.score import Params, predict, predict_class, top_k_named
+from gradmill.plans.score import Params, predict_top_k, top_k_named
 
-CHANNELS = 3
 
+def resized(side: int, bgr: bool = True) -> px.Pixels:
+    """The images of a source table at side x side, in R, G, B order."""
+    fields = (F.col(name) for name in ("data", "height", "width", "nChannels"))
+    return px.resized_bytes(*fields, side, side, bgr)
 
-def resized(images: DataFrame, side: int, keep: list[str], bgr: bool = True) -> DataFrame:
-    """``keep`` plus the image as ``pixels``: side x side x 3 bytes in R, G, B order."""
-    small = px.resize_bilinear(
-        F.col("data"), F.col("height"), F.col("width"), F.col("nChannels"), side, side, bgr
-    )
-    return images.select(*keep, small.alias("pixels"))
 
-
-def train_view(side: int, crop: int, key: Column, seed: int, epoch: int = 0):
+def train_steps(crop: int, key: Column, seed: int, epoch: int = 0) -> list[px.Step]:
     """Random crop, random mirror, channel normalization, C x H x W order."""
-    return px.compose(
-        px.scale_u8,
-        lambda p: px.crop_random(p, side, side, CHANNELS, crop, crop, key, seed, epoch),
-        lambda p: px.flip_random(p, crop, crop, CHANNELS, key, 0.5, seed + 1, epoch),
-        px.channel_normalize,
-        lambda p: px.to_chw(p, crop, crop, CHANNELS),
-    )
+    return [
+        px.scale_u8(), px.crop_random(crop, crop, key, seed, epoch),
+        px.flip_random(key, 0.5, seed + 1, epoch), px.channel_normalize(), px.to_chw(),
+    ]
 
 
-def validation_view(side: int, crop: int, key: Column, seed: int, epoch: int = 0):
+def validation_steps(crop: int, key: Column, seed: int, epoch: int = 0) -> list[px.Step]:
     """The same with a central crop; the mirror stays random."""
-    return px.compose(
-        px.scale_u8,
-        lambda p: px.crop_center(p, side, side, CHANNELS, crop, crop),
-        lambda p: px.flip_random(p, crop, crop, CHANNELS, key, 0.5, seed + 1, epoch),
-        px.channel_normalize,
-        lambda p: px.to_chw(p, crop, crop, CHANNELS),
-    )
+    return [
+        px.scale_u8(), px.crop_center(crop, crop),
+        px.flip_random(key, 0.5, seed + 1, epoch), px.channel_normalize(), px.to_chw(),
+    ]
+
+
+def image_samples(
+    images: DataFrame, key: str, side: int, crop: int, split: str, seed: int = 0, epoch: int = 0,
+    label: str = "label",
+) -> DataFrame:
+    """``(key, features, label1)`` of a labelled image table, for ``train`` or ``val``."""
+    steps = train_steps if split == "train" else validation_steps
+    view = resized(side).then(*steps(crop, F.col(key), seed, epoch))
+    done = px.transformed(images, view, [key, label])
+    return done.select(key, "features", (F.col(label) + 1).cast("int").alias("label1"))
 
 
 def classify_images(
     images: DataFrame, model: Model, params: Params, names: DataFrame, side: int,
     keep: list[str], bgr: bool = True, name: str = "name",
 ) -> DataFrame:
-    """``(keep…, class_id, name)``: resize, score, best class (1-based), class name."""
-    scored = predict(resized(images, side, keep, bgr), model, params, keep, "pixels")
-    classes = scored.select(*keep, predict_class(F.col("scores")).alias("class_id"))
+    """``(keep…, class_id, name)``: resize, score, best class (1-based), class name.
+
+    Resizing and scoring happen in the same pass over the image bytes.
+    """
+    best = predict_top_k(images, model, params, keep, 1, resized(side, bgr))
+    classes = best.select(*keep, (F.col("best")[0]["class_id"] + 1).alias("class_id"))
     return with_class_name(classes, names, name=name)
 
 
@@ -58,5 +62,5 @@ def classify_named(
     keep: list[str], k: int = 5, bgr: bool = True,
 ) -> DataFrame:
     """The ``k`` best class names of every image, inputs scaled to [-1, 1]."""
-    inputs = resized(images, side, keep, bgr).withColumn("x", px.scale_pm1(F.col("pixels")))
-    return top_k_named(predict(inputs, model, params, keep, "x"), names, keep, k)
+    inputs = resized(side, bgr).then(px.scale_pm1())
+    return top_k_named(predict_top_k(images, model, params, keep, k, inputs), names, keep)

@@ -27,6 +27,14 @@ def _shapes(kind: str, sizes: tuple) -> dict[str, tuple[int, ...]]:
     return {}
 
 
+#: Rows a kernel takes at once: its intermediate arrays are many times its input.
+SLICE_ROWS = 512
+
+
+def _slices(x: np.ndarray) -> list[slice]:
+    return [slice(at, at + SLICE_ROWS) for at in range(0, len(x), SLICE_ROWS)]
+
+
 @dataclass(frozen=True)
 class Model:
     """A chain of ``(kind, name, *sizes)`` layers over rows of ``input_shape``.
@@ -94,10 +102,14 @@ class Model:
         return x, tape
 
     def forward(self, vector: np.ndarray, x: np.ndarray) -> np.ndarray:
-        return self._run(vector, x)[0]
+        return np.concatenate([self._run(vector, x[at])[0] for at in _slices(x)])
 
     def loss_and_gradient(self, vector, x, target) -> tuple[float, np.ndarray]:
         """Criterion and gradient summed over the rows of the batch."""
+        parts = [self._slice_gradient(vector, x[at], target[at]) for at in _slices(x)]
+        return sum(loss for loss, _ in parts), sum(gradient for _, gradient in parts)
+
+    def _slice_gradient(self, vector, x, target) -> tuple[float, np.ndarray]:
         out, tape = self._run(vector, x)
         loss, d = kernels.CRITERIA[self.criterion](out, target)
         grads = {}

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gradmill.functions import arrays
+from gradmill.functions.pixels import Pixels
 from gradmill.operators.lookup import with_class_name
 from gradmill.operators.model_store import to_vector
 from gradmill.plans.models import Model
@@ -26,41 +27,82 @@ def dense(column: pa.Array) -> np.ndarray:
     return column.to_numpy(zero_copy_only=False).astype(np.float64).reshape(n, -1)
 
 
+def _list_array(values: np.ndarray) -> pa.Array:
+    n, width = values.shape
+    ends = np.arange(n + 1, dtype=np.int32) * width
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(values.ravel()))
+
+
+def _best_array(out: np.ndarray, k: int) -> pa.Array:
+    """The ``k`` best (class, score) pairs per row, best first, ties to the lower class."""
+    order = np.argsort(-out, axis=1, kind="stable")[:, :k].astype(np.int32)
+    ends = np.arange(len(out) + 1, dtype=np.int32) * order.shape[1]
+    pairs = pa.StructArray.from_arrays(
+        [pa.array(order.ravel()), pa.array(np.take_along_axis(out, order, 1).ravel())],
+        names=["class_id", "score"],
+    )
+    return pa.ListArray.from_arrays(pa.array(ends), pairs)
+
+
+def _scored(df, model, params, keep, features, kind: str, emit) -> DataFrame:
+    vectors = {name: to_vector(model, p) for name, p in params.items()}
+    shared = df.sparkSession.sparkContext.broadcast(vectors)
+    kind = T.StructType.fromDDL(f"v {kind}")["v"].dataType
+    schema = T.StructType(
+        [f for f in df.select(*keep).schema] + [T.StructField(name, kind) for name in vectors]
+    )
+
+    if isinstance(features, Pixels):
+        inputs, read = features.inputs(), features.reader()
+    else:
+        inputs, read = [F.col(features)], lambda arrays: dense(arrays[0])
+    n_keep = len(keep)
+
+    def score(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = read(batch.columns[n_keep:])
+            columns = batch.columns[:n_keep]
+            for vector in shared.value.values():
+                columns.append(emit(model.forward(vector, x).reshape(len(x), -1)))
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    named = [c.alias(f"_x{i}") for i, c in enumerate(inputs)]
+    return df.select(*keep, *named).mapInArrow(score, schema)
+
+
 def predict(
     df: DataFrame,
     model: Model,
     params: Params | Mapping[str, Params],
     keep: list[str],
-    features: str = "features",
+    features: str | Pixels = "features",
 ) -> DataFrame:
     """``keep`` plus the output vector of the model as ``scores``.
 
+    ``features`` is an array column, or images to be transformed on the way in.
     Lazy and shuffle-free: keys and labels travel with their row, so nothing has
     to be paired afterwards. A mapping ``{column: params}`` scores several
     versions of the model in the same pass.
     """
     versions = params if isinstance(params, Mapping) else {"scores": params}
-    vectors = {name: to_vector(model, p) for name, p in versions.items()}
-    shared = df.sparkSession.sparkContext.broadcast(vectors)
-    schema = T.StructType(
-        [f for f in df.select(*keep).schema]
-        + [T.StructField(name, T.ArrayType(T.DoubleType())) for name in vectors]
-    )
+    return _scored(df, model, versions, keep, features, "array<double>", _list_array)
 
-    def score(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            x = dense(batch.column("_x"))
-            columns = batch.columns[:-1]
-            for vector in shared.value.values():
-                out = model.forward(vector, x)
-                out = out.reshape(len(x), -1)
-                ends = np.arange(len(x) + 1, dtype=np.int32) * out.shape[1]
-                columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(out.ravel())))
-            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return df.select(*keep, F.col(features).alias("_x")).mapInArrow(score, schema)
+def predict_top_k(
+    df: DataFrame, model: Model, params: Params, keep: list[str], k: int = 5,
+    features: str | Pixels = "features",
+) -> DataFrame:
+    """``keep`` plus the ``k`` best ``(class_id, score)`` pairs as ``best``.
+
+    The choice is made where the scores are, so a row with a thousand classes
+    brings back ``k`` values only.
+    """
+    kind = "array<struct<class_id:int,score:double>>"
+    return _scored(
+        df, model, {"best": params}, keep, features, kind, lambda out: _best_array(out, k)
+    )
 
 
 def predict_class(scores: Column) -> Column:
@@ -73,12 +115,10 @@ def decided_class(scores: Column, digits: int = 9) -> Column:
     return arrays.argmax(F.transform(scores, lambda s: F.round(s, digits)))
 
 
-def top_k_named(
-    scored: DataFrame, names: DataFrame, keep: list[str], k: int = 5, scores: str = "scores"
-) -> DataFrame:
-    """``(keep…, rank, class_id, score, name)``: the ``k`` best classes of every row."""
-    best = scored.select(*keep, F.posexplode(arrays.top_k(F.col(scores), k)).alias("rank", "b"))
-    flat = best.select(*keep, (F.col("rank") + 1).alias("rank"), "b.class_id", "b.score")
+def top_k_named(best: DataFrame, names: DataFrame, keep: list[str]) -> DataFrame:
+    """``(keep…, rank, class_id, score, name)`` out of the pairs in ``best``."""
+    pairs = best.select(*keep, F.posexplode("best").alias("rank", "b"))
+    flat = pairs.select(*keep, (F.col("rank") + 1).alias("rank"), "b.class_id", "b.score")
     return with_class_name(flat, names)
 
 

@@ -45,6 +45,11 @@ def test_reshape2d(spark):
     assert row[0] == [[0, 1, 2], [3, 4, 5]]
 
 
+def views(df, pixels):
+    """The transformed images in the order of their ids."""
+    return [r["v2"] for r in px.transformed(df, pixels, ["id"], "v2").orderBy("id").collect()]
+
+
 SIDES = st.tuples(st.integers(2, 5), st.integers(2, 6))
 
 
@@ -55,18 +60,14 @@ def test_pixel_laws(spark, sides, seed):
     image = np.random.default_rng(seed).integers(0, 256, (h, w, 3))
     flat = image.ravel().tolist()
     key = F.lit(seed)
-    row = one(
-        spark, flat, "array<int>",
-        lambda p: px.flip_horizontal(p, h, w, 3),
-        lambda p: px.flip_horizontal(px.flip_horizontal(p, h, w, 3), h, w, 3),
-        lambda p: px.to_chw(p, h, w, 3),
-        lambda p: px.crop_center(p, h, w, 3, h, w),
-        lambda p: px.crop_random(p, h, w, 3, h, w, key, 1),
-        lambda p: px.resize_nearest(p, h, w, 3, h, w),
-        lambda p: px.swap_red_blue(px.swap_red_blue(p)),
-        lambda p: px.resize_nearest(p, h, w, 3, 2 * h, 2 * w),
-        lambda p: px.crop_center(p, F.lit(h), F.lit(w), 3, h - 1, w - 1),
-    )
+    chains = [
+        [px.flip_horizontal()], [px.flip_horizontal(), px.flip_horizontal()], [px.to_chw()],
+        [px.crop_center(h, w)], [px.crop_random(h, w, key, 1)], [px.resize_nearest(h, w)],
+        [px.flip_random(key, 0.0)], [px.resize_nearest(2 * h, 2 * w)],
+        [px.crop_center(h - 1, w - 1)],
+    ]
+    df = spark.createDataFrame([(1, flat)], "id bigint, v array<int>")
+    row = [views(df, px.from_array(F.col("v"), h, w, 3).then(*c))[0] for c in chains]
     assert row[0] == image[:, ::-1].ravel().tolist()
     assert row[2] == image.transpose(2, 0, 1).ravel().tolist()
     for same in (1, 3, 4, 5, 6):
@@ -75,49 +76,59 @@ def test_pixel_laws(spark, sides, seed):
     assert row[8] == image[: h - 1, : w - 1].ravel().tolist()
 
 
+def byte_table(spark, *pictures):
+    rows = [(i, bytearray(p.tobytes()), *p.shape) for i, p in enumerate(pictures)]
+    schema = "id int, data binary, height int, width int, nChannels int"
+    return spark.createDataFrame(rows, schema).coalesce(1)
+
+
 def test_bilinear_keeps_size_and_constants_and_mixes_sizes(spark):
     rng = np.random.default_rng(0)
-    a, b = rng.integers(0, 256, (3, 4, 3), np.uint8), np.full((5, 2, 3), 77, np.uint8)
-    rows = [(a.tobytes(), 3, 4), (b.tobytes(), 5, 2)]
-    df = spark.createDataFrame(
-        [(bytearray(d), h, w) for d, h, w in rows], "data binary, h int, w int"
-    ).coalesce(1)
-    out = df.select(
-        px.resize_bilinear(F.col("data"), F.col("h"), F.col("w"), 3, 3, 4).alias("p"),
-        px.resize_bilinear(F.col("data"), F.col("h"), F.col("w"), 3, 3, 4, True).alias("q"),
-    ).collect()
-    assert out[0]["p"] == a.ravel().tolist()
-    assert out[0]["q"] == a[..., ::-1].ravel().tolist()
-    assert set(out[1]["p"]) == {77}
+    a, b = rng.integers(0, 256, (3, 3, 3), np.uint8), np.full((5, 2, 3), 77, np.uint8)
+    table = byte_table(spark, a, b)
+    rgb, bgr = views(table, images.resized(3, bgr=False)), views(table, images.resized(3))
+    assert rgb[0] == a.ravel().tolist()
+    assert bgr[0] == a[..., ::-1].ravel().tolist()
+    assert set(rgb[1]) == {77}
 
 
 def test_scale_u8_reads_signed_bytes_as_unsigned(spark):
-    row = one(spark, [-1, 0, 127, 255], "array<int>", px.scale_u8, px.scale_pm1)
+    df = spark.createDataFrame([(1, [-1, 0, 127, 255])], "id int, v array<int>")
+    bytes_ = px.from_array(F.col("v"), 2, 2, 1)
+    row = [views(df, bytes_.then(step))[0] for step in (px.scale_u8(), px.scale_pm1())]
     assert row[0] == pytest.approx([1.0, 0.0, 127 / 255, 1.0])
     assert row[1][1] == -1.0 and row[1][3] == 1.0
 
 
-def test_views_are_views_of_the_image(spark):
-    image = np.random.default_rng(5).integers(0, 256, (6, 6, 3))
-    key = F.col("id")
-    df = spark.createDataFrame([(i, image.ravel().tolist()) for i in range(40)], "id int, p array<int>")
-    rows = df.select(
-        images.train_view(6, 4, key, 0)(F.col("p")).alias("t"),
-        images.validation_view(6, 4, key, 0)(F.col("p")).alias("v"),
-    ).collect()
-    scaled = ((image / 255).astype(np.float32) - np.array(px.CHANNEL_MEAN)) / np.array(px.CHANNEL_STD)
+def test_null_images_stay_null(spark):
+    rows = [(1, [1.0, 2.0, 3.0]), (2, None), (3, [4.0, 5.0, 6.0])]
+    df = spark.createDataFrame(rows, "id int, v array<double>").coalesce(1)
+    steps = [px.scale_u8(1.0), px.crop_random(1, 1, F.col("id"), 0), px.to_chw()]
+    view = px.from_array(F.col("v"), 1, 1, 3).then(*steps)
+    assert views(df, view) == [[1.0, 2.0, 3.0], None, [4.0, 5.0, 6.0]]
+    assert views(df.where("v IS NULL"), view) == [None]
+
 
-    def chw(top, left, flip):
-        cut = scaled[top : top + 4, left : left + 4]
-        return (cut[:, ::-1] if flip else cut).transpose(2, 0, 1).ravel()
+def test_image_samples_are_views_of_the_image(spark):
+    image = np.random.default_rng(5).integers(0, 256, (6, 6, 3), np.uint8)
+    table = byte_table(spark, *[image] * 40).withColumn("label", F.col("id") % 5)
+    scaled = (image[..., ::-1] / 255).astype(np.float32)
+    scaled = (scaled - np.array(px.CHANNEL_MEAN)) / np.array(px.CHANNEL_STD)
 
     def find(flat, corners):
-        return [(t, f, flip) for t, f in corners for flip in (0, 1) if np.allclose(chw(t, f, flip), flat)]
+        for top, left in corners:
+            cut = scaled[top : top + 4, left : left + 4]
+            for flip, view in enumerate((cut, cut[:, ::-1])):
+                if np.allclose(view.transpose(2, 0, 1).ravel(), flat, atol=1e-6):
+                    return top, left, flip
+        raise AssertionError("not a view")
 
     corners = [(t, f) for t in range(3) for f in range(3)]
-    found = {find(r["t"], corners)[0] for r in rows}
-    assert len(found) > 9  # many corners, mirrored and not
-    assert {find(r["v"], [(1, 1)])[0][2] for r in rows} == {0, 1}
+    train = images.image_samples(table, "id", 6, 4, "train").collect()
+    assert {r["label1"] for r in train} == {1, 2, 3, 4, 5}
+    assert len({find(r["features"], corners) for r in train}) > 9  # corners, mirrored and not
+    val = images.image_samples(table, "id", 6, 4, "val").collect()
+    assert {find(r["features"], [(1, 1)])[2] for r in val} == {0, 1}
 
 
 def test_batches_and_coins_are_spread(spark):
