@@ -399,6 +399,142 @@ FROM w1 JOIN w2 USING (k, j)
 """
 
 
+def back(w: str, n_in: int, n_out: int, d: str) -> str:
+    """Output errors times a weight matrix: errors of its inputs."""
+    total = f"list_sum(list_transform(range({n_out}), lambda k: {w}[k + 1][j + 1] * {d}[k + 1]))"
+    return f"list_transform(range({n_in}), lambda j: {total})"
+
+
+def gated(d: str, h: str) -> str:
+    """Errors that pass a rectifier with output ``h``."""
+    return (
+        f"list_transform(list_zip({d}, {h}), "
+        "lambda v: CASE WHEN v[2] > 0 THEN v[1] ELSE 0::DOUBLE END)"
+    )
+
+
+def _gradient(weights: str, steps: list[tuple[str, str]], layers) -> str:
+    """Mean over the rows of ``error x input`` for ``(layer, input, n_in, error, n_out)``."""
+    sql = (
+        f"WITH w AS (SELECT {weights}), "
+        f"t0 AS (SELECT vec_id, label + 1 AS label1, {X} AS x FROM embeddings)"
+    )
+    for n, (name, expr) in enumerate(steps):
+        prior = "t0, w" if n == 0 else f"t{n}"
+        sql += f", t{n + 1} AS MATERIALIZED (SELECT *, {expr} AS {name} FROM {prior})"
+    last, parts = f"t{len(steps)}", []
+    for layer, x, n_in, d, n_out in layers:
+        cells = f"(SELECT {x} AS h, {d} AS d, unnest(range({n_in * n_out})) AS i FROM {last})"
+        value = r6(f"avg(d[i // {n_in} + 1] * h[i % {n_in} + 1])")
+        parts.append(
+            f"SELECT '{layer}' AS layer, 'weight' AS param, i AS idx, {value} AS value "
+            f"FROM {cells} GROUP BY i"
+        )
+        cells = f"(SELECT {d} AS d, unnest(range({n_out})) AS i FROM {last})"
+        parts.append(
+            f"SELECT '{layer}', 'bias', i, {r6('avg(d[i + 1])')} FROM {cells} GROUP BY i"
+        )
+    return sql + " " + " UNION ALL ".join(parts)
+
+
+def _mlp_gradient() -> str:
+    weights = ", ".join(
+        f"{matrix(o, i, 2 * n)} AS w{n}, {vector(o, 2 * n + 1)} AS b{n}"
+        for n, (i, o) in enumerate(((64, 16), (16, 12), (12, 10)))
+    )
+    steps = [
+        ("h1", mapped(affine("x", 16, "w0", "b0"), RELU)),
+        ("h2", mapped(affine("h1", 12, "w1", "b1"), RELU)),
+        ("z", affine("h2", 10, "w2", "b2")),
+        ("lp", log_softmax("z")),
+        ("d3", "list_transform(lp, lambda v, i: exp(v) - CASE WHEN i = label1 THEN 1 ELSE 0 END)"),
+        ("d2", gated(back("w2", 12, 10, "d3"), "h2")),
+        ("d1", gated(back("w1", 16, 12, "d2"), "h1")),
+    ]
+    layers = [("fc1", "x", 64, "d1", 16), ("fc2", "h1", 16, "d2", 12), ("fc3", "h2", 12, "d3", 10)]
+    return _gradient(weights, steps, layers)
+
+
+def _autoencoder_gradient() -> str:
+    weights = (
+        f"{matrix(16, 64, 0)} AS w0, {vector(16, 1)} AS b0, "
+        f"{matrix(64, 16, 2)} AS w1, {vector(64, 3)} AS b1"
+    )
+    steps = [
+        ("h", mapped(affine("x", 16, "w0", "b0"), RELU)),
+        ("y", mapped(affine("h", 64, "w1", "b1"), SIGMOID)),
+        ("d2", "list_transform(list_zip(x, y), lambda v: 2 * (v[2] - v[1]) / 64 * v[2] * (1 - v[2]))"),
+        ("d1", gated(back("w1", 16, 64, "d2"), "h")),
+    ]
+    return _gradient(weights, steps, [("encoder", "x", 64, "d1", 16), ("decoder", "h", 16, "d2", 64)])
+
+
+def _sgd_run(run_id: str, sizes: list[int], epochs: int, rate: float) -> str:
+    """Full-batch descent of a rectifier network on the z-scored samples.
+
+    Per step: forward pass and errors of every row (``f``), mean gradients
+    (``g``), new weights (``p``); the logged loss is that before the step, the
+    validation accuracy that after it.
+    """
+    dense = list(zip(sizes, sizes[1:]))
+    top = len(dense) - 1
+    start = ", ".join(
+        f"{matrix(o, i, 2 * n)} AS w{n}, {vector(o, 2 * n + 1)} AS b{n}"
+        for n, (i, o) in enumerate(dense)
+    )
+    sql = f"WITH {Z}, p0 AS MATERIALIZED (SELECT {start})"
+    for t in range(epochs + 1):
+        steps = []
+        for n, (_, o) in enumerate(dense):
+            x = "features" if n == 0 else f"h{n}"
+            out = affine(x, o, f"w{n}", f"b{n}")
+            steps.append((f"h{n + 1}", mapped(out, RELU) if n < top else log_softmax(out)))
+        hit = "CASE WHEN i = label1 THEN 1 ELSE 0 END"
+        steps.append((f"d{top + 1}", f"list_transform(h{top + 1}, lambda v, i: exp(v) - {hit})"))
+        for n in range(top, 0, -1):
+            errors = back(f"w{n}", dense[n][0], dense[n][1], f"d{n + 1}")
+            steps.append((f"d{n}", gated(errors, f"h{n}")))
+        prior = f"(SELECT * FROM z, p{t})"
+        for m, (name, expr) in enumerate(steps):
+            prior = f"(SELECT *, {expr} AS {name} FROM {prior})"
+        sql += f", f{t} AS MATERIALIZED {prior}"
+        if t == epochs:
+            break
+        new = []
+        for n, (i, o) in enumerate(dense):
+            h = "features" if n == 0 else f"h{n}"
+            cells = (
+                f"(SELECT q, avg({h}[q % {i} + 1] * d{n + 1}[q // {i} + 1]) AS v FROM "
+                f"(SELECT *, unnest(range({i * o})) AS q FROM f{t}) GROUP BY q)"
+            )
+            sql += f", g{t}_{n} AS MATERIALIZED (SELECT list(v ORDER BY q) AS v FROM {cells})"
+            bias = (
+                f"(SELECT q, avg(d{n + 1}[q + 1]) AS v FROM "
+                f"(SELECT *, unnest(range({o})) AS q FROM f{t}) GROUP BY q)"
+            )
+            sql += f", c{t}_{n} AS MATERIALIZED (SELECT list(v ORDER BY q) AS v FROM {bias})"
+            moved = f"w{n}[r + 1][c + 1] - {rate}::DOUBLE * (SELECT v FROM g{t}_{n})[r * {i} + c + 1]"
+            moved = moved.replace(f"(SELECT v FROM g{t}_{n})", f"g{n}")
+            new.append(
+                f"list_transform(range({o}), lambda r: list_transform(range({i}), lambda c: {moved})) AS w{n}, "
+                f"list_transform(range({o}), lambda r: b{n}[r + 1] - {rate}::DOUBLE * c{n}[r + 1]) AS b{n}"
+            )
+        sources = ", ".join(
+            f"(SELECT v AS g{n} FROM g{t}_{n}), (SELECT v AS c{n} FROM c{t}_{n})"
+            for n in range(len(dense))
+        )
+        sql += f", p{t + 1} AS MATERIALIZED (SELECT {', '.join(new)} FROM p{t}, {sources})"
+    final, rows = f"h{top + 1}", []
+    for t in range(1, epochs + 1):
+        rows.append(
+            f"SELECT '{run_id}' AS run_id, 'train' AS phase, 'Loss' AS tag, {t} AS step, "
+            f"{r6(f'avg(-{final}[label1])')} AS value FROM f{t - 1}"
+        )
+        hit = f"avg(CASE WHEN list_position({final}, list_max({final})) = label1 THEN 1 ELSE 0 END)"
+        rows.append(f"SELECT '{run_id}', 'val', 'Top1Accuracy', {t}, {r6(hit)} FROM f{t}")
+    return sql + " " + " UNION ALL ".join(rows)
+
+
 def all_oracles() -> dict[str, str]:
     from gradmill.catalog.queries import TABLES
 
@@ -575,7 +711,11 @@ def all_oracles() -> dict[str, str]:
             "SELECT event_id AS step, value FROM events WHERE event_type = 'click' AND event_id % 2 = 0"
         ),
         "softmax_grad_zero": GRAD_ZERO,
+        "mlp_gradient": _mlp_gradient(),
+        "autoencoder_gradient": _autoencoder_gradient(),
         "softmax_sync_steps": _sync_steps(),
+        "train_softmax_full_batch": _sgd_run("softmax-run", [64, 10], 20, 0.2),
+        "train_mlp_full_batch": _sgd_run("mlp-run", [64, 16, 12, 10], 15, 0.2),
         "score_mlp": _mlp(),
         "score_lenet": _lenet(),
         "score_rnn": _rnn(),

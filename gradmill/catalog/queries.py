@@ -588,11 +588,26 @@ def metrics_log(spark, sf_dir):
 # --- training -------------------------------------------------------------------
 
 
+def _mean_gradient(spark, data, model, vector, target="label1") -> DataFrame:
+    parts = spark.sparkContext.defaultParallelism
+    n, _, gradient = train.gradient_sum(data, model, vector, "x", target, parts)
+    return _vector_rows(spark, model, gradient / n)
+
+
 def softmax_grad_zero(spark, sf_dir):
     """Mean gradient of the logistic regression at zero weights, over all rows."""
-    raw = raw_samples(spark, sf_dir)
-    n, _, gradient = train.gradient_sum(raw, LINEAR, np.zeros(LINEAR.size), "x", "label1", 8)
-    return _vector_rows(spark, LINEAR, gradient / n)
+    return _mean_gradient(spark, raw_samples(spark, sf_dir), LINEAR, np.zeros(LINEAR.size))
+
+
+def mlp_gradient(spark, sf_dir):
+    """Mean gradient of the three dense layers at formula weights, over all rows."""
+    return _mean_gradient(spark, raw_samples(spark, sf_dir), MLP, MLP.formula())
+
+
+def autoencoder_gradient(spark, sf_dir):
+    """The same for the autoencoder, whose target is its input."""
+    data = raw_samples(spark, sf_dir)
+    return _mean_gradient(spark, data, AUTOENCODER, AUTOENCODER.formula(), "x")
 
 
 def _vector_rows(spark, model, vector) -> DataFrame:
@@ -607,7 +622,7 @@ def softmax_sync_steps(spark, sf_dir):
     return _vector_rows(spark, LINEAR, fitted.vector)
 
 
-def _training(model, target="label1", **options):
+def _training(model, target="label1", batch_size=None, start=None, **options):
     """Loss and validation series of a training run over the whole table."""
 
     def query(spark, sf_dir):
@@ -619,8 +634,9 @@ def _training(model, target="label1", **options):
         log = MetricsLog(spark, scratch_dir(spark, "training"))
         methods = settings.validation
         train.fit(
-            data, model, settings.optim, settings.epochs, settings.batch_size, settings.mode,
-            target=target, log=train.Log(log, run_id),
+            data, model, settings.optim, settings.epochs,
+            settings.batch_size if batch_size is None else batch_size, settings.mode,
+            target=target, start=start, log=train.Log(log, run_id),
             validation=train.Validation(data, methods) if methods else None,
         )
         scalars = spark.read.parquet(log.scalars)
@@ -650,7 +666,7 @@ def all_queries() -> dict:
         prediction_and_truth, top1_accuracy, label_agreement, mean_loss, criteria, stream_score,
         classify_images, classify_named, resize_bilinear, param_shapes, param_histogram,
         saved_model, quantize, size_report, quantized_predictions, quant_agreement, warm_start,
-        metrics_log, softmax_grad_zero, softmax_sync_steps, transfer_head,
+        metrics_log, softmax_grad_zero, mlp_gradient, autoencoder_gradient, softmax_sync_steps, transfer_head,
     ]
     named = {f.__name__: f for f in plain}
     pixel = {
@@ -668,6 +684,8 @@ def all_queries() -> dict:
     }
     training = {
         "train_softmax": _training(LINEAR), "train_mlp": _training(MLP),
+        "train_softmax_full_batch": _training(LINEAR, batch_size=0, start=LINEAR.formula()),
+        "train_mlp_full_batch": _training(MLP, batch_size=0, start=MLP.formula()),
         "train_lenet": _training(LENET),
         "train_lenet_graph": _training(LENET, settings="lenet_graph"),
         "train_rnn": _training(RNN), "train_lstm": _training(LSTM),
