@@ -61,9 +61,11 @@ def idx_pair(images: np.ndarray, labels: np.ndarray) -> tuple[bytes, bytes]:
 
 
 def write_idx_shards(
-    df: DataFrame, folder: str, key: str, label: str, pixels: str, side: int, shards: int
+    df: DataFrame, folder: str, key: str, label: str, pixels: str, side: int,
+    shard_rows: int = 100,
 ) -> tuple[list[str], list[str]]:
     """One IDX pair per range of ``key``; the files in order hold the rows in key order."""
+    shards = max(1, df.count() // shard_rows)
     ordered = df.select(key, label, pixels).repartitionByRange(shards, key)
 
     def write(rows):

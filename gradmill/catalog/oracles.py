@@ -558,6 +558,10 @@ def all_oracles() -> dict[str, str]:
         "image_samples_train": random_crop(8, 6, 6, 11, 0),
         "image_samples_val": crop(8, 6, 6, "1", "1"),
     }
+    # fixed value: 4/5 of the range of the hash
+    split = (
+        f"CASE WHEN {draw('vec_id', 42, 0)} < 3435973836 THEN 'train' ELSE 'test' END AS split"
+    )
     top5_linear = TOP5.format(scores="scores", source="scored")
     out = {
         "word_count": words.format("documents"),
@@ -579,6 +583,14 @@ def all_oracles() -> dict[str, str]:
             f"SELECT '{t}' AS name, count(*) AS rows FROM {t}" for t in TABLES
         ),
         "row_count_by_label": "SELECT label, count(*) AS rows FROM embeddings GROUP BY label",
+        "row_count_by_split": f"SELECT {split}, count(*) AS rows FROM embeddings GROUP BY split",
+        "normalized_by_training_split": (
+            f"WITH e AS (SELECT vec_id, embedding, {split} FROM embeddings), "
+            "st AS (SELECT avg(v) AS m, stddev_pop(v) AS s FROM "
+            "(SELECT unnest(embedding)::DOUBLE AS v FROM e WHERE split = 'train')), "
+            "f AS (SELECT vec_id, split, list_transform(embedding, lambda v: (v::DOUBLE - m) / s) AS features "
+            "FROM e, st) " + unnested("f", "vec_id, split", "features")
+        ),
         "take_n": "SELECT vec_id, label FROM embeddings ORDER BY vec_id LIMIT 8",
         "run_name": (
             "SELECT event_id, event_type || '-' || strftime(ts, '%Y%m%d-%H%M%S') AS run_name FROM events"

@@ -14,7 +14,7 @@ from gradmill import sources
 from gradmill.catalog import files
 from gradmill.functions import arrays, names
 from gradmill.functions import pixels as px
-from gradmill.functions.hashing import batch_number
+from gradmill.functions.hashing import batch_number, coin
 from gradmill.operators import evaluate, inspect, lookup, model_store, quant, relational, samples
 from gradmill.operators.metrics import MetricsLog
 from gradmill.plans import images, models, score, train
@@ -175,6 +175,24 @@ def mnist_like_samples(spark, sf_dir):
     return long_form(z_samples(spark, sf_dir), ["id", "label1"], F.col("features"))
 
 
+def _split(key: str) -> Column:
+    """Four fifths of the keys for training, by the keyed coin."""
+    return F.when(coin(F.col(key), 0.8, 42), "train").otherwise("test").alias("split")
+
+
+def row_count_by_split(spark, sf_dir):
+    return relational.row_count(table(spark, sf_dir, "embeddings"), _split("vec_id"))
+
+
+def normalized_by_training_split(spark, sf_dir):
+    """The statistics of the training part, applied to both parts."""
+    e = spread_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", _split("vec_id"))
+    stats = samples.fit_normalizer(e.where("split = 'train'"), "embedding")
+    return long_form(
+        samples.normalize(e, stats, "embedding"), ["vec_id", "split"], F.col("features")
+    )
+
+
 def zero_based_labels(spark, sf_dir):
     z = raw_samples(spark, sf_dir)
     return z.select("vec_id", "label1", samples.to_zero_based(F.col("label1")).alias("label"))
@@ -314,7 +332,7 @@ def idx_files(spark, sf_dir):
     images_ = rgb_images(spark, sf_dir).withColumn("grey", F.filter("rgb", lambda v, i: i % 3 == 0))
     folder = scratch_dir(spark, "idx")
     image_files, label_files = files.write_idx_shards(
-        images_, folder, "vec_id", "label", "grey", SIDE, 4
+        images_, folder, "vec_id", "label", "grey", SIDE
     )
     scan = sources.read_idx(spark, image_files, label_files, splits=2)
     return long_form(scan, ["id", "label"], F.col("pixels"))
@@ -659,7 +677,7 @@ def all_queries() -> dict:
     plain = [
         word_count, word_count_turns, log_error_count, event_error_count, document_lines,
         json_props, json_props_inferred, json_nested_people, sql_view_filter, row_count,
-        row_count_by_label, take_n, run_name, normalizer_stats, mnist_like_samples,
+        row_count_by_label, row_count_by_split, normalized_by_training_split, take_n, run_name, normalizer_stats, mnist_like_samples,
         zero_based_labels, zip_by_position, reshape2d, self_target, minmax_scale, minibatches,
         image_folder, image_sequence, idx_files, class_list, label_lines, score_linear,
         predict_class, argmax, top_k, top_k_named, class_name_lookup, scores_by_name,

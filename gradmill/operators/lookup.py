@@ -8,23 +8,33 @@ from pyspark.sql import functions as F
 from gradmill.operators.samples import with_position
 
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
 SALTS = 32
 
 
+def is_small(dim: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    """Whether a table is within the bounds in rows and bytes; reads no more than the first."""
+    text = F.octet_length(F.to_json(F.struct(*dim.columns)))
+    row = dim.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(text.cast("bigint"))).first()
+    return row[0] <= max_rows and (row[1] or 0) <= BROADCAST_BYTES
+
+
 def lookup(
     facts: DataFrame, dim: DataFrame, key: str, max_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
     """Left join of ``facts`` to ``dim`` on ``key`` (unique in ``dim``).
 
-    The dimension is broadcast only if counting it, up to the bound, shows it
-    is small. A larger one is joined by shuffle, each of its rows copied to
-    ``SALTS`` salts and the fact rows spread over them, so a key that holds a
-    large share of the facts is handled by many tasks.
+    The dimension is broadcast only if it is found to be small. A larger one is
+    joined by shuffle, each of its rows copied to ``SALTS`` salts and the fact
+    rows spread over them, so a key that holds a large share of the facts is
+    handled by many tasks. The salt is the same when a task is run again, and
+    equal rows of different partitions still part.
     """
-    if dim.limit(max_rows + 1).count() <= max_rows:
+    if is_small(dim, max_rows):
         return facts.join(F.broadcast(dim), key, "left")
     copies = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salt = F.pmod(F.xxhash64(*facts.columns), F.lit(SALTS)).cast("int")
+    place = F.xxhash64(*facts.columns, F.spark_partition_id())
+    salt = F.pmod(place, F.lit(SALTS)).cast("int")
     return facts.withColumn("_salt", salt).join(copies, [key, "_salt"], "left").drop("_salt")
 
 

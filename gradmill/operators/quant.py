@@ -63,10 +63,13 @@ def dequantize(quantized: DataFrame) -> DataFrame:
 
 def size_report(params: DataFrame, quantized: DataFrame) -> DataFrame:
     """``(float_bytes, int8_bytes, saved_bytes)``: 4 per float and scale, 1 per int8."""
-    full = params.agg(F.sum(4 * F.size("values")).alias("float_bytes"))
-    small = quantized.agg(F.sum(F.size("q") + 4 * F.size("scales")).alias("int8_bytes"))
-    # two one-row aggregates side by side
-    return full.join(small).withColumn("saved_bytes", F.col("float_bytes") - F.col("int8_bytes"))
+    zero = F.lit(0)
+    full = params.select((4 * F.size("values")).alias("f"), zero.alias("q"))
+    small = quantized.select(zero.alias("f"), (F.size("q") + 4 * F.size("scales")).alias("q"))
+    sums = full.unionAll(small).agg(
+        F.sum("f").alias("float_bytes"), F.sum("q").alias("int8_bytes")
+    )
+    return sums.withColumn("saved_bytes", F.col("float_bytes") - F.col("int8_bytes"))
 
 
 def agreement(scored: DataFrame, a: str, b: str) -> DataFrame:

@@ -294,19 +294,21 @@ def _sync_epoch(samples, model, run, features, target, batch_size, n_rows, parts
         batches = samples.withColumn("_batch", number).sortWithinPartitions("_batch")
         batches = batches.persist(StorageLevel.MEMORY_AND_DISK)
     logged = []
-    for b in range(n_batches):
-        rows = batches.where(F.col("_batch") == b) if n_batches > 1 else batches
-        done = gradient_sum(rows, model, run.vector, features, target, parts)
-        if done is None:
-            continue
-        n, loss, gradient = done
-        run.vector = run.optim.step(run.vector, gradient / n)
-        run.step += 1
-        logged.append((run.step, _finite(loss / n, run.step)))
-        if log and log.parameters(run.epoch, run.step):
-            _log_parameters(samples.sparkSession, model, run, log)
-    if n_batches > 1:
-        batches.unpersist()
+    try:
+        for b in range(n_batches):
+            rows = batches.where(F.col("_batch") == b) if n_batches > 1 else batches
+            done = gradient_sum(rows, model, run.vector, features, target, parts)
+            if done is None:
+                continue
+            n, loss, gradient = done
+            run.vector = run.optim.step(run.vector, gradient / n)
+            run.step += 1
+            logged.append((run.step, _finite(loss / n, run.step)))
+            if log and log.parameters(run.epoch, run.step):
+                _log_parameters(samples.sparkSession, model, run, log)
+    finally:
+        if n_batches > 1:
+            batches.unpersist()
     return logged
 
 

@@ -2,6 +2,8 @@
 
 import numpy as np
 import pytest
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from gradmill.catalog import queries as q
@@ -53,6 +55,23 @@ def test_sync_full_batch_equals_plain_numpy(data, local):
     assert fitted.losses[0][1] == pytest.approx(np.log(10))
 
 
+def test_gradient_vanishes_where_the_ml_library_ends(data):
+    """Multinomial logistic regression of pyspark.ml minimizes the same loss."""
+    vectors = data.select(array_to_vector("features").alias("features"), (F.col("label1") - 1).alias("label"))
+    ml = LogisticRegression(
+        family="multinomial", maxIter=300, tol=1e-10, regParam=0.0, standardization=False
+    ).fit(vectors)
+    model = models.softmax(64, 10)
+    solution = model.join({
+        ("score", "weight"): ml.coefficientMatrix.toArray(),
+        ("score", "bias"): ml.interceptVector.toArray(),
+    })
+    n, loss, gradient = train.gradient_sum(data, model, solution, "features", "label1", 8)
+    start = train.gradient_sum(data, model, np.zeros(model.size), "features", "label1", 8)[2]
+    assert loss / n < np.log(10)
+    assert np.abs(gradient).max() < 1e-2 * np.abs(start).max()
+
+
 def test_local_sgd_on_one_partition_is_the_serial_loop(data, spark):
     model, optim = models.softmax(64, 10), Adam()
     optim.start(model.size)
