@@ -33,8 +33,16 @@ Z = (
 # --- formula weights: by row, column and ordinal of the parameter ---------------
 
 
+#: (ordinal, step): the parameter that is moved along its direction, see ``_slopes``.
+_moved: list[tuple[int, float]] = []
+
+
 def cell(row: str, col: str, t: int) -> str:
-    return f"((({row}) * 31 + ({col}) * 17 + {t * 13}) % 11 - 5) / 10::DOUBLE"
+    value = f"((({row}) * 31 + ({col}) * 17 + {t * 13}) % 11 - 5) / 10::DOUBLE"
+    for ordinal, step in _moved:
+        if ordinal == t:
+            value = f"({value} + ((({row}) * 7 + ({col}) * 5) % 3 - 1) * ({step}::DOUBLE))"
+    return value
 
 
 def matrix(rows: int, cols: int, t: int) -> str:
@@ -89,17 +97,49 @@ TOP5 = (
 # --- models ---------------------------------------------------------------------
 
 
-def _forward(weights: str, *steps: tuple[str, str]) -> str:
-    """Chain of ``name = expression`` columns over the raw samples."""
-    sql = f"WITH w AS (SELECT {weights}), t0 AS (SELECT vec_id, {X} AS x FROM embeddings)"
+Forward = tuple[str, str]
+
+
+def _forward(weights: str, *steps: tuple[str, str]) -> Forward:
+    """Chain of ``name = expression`` columns over the raw samples, and the last name."""
+    sql = (
+        f"WITH w AS (SELECT {weights}), "
+        f"t0 AS (SELECT vec_id, label + 1 AS label1, {X} AS x FROM embeddings)"
+    )
     for n, (name, expr) in enumerate(steps):
-        sql += f", t{n + 1} AS (SELECT vec_id, x, {expr} AS {name} FROM t{n}, w)"
         # only the newest column is carried on, besides the input
-    last = steps[-1][0]
-    return f"{sql} {unnested(f't{len(steps)}', 'vec_id', last, 'score')}"
+        sql += f", t{n + 1} AS (SELECT vec_id, label1, x, {expr} AS {name} FROM t{n}, w)"
+    return f"{sql}, out AS (SELECT vec_id, label1, {steps[-1][0]} AS y FROM t{len(steps)})", "y"
+
+
+def _scores(forward: Forward) -> str:
+    sql, y = forward
+    return f"{sql} {unnested('out', 'vec_id', y, 'score')}"
 
 
-def _mlp() -> str:
+def _mean_loss(forward: Forward, logits: bool) -> str:
+    sql, y = forward
+    log_probs = log_softmax(y) if logits else y
+    return f"{sql} SELECT avg(-({log_probs})[label1]) AS loss FROM out"
+
+
+def _slopes(forward, params: list[tuple[str, str]], logits: bool, step: float = 1e-6) -> str:
+    """Central difference of the mean loss along one direction per parameter."""
+    rows = []
+    for t, (layer, param) in enumerate(params):
+        sides = []
+        for signed in (step, -step):
+            _moved.append((t, signed))
+            sides.append(_mean_loss(forward(), logits))
+            _moved.pop()
+        rows.append(
+            f"SELECT '{layer}' AS layer, '{param}' AS param, "
+            f"round((({sides[0]}) - ({sides[1]})) / {2 * step}::DOUBLE, 3) + 0.0 AS slope"
+        )
+    return " UNION ALL ".join(rows)
+
+
+def _mlp() -> Forward:
     weights = ", ".join(
         f"{matrix(o, i, 2 * n)} AS w{n}, {vector(o, 2 * n + 1)} AS b{n}"
         for n, (i, o) in enumerate(((64, 16), (16, 12), (12, 10)))
@@ -113,7 +153,7 @@ def _mlp() -> str:
     )
 
 
-def _autoencoder() -> str:
+def _autoencoder() -> Forward:
     weights = (
         f"{matrix(16, 64, 0)} AS w0, {vector(16, 1)} AS b0, "
         f"{matrix(64, 16, 2)} AS w1, {vector(64, 3)} AS b1"
@@ -147,7 +187,7 @@ def _pool(x: str, channels: int, side: int) -> str:
     return f"list_transform(range({channels * half * half}), lambda i: greatest({four}))"
 
 
-def _lenet() -> str:
+def _lenet() -> Forward:
     weights = (
         f"{matrix(20, 12, 4)} AS w2, {vector(20, 5)} AS b2, "
         f"{matrix(10, 20, 6)} AS w3, {vector(10, 7)} AS b3"
@@ -178,7 +218,7 @@ def _sig(z: str) -> str:
     return f"(1 / (1 + exp(-{z})))"
 
 
-def _rnn() -> str:
+def _rnn() -> Forward:
     weights = (
         f"{matrix(8, 8, 0)} AS wi, {matrix(8, 8, 1)} AS wh, {vector(8, 2)} AS b, "
         f"{matrix(10, 8, 3)} AS w1, {vector(10, 4)} AS b1, "
@@ -216,7 +256,7 @@ _LSTM_LAST = (
 )
 
 
-def _lstm() -> str:
+def _lstm() -> Forward:
     weights = (
         f"{_lstm_weights(0)}, {matrix(10, 8, 3)} AS w1, {vector(10, 4)} AS b1, "
         "list_transform(range(16), lambda q: 0::DOUBLE) AS zero"
@@ -226,7 +266,7 @@ def _lstm() -> str:
     )
 
 
-def _birnn() -> str:
+def _birnn() -> Forward:
     """At the last step the backward half has seen the last input only."""
     weights = (
         f"{_lstm_weights(0)}, {_lstm_weights(3, '_bw')}, "
@@ -535,6 +575,10 @@ def _sgd_run(run_id: str, sizes: list[int], epochs: int, rate: float) -> str:
     return sql + " " + " UNION ALL ".join(rows)
 
 
+_CELL = [("recurrent", p) for p in ("i2h", "h2h", "bias")]
+_HEAD = [("score", "weight"), ("score", "bias")]
+
+
 def all_oracles() -> dict[str, str]:
     from gradmill.catalog.queries import TABLES
 
@@ -724,16 +768,26 @@ def all_oracles() -> dict[str, str]:
         ),
         "softmax_grad_zero": GRAD_ZERO,
         "mlp_gradient": _mlp_gradient(),
+        "lenet_slopes": _slopes(
+            _lenet,
+            [(layer, p) for layer in ("conv1", "conv2", "fc1", "score") for p in ("weight", "bias")],
+            False,
+        ),
+        "rnn_slopes": _slopes(_rnn, _CELL + _HEAD, True),
+        "lstm_slopes": _slopes(_lstm, _CELL + _HEAD, True),
+        "birnn_slopes": _slopes(
+            _birnn, [("recurrent", f"{side}_{p}") for side in ("fw", "bw") for _, p in _CELL] + _HEAD, True
+        ),
         "autoencoder_gradient": _autoencoder_gradient(),
         "softmax_sync_steps": _sync_steps(),
         "train_softmax_full_batch": _sgd_run("softmax-run", [64, 10], 20, 0.2),
         "train_mlp_full_batch": _sgd_run("mlp-run", [64, 16, 12, 10], 15, 0.2),
-        "score_mlp": _mlp(),
-        "score_lenet": _lenet(),
-        "score_rnn": _rnn(),
-        "score_lstm": _lstm(),
-        "score_birnn": _birnn(),
-        "score_autoencoder": _autoencoder(),
+        "score_mlp": _scores(_mlp()),
+        "score_lenet": _scores(_lenet()),
+        "score_rnn": _scores(_rnn()),
+        "score_lstm": _scores(_lstm()),
+        "score_birnn": _scores(_birnn()),
+        "score_autoencoder": _scores(_autoencoder()),
     }
     for name, cut in views.items():
         out[name] = pixels(BGR, U8, cut, random_flip(6, 12, 0), NORMALIZED, chw(6), keep="vec_id, label1")

@@ -628,6 +628,23 @@ def autoencoder_gradient(spark, sf_dir):
     return _mean_gradient(spark, data, AUTOENCODER, AUTOENCODER.formula(), "x")
 
 
+def _slopes(model):
+    """Mean gradient at formula weights times one direction per parameter."""
+
+    def query(spark, sf_dir):
+        data = raw_samples(spark, sf_dir)
+        parts = spark.sparkContext.defaultParallelism
+        n, _, gradient = train.gradient_sum(data, model, model.formula(), "x", "label1", parts)
+        rows = []
+        for (layer, param), g in model.split(gradient / n).items():
+            row, col = np.divmod(np.arange(g.size), g.shape[-1])
+            rows.append((layer, param, float(g.ravel() @ ((row * 7 + col * 5) % 3 - 1))))
+        slopes = sources.from_rows(spark, rows, "layer string, param string, slope double")
+        return slopes.withColumn("slope", F.round("slope", 3))
+
+    return query
+
+
 def _vector_rows(spark, model, vector) -> DataFrame:
     return long_form(model_store.to_table(spark, model, vector), ["layer", "param"], F.col("values"))
 
@@ -710,4 +727,8 @@ def all_queries() -> dict:
         "train_birnn": _training(BIRNN),
         "train_autoencoder": _training(AUTOENCODER, target="target"),
     }
-    return {**named, **pixel, **scoring, **training}
+    slopes = {
+        f"{name}_slopes": _slopes(m)
+        for name, m in {"lenet": LENET, "rnn": RNN, "lstm": LSTM, "birnn": BIRNN}.items()
+    }
+    return {**named, **pixel, **scoring, **slopes, **training}
