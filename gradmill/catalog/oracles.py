@@ -716,6 +716,9 @@ def all_oracles() -> dict[str, str]:
         "prediction_and_truth": (
             f"WITH {LINEAR} SELECT vec_id AS id, label1 - 1 AS truth, {best('scores')} AS pred FROM scored"
         ),
+        "written_predictions": (
+            f"WITH {LINEAR} SELECT vec_id AS id, label1 - 1 AS truth, {best('scores')} AS pred FROM scored"
+        ),
         "top1_accuracy": (
             f"WITH {LINEAR} SELECT {r6(f'avg(CASE WHEN {best("scores")} = label1 - 1 THEN 1 ELSE 0 END)')} "
             "AS top1 FROM scored"
@@ -780,6 +783,7 @@ def all_oracles() -> dict[str, str]:
         ),
         "autoencoder_gradient": _autoencoder_gradient(),
         "softmax_sync_steps": _sync_steps(),
+        "resumed_training": _sync_steps(),
         "train_softmax_full_batch": _sgd_run("softmax-run", [64, 10], 20, 0.2),
         "train_mlp_full_batch": _sgd_run("mlp-run", [64, 16, 12, 10], 15, 0.2),
         "score_mlp": _scores(_mlp()),

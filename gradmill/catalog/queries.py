@@ -421,6 +421,13 @@ def prediction_and_truth(spark, sf_dir):
     )
 
 
+def written_predictions(spark, sf_dir):
+    """Predictions stored and read back."""
+    path = scratch_dir(spark, "predictions")
+    score.write_predictions(prediction_and_truth(spark, sf_dir), path)
+    return spark.read.schema("id bigint, truth int, pred int").parquet(path)
+
+
 def top1_accuracy(spark, sf_dir):
     accuracy = evaluate.top1_accuracy(linear_scores(spark, sf_dir))
     return accuracy.select(r6(F.col("top1")).alias("top1"))
@@ -657,6 +664,17 @@ def softmax_sync_steps(spark, sf_dir):
     return _vector_rows(spark, LINEAR, fitted.vector)
 
 
+def resumed_training(spark, sf_dir):
+    """The same two steps, stopped after the first and continued from its checkpoint."""
+    data, saved = z_samples(spark, sf_dir), train.Checkpoint(scratch_dir(spark, "checkpoint"))
+    for epochs in (1, 2):
+        fitted = train.fit(
+            data, LINEAR, SGD(0.2), epochs, 0, "sync", start=np.zeros(LINEAR.size),
+            checkpoint=saved, resume=True,
+        )
+    return _vector_rows(spark, LINEAR, fitted.vector)
+
+
 def _training(model, target="label1", batch_size=None, start=None, **options):
     """Loss and validation series of a training run over the whole table."""
 
@@ -701,7 +719,8 @@ def all_queries() -> dict:
         prediction_and_truth, top1_accuracy, label_agreement, mean_loss, criteria, stream_score,
         classify_images, classify_named, resize_bilinear, param_shapes, param_histogram,
         saved_model, quantize, size_report, quantized_predictions, quant_agreement, warm_start,
-        metrics_log, softmax_grad_zero, mlp_gradient, autoencoder_gradient, softmax_sync_steps, transfer_head,
+        metrics_log, softmax_grad_zero, mlp_gradient, autoencoder_gradient, softmax_sync_steps,
+        resumed_training, written_predictions, transfer_head,
     ]
     named = {f.__name__: f for f in plain}
     pixel = {
