@@ -569,7 +569,10 @@ def size_report(spark, sf_dir):
 
 
 def _float_and_int8(spark, sf_dir) -> DataFrame:
-    params = centroid_params(spark, sf_dir)
+    folder = scratch_dir(spark, "model")
+    params = model_store.load(
+        spark, model_store.save(centroid_params(spark, sf_dir), folder, "trained_model")
+    )
     small = quant.dequantize(quant.quantize(params))
     raw = raw_samples(spark, sf_dir)
     scored = score.predict(raw, LOGITS, {"full": params, "small": small}, ["vec_id", "label1"], "x")

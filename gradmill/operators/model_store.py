@@ -25,16 +25,28 @@ def to_table(spark: SparkSession, model: Model, vector: np.ndarray) -> DataFrame
 
 
 def to_vector(model: Model, params: DataFrame | np.ndarray) -> np.ndarray:
-    """The flat vector of a parameter table, after a check of its size and shapes."""
+    """The flat vector of a parameter table.
+
+    Only rows that fit a parameter of the model in name and length are fetched,
+    so the size of the model, which is checked, bounds what reaches the driver.
+    """
     if isinstance(params, np.ndarray):
         return params
-    n_bytes = params.agg(F.sum(8 * F.size("values").cast("bigint"))).first()[0] or 0
-    if n_bytes > MAX_BYTES:
-        raise ValueError(f"model of {n_bytes} bytes is over the bound of {MAX_BYTES}")
+    if 8 * model.size > MAX_BYTES:
+        raise ValueError(f"model of {8 * model.size} bytes is over the bound of {MAX_BYTES}")
+    shapes = model.shapes()
+    fits = F.lit(False)
+    for (layer, param), shape in shapes.items():
+        named = (F.col("layer") == layer) & (F.col("param") == param)
+        fits = fits | (named & (F.size("values") == int(np.prod(shape))))
+    rows = params.where(fits).select("layer", "param", "shape", "values").limit(len(shapes) + 1)
     found = {}
-    for row in params.select("layer", "param", "shape", "values").toArrow().to_pylist():
-        found[row["layer"], row["param"]] = np.array(row["values"]).reshape(row["shape"])
-    for key, shape in model.shapes().items():
+    for row in rows.toArrow().to_pylist():
+        key = row["layer"], row["param"]
+        if key in found:
+            raise ValueError(f"parameter {key} is in the table twice")
+        found[key] = np.array(row["values"]).reshape(row["shape"])
+    for key, shape in shapes.items():
         if key not in found or found[key].shape != shape:
             raise ValueError(f"parameter {key} of shape {shape} is missing from the table")
     return model.join(found)

@@ -64,9 +64,9 @@ def self_target(df: DataFrame, key: str = "id", features: str = "features") -> D
 
 def _cuts(df: DataFrame, key: str, n: int, share: float) -> list:
     """At most ``n - 1`` sampled keys that cut ``df`` into ranges of similar size."""
-    keys = df.select(key)
+    keys = df.select(key).where(F.col(key).isNotNull())
     drawn = keys if share >= 1.0 else keys.sample(share, seed=7)
-    seen = [row[0] for row in drawn.distinct().orderBy(key).collect()]
+    seen = sorted({row[0] for row in drawn.collect()})  # SAMPLES_PER_RANGE * n of them
     return sorted({seen[len(seen) * i // n] for i in range(1, n)}) if seen else []
 
 

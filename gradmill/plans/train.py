@@ -14,6 +14,7 @@ from __future__ import annotations
 import copy
 import math
 from collections.abc import Callable
+from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 
 import numpy as np
@@ -33,6 +34,8 @@ from gradmill.plans.reduce import vector_sum
 from gradmill.plans.score import dense, predict
 
 Trigger = Callable[[int, int], bool]
+#: Epochs between two writes of the log (also written at every checkpoint and at the end).
+FLUSH_EPOCHS = 10
 
 
 def max_epoch(n: int) -> Trigger:
@@ -59,7 +62,6 @@ class Log:
     parameters: Trigger = field(default_factory=lambda: several_iteration(50))
     low: float = -2.0
     high: float = 2.0
-    flush_every: int = 10
     pending: dict[str, list[tuple[str, int, float]]] = field(default_factory=dict)
 
     def add(self, phase: str, values: list[tuple[str, int, float]]) -> None:
@@ -246,6 +248,7 @@ def fit(
     if validation:
         held_out = validation.data.select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
         validation = replace(validation, data=held_out)
+    measuring, waiting = ThreadPoolExecutor(1), []
     try:
         counted = samples.select(F.spark_partition_id().alias("part")).agg(
             F.count(F.lit(1)).alias("rows"), F.max("part").alias("last")
@@ -266,16 +269,19 @@ def fit(
             if log:
                 log.add("train", [("Loss", s, v) for s, v in logged])
             if validation and validation.trigger(run.epoch, run.step):
-                scores = validate(validation, model, run.vector, features, target)
-                run.scores += [(tag, run.step, v) for tag, v in scores]
-                if log:
-                    log.add("val", [(t, run.step, v) for t, v in scores])
+                # measured while the next epoch trains, on the parameters of this one
+                done = measuring.submit(
+                    validate, validation, model, run.vector, features, target
+                )
+                waiting.append((run.step, done))
             saving = checkpoint is not None and checkpoint.trigger(run.epoch, run.step)
-            if log and (saving or run.epoch % log.flush_every == 0):
-                log.flush()
+            if saving or run.epoch % FLUSH_EPOCHS == 0:
+                _gather(waiting, run, log)
             if saving:
                 checkpoint.save(spark, model, run)
+        _gather(waiting, run, log)
     finally:
+        measuring.shutdown(cancel_futures=True)
         samples.unpersist()
         if validation:
             validation.data.unpersist()
@@ -284,6 +290,18 @@ def fit(
     return run
 
 
+def _gather(waiting: list[tuple[int, Future]], run: Fit, log: Log | None) -> None:
+    """Wait for the validations under way, record them and write the log."""
+    for step, done in waiting:
+        scores = [(tag, step, value) for tag, value in done.result()]
+        run.scores += scores
+        if log:
+            log.add("val", scores)
+    waiting.clear()
+    if log:
+        log.flush()
+
+
 def _sync_epoch(samples, model, run, features, target, batch_size, n_rows, parts, seed, log):
     n_batches = math.ceil(n_rows / batch_size) if batch_size else 1
     batches = samples

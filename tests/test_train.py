@@ -137,7 +137,7 @@ def test_log_validation_and_parameter_trigger(data, spark):
     log = MetricsLog(spark, scratch_dir(spark, "log"))
     train.fit(
         data, q.LINEAR, SGD(0.2), 3, 250, "sync",
-        log=train.Log(log, "run", train.several_iteration(2), flush_every=2),
+        log=train.Log(log, "run", train.several_iteration(2)),
         validation=train.Validation(data, ("Top1Accuracy", "Loss")),
     )
     loss = log.read_scalar("run", "train", "Loss").collect()
