@@ -23,15 +23,15 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradmill.functions import arrays
 from gradmill.functions.hashing import batch_number, keyed_hash
-from gradmill.operators import evaluate, model_store
+from gradmill.operators import model_store
 from gradmill.operators.inspect import param_histogram
 from gradmill.operators.metrics import MetricsLog
+from gradmill.plans.kernels import CRITERIA
 from gradmill.plans.models import SETTINGS, Model
 from gradmill.plans.optim import Optimizer
 from gradmill.plans.reduce import vector_sum
-from gradmill.plans.score import dense, predict
+from gradmill.plans.score import dense
 
 Trigger = Callable[[int, int], bool]
 #: Epochs between two writes of the log (also written at every checkpoint and at the end).
@@ -348,15 +348,32 @@ def validate(
     validation: Validation, model: Model, vector, features: str = "features",
     target: str = "label1",
 ) -> list[tuple[str, float]]:
-    """The measures of ``validation.methods`` in one pass over its data."""
-    scored = predict(validation.data, model, vector, [target], features)
-    scores, truth = F.col("scores"), F.col(target)
-    measures = {
-        "Top1Accuracy": lambda: F.avg((arrays.argmax(scores) == truth - 1).cast("double")),
-        "Loss": lambda: F.avg(evaluate.criterion(model.criterion, scores, truth)),
-    }
-    row = scored.agg(*[measures[m]().alias(m) for m in validation.methods]).first()
-    return [(m, float(row[m])) for m in validation.methods]
+    """The measures of ``validation.methods`` in one pass over its data, without a shuffle."""
+    df = validation.data
+    shared = df.sparkSession.sparkContext.broadcast(vector)
+
+    def work(batches):
+        n, loss, hits = 0, 0.0, 0
+        for batch in batches:
+            if batch.num_rows:
+                x, y = dense(batch.column(0)), _target(dense(batch.column(1)))
+                out = model.forward(shared.value, x)
+                n, loss = n + len(x), loss + CRITERIA[model.criterion](out, y)[0]
+                if y.ndim == 1:
+                    hits += int((out.argmax(1) == y - 1).sum())
+        return (n, float(loss), np.array([float(hits)])) if n else None
+
+    pair = df.select(F.col(features).alias("x"), _as_array(df, target).alias("y"))
+    try:
+        # a single value per task: always added up by the driver
+        done = vector_sum(pair, work, parts=1, size=1)
+    finally:
+        shared.destroy()
+    if done is None:
+        return []
+    n, loss, hits = done
+    measures = {"Top1Accuracy": hits[0] / n, "Loss": loss / n}
+    return [(m, float(measures[m])) for m in validation.methods]
 
 
 def transfer_head(

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 
 from gradmill.catalog import queries as q
 from gradmill.functions.hashing import keyed_hash
-from gradmill.operators import model_store, samples
+from gradmill.operators import evaluate, model_store, samples
 from gradmill.operators.metrics import MetricsLog
-from gradmill.plans import models, train
+from gradmill.plans import models, score, train
 from gradmill.plans.optim import SGD, Adam
 from gradmill.plans.reduce import vector_sum
 from gradmill.plans.score import dense
@@ -150,6 +150,19 @@ def test_log_validation_and_parameter_trigger(data, spark):
     assert {r["step"]: r["n"] for r in histograms} == {s: q.LINEAR.size for s in (2, 4, 6)}
 
 
+def test_validation_equals_the_measures_of_the_scored_table(data):
+    for model in (q.LINEAR, q.RNN):
+        vector = model.formula()
+        scored = score.predict(data, model, vector, ["label1"])
+        want = {
+            "Top1Accuracy": evaluate.top1_accuracy(scored).first()[0],
+            "Loss": evaluate.mean_loss(scored, model.criterion).first()[0],
+        }
+        got = dict(train.validate(train.Validation(data, ("Top1Accuracy", "Loss")), model, vector))
+        assert got == pytest.approx(want)
+    assert train.validate(train.Validation(data.limit(0)), q.LINEAR, q.LINEAR.formula()) == []
+
+
 def test_checkpoint_resume_equals_an_uninterrupted_run(data, spark):
     def run(path, epochs, resume=False):
         return train.fit(
