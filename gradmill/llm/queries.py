@@ -4,10 +4,29 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gradmill.llm import toxicity
+from gradmill.llm import line_dedup, simhash, toxicity
 from gradmill.llm.tables import table
 
 
+def op5_simhash(spark, sf_dir):
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def op6_line_dedup(spark, sf_dir):
+    marked = line_dedup.without_boilerplate(table(spark, sf_dir, "documents"))
+    removed = F.coalesce(F.col("removed"), F.array().cast("array<int>"))
+    text = F.when(F.col("removed").isNull(), F.coalesce("row.text", F.lit(""))).otherwise(
+        line_dedup.cleaned_text(F.col("lines"), F.col("removed"))
+    )
+    return marked.select(
+        F.col("row.doc_id").alias("doc_id"),
+        F.when(F.col("lines").isNull(), 0).otherwise(F.size("lines")).cast("long").alias("n_lines"),
+        F.size(removed).cast("long").alias("n_removed"),
+        F.sha2(text, 256).alias("text_sha256"),
+    )
+
+
 def op9_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -22,5 +41,33 @@ def all_queries():
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
 
+OP6_SQL = """
+WITH parts AS (
+    SELECT doc_id, source, unnest(s) AS part, unnest(range(len(s))) AS pos
+    FROM (SELECT doc_id, source, string_split(text, chr(10)) AS s FROM documents)
+),
+lines AS (
+    SELECT *, nullif(trim(part, ' ' || chr(9) || chr(13)), '') AS line FROM parts
+),
+spread AS (
+    SELECT line, min(struct_pack(doc_id := doc_id, pos := pos)) AS first
+    FROM lines WHERE line IS NOT NULL
+    GROUP BY line HAVING count(DISTINCT source) >= 10
+),
+marked AS (
+    SELECT l.doc_id, l.pos, l.part,
+           s.line IS NOT NULL AND NOT (l.doc_id = s.first.doc_id AND l.pos = s.first.pos) AS gone
+    FROM lines l LEFT JOIN spread s ON l.line = s.line
+)
+SELECT d.doc_id, coalesce(m.n_lines, 0) AS n_lines, coalesce(m.n_removed, 0) AS n_removed,
+       sha256(coalesce(m.text, '')) AS text_sha256
+FROM documents d LEFT JOIN (
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_removed,
+           string_agg(part, chr(10) ORDER BY pos) FILTER (WHERE NOT gone) AS text
+    FROM marked GROUP BY doc_id
+) m USING (doc_id)
+"""
+
+
 def all_oracles():
-    return {}
+    return {"op6_line_dedup": OP6_SQL}
