@@ -2,12 +2,48 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from gradmill.llm import line_dedup, simhash, toxicity
+from gradmill.llm import decontaminate, line_dedup, packing, pii, simhash, toxicity, url_filter
 from gradmill.llm.tables import table
 
 
+def op1_pii(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    found = pii.find(docs, pii.fit(docs))
+
+    def listed(spans):
+        return F.array_join(
+            F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    base = F.filter("spans", lambda s: s["base"])
+    counts = [
+        F.size(F.filter("spans", lambda s, k=kind: s["base"] & (s["kind"] == k))).cast("long").alias(f"n_{kind}")
+        for kind in pii.KINDS
+    ]
+    return found.select("doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"),
+                        listed(F.col("spans")).alias("spans"))
+
+
+def op2_decontaminate(spark, sf_dir):
+    found = decontaminate.verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated",
+    )
+
+
+def packed(docs):
+    """With the public byte-level vocabulary; its place is asked of the driver alone."""
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        return packing.pack(docs, f.read(), public_tokenizers.PATTERN)
+
+
+def op4_packing(spark, sf_dir):
+    return packed(table(spark, sf_dir, "documents"))
+
+
 def op5_simhash(spark, sf_dir):
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
@@ -27,6 +63,10 @@ def op6_line_dedup(spark, sf_dir):
     )
 
 
+def op7_url_filter(spark, sf_dir):
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
 def op9_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -69,5 +109,28 @@ FROM documents d LEFT JOIN (
 """
 
 
+_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+OP2_SQL = f"""
+WITH dw AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+iw AS (SELECT item_id, w, least(len(w), 13) AS n FROM (SELECT item_id, {_WORDS} AS w FROM benchmark) b
+       WHERE len(w) > 0),
+win AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS g
+        FROM (SELECT item_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM iw) x),
+lens AS (SELECT DISTINCT n FROM win),
+occ AS (SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS g
+        FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM dw, lens WHERE len(w) >= n) x),
+met AS (SELECT o.doc_id, o.i, o.n, win.item_id FROM occ o JOIN win ON o.n = win.n AND o.g = win.g),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+        FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM met) x GROUP BY doc_id),
+found AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+          FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM met) x GROUP BY doc_id)
+SELECT dw.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM dw LEFT JOIN hit ON dw.doc_id = hit.doc_id LEFT JOIN found ON dw.doc_id = found.doc_id
+"""
+
+
 def all_oracles():
-    return {"op6_line_dedup": OP6_SQL}
+    return {"op2_decontaminate": OP2_SQL, "op6_line_dedup": OP6_SQL}
