@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
+import sentencepiece
 from pyspark.sql import functions as F
 
-from gradmill.llm import decontaminate, line_dedup, packing, pii, simhash, toxicity, url_filter
+from gradmill.llm import decontaminate, line_dedup, packing, pii, simhash, token_counts, toxicity, url_filter, vector_search
 from gradmill.llm.tables import table
 
 
@@ -40,6 +41,11 @@ def packed(docs):
         return packing.pack(docs, f.read(), public_tokenizers.PATTERN)
 
 
+def op3_vector_search(spark, sf_dir):
+    vectors = vector_search.usable(table(spark, sf_dir, "embeddings"))
+    return vector_search.top_k(vectors, F.col("vec_id") % 100 == 0)
+
+
 def op4_packing(spark, sf_dir):
     return packed(table(spark, sf_dir, "documents"))
 
@@ -67,6 +73,14 @@ def op7_url_filter(spark, sf_dir):
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
 
+def op8_token_counts(spark, sf_dir):
+    vocabulary = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    plain = [i for i in range(vocabulary.get_piece_size())
+             if not (vocabulary.is_control(i) or vocabulary.is_unknown(i) or vocabulary.is_byte(i))]
+    starts, parts = token_counts.word_pieces([vocabulary.id_to_piece(i) for i in plain])
+    return token_counts.count(table(spark, sf_dir, "documents"), token_counts.Automaton(starts, parts))
+
+
 def op9_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -109,6 +123,24 @@ FROM documents d LEFT JOIN (
 """
 
 
+OP3_SQL = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+    FROM embeddings WHERE embedding IS NOT NULL
+),
+scored AS (
+    SELECT q.vec_id AS query_id, p.vec_id,
+           CAST(list_sum(list_transform(range(1, len(q.x) + 1), lambda i: q.x[i] * p.x[i])) AS BIGINT) AS score
+    FROM v q JOIN v p ON q.vec_id % 100 = 0 AND q.vec_id <> p.vec_id AND len(q.x) = len(p.x)
+),
+ranked AS (
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+           vec_id, score
+    FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
     'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
 OP2_SQL = f"""
@@ -133,4 +165,4 @@ FROM dw LEFT JOIN hit ON dw.doc_id = hit.doc_id LEFT JOIN found ON dw.doc_id = f
 
 
 def all_oracles():
-    return {"op2_decontaminate": OP2_SQL, "op6_line_dedup": OP6_SQL}
+    return {"op2_decontaminate": OP2_SQL, "op3_vector_search": OP3_SQL, "op6_line_dedup": OP6_SQL}
