@@ -6,7 +6,7 @@ import public_tokenizers
 import sentencepiece
 from pyspark.sql import functions as F
 
-from gradmill.llm import decontaminate, line_dedup, packing, pii, simhash, token_counts, toxicity, url_filter, vector_search
+from gradmill.llm import decontaminate, line_dedup, packing, passages, pii, simhash, token_counts, toxicity, url_filter, vector_search
 from gradmill.llm.tables import table
 
 
@@ -19,11 +19,12 @@ def op1_pii(spark, sf_dir):
             F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
     base = F.filter("spans", lambda s: s["base"])
-    counts = [
-        F.size(F.filter("spans", lambda s, k=kind: s["base"] & (s["kind"] == k))).cast("long").alias(f"n_{kind}")
-        for kind in pii.KINDS
-    ]
-    return found.select("doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"),
+
+    def number(kind):
+        mine = F.filter(base, lambda s: s["kind"] == kind)
+        return F.size(mine).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(number, pii.KINDS), F.sha2(listed(base), 256).alias("base_sha256"),
                         listed(F.col("spans")).alias("spans"))
 
 
@@ -91,6 +92,10 @@ def op9_toxicity(spark, sf_dir):
     )
 
 
+def op10_passages(spark, sf_dir):
+    return passages.repeated(table(spark, sf_dir, "documents"))
+
+
 def all_queries():
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
