@@ -41,7 +41,9 @@ QUERY_BLOCK = 1024
 #: Parts into which the pairing of block numbers is dealt.
 PARTS = 64
 #: A node of so many points is not split further.
-LEAF = 24
+LEAF = 256
+#: Children of a node at most; with many dimensions more would be needed to halve the radius.
+FAN = 8
 _EXACT = float(1 << 52)
 
 
@@ -51,8 +53,9 @@ _EXACT = float(1 << 52)
 class Tree:
     """A cover tree over the rows of ``x``: nodes with a centre, a radius and children.
 
-    A node's centre is one of its points. Its points are dealt to children whose
-    centres lie further apart than half its radius and that cover them within it.
+    A node's centre is one of its points. Its points go to the nearest of the
+    children's centres, which lie further apart than half its radius; up to ``FAN`` of
+    them, so that the radius may shrink less where the space has many dimensions.
     ``rows`` lists the points so that every node has a contiguous stretch.
     """
 
@@ -66,7 +69,7 @@ class Tree:
         self.length = np.sqrt((self.centre**2).sum(1)) * (1 + 1e-9)
         self.x = x[self.rows]
 
-    def _node(self, begin: int, end: int) -> int:
+    def _node(self, begin: int, end: int) -> None:
         todo = [(begin, end, None)]
         while todo:
             begin, end, parent = todo.pop()
@@ -82,22 +85,19 @@ class Tree:
                 self.children[parent].append(at)
             if end - begin <= LEAF or self.radius[-1] == 0:
                 continue
-            half, left, parts = self.radius[-1] / 2, own, []
-            while len(left):
-                near = _distances(self.x[left], self.x[left[0]]) <= half
-                near[0] = True
-                parts.append(left[near])
-                left = left[~near]
-                if len(parts) >= LEAF and len(left):  # too thin to be covered: the rest is one child
-                    parts.append(left)
-                    break
-            if len(parts) == 1 or len(parts[-1]) == len(own):
-                continue
+            # the farthest point becomes the next centre, until all are covered within half the radius
+            half, of, centres = self.radius[-1] / 2, np.zeros(len(own), np.int64), [0]
+            while len(centres) < FAN and apart.max() > half:
+                new = int(apart.argmax())
+                there = _distances(self.x[own], self.x[own[new]])
+                of[there < apart] = len(centres)
+                apart = np.minimum(apart, there)
+                centres.append(new)
+            parts = [own[np.append(c, np.setdiff1d(np.flatnonzero(of == n), c))] for n, c in enumerate(centres)]
             self.rows[begin:end] = np.concatenate(parts)
             for part in parts:
                 todo.append((begin, begin + len(part), at))
                 begin += len(part)
-        return 0
 
 
 def _distances(points: np.ndarray, centre: np.ndarray) -> np.ndarray:
@@ -164,6 +164,10 @@ def search(queries: np.ndarray, query_ids: np.ndarray, points: np.ndarray, ids:
         members = [by[first[d]:min(first[d + 1], first[d] + k + 1)] for d in here]
         column = np.repeat(np.arange(len(here)), [len(m) for m in members])
         found = ids[np.concatenate(members)]
+        good = (score >= best.score[rows, -1][:, None]).any(0)[column]
+        column, found = column[good], found[good]
+        if not len(found):
+            continue
         score = score[:, column]
         score[query_ids[rows][:, None] == found[None, :]] = -np.inf
         best.add(rows, score, found)
