@@ -169,9 +169,10 @@ def add_document(graph: Graph, text: str, base: list[tuple[int, int, int]]) -> N
         graph.spans.append((start, end))
         graph.features.append(_features(text, start, end))
         graph.labels.append(min(reach)[1] + 1 if reach else 0)
+        linked = set()
         if i > first and text[end_before:start].isspace():
             graph.links.append((i - 1, i, 0))
-        linked = {i - 1}
+            linked.add(i - 1)
         for key in _keys(m[0]):
             j = last.get(key)
             if j is not None and j not in linked:
