@@ -27,3 +27,10 @@ def lower_ascii(text: Column) -> Column:
     """A-Z in lower case; every other character as it is; NULL as empty."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     return F.translate(F.coalesce(text, F.lit("")), upper, upper.lower())
+
+
+def slices(batches, rows: int = 256):
+    """Arrow batches cut to at most ``rows`` rows: what a task builds from one stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)

@@ -33,6 +33,8 @@ SAMPLE = 16384
 FACTORS = 4
 EPOCHS = 8
 BATCH = 128
+#: Steps made at least, however few the rows.
+LEAST_STEPS = 250
 #: A document with this score or more counts as toxic.
 THRESHOLD = 0.3
 #: Slots seen in fewer sampled documents keep weight 0.
@@ -97,9 +99,9 @@ def fit_model(slots: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Mod
     place[used] = np.arange(len(used))
     rows = [p[p >= 0] for p in (place[s] for s in slots)]
     rng = np.random.default_rng(seed)
-    w, v, b = np.zeros(len(used)), rng.normal(0, 0.003, (FACTORS, len(used))), model.bias
-    gw, gv, gb = np.full(len(used), 1e-2), np.full(v.shape, 1e-2), 1.0
-    for _ in range(EPOCHS):
+    w, v, b = np.zeros(len(used)), rng.normal(0, 0.01, (FACTORS, len(used))), model.bias
+    gw, gv, gb = np.full(len(used), 1e-2), np.ones(v.shape), 1.0
+    for _ in range(max(EPOCHS, -(-LEAST_STEPS * BATCH // n))):
         order = rng.permutation(n)
         for at in range(0, n, BATCH):
             part = order[at:at + BATCH]
@@ -111,13 +113,13 @@ def fit_model(slots: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Mod
             margin -= 0.5 * np.bincount(doc, (x * x).sum(0), len(part))
             slope = (_logistic(margin) - labels[part]) / len(part)
             each = slope[doc]
-            d = np.bincount(flat, each, len(used)) + 1e-4 * w
+            d = np.bincount(flat, each, len(used)) + 1e-3 * w
             gw += d * d
             w -= 0.3 * d / np.sqrt(gw)
             for f in range(FACTORS):
                 d = np.bincount(flat, each * (sums[f, doc] - x[f]), len(used)) + 1e-4 * v[f]
                 gv[f] += d * d
-                v[f] -= 0.01 * d / np.sqrt(gv[f])
+                v[f] -= 0.3 * d / np.sqrt(gv[f])
             gb += slope.sum() ** 2
             b -= 0.05 * slope.sum() / np.sqrt(gb)
     model.bias = float(b)
