@@ -509,70 +509,103 @@ def _autoencoder_gradient() -> str:
     return _gradient(weights, steps, [("encoder", "x", 64, "d1", 16), ("decoder", "h", 16, "d2", 64)])
 
 
-def _sgd_run(run_id: str, sizes: list[int], epochs: int, rate: float) -> str:
-    """Full-batch descent of a rectifier network on the z-scored samples.
+#: Training and held-out rows, both normalized by the statistics of the training rows.
+ZS = (
+    "e AS (SELECT vec_id AS id, label + 1 AS label1, embedding, "
+    f"CASE WHEN {draw('vec_id', 42, 0)} < 3435973836 THEN 'train' ELSE 'test' END AS split FROM embeddings), "
+    "st AS (SELECT avg(v) AS m, stddev_pop(v) AS s FROM "
+    "(SELECT unnest(embedding)::DOUBLE AS v FROM e WHERE split = 'train')), "
+    "z AS MATERIALIZED (SELECT id, label1, split, "
+    "list_transform(embedding, lambda v: (v::DOUBLE - m) / s) AS features FROM e, st)"
+)
+
+
+def _adam(t: int, old: str, g: str, m: str, v: str) -> tuple[str, str, str]:
+    """New value, first and second moment after step ``t`` (from 1) at rate 0.001."""
+    m1 = f"(0.9::DOUBLE * {m} + 0.1::DOUBLE * {g})"
+    v1 = f"(0.999::DOUBLE * {v} + 0.001::DOUBLE * {g} * {g})"
+    hat_m, hat_v = f"{m1} / {1 - 0.9**t!r}::DOUBLE", f"{v1} / {1 - 0.999**t!r}::DOUBLE"
+    return f"{old} - 0.001::DOUBLE * ({hat_m}) / (sqrt({hat_v}) + 1e-8::DOUBLE)", m1, v1
+
 
-    Per step: forward pass and errors of every row (``f``), mean gradients
-    (``g``), new weights (``p``); the logged loss is that before the step, the
-    validation accuracy that after it.
+def _run(run_id: str, sizes: list[int], epochs: int, rate: float | None, batches: int = 1) -> str:
+    """Descent of a rectifier network on the training rows, measured on the held-out ones.
+
+    ``rate`` None is Adam on the network that reproduces its input, without
+    validation. Batches are hash classes of the key. Per step: forward pass and
+    errors of every row (``f``), mean gradients (``g``, ``c``), new weights
+    (``p``); the logged loss is that before the step.
     """
     dense = list(zip(sizes, sizes[1:]))
-    top = len(dense) - 1
-    start = ", ".join(
-        f"{matrix(o, i, 2 * n)} AS w{n}, {vector(o, 2 * n + 1)} AS b{n}"
-        for n, (i, o) in enumerate(dense)
-    )
-    sql = f"WITH {Z}, p0 AS MATERIALIZED (SELECT {start})"
-    for t in range(epochs + 1):
-        steps = []
-        for n, (_, o) in enumerate(dense):
-            x = "features" if n == 0 else f"h{n}"
-            out = affine(x, o, f"w{n}", f"b{n}")
-            steps.append((f"h{n + 1}", mapped(out, RELU) if n < top else log_softmax(out)))
-        hit = "CASE WHEN i = label1 THEN 1 ELSE 0 END"
-        steps.append((f"d{top + 1}", f"list_transform(h{top + 1}, lambda v, i: exp(v) - {hit})"))
-        for n in range(top, 0, -1):
-            errors = back(f"w{n}", dense[n][0], dense[n][1], f"d{n + 1}")
-            steps.append((f"d{n}", gated(errors, f"h{n}")))
-        prior = f"(SELECT * FROM z, p{t})"
-        for m, (name, expr) in enumerate(steps):
-            prior = f"(SELECT *, {expr} AS {name} FROM {prior})"
-        sql += f", f{t} AS MATERIALIZED {prior}"
-        if t == epochs:
-            break
-        new = []
+    top, copying = len(dense) - 1, rate is None
+    zeros = lambda o, i: f"list_transform(range({o}), lambda r: list_transform(range({i}), lambda c: 0::DOUBLE))"
+    start = []
+    for n, (i, o) in enumerate(dense):
+        start += [f"{matrix(o, i, 2 * n)} AS w{n}", f"{vector(o, 2 * n + 1)} AS b{n}"]
+        if copying:
+            start += [f"{zeros(o, i)} AS {k}w{n}" for k in "mv"]
+            start += [f"list_transform(range({o}), lambda c: 0::DOUBLE) AS {k}b{n}" for k in "mv"]
+    sql = f"WITH {ZS}, p0 AS MATERIALIZED (SELECT {', '.join(start)})"
+    forward, errors = [], []
+    for n, (_, o) in enumerate(dense):
+        out = affine("features" if n == 0 else f"h{n}", o, f"w{n}", f"b{n}")
+        last = mapped(out, SIGMOID) if copying else log_softmax(out)
+        forward.append((f"h{n + 1}", mapped(out, RELU) if n < top else last))
+    y = f"h{top + 1}"
+    if copying:
+        loss = f"list_sum(list_transform(list_zip(features, {y}), lambda v: pow(v[2] - v[1], 2))) / {sizes[-1]}"
+        off = (f"list_transform(list_zip(features, {y}), lambda v: "
+               f"2 * (v[2] - v[1]) / {sizes[-1]} * v[2] * (1 - v[2]))")
+    else:
+        loss = f"-{y}[label1]"
+        off = f"list_transform({y}, lambda v, i: exp(v) - CASE WHEN i = label1 THEN 1 ELSE 0 END)"
+    errors.append((f"d{top + 1}", off))
+    for n in range(top, 0, -1):
+        wrong = back(f"w{n}", dense[n][0], dense[n][1], f"d{n + 1}")
+        errors.append((f"d{n}", gated(wrong, f"h{n}")))
+
+    def passed(rows: str, steps) -> str:
+        for name, expr in steps:
+            rows = f"(SELECT *, {expr} AS {name} FROM {rows})"
+        return rows
+
+    for t in range(epochs * batches):
+        chosen = "split = 'train'"
+        if batches > 1:
+            chosen += f" AND {draw('id', 0, t // batches)} % {batches} = {t % batches}"
+        rows = f"(SELECT * FROM (SELECT * FROM z WHERE {chosen}), p{t})"
+        sql += f", f{t} AS MATERIALIZED {passed(rows, forward + errors)}"
+        new, sources = [], [f"p{t}"]
         for n, (i, o) in enumerate(dense):
             h = "features" if n == 0 else f"h{n}"
-            cells = (
-                f"(SELECT q, avg({h}[q % {i} + 1] * d{n + 1}[q // {i} + 1]) AS v FROM "
-                f"(SELECT *, unnest(range({i * o})) AS q FROM f{t}) GROUP BY q)"
-            )
-            sql += f", g{t}_{n} AS MATERIALIZED (SELECT list(v ORDER BY q) AS v FROM {cells})"
-            bias = (
-                f"(SELECT q, avg(d{n + 1}[q + 1]) AS v FROM "
-                f"(SELECT *, unnest(range({o})) AS q FROM f{t}) GROUP BY q)"
-            )
-            sql += f", c{t}_{n} AS MATERIALIZED (SELECT list(v ORDER BY q) AS v FROM {bias})"
-            moved = f"w{n}[r + 1][c + 1] - {rate}::DOUBLE * (SELECT v FROM g{t}_{n})[r * {i} + c + 1]"
-            moved = moved.replace(f"(SELECT v FROM g{t}_{n})", f"g{n}")
-            new.append(
-                f"list_transform(range({o}), lambda r: list_transform(range({i}), lambda c: {moved})) AS w{n}, "
-                f"list_transform(range({o}), lambda r: b{n}[r + 1] - {rate}::DOUBLE * c{n}[r + 1]) AS b{n}"
-            )
-        sources = ", ".join(
-            f"(SELECT v AS g{n} FROM g{t}_{n}), (SELECT v AS c{n} FROM c{t}_{n})"
-            for n in range(len(dense))
-        )
-        sql += f", p{t + 1} AS MATERIALIZED (SELECT {', '.join(new)} FROM p{t}, {sources})"
-    final, rows = f"h{top + 1}", []
-    for t in range(1, epochs + 1):
-        rows.append(
-            f"SELECT '{run_id}' AS run_id, 'train' AS phase, 'Loss' AS tag, {t} AS step, "
-            f"{r6(f'avg(-{final}[label1])')} AS value FROM f{t - 1}"
-        )
-        hit = f"avg(CASE WHEN list_position({final}, list_max({final})) = label1 THEN 1 ELSE 0 END)"
-        rows.append(f"SELECT '{run_id}', 'val', 'Top1Accuracy', {t}, {r6(hit)} FROM f{t}")
-    return sql + " " + " UNION ALL ".join(rows)
+            parts = (("g", i * o, f"{h}[q % {i} + 1] * d{n + 1}[q // {i} + 1]"), ("c", o, f"d{n + 1}[q + 1]"))
+            for name, size, value in parts:
+                sql += (
+                    f", {name}{t}_{n} AS MATERIALIZED (SELECT list(v ORDER BY q) AS {name}{n} FROM "
+                    f"(SELECT q, avg({value}) AS v FROM (SELECT *, unnest(range({size})) AS q FROM f{t}) GROUP BY q))"
+                )
+                sources.append(f"{name}{t}_{n}")
+            grid = lambda body: f"list_transform(range({o}), lambda r: list_transform(range({i}), lambda c: {body}))"  # noqa: E731, B023
+            line = lambda body: f"list_transform(range({o}), lambda r: {body})"  # noqa: E731, B023
+            w, g, b, c = f"w{n}[r + 1][c + 1]", f"g{n}[r * {i} + c + 1]", f"b{n}[r + 1]", f"c{n}[r + 1]"
+            if copying:
+                for old, grad, name, spread in ((w, g, f"w{n}", grid), (b, c, f"b{n}", line)):
+                    moved = _adam(t + 1, old, grad, f"m{old}", f"v{old}")
+                    new += [f"{spread(e)} AS {k}{name}" for k, e in zip(("", "m", "v"), moved)]
+            else:
+                new.append(f"{grid(f'{w} - {rate}::DOUBLE * {g}')} AS w{n}")
+                new.append(f"{line(f'{b} - {rate}::DOUBLE * {c}')} AS b{n}")
+        sql += f", p{t + 1} AS MATERIALIZED (SELECT {', '.join(new)} FROM {', '.join(sources)})"
+    out = [
+        f"SELECT '{run_id}' AS run_id, 'train' AS phase, 'Loss' AS tag, {t + 1} AS step, "
+        f"{r6(f'avg({loss})')} AS value FROM f{t}"
+        for t in range(epochs * batches)
+    ]
+    for epoch in range(1, 1 if copying else epochs + 1):
+        held_out = passed(f"(SELECT * FROM (SELECT * FROM z WHERE split = 'test'), p{epoch * batches})", forward)
+        hit = f"avg(CASE WHEN list_position({y}, list_max({y})) = label1 THEN 1 ELSE 0 END)"
+        out.append(f"SELECT '{run_id}', 'val', 'Top1Accuracy', {epoch * batches}, {r6(hit)} FROM {held_out}")
+    return sql + " " + " UNION ALL ".join(out)
 
 
 _CELL = [("recurrent", p) for p in ("i2h", "h2h", "bias")]
@@ -676,6 +709,10 @@ def all_oracles() -> dict[str, str]:
         "channel_normalize": pixels(U8, NORMALIZED),
         "to_chw": pixels(chw(8)),
         "image_folder": f"WITH {RGB} {unnested('rgb', 'vec_id, label', 'p')}",
+        "named_images": (
+            f"WITH {RGB}, n AS (SELECT 'image ' || vec_id AS name, p FROM rgb) {unnested('n', 'name', 'p')}"
+        ),
+        "text_lines": "SELECT c_name AS line FROM customer",
         "image_sequence": (
             f"WITH {RGB} SELECT label::VARCHAR AS label_name, i AS idx, count(*) AS n, "
             "sum(p[i + 1])::BIGINT AS total "
@@ -707,6 +744,10 @@ def all_oracles() -> dict[str, str]:
         "class_name_lookup": (
             "SELECT vec_id, label AS class_id, n_name AS name FROM embeddings LEFT JOIN nation ON label = n_nationkey"
         ),
+        "order_customers": (
+            "SELECT o_custkey AS class_id, o_orderkey, c_name AS name FROM orders "
+            "LEFT JOIN customer ON o_custkey = c_custkey"
+        ),
         "scores_by_name": (
             f"WITH {LINEAR} SELECT vec_id, n_regionkey::VARCHAR AS name, "
             f"{r6('arg_max(scores[i + 1], i)')} AS score "
@@ -784,8 +825,12 @@ def all_oracles() -> dict[str, str]:
         "autoencoder_gradient": _autoencoder_gradient(),
         "softmax_sync_steps": _sync_steps(),
         "resumed_training": _sync_steps(),
-        "train_softmax_full_batch": _sgd_run("softmax-run", [64, 10], 20, 0.2),
-        "train_mlp_full_batch": _sgd_run("mlp-run", [64, 16, 12, 10], 15, 0.2),
+        "train_softmax_full_batch": _run("softmax-run", [64, 10], 20, 0.2),
+        "train_mlp_full_batch": _run("mlp-run", [64, 16, 12, 10], 15, 0.2),
+        # four batches: 128 rows each of about 400
+        "train_softmax": _run("softmax-run", [64, 10], 5, 0.2, 4),
+        "train_mlp": _run("mlp-run", [64, 16, 12, 10], 3, 0.2, 4),
+        "train_autoencoder": _run("autoencoder-run", [64, 16, 64], 2, None, 4),
         "score_mlp": _scores(_mlp()),
         "score_lenet": _scores(_lenet()),
         "score_rnn": _scores(_rnn()),

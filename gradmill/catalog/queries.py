@@ -19,7 +19,7 @@ from gradmill.operators import evaluate, inspect, lookup, model_store, quant, re
 from gradmill.operators.metrics import MetricsLog
 from gradmill.plans import images, models, score, train
 from gradmill.plans.optim import SGD
-from gradmill.session import scratch_dir, spread
+from gradmill.session import scratch_dir
 from gradmill.sources.collections import lines_of
 from gradmill.sources.images import byte_pixels
 from gradmill.streaming.scoring import sample_stream, score_stream
@@ -35,11 +35,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """For work that is heavy per row: all cores take part even if the file is small."""
-    return spread(table(spark, sf_dir, name))
-
-
 def r6(value: Column) -> Column:
     return F.round(value.cast("double"), 6)
 
@@ -56,7 +51,7 @@ def long_form(df: DataFrame, keep: list[str], values: Column, into: str = "value
 
 def raw_samples(spark, sf_dir) -> DataFrame:
     """``(vec_id, x, label1)`` with the values as they are."""
-    e = spread_table(spark, sf_dir, "embeddings")
+    e = table(spark, sf_dir, "embeddings")
     return e.select(
         "vec_id", F.col("embedding").alias("x"), samples.to_one_based(F.col("label")).alias("label1")
     )
@@ -65,7 +60,7 @@ def raw_samples(spark, sf_dir) -> DataFrame:
 def z_samples(spark, sf_dir) -> DataFrame:
     """``(id, features, label1)`` normalized by the global statistics of the table."""
     stats = samples.fit_normalizer(table(spark, sf_dir, "embeddings"), "embedding")
-    e = spread_table(spark, sf_dir, "embeddings")
+    e = table(spark, sf_dir, "embeddings")
     return samples.labelled_samples(e, stats, "vec_id", "embedding", "label")
 
 
@@ -78,15 +73,15 @@ def names_of(spark, sf_dir) -> DataFrame:
 
 
 def word_count(spark, sf_dir):
-    return relational.word_count(spread_table(spark, sf_dir, "documents"), "text")
+    return relational.word_count(table(spark, sf_dir, "documents"), "text")
 
 
 def word_count_turns(spark, sf_dir):
-    return relational.word_count(spread_table(spark, sf_dir, "conversations"), "text")
+    return relational.word_count(table(spark, sf_dir, "conversations"), "text")
 
 
 def log_error_count(spark, sf_dir):
-    lines = lines_of(spread_table(spark, sf_dir, "documents"), F.col("text"), [])
+    lines = lines_of(table(spark, sf_dir, "documents"), F.col("text"), [])
     return relational.like_count(lines, "line", "%er%")
 
 
@@ -95,7 +90,7 @@ def event_error_count(spark, sf_dir):
 
 
 def document_lines(spark, sf_dir):
-    return lines_of(spread_table(spark, sf_dir, "documents"), F.col("text"), ["doc_id"])
+    return lines_of(table(spark, sf_dir, "documents"), F.col("text"), ["doc_id"])
 
 
 def json_props(spark, sf_dir):
@@ -186,7 +181,7 @@ def row_count_by_split(spark, sf_dir):
 
 def normalized_by_training_split(spark, sf_dir):
     """The statistics of the training part, applied to both parts."""
-    e = spread_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", _split("vec_id"))
+    e = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", _split("vec_id"))
     stats = samples.fit_normalizer(e.where("split = 'train'"), "embedding")
     return long_form(
         samples.normalize(e, stats, "embedding"), ["vec_id", "split"], F.col("features")
@@ -239,7 +234,7 @@ def minibatches(spark, sf_dir):
 
 def rgb_images(spark, sf_dir) -> DataFrame:
     """``(vec_id, label, rgb)``: an 8 x 8 x 3 unsigned-byte image out of every sample."""
-    e = spread_table(spark, sf_dir, "embeddings")
+    e = table(spark, sf_dir, "embeddings")
     grey = F.transform(
         "embedding", lambda v: F.pmod(F.floor(F.abs(v.cast("double")) * 1000), F.lit(256))
     )
@@ -299,12 +294,19 @@ image_samples_val = _image_samples("val")
 # --- files in image and sample formats ------------------------------------------
 
 
+_png_folders: dict[tuple[str, str], str] = {}
+
+
 def _png_folder(spark, sf_dir) -> str:
-    folder = scratch_dir(spark, "png")
-    files.write_png_folder(
-        rgb_images(spark, sf_dir), folder, "vec_id", "label", "rgb", SIDE, "train"
-    )
-    return folder
+    """The samples as image files, written once per application and input."""
+    at = spark.sparkContext.applicationId, sf_dir
+    if at not in _png_folders:
+        folder = scratch_dir(spark, "png")
+        files.write_png_folder(
+            rgb_images(spark, sf_dir), folder, "vec_id", "label", "rgb", SIDE, "train"
+        )
+        _png_folders[at] = folder
+    return _png_folders[at]
 
 
 def _file_id() -> Column:
@@ -317,6 +319,19 @@ def image_folder(spark, sf_dir):
     return long_form(decoded, ["vec_id", "label"], F.col("rgb"))
 
 
+def _named_images(spark, sf_dir) -> DataFrame:
+    folder = _png_folder(spark, sf_dir)
+    path = F.concat(F.lit(f"{folder}/split=train/label="), "label", F.lit("/"), "vec_id", F.lit(".png"))
+    name = F.concat(F.lit("image "), "vec_id")
+    wanted = table(spark, sf_dir, "embeddings").select(name.alias("name"), path.alias("path"))
+    return sources.named_images(spark, wanted, folder)
+
+
+def named_images(spark, sf_dir):
+    named = _named_images(spark, sf_dir).select("name", byte_pixels(F.col("data")).alias("rgb"))
+    return long_form(named, ["name"], F.col("rgb"))
+
+
 def image_sequence(spark, sf_dir):
     path = scratch_dir(spark, "seq")
     files.write_sequence(rgb_images(spark, sf_dir), f"{path}/train", "label", "rgb")
@@ -347,6 +362,12 @@ def class_list(spark, sf_dir):
     return listed.select("class_id", F.posexplode("synonyms").alias("idx", "synonym"))
 
 
+def text_lines(spark, sf_dir):
+    path = scratch_dir(spark, "lines")
+    table(spark, sf_dir, "customer").select("c_name").write.text(path)
+    return sources.text_lines(spark, path)
+
+
 def label_lines(spark, sf_dir):
     nation = table(spark, sf_dir, "nation").orderBy("n_nationkey").coalesce(1)
     path = scratch_dir(spark, "labels")
@@ -373,7 +394,7 @@ def predict_class(spark, sf_dir):
     scored = linear_scores(spark, sf_dir)
     return scored.select(
         "vec_id", F.col("label1").alias("truth1"),
-        (score.decided_class(F.col("scores")) + 1).alias("class1"),
+        score.predict_class(F.col("scores")).alias("class1"),
     )
 
 
@@ -400,16 +421,19 @@ def class_name_lookup(spark, sf_dir):
     return lookup.with_class_name(e, names_of(spark, sf_dir))
 
 
+def order_customers(spark, sf_dir):
+    """A dimension too large to broadcast: both sides are shuffled."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("class_id"))
+    customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("class_id"), F.col("c_name").alias("name"))
+    return lookup.with_class_name(orders, customers, join="merge")
+
+
 def scores_by_name(spark, sf_dir):
     """Names repeat here (two nations share a region); the highest class id wins."""
     nation = table(spark, sf_dir, "nation").select(
         F.col("n_nationkey").alias("class_id"), F.col("n_regionkey").cast("string").alias("name")
     )
-    flat = linear_scores(spark, sf_dir).select(
-        "vec_id", F.posexplode("scores").alias("class_id", "score")
-    )
-    named = lookup.with_class_name(flat, nation)
-    collapsed = lookup.collapse_by_name(named, ["vec_id"])
+    collapsed = lookup.collapse_by_name(linear_scores(spark, sf_dir), nation, ["vec_id"], CLASSES)
     return collapsed.select("vec_id", "name", r6(F.col("score")).alias("score"))
 
 
@@ -497,10 +521,11 @@ def classify_images(spark, sf_dir):
 
 
 def classify_named(spark, sf_dir):
-    scan = sources.image_folder(spark, _png_folder(spark, sf_dir), "train", has_label=False)
-    scan = scan.withColumn("vec_id", _file_id())
+    """The best classes of a list of named images."""
+    named = _named_images(spark, sf_dir)
+    named = named.withColumn("vec_id", F.substring("name", 7, 20).cast("bigint"))
     best = images.classify_named(
-        scan, PICTURE, PICTURE.formula(), names_of(spark, sf_dir), 6, ["vec_id"]
+        named, PICTURE, PICTURE.formula(), names_of(spark, sf_dir), 6, ["vec_id"]
     )
     return best.select("vec_id", "rank", "class_id", "name", r6(F.col("score")).alias("score"))
 
@@ -618,8 +643,8 @@ def metrics_log(spark, sf_dir):
 
 def _mean_gradient(spark, data, model, vector, target="label1") -> DataFrame:
     parts = spark.sparkContext.defaultParallelism
-    n, _, gradient = train.gradient_sum(data, model, vector, "x", target, parts)
-    return _vector_rows(spark, model, gradient / n)
+    done = train.gradient_sum(data, model, vector, "x", target, parts, "vec_id")
+    return _vector_rows(spark, model, done.gradient / done.rows)
 
 
 def softmax_grad_zero(spark, sf_dir):
@@ -644,9 +669,9 @@ def _slopes(model):
     def query(spark, sf_dir):
         data = raw_samples(spark, sf_dir)
         parts = spark.sparkContext.defaultParallelism
-        n, _, gradient = train.gradient_sum(data, model, model.formula(), "x", "label1", parts)
+        done = train.gradient_sum(data, model, model.formula(), "x", "label1", parts, "vec_id")
         rows = []
-        for (layer, param), g in model.split(gradient / n).items():
+        for (layer, param), g in model.split(done.gradient / done.rows).items():
             row, col = np.divmod(np.arange(g.size), g.shape[-1])
             rows.append((layer, param, float(g.ravel() @ ((row * 7 + col * 5) % 3 - 1))))
         slopes = sources.from_rows(spark, rows, "layer string, param string, slope double")
@@ -678,22 +703,30 @@ def resumed_training(spark, sf_dir):
     return _vector_rows(spark, LINEAR, fitted.vector)
 
 
-def _training(model, target="label1", batch_size=None, start=None, **options):
-    """Loss and validation series of a training run over the whole table."""
+def split_samples(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Training and held-out samples, both normalized by the statistics of the training part."""
+    e = table(spark, sf_dir, "embeddings").withColumn("split", _split("vec_id"))
+    train_part, rest = e.where("split = 'train'"), e.where("split = 'test'")
+    stats = samples.fit_normalizer(train_part, "embedding")
+    return tuple(samples.labelled_samples(p, stats, "vec_id", "embedding", "label") for p in (train_part, rest))
+
+
+def _training(model, target="label1", batch_size=None, start=None, epochs=None, mode=None, **options):
+    """Loss series of training on the one part of the table, and measures on the held-out part."""
 
     def query(spark, sf_dir):
-        data = z_samples(spark, sf_dir)
+        data, held_out = split_samples(spark, sf_dir)
         if target == "target":
-            data = samples.self_target(data)
+            data, held_out = samples.self_target(data), samples.self_target(held_out)
         settings = models.SETTINGS[options.get("settings", model.name)]
         run_id = f"{model.name}-run"
         log = MetricsLog(spark, scratch_dir(spark, "training"))
         methods = settings.validation
         train.fit(
-            data, model, settings.optim, settings.epochs,
-            settings.batch_size if batch_size is None else batch_size, settings.mode,
+            data, model, settings.optim, settings.epochs if epochs is None else epochs,
+            settings.batch_size if batch_size is None else batch_size, mode or settings.mode,
             target=target, start=start, log=train.Log(log, run_id),
-            validation=train.Validation(data, methods) if methods else None,
+            validation=train.Validation(held_out, methods) if methods else None,
         )
         scalars = spark.read.parquet(log.scalars)
         return scalars.select("run_id", "phase", "tag", "step", r6(F.col("value")).alias("value"))
@@ -717,8 +750,8 @@ def all_queries() -> dict:
         json_props, json_props_inferred, json_nested_people, sql_view_filter, row_count,
         row_count_by_label, row_count_by_split, normalized_by_training_split, take_n, run_name, normalizer_stats, mnist_like_samples,
         zero_based_labels, zip_by_position, reshape2d, self_target, minmax_scale, minibatches,
-        image_folder, image_sequence, idx_files, class_list, label_lines, score_linear,
-        predict_class, argmax, top_k, top_k_named, class_name_lookup, scores_by_name,
+        image_folder, image_sequence, idx_files, class_list, label_lines, text_lines, named_images, score_linear,
+        predict_class, argmax, top_k, top_k_named, class_name_lookup, order_customers, scores_by_name,
         prediction_and_truth, top1_accuracy, label_agreement, mean_loss, criteria, stream_score,
         classify_images, classify_named, resize_bilinear, param_shapes, param_histogram,
         saved_model, quantize, size_report, quantized_predictions, quant_agreement, warm_start,
@@ -740,14 +773,18 @@ def all_queries() -> dict:
         }.items()
     }
     training = {
-        "train_softmax": _training(LINEAR), "train_mlp": _training(MLP),
+        # four batches at the scale of the checks
+        "train_softmax": _training(LINEAR, batch_size=128, start=LINEAR.formula(), epochs=5),
+        "train_mlp": _training(MLP, batch_size=128, start=MLP.formula(), epochs=3),
         "train_softmax_full_batch": _training(LINEAR, batch_size=0, start=LINEAR.formula()),
         "train_mlp_full_batch": _training(MLP, batch_size=0, start=MLP.formula()),
         "train_lenet": _training(LENET),
         "train_lenet_graph": _training(LENET, settings="lenet_graph"),
         "train_rnn": _training(RNN), "train_lstm": _training(LSTM),
         "train_birnn": _training(BIRNN),
-        "train_autoencoder": _training(AUTOENCODER, target="target"),
+        "train_autoencoder": _training(
+            AUTOENCODER, target="target", start=AUTOENCODER.formula(), mode="sync"
+        ),
     }
     slopes = {
         f"{name}_slopes": _slopes(m)

@@ -1,4 +1,4 @@
-"""Lookups in dimension tables, broadcast only when they are known to be small."""
+"""Lookups in dimension tables."""
 
 from __future__ import annotations
 
@@ -7,35 +7,16 @@ from pyspark.sql import functions as F
 
 from gradmill.operators.samples import with_position
 
-BROADCAST_ROWS = 200_000
-BROADCAST_BYTES = 64 << 20
-SALTS = 32
 
-
-def is_small(dim: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether a table is within the bounds in rows and bytes; reads no more than the first."""
-    text = F.octet_length(F.to_json(F.struct(*dim.columns)))
-    row = dim.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(text.cast("bigint"))).first()
-    return row[0] <= max_rows and (row[1] or 0) <= BROADCAST_BYTES
-
-
-def lookup(
-    facts: DataFrame, dim: DataFrame, key: str, max_rows: int = BROADCAST_ROWS
-) -> DataFrame:
+def lookup(facts: DataFrame, dim: DataFrame, key: str, join: str | None = None) -> DataFrame:
     """Left join of ``facts`` to ``dim`` on ``key`` (unique in ``dim``).
 
-    The dimension is broadcast only if it is found to be small. A larger one is
-    joined by shuffle, each of its rows copied to ``SALTS`` salts and the fact
-    rows spread over them, so a key that holds a large share of the facts is
-    handled by many tasks. The salt is the same when a task is run again, and
-    equal rows of different partitions still part.
+    Spark broadcasts the dimension if its size, known or measured at run time, is
+    under the session's threshold; else both sides are shuffled, and adaptive
+    execution splits the partitions of hot keys. ``join`` may name a strategy
+    hint, such as ``merge``, for dimensions that are known to be large.
     """
-    if is_small(dim, max_rows):
-        return facts.join(F.broadcast(dim), key, "left")
-    copies = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    place = F.xxhash64(*facts.columns, F.spark_partition_id())
-    salt = F.pmod(place, F.lit(SALTS)).cast("int")
-    return facts.withColumn("_salt", salt).join(copies, [key, "_salt"], "left").drop("_salt")
+    return facts.join(dim.hint(join) if join else dim, key, "left")
 
 
 def numbered_values(df: DataFrame, value: str, into: str) -> DataFrame:
@@ -44,13 +25,22 @@ def numbered_values(df: DataFrame, value: str, into: str) -> DataFrame:
 
 
 def with_class_name(
-    df: DataFrame, names: DataFrame, class_id: str = "class_id", name: str = "name"
+    df: DataFrame, names: DataFrame, class_id: str = "class_id", name: str = "name",
+    join: str | None = None,
 ) -> DataFrame:
     """Add the name of a class index; unknown classes stay with a NULL name."""
     dim = names.select(F.col("class_id").alias(class_id), name)
-    return lookup(df, dim, class_id)
+    return lookup(df, dim, class_id, join)
 
 
-def collapse_by_name(scores: DataFrame, keys: list[str]) -> DataFrame:
-    """One score per ``(keys, name)``; where names repeat, the highest class id wins."""
-    return scores.groupBy(*keys, "name").agg(F.max_by("score", "class_id").alias("score"))
+def collapse_by_name(
+    scored: DataFrame, names: DataFrame, keys: list[str], classes: int
+) -> DataFrame:
+    """``(keys…, name, score)`` of ``scores`` arrays; where names repeat, the highest class id wins.
+
+    ``names`` is reduced to one of the ``classes`` per name first, so that scores
+    need no grouping. Classes without a name are left out.
+    """
+    last = names.where(F.col("class_id").between(0, classes - 1)).groupBy("name").agg(F.max("class_id").alias("class_id"))
+    flat = scored.select(*keys, F.posexplode("scores").alias("class_id", "score"))
+    return flat.join(last, "class_id").select(*keys, "name", "score")

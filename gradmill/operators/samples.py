@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gradmill.functions import arrays
-
-MAX_RANGES = 4096
-ROWS_PER_RANGE = 20_000
-SAMPLES_PER_RANGE = 20
+from gradmill.session import scratch_dir
 
 
 @dataclass(frozen=True)
@@ -62,66 +63,59 @@ def self_target(df: DataFrame, key: str = "id", features: str = "features") -> D
     return df.select(key, features, F.col(features).alias("target"))
 
 
-def _cuts(df: DataFrame, key: str, n: int, share: float) -> list:
-    """At most ``n - 1`` sampled keys that cut ``df`` into ranges of similar size."""
-    keys = df.select(key).where(F.col(key).isNotNull())
-    drawn = keys if share >= 1.0 else keys.sample(share, seed=7)
-    seen = sorted({row[0] for row in drawn.collect()})  # SAMPLES_PER_RANGE * n of them
-    return sorted({seen[len(seen) * i // n] for i in range(1, n)}) if seen else []
-
-
-def _range_of(key: Column, cuts: list) -> Column:
-    """Number of cuts not above the key, by halving steps over a literal array."""
-    if not cuts:
-        return F.lit(0)
-    table = F.array(*[F.lit(cut) for cut in cuts])
-    steps = F.array(*[F.lit(1 << b) for b in reversed(range(len(cuts).bit_length()))])
-    return F.aggregate(
-        steps,
-        F.lit(0),
-        lambda at, step: at + F.when(F.get(table, at + step - 1) <= key, step).otherwise(0),
-    )
-
-
-def _ranged(df: DataFrame, key: str, rows_per_range: int) -> tuple[DataFrame, list[int]]:
-    """``df`` with its key range as ``_range``, and the first position of every range."""
-    total = df.count()
-    n = min(MAX_RANGES, max(1, total // rows_per_range))
-    cuts = _cuts(df, key, n, SAMPLES_PER_RANGE * n / total) if n > 1 else []
-    ranged = df.withColumn("_range", _range_of(F.col(key), cuts))
-    sizes = dict(ranged.groupBy("_range").count().collect()) if cuts else {0: total}
-    starts = [0]
-    for r in range(len(cuts) + 1):
-        starts.append(starts[-1] + sizes.get(r, 0))
-    return ranged, starts
-
+def _ranked(df: DataFrame, key: str, ranges: int | None) -> tuple[DataFrame, DataFrame]:
+    """``(rows, sizes)``: ``df`` sorted into key ranges and written, and the rows before each range.
 
-def _numbered(ranged: DataFrame, starts: list[int], key: str, into: str) -> DataFrame:
-    place = F.row_number().over(Window.partitionBy("_range").orderBy(key)) - 1
-    first = F.get(F.array(*[F.lit(n).cast("bigint") for n in starts]), F.col("_range"))
-    return ranged.withColumn(into, place + first).drop("_range")
+    Every row knows its range ``_range`` and its place ``_place`` in it. One scan
+    and one shuffle; what follows reads the written table.
+    """
+    spark = df.sparkSession
+    n = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    fields = df.schema.fields + [T.StructField("_range", T.IntegerType()), T.StructField("_place", T.LongType())]
+    schema = T.StructType(fields)
+
+    def number(batches):
+        part, at = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            places = np.arange(at, at + batch.num_rows, dtype=np.int64)
+            at += batch.num_rows
+            whole = [*batch.columns, pa.array(np.full(len(places), part, np.int32)), pa.array(places)]
+            yield pa.RecordBatch.from_arrays(whole, schema.names)
+
+    path = scratch_dir(spark, "ranges")
+    df.repartitionByRange(n, key).sortWithinPartitions(key).mapInArrow(number, schema).write.parquet(path)
+    rows = spark.read.schema(schema).parquet(path)
+    sizes = rows.groupBy("_range").agg(F.count(F.lit(1)).alias("n"))
+    # one row per range, so this window stays small
+    before = F.sum("n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
+    return rows, sizes.select("_range", F.coalesce(before, F.lit(0)).alias("_first"), "n")
+
+
+def _numbered(rows: DataFrame, sizes: DataFrame, into: str) -> DataFrame:
+    firsts = sizes.select("_range", "_first")
+    position = (F.col("_first") + F.col("_place")).alias(into)
+    names = [c for c in rows.columns if c not in ("_range", "_place")]
+    return rows.join(firsts, "_range").select(*names, position)
 
 
 def with_position(
-    df: DataFrame, key: str, into: str = "pos", rows_per_range: int = ROWS_PER_RANGE
+    df: DataFrame, key: str, into: str = "pos", ranges: int | None = None
 ) -> DataFrame:
     """Number the rows 0, 1, … in the order of a unique key.
 
-    Rows are cut into key ranges; each range is numbered by a window of its
-    own and shifted by the number of rows before it, so no task ever sees more
-    than a range. The cuts only balance the work: any cuts give the same numbers.
+    Rows are sorted into key ranges (as many as the session has shuffle
+    partitions), each is numbered where it lies and shifted by the number of rows
+    before it. Any cuts give the same numbers.
     """
-    ranged, starts = _ranged(df, key, rows_per_range)
-    return _numbered(ranged, starts, key, into)
+    return _numbered(*_ranked(df, key, ranges), into)
 
 
 def zip_by_position(
-    a: DataFrame, b: DataFrame, key_a: str, key_b: str, rows_per_range: int = ROWS_PER_RANGE
+    a: DataFrame, b: DataFrame, key_a: str, key_b: str, ranges: int | None = None
 ) -> DataFrame:
     """Pair the i-th row of ``a`` with the i-th row of ``b``; sizes must agree."""
-    ranged_a, starts_a = _ranged(a, key_a, rows_per_range)
-    ranged_b, starts_b = _ranged(b, key_b, rows_per_range)
-    if starts_a[-1] != starts_b[-1]:
-        raise ValueError(f"cannot zip {starts_a[-1]} rows with {starts_b[-1]} rows")
-    left = _numbered(ranged_a, starts_a, key_a, "pos")
-    return left.join(_numbered(ranged_b, starts_b, key_b, "pos"), "pos")
+    ranked_a, ranked_b = _ranked(a, key_a, ranges), _ranked(b, key_b, ranges)
+    n_a, n_b = (sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] for _, sizes in (ranked_a, ranked_b))
+    if n_a != n_b:
+        raise ValueError(f"cannot zip {n_a} rows with {n_b} rows")
+    return _numbered(*ranked_a, "pos").join(_numbered(*ranked_b, "pos"), "pos")

@@ -171,6 +171,8 @@ KERNELS = {
 
 def nll(out, label1):
     rows, hit = np.arange(len(out)), label1.astype(int) - 1
+    if len(hit) and not 0 <= hit.min() <= hit.max() < out.shape[1]:
+        raise ValueError(f"labels must be from 1 to {out.shape[1]}")
     dout = np.zeros_like(out)
     dout[rows, hit] = -1.0
     return -out[rows, hit].sum(), dout

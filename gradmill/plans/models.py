@@ -58,6 +58,15 @@ class Model:
     def size(self) -> int:
         return sum(int(np.prod(s)) for s in self.shapes().values())
 
+    @property
+    def inputs(self) -> int:
+        return int(np.prod(self.input_shape))
+
+    @property
+    def outputs(self) -> int:
+        """Length of an output row: what the last linear layer gives."""
+        return next(sizes[1] for kind, _, *sizes in reversed(self.layers) if kind == "linear")
+
     def split(self, vector: np.ndarray) -> dict[tuple[str, str], np.ndarray]:
         out, at = {}, 0
         for key, shape in self.shapes().items():

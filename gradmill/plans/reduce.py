@@ -12,8 +12,6 @@ from pyspark.sql import DataFrame
 
 #: Values per row: long vectors travel as blocks that different tasks can add up.
 BLOCK = 1 << 16
-#: Bytes of vectors the driver adds up itself; beyond that tasks go between.
-DIRECT_BYTES = 64 << 20
 SCHEMA = "block int, slot int, n bigint, loss double, part array<double>"
 
 Partial = tuple[int, float, np.ndarray]
@@ -49,14 +47,9 @@ def _fold(batches: Iterator[pa.RecordBatch]) -> dict[int, list]:
     return sums
 
 
-def _adder(next_fan: int):
-    def add(batches):
-        sums = _fold(batches)
-        slot = TaskContext.get().partitionId() % next_fan
-        for block, (n, loss, part) in sums.items():
-            yield _batch([(block, slot, n, loss, part)])
-
-    return add
+def _add(batches):
+    for block, (n, loss, part) in _fold(batches).items():
+        yield _batch([(block, 0, n, loss, part)])
 
 
 def vector_sum(
@@ -64,18 +57,16 @@ def vector_sum(
     work: Callable[[Iterator[pa.RecordBatch]], Partial | None],
     parts: int,
     size: int,
-    direct_bytes: int = DIRECT_BYTES,
 ) -> Partial | None:
     """Run ``work`` once per partition and add up its ``(n, loss, vector)`` results.
 
     ``parts`` is the number of partitions of ``df``, ``size`` the length of a
-    vector. As long as all vectors together are small, the driver adds them up;
-    otherwise they pass through a level of about ``sqrt(parts)`` slots and a
+    vector. The vectors pass through a level of about ``sqrt(parts)`` slots and a
     last one of one row per block, so that the driver receives one vector
     whatever the size of the cluster. None if no task had rows.
     """
-    tree = parts > 1 and parts * size * 8 > direct_bytes
-    fan = math.isqrt(parts - 1) + 1 if tree else 1
+    fan = math.isqrt(max(parts, 1) - 1) + 1
+    blocks = min(fan, -(-max(size, 1) // BLOCK))
 
     def task(batches):
         done = work(batches)
@@ -87,9 +78,8 @@ def vector_sum(
             yield _batch([(block, slot, n, loss, vector[at : at + BLOCK])])
 
     partials = df.mapInArrow(task, SCHEMA)
-    if tree:
-        partials = partials.repartition(fan, "slot", "block").mapInArrow(_adder(1), SCHEMA)
-        partials = partials.repartition(fan, "block").mapInArrow(_adder(1), SCHEMA)
+    partials = partials.repartition(fan, "slot", "block").mapInArrow(_add, SCHEMA)
+    partials = partials.repartition(blocks, "block").mapInArrow(_add, SCHEMA)
     sums = _fold(partials.toArrow().to_batches())
     if not sums:
         return None

@@ -19,12 +19,47 @@ from gradmill.plans.models import Model
 Params = DataFrame | np.ndarray
 
 
-def dense(column: pa.Array) -> np.ndarray:
-    """A list column (nested to any depth) as one float64 row per sample."""
+def rows_of(column: pa.Array, width: int, keys: pa.Array | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """``(x, good)``: the complete rows of a list column as float64, and which rows they are.
+
+    Lists may be nested to any depth. A row that is NULL or has a NULL inside is
+    not complete; a complete row without exactly ``width`` values is an error
+    that names its key.
+    """
     n = len(column)
-    while pa.types.is_list(column.type) or pa.types.is_large_list(column.type):
+    owner, missing = np.arange(n), np.zeros(n, bool)
+    while True:
+        missing[owner[column.is_null().to_numpy(zero_copy_only=False)]] = True
+        if not (pa.types.is_list(column.type) or pa.types.is_large_list(column.type)):
+            break
+        owner = np.repeat(owner, column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
         column = column.flatten()
-    return column.to_numpy(zero_copy_only=False).astype(np.float64).reshape(n, -1)
+    good = ~missing
+    counts = np.bincount(owner, minlength=n)
+    if (wrong := np.flatnonzero(good & (counts != width))).size:
+        at = int(wrong[0])
+        raise ValueError(f"{_row_name(at, keys)}: {counts[at]} values where {width} are expected")
+    values = column.to_numpy(zero_copy_only=False).astype(np.float64)
+    return values[good[owner]].reshape(-1, width), good
+
+
+def check_labels(label1: np.ndarray, classes: int, keys: pa.Array | None = None) -> None:
+    """Raise, naming the key, unless all labels are whole numbers from 1 to ``classes``."""
+    good = (label1 >= 1) & (label1 <= classes) & (label1 == np.floor(label1))
+    if (wrong := np.flatnonzero(~good)).size:
+        at = int(wrong[0])
+        raise ValueError(f"{_row_name(at, keys)}: label {label1[at]:g} is not one of 1 to {classes}")
+
+
+def _row_name(at: int, keys: pa.Array | None) -> str:
+    return f"row {at} of its batch" if keys is None else f"key {keys[at].as_py()!r}"
+
+
+def _placed(out: pa.Array, good: np.ndarray) -> pa.Array:
+    """``out`` at the good rows, NULL at the others."""
+    if good.all():
+        return out
+    return out.take(pa.array(np.where(good, np.cumsum(good) - 1, 0), mask=~good))
 
 
 def _list_array(values: np.ndarray) -> pa.Array:
@@ -53,19 +88,26 @@ def _scored(df, model, params, keep, features, kind: str, emit) -> DataFrame:
     )
 
     if isinstance(features, Pixels):
-        inputs, read = features.inputs(), features.reader()
+        inputs, pixels = features.inputs(), features.reader()
     else:
-        inputs, read = [F.col(features)], lambda arrays: dense(arrays[0])
+        inputs, pixels = [F.col(features)], None
     n_keep = len(keep)
 
+    def read(columns, keys):
+        if pixels is None:
+            return rows_of(columns[0], model.inputs, keys)
+        x = pixels(columns)
+        return x, np.ones(len(x), bool)
+
     def score(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x = read(batch.columns[n_keep:])
             columns = batch.columns[:n_keep]
+            x, good = read(batch.columns[n_keep:], columns[0] if columns else None)
             for vector in shared.value.values():
-                columns.append(emit(model.forward(vector, x).reshape(len(x), -1)))
+                out = model.forward(vector, x).reshape(len(x), -1) if len(x) else np.zeros((0, 0))
+                columns.append(_placed(emit(out), good))
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     named = [c.alias(f"_x{i}") for i, c in enumerate(inputs)]
@@ -83,7 +125,8 @@ def predict(
 
     ``features`` is an array column, or images to be transformed on the way in.
     Lazy and shuffle-free: keys and labels travel with their row, so nothing has
-    to be paired afterwards. A mapping ``{column: params}`` scores several
+    to be paired afterwards. Rows whose array is NULL or has a NULL inside get NULL;
+    a length that the model does not take is an error. A mapping ``{column: params}`` scores several
     versions of the model in the same pass.
     """
     versions = params if isinstance(params, Mapping) else {"scores": params}
@@ -106,8 +149,8 @@ def predict_top_k(
 
 
 def predict_class(scores: Column) -> Column:
-    """1-based class of the best score."""
-    return arrays.argmax(scores) + 1
+    """1-based class of the best score; ties as in :func:`decided_class`."""
+    return decided_class(scores) + 1
 
 
 def decided_class(scores: Column, digits: int = 9) -> Column:

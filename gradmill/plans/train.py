@@ -4,9 +4,10 @@
                of the minibatch, the sum is reduced over the cluster and the
                driver updates the parameters. The result does not depend on
                the partitioning (up to rounding). For large batches.
-``local_sgd``  one job per epoch: every task runs minibatch steps over its
-               partition and the results are averaged, weighted by rows
-               (Zinkevich et al., 2010). For batches too small to pay a job.
+``local_sgd``  one job per epoch: a fixed number of workers, to which rows belong
+               by a hash of their key, run minibatch steps and the results are
+               averaged, weighted by rows (Zinkevich et al., 2010). For batches
+               too small to pay a job. The cluster does not change the result.
 """
 
 from __future__ import annotations
@@ -16,8 +17,10 @@ import math
 from collections.abc import Callable
 from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
+from typing import NamedTuple
 
 import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -31,11 +34,13 @@ from gradmill.plans.kernels import CRITERIA
 from gradmill.plans.models import SETTINGS, Model
 from gradmill.plans.optim import Optimizer
 from gradmill.plans.reduce import vector_sum
-from gradmill.plans.score import dense
+from gradmill.plans.score import check_labels, rows_of
 
 Trigger = Callable[[int, int], bool]
 #: Epochs between two writes of the log (also written at every checkpoint and at the end).
 FLUSH_EPOCHS = 10
+#: Workers of ``local_sgd`` unless the job says otherwise; part of the job, not of the cluster.
+WORKERS = 8
 
 
 def max_epoch(n: int) -> Trigger:
@@ -102,8 +107,10 @@ class Checkpoint:
         """Continue ``fit`` from the newest complete epoch, if there is one."""
         try:
             table = spark.read.parquet(self.path)
-        except AnalysisException:  # nothing saved yet
-            return False
+        except AnalysisException as e:
+            if e.getCondition() == "PATH_NOT_FOUND":  # nothing saved yet
+                return False
+            raise
         epoch = table.agg(F.max("epoch")).first()[0]
         rows = table.where(F.col("epoch") == epoch)
         own = {r["param"]: r["values"] for r in rows.where("layer = '_fit'").collect()}
@@ -121,31 +128,69 @@ class Fit:
     optim: Optimizer
     epoch: int = 0
     step: int = 0
+    skipped: int = 0
     losses: list[tuple[int, float]] = field(default_factory=list)
     scores: list[tuple[str, int, float]] = field(default_factory=list)
 
 
+class GradientSum(NamedTuple):
+    """Sums over the complete rows, and how many rows were passed over for a NULL."""
+
+    rows: int
+    loss: float
+    gradient: np.ndarray
+    skipped: int
+
+
+def _pair(df: DataFrame, features: str, target: str, key: str | None, *more: str) -> DataFrame:
+    """``(x, y, key, more…)``; labels travel as one-element arrays, so that both columns read alike."""
+    named = F.col(key).cast("string") if key else F.lit(None).cast("string")
+    x, y = F.col(features).alias("x"), _as_array(df, target).alias("y")
+    return df.select(x, y, named.alias("key"), *more)
+
+
+def _read_pair(batch, model: Model) -> tuple[np.ndarray, np.ndarray, int]:
+    """``(x, y, skipped)`` of the rows of a batch that are complete on both sides, checked."""
+    labelled = model.criterion != "mse"
+    keys = batch.column(2)
+    x, good_x = rows_of(batch.column(0), model.inputs, keys)
+    y, good_y = rows_of(batch.column(1), 1 if labelled else model.outputs, keys)
+    good = good_x & good_y
+    x, y = x[good[good_x]], y[good[good_y]]
+    if labelled:
+        y = y[:, 0]
+        check_labels(y, model.outputs, keys.take(pa.array(np.flatnonzero(good))))
+    return x, y, int(len(good) - good.sum())
+
+
 def gradient_sum(
-    df: DataFrame, model: Model, vector: np.ndarray, features: str, target: str, parts: int
-):
-    """``(rows, loss sum, gradient sum)`` of all rows of ``df``; None if it is empty."""
+    df: DataFrame, model: Model, vector: np.ndarray, features: str, target: str, parts: int,
+    key: str | None = None,
+) -> GradientSum | None:
+    """The sums of all rows of ``df``; None if there is no complete one.
+
+    A complete row of a wrong length, or with a label out of range, is an error
+    that names its ``key``.
+    """
     shared = df.sparkSession.sparkContext.broadcast(vector)
 
     def work(batches):
-        n, loss, total = 0, 0.0, 0.0
+        n, loss, total, skipped = 0, 0.0, np.zeros(model.size), 0
         for batch in batches:
-            if batch.num_rows:
-                x, y = dense(batch.column(0)), dense(batch.column(1))
-                part, gradient = model.loss_and_gradient(shared.value, x, _target(y))
+            x, y, nulls = _read_pair(batch, model)
+            skipped += nulls
+            if len(x):
+                part, gradient = model.loss_and_gradient(shared.value, x, y)
                 n, loss, total = n + len(x), loss + part, total + gradient
-        return (n, loss, total) if n else None
+        return (n, loss, np.append(total, skipped)) if n or skipped else None
 
-    # labels travel as one-element arrays, so that both columns read alike
-    pair = df.select(F.col(features).alias("x"), _as_array(df, target).alias("y"))
     try:
-        return vector_sum(pair, work, parts, model.size)
+        done = vector_sum(_pair(df, features, target, key), work, parts, model.size + 1)
     finally:
         shared.destroy()
+    if done is None or not done[0]:
+        return None
+    return GradientSum(done[0], done[1], done[2][:-1], int(done[2][-1]))
 
 
 def _as_array(df: DataFrame, col: str):
@@ -153,40 +198,54 @@ def _as_array(df: DataFrame, col: str):
     return F.col(col) if is_array else F.array(F.col(col).cast("double"))
 
 
-def _target(y: np.ndarray) -> np.ndarray:
-    return y[:, 0] if y.shape[1] == 1 else y
-
+def _local_pass(df: DataFrame, model: Model, fit: Fit, features, target, batch_size, workers, parts):
+    """One epoch of steps per worker; returns rows, loss sum and the weighted states.
 
-def _local_pass(df: DataFrame, model: Model, fit: Fit, features, target, batch_size, parts):
-    """One epoch of partition-local steps; returns rows, loss sum and the weighted state."""
+    ``df`` is sorted by ``_worker`` within its partitions and no worker is in two
+    of them. Behind the states come the steps each worker has made.
+    """
     start = df.sparkSession.sparkContext.broadcast((fit.vector, fit.optim))
+    size = model.size * (1 + fit.optim.slots) + 1
 
     def work(batches):
-        vector, optim = start.value[0], copy.deepcopy(start.value[1])
-        n, loss, held_x, held_y = 0, 0.0, None, None
+        n, loss, total, steps = 0, 0.0, np.zeros(size), np.zeros(workers)
+        worker, vector, optim, own = None, None, None, 0
+        held_x, held_y = np.zeros((0, 0)), np.zeros(0)
 
         def take(x, y):
-            nonlocal vector, n, loss
-            part, gradient = model.loss_and_gradient(vector, x, _target(y))
+            nonlocal vector, n, loss, own
+            part, gradient = model.loss_and_gradient(vector, x, y)
             vector = optim.step(vector, gradient / len(x))
-            n, loss = n + len(x), loss + part
+            n, loss, own = n + len(x), loss + part, own + len(x)
+            steps[worker] += 1
+
+        def finish():
+            nonlocal total
+            if worker is not None:
+                if len(held_x):
+                    take(held_x, held_y)
+                total = total + own * np.concatenate([vector, optim.pack()])
 
         for batch in batches:
-            x, y = dense(batch.column(0)), dense(batch.column(1))
-            if held_x is not None:
-                x, y = np.concatenate([held_x, x]), np.concatenate([held_y, y])
-            whole = len(x) // batch_size * batch_size
-            for at in range(0, whole, batch_size):
-                take(x[at : at + batch_size], y[at : at + batch_size])
-            held_x, held_y = x[whole:], y[whole:]
-        if held_x is not None and len(held_x):
-            take(held_x, held_y)
-        return (n, loss, n * np.concatenate([vector, optim.pack()])) if n else None
-
-    pair = df.select(F.col(features).alias("x"), _as_array(df, target).alias("y"))
+            of = batch.column(3).to_numpy()
+            for w in np.unique(of).tolist():
+                at = np.flatnonzero(of == w)
+                x, y, _ = _read_pair(batch.slice(at[0], len(at)), model)
+                if w != worker:
+                    finish()
+                    worker, vector, optim, own = w, start.value[0], copy.deepcopy(start.value[1]), 0
+                elif len(held_x):
+                    x, y = np.concatenate([held_x, x]), np.concatenate([held_y, y])
+                whole = len(x) // batch_size * batch_size
+                for i in range(0, whole, batch_size):
+                    take(x[i : i + batch_size], y[i : i + batch_size])
+                held_x, held_y = x[whole:], y[whole:]
+        finish()
+        return (n, loss, np.concatenate([total, steps])) if n else None
+
+    pair = _pair(df, features, target, "_key", "_worker")
     try:
-        state_size = model.size * (1 + fit.optim.slots)
-        return vector_sum(pair, work, parts, state_size)
+        return vector_sum(pair, work, parts, size + workers)
     finally:
         start.destroy()
 
@@ -215,14 +274,16 @@ def fit(
     checkpoint: Checkpoint | None = None,
     resume: bool = False,
     partitions: int | None = None,
+    workers: int = WORKERS,
     seed: int = 0,
 ) -> Fit:
     """Train ``model`` on ``(key, features, target)`` rows.
 
     Settings left out come from :data:`SETTINGS`; ``batch_size`` 0 means all rows
     per step. The samples are kept in memory and on disk where they are read;
-    ``local_sgd``, or a number of ``partitions``, first spreads them by a hash of
-    the key. An epoch reorders rows within their task only.
+    ``local_sgd`` first deals them to its ``workers``, a number of ``partitions``
+    spreads them by key. An epoch reorders rows within their task only. Rows with
+    a NULL in features or target are passed over and counted in ``Fit.skipped``.
     """
     preset = SETTINGS.get(model.name)
     optim = copy.deepcopy(optim or preset.optim)
@@ -239,11 +300,11 @@ def fit(
         checkpoint.load(spark, model, run)
     columns = [F.col(c) for c in dict.fromkeys((features, target))]
     samples = df.select(F.col(key).alias("_key"), *columns)
-    if partitions or mode == "local_sgd":
-        # mixes the classes, which may arrive sorted, and evens out the tasks
-        samples = samples.repartition(
-            partitions or spark.sparkContext.defaultParallelism, "_key"
-        )
+    if mode == "local_sgd":
+        worker = F.pmod(keyed_hash(F.col("_key"), seed), F.lit(workers)).cast("int")
+        samples = samples.withColumn("_worker", worker).repartition(partitions or workers, "_worker")
+    elif partitions:
+        samples = samples.repartition(partitions, "_key")
     samples = samples.persist(StorageLevel.MEMORY_AND_DISK)
     if validation:
         held_out = validation.data.select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
@@ -261,7 +322,7 @@ def fit(
                                      parts, seed, log)
             else:
                 logged = _local_epoch(samples, model, run, features, target,
-                                      batch_size or n_rows, n_rows, parts, seed)
+                                      batch_size or n_rows, workers, parts, seed)
                 if log and any(log.parameters(run.epoch, s) for s in range(first_step + 1, run.step + 1)):
                     _log_parameters(spark, model, run, log)
             run.epoch += 1
@@ -315,13 +376,13 @@ def _sync_epoch(samples, model, run, features, target, batch_size, n_rows, parts
     try:
         for b in range(n_batches):
             rows = batches.where(F.col("_batch") == b) if n_batches > 1 else batches
-            done = gradient_sum(rows, model, run.vector, features, target, parts)
+            done = gradient_sum(rows, model, run.vector, features, target, parts, "_key")
             if done is None:
                 continue
-            n, loss, gradient = done
-            run.vector = run.optim.step(run.vector, gradient / n)
+            run.skipped += done.skipped
+            run.vector = run.optim.step(run.vector, done.gradient / done.rows)
             run.step += 1
-            logged.append((run.step, _finite(loss / n, run.step)))
+            logged.append((run.step, _finite(done.loss / done.rows, run.step)))
             if log and log.parameters(run.epoch, run.step):
                 _log_parameters(samples.sparkSession, model, run, log)
     finally:
@@ -330,12 +391,19 @@ def _sync_epoch(samples, model, run, features, target, batch_size, n_rows, parts
     return logged
 
 
-def _local_epoch(samples, model, run, features, target, batch_size, n_rows, parts, seed):
-    shuffled = samples.sortWithinPartitions(keyed_hash(F.col("_key"), seed, run.epoch))
-    n, loss, state = _local_pass(shuffled, model, run, features, target, batch_size, parts)
-    run.vector = state[: model.size] / n
-    run.optim.unpack(state[model.size :] / n)
-    run.step += math.ceil(n_rows / (batch_size * parts))
+def _local_epoch(samples, model, run, features, target, batch_size, workers, parts, seed):
+    order = keyed_hash(F.col("_key"), seed, run.epoch)
+    shuffled = samples.sortWithinPartitions("_worker", order, "_key")
+    done = _local_pass(shuffled, model, run, features, target, batch_size, workers, parts)
+    if done is None:
+        return []
+    n, loss, state = done
+    state, steps = state[:-workers] / n, state[-workers:]
+    run.vector, before = state[: model.size], run.optim.t
+    run.optim.unpack(state[model.size :])
+    # workers step side by side: what counts is the longest of them
+    made = int(steps.max())
+    run.optim.t, run.step = before + made, run.step + made
     return [(run.step, _finite(loss / n, run.step))]
 
 
@@ -348,31 +416,27 @@ def validate(
     validation: Validation, model: Model, vector, features: str = "features",
     target: str = "label1",
 ) -> list[tuple[str, float]]:
-    """The measures of ``validation.methods`` in one pass over its data, without a shuffle."""
+    """The measures of ``validation.methods`` in one pass over its data; one row of sums per task moves."""
     df = validation.data
     shared = df.sparkSession.sparkContext.broadcast(vector)
 
     def work(batches):
-        n, loss, hits = 0, 0.0, 0
         for batch in batches:
-            if batch.num_rows:
-                x, y = dense(batch.column(0)), _target(dense(batch.column(1)))
+            x, y, _ = _read_pair(batch, model)
+            if len(x):
                 out = model.forward(shared.value, x)
-                n, loss = n + len(x), loss + CRITERIA[model.criterion](out, y)[0]
-                if y.ndim == 1:
-                    hits += int((out.argmax(1) == y - 1).sum())
-        return (n, float(loss), np.array([float(hits)])) if n else None
+                loss = float(CRITERIA[model.criterion](out, y)[0])
+                hits = int((out.argmax(1) == y - 1).sum()) if y.ndim == 1 else 0
+                yield pa.RecordBatch.from_pydict({"n": [len(x)], "loss": [loss], "hits": [hits]})
 
-    pair = df.select(F.col(features).alias("x"), _as_array(df, target).alias("y"))
+    measured = _pair(df, features, target, None).mapInArrow(work, "n bigint, loss double, hits bigint")
     try:
-        # a single value per task: always added up by the driver
-        done = vector_sum(pair, work, parts=1, size=1)
+        n, loss, hits = measured.agg(F.sum("n"), F.sum("loss"), F.sum("hits")).first()
     finally:
         shared.destroy()
-    if done is None:
+    if not n:
         return []
-    n, loss, hits = done
-    measures = {"Top1Accuracy": hits[0] / n, "Loss": loss / n}
+    measures = {"Top1Accuracy": hits / n, "Loss": loss / n}
     return [(m, float(measures[m])) for m in validation.methods]
 
 

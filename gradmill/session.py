@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import os
+import re
 import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 #: Settings every job of this package is happy with.
 BASE_CONF = {
@@ -16,6 +17,8 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # heavy work per row: small splits, so that all cores take part without moving rows
+    "spark.sql.files.maxPartitionBytes": "32m",
 }
 
 #: Fixed values for training: every executor registered before the first step,
@@ -49,28 +52,18 @@ def get_session(
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under the shared ``spark.checkpoint.dir``.
 
-    Only a local session, whose executors share the driver's disk, may fall
-    back to a temporary folder when the setting is absent.
+    Only in a local session, whose executors are the driver, it is set to a
+    temporary folder if it is unset.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="gradmill-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """A file scan, redistributed only if it has fewer splits than there are cores.
-
-    That is the case of small inputs alone (at most one split per core, so the
-    move is bounded); a large scan has splits enough and is returned as it is.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
-
-
 def ship_package(spark: SparkSession) -> None:
     """Make this package importable in the Python workers of a running session."""
     sc = spark.sparkContext

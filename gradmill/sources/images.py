@@ -55,20 +55,32 @@ def image_folder(
     return lookup(images, classes, "label_name")
 
 
-def named_images(spark: SparkSession, names: Mapping[str, str]) -> DataFrame:
-    """``(name, path, height, width, nChannels, data)`` for a ``{name: path}`` list."""
-    wanted = spark.createDataFrame(list(names.items()), "name string, wanted string")
-    scan = spark.read.format("image").option("dropInvalid", True).load(list(names.values()))
+def named_images(
+    spark: SparkSession, names: Mapping[str, str] | DataFrame, root: str | None = None
+) -> DataFrame:
+    """``(name, path, height, width, nChannels, data)`` for a list of named files.
+
+    The list is ``{name: path}``, or for any number of files a table ``(name,
+    path)`` of files below the folder ``root``.
+    """
+    reader = spark.read.format("image").option("dropInvalid", True)
+    if isinstance(names, DataFrame):
+        wanted = names.select("name", F.col("path").alias("wanted"))
+        scan = reader.option("recursiveFileLookup", True).load(root)
+    else:
+        wanted = spark.createDataFrame(list(names.items()), "name string, wanted string")
+        scan = reader.load(list(names.values()))
     plain = F.regexp_replace(F.col("path"), "^file:/+", "/")
     key = F.regexp_replace(F.col("wanted"), "^file:/+", "/")
     images = _flat(scan, []).withColumn("key", plain)
-    return lookup(images, wanted.select("name", key.alias("key")), "key").drop("key")
+    return images.join(wanted.select("name", key.alias("key")), "key").drop("key")
 
 
 def image_sequence(spark: SparkSession, path: str, shape: tuple[int, int, int]) -> DataFrame:
     """``(label_name, height, width, nChannels, data)`` from a (text, bytes) sequence file.
 
     The key is the class, the value the row-major unsigned bytes of one image.
+    No DataFrame reader knows this format, so records pass through Python one by one.
     """
     pairs = spark.sparkContext.sequenceFile(path).map(lambda kv: (kv[0], bytes(kv[1])))
     table = spark.createDataFrame(pairs, "label_name string, data binary")

@@ -2,15 +2,24 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
 def infer_json_schema(df: DataFrame, col: str) -> T.StructType:
-    """The schema that fits every string of ``col`` (one pass over that column)."""
-    strings = df.select(F.col(col).alias("s")).where("s IS NOT NULL").rdd.map(lambda r: r[0])
-    return df.sparkSession.read.json(strings).schema
+    """The schema that fits every string of ``col``: one aggregate with partial results.
+
+    Strings that are no JSON are passed over; numbers with a fraction are doubles.
+    """
+    found = df.agg(F.schema_of_variant_agg(F.try_parse_json(col)).alias("s")).first()["s"]
+    if not found or not found.startswith("OBJECT<"):
+        return T.StructType()  # no string holds an object
+    for variant, plain in ((r"\bOBJECT<", "STRUCT<"), (r"\bDECIMAL\(\d+,\s*\d+\)", "DOUBLE"), (r"\bVOID\b", "STRING")):
+        found = re.sub(variant, plain, found)
+    return T.StructType.fromDDL(f"s {found}")["s"].dataType
 
 
 def read_json_strings(

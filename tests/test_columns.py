@@ -156,13 +156,13 @@ def test_normalizer_is_global_and_population(spark):
     assert np.mean(np.square([r["features"] for r in rows])) == pytest.approx(1.0)
 
 
-@pytest.mark.parametrize("rows_per_range", [7, 1000])
-def test_with_position_numbers_in_key_order(spark, rows_per_range):
+@pytest.mark.parametrize("ranges", [1, 7, None])
+def test_with_position_numbers_in_key_order(spark, ranges):
     df = spark.range(500).select((F.col("id") * 7919 % 500 - 100).alias("k")).repartition(5)
-    rows = samples.with_position(df, "k", rows_per_range=rows_per_range).collect()
+    rows = samples.with_position(df, "k", ranges=ranges).collect()
     assert sorted((r["k"], r["pos"]) for r in rows) == [(i - 100, i) for i in range(500)]
     named = df.select(F.format_string("%05d", F.col("k") + 100).alias("k"))
-    rows = samples.with_position(named, "k", rows_per_range=rows_per_range).collect()
+    rows = samples.with_position(named, "k", ranges=ranges).collect()
     assert sorted((int(r["k"]), r["pos"]) for r in rows) == [(i, i) for i in range(500)]
 
 
@@ -174,20 +174,20 @@ def test_zip_needs_equal_sizes(spark):
     assert empty.count() == 0
 
 
-def test_large_dimension_is_joined_by_shuffle_with_salt(spark):
+def test_dimension_joined_by_broadcast_or_shuffle(spark):
     facts = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 50).alias("class_id"))
     dim = spark.range(40).select(F.col("id").alias("class_id"), F.concat(F.lit("n"), "id").alias("name"))
     small = lookup.lookup(facts, dim, "class_id")
-    large = lookup.lookup(facts, dim, "class_id", max_rows=10)
+    large = lookup.lookup(facts, dim, "class_id", join="merge")
     assert sorted(small.select("id", "name").collect()) == sorted(large.select("id", "name").collect())
     assert small.count() == 3000 and small.where("name IS NULL").count() > 0
-    assert "_salt" not in large.columns
+    assert "SortMergeJoin" in large._jdf.queryExecution().executedPlan().toString()
 
 
 def test_duplicate_names_collapse_to_the_last_class(spark):
-    rows = [(1, 0, "crane", 0.7), (1, 1, "kite", 0.1), (1, 2, "crane", 0.2)]
-    df = spark.createDataFrame(rows, "id int, class_id int, name string, score double")
-    got = {r["name"]: r["score"] for r in lookup.collapse_by_name(df, ["id"]).collect()}
+    df = spark.createDataFrame([(1, [0.7, 0.1, 0.2])], "id int, scores array<double>")
+    names = spark.createDataFrame([(0, "crane"), (1, "kite"), (2, "crane"), (3, "kite")], "class_id int, name string")
+    got = {r["name"]: r["score"] for r in lookup.collapse_by_name(df, names, ["id"], 3).collect()}
     assert got == {"crane": 0.2, "kite": 0.1}
 
 

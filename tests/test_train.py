@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.errors import PythonException
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from gradmill.operators.metrics import MetricsLog
 from gradmill.plans import models, score, train
 from gradmill.plans.optim import SGD, Adam
 from gradmill.plans.reduce import vector_sum
-from gradmill.plans.score import dense
+from gradmill.plans.score import rows_of
 from gradmill.session import scratch_dir
 
 
@@ -66,13 +67,13 @@ def test_gradient_vanishes_where_the_ml_library_ends(data):
         ("score", "weight"): ml.coefficientMatrix.toArray(),
         ("score", "bias"): ml.interceptVector.toArray(),
     })
-    n, loss, gradient = train.gradient_sum(data, model, solution, "features", "label1", 8)
-    start = train.gradient_sum(data, model, np.zeros(model.size), "features", "label1", 8)[2]
-    assert loss / n < np.log(10)
-    assert np.abs(gradient).max() < 1e-2 * np.abs(start).max()
+    end = train.gradient_sum(data, model, solution, "features", "label1", 8)
+    start = train.gradient_sum(data, model, np.zeros(model.size), "features", "label1", 8)
+    assert end.loss / end.rows < np.log(10)
+    assert np.abs(end.gradient).max() < 1e-2 * np.abs(start.gradient).max()
 
 
-def test_local_sgd_on_one_partition_is_the_serial_loop(data, spark):
+def test_local_sgd_with_one_worker_is_the_serial_loop(data, spark):
     model, optim = models.softmax(64, 10), Adam()
     optim.start(model.size)
     vector = model.init(0)
@@ -83,48 +84,101 @@ def test_local_sgd_on_one_partition_is_the_serial_loop(data, spark):
         for at in range(0, len(x), 64):
             g = model.loss_and_gradient(vector, x[at : at + 64], y[at : at + 64])[1]
             vector = optim.step(vector, g / len(x[at : at + 64]))
-    fitted = train.fit(data, model, Adam(), 2, 64, "local_sgd", partitions=1)
+    fitted = train.fit(data, model, Adam(), 2, 64, "local_sgd", workers=1)
     assert np.abs(fitted.vector - vector).max() < 1e-9
     assert fitted.optim.t == optim.t
 
 
 def test_local_sgd_averages_by_rows(data):
     model = models.softmax(64, 10)
-    a = train.fit(data, model, SGD(0.1), 1, 32, "local_sgd", partitions=5)
-    b = train.fit(data, model, SGD(0.1), 1, 32, "local_sgd", partitions=5)
+    a = train.fit(data, model, SGD(0.1), 1, 32, "local_sgd", workers=5)
+    b = train.fit(data, model, SGD(0.1), 1, 32, "local_sgd", workers=5)
     assert np.abs(a.vector - b.vector).max() < 1e-12
     assert a.losses[0][1] < 2.6
 
 
-def test_vector_sum_gives_the_same_through_the_tree(spark):
-    df = spark.range(0, 1000, 1, 23).select(F.array(F.col("id").cast("double")).alias("x"))
+@pytest.mark.parametrize("parts", [1, 2, 23])
+def test_vector_sum(spark, parts):
+    df = spark.range(0, 1000, 1, parts).select(F.array(F.col("id").cast("double")).alias("x"))
     size = 70_000  # more than one block
 
     def work(batches):
         n, total = 0, np.zeros(size)
         for batch in batches:
-            values = dense(batch.column(0))
+            values, _ = rows_of(batch.column(0), 1)
             n += len(values)
             total[0] += values.sum()
             total[-1] += len(values)
         return (n, float(n), total) if n else None
 
-    direct = vector_sum(df, work, 23, size)
-    tree = vector_sum(df, work, 23, size, direct_bytes=0)
-    for n, loss, total in (direct, tree):
-        assert (n, loss, len(total)) == (1000, 1000.0, size)
-        assert (total[0], total[-1]) == (499500.0, 1000.0)
+    n, loss, total = vector_sum(df, work, parts, size)
+    assert (n, loss, len(total)) == (1000, 1000.0, size)
+    assert (total[0], total[-1]) == (499500.0, 1000.0)
 
 
 def test_vector_sum_of_nothing(spark):
     empty = spark.range(0).select(F.array(F.col("id").cast("double")))
-    assert vector_sum(empty, lambda batches: None, 4, 1, 0) is None
+    assert vector_sum(empty, lambda batches: None, 4, 1) is None
+
+
+UNEVEN = [(1, [1.0, 2.0, 3.0], 1), (2, [4.0, 5.0, 6.0, 7.0, 8.0], 2)]
+NULLS = [(1, [1.0, 2.0, 3.0, 4.0], 1), (2, None, 2), (3, [1.0, None, 3.0, 4.0], 2), (4, [1.0] * 4, None)]
+ROWS = "id int, x array<double>, label1 int"
+
+
+def test_uneven_rows_and_strange_labels_are_errors(spark):
+    model = models.softmax(4, 3)
+    weights = model.formula()
+    uneven = spark.createDataFrame(UNEVEN, ROWS).coalesce(1)
+    with pytest.raises(PythonException, match="key 1: 3 values where 4 are expected"):
+        score.predict(uneven, model, weights, ["id"], "x").collect()
+    with pytest.raises(PythonException, match="key '1': 3 values where 4"):
+        train.gradient_sum(uneven, model, weights, "x", "label1", 1, "id")
+    with pytest.raises(PythonException, match="3 values where 4"):
+        train.fit(uneven, model, SGD(0.1), 1, 0, "local_sgd", features="x")
+    with pytest.raises(PythonException, match="3 values where 4"):
+        train.validate(train.Validation(uneven), model, weights, "x")
+    for label in (0, 4):
+        wrong = spark.createDataFrame([(7, [1.0] * 4, 1), (8, [1.0] * 4, label)], ROWS)
+        with pytest.raises(PythonException, match=f"key '8': label {label} is not one of 1 to 3"):
+            train.gradient_sum(wrong, model, weights, "x", "label1", 8, "id")
+        with pytest.raises(PythonException, match="is not one of 1 to 3"):
+            train.validate(train.Validation(wrong), model, weights, "x")
+
+
+def test_null_rows_stay_null_and_are_counted(spark):
+    model = models.softmax(4, 3)
+    weights = model.formula()
+    df = spark.createDataFrame(NULLS, ROWS).coalesce(1)
+    scored = {r["id"]: r["scores"] for r in score.predict(df, model, weights, ["id"], "x").collect()}
+    assert scored[2] is None and scored[3] is None and len(scored[1]) == len(scored[4]) == 3
+    best = {r["id"]: r["best"] for r in score.predict_top_k(df, model, weights, ["id"], 2, "x").collect()}
+    assert best[2] is None and len(best[1]) == 2
+    done = train.gradient_sum(df, model, weights, "x", "label1", 1, "id")
+    alone = train.gradient_sum(df.where("id = 1"), model, weights, "x", "label1", 1, "id")
+    assert (done.rows, done.skipped, done.loss) == (1, 3, alone.loss)
+    assert np.array_equal(done.gradient, alone.gradient)
+    assert train.fit(df, model, SGD(0.1), 2, 0, "sync", features="x").skipped == 6
+    assert train.validate(train.Validation(df, ("Loss",)), model, weights, "x") == [("Loss", pytest.approx(alone.loss))]
+    nothing = df.where("x IS NULL")
+    assert train.gradient_sum(nothing, model, weights, "x", "label1", 1) is None
+    assert score.predict(nothing, model, weights, ["id"], "x").first()["scores"] is None
+
+
+@pytest.mark.parametrize("partitions", [1, 3, 20])
+def test_local_sgd_does_not_depend_on_the_cluster(data, partitions):
+    model = q.LINEAR
+    options = dict(epochs=2, batch_size=16, mode="local_sgd", workers=5)
+    one = train.fit(data, model, SGD(0.1), partitions=5, **options)
+    other = train.fit(data, model, SGD(0.1), partitions=partitions, **options)
+    assert np.abs(one.vector - other.vector).max() < 1e-12
+    assert one.step == other.step and one.optim.t == one.step
 
 
 def test_loss_falls_for_every_model(data):
     for model in (q.LINEAR, q.MLP, q.LENET, q.RNN, q.LSTM, q.BIRNN):
         optim = Adam(0.02)
-        fitted = train.fit(data, model, optim, 4, 64, "local_sgd", partitions=2)
+        fitted = train.fit(data, model, optim, 4, 64, "local_sgd", workers=2)
         assert fitted.losses[-1][1] < fitted.losses[0][1], model.name
     pairs = samples.self_target(data)
     fitted = train.fit(pairs, q.AUTOENCODER, Adam(0.02), 4, 64, "local_sgd", target="target")
