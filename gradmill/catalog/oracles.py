@@ -18,6 +18,9 @@ def unnested(source: str, keep: str, values: str, into: str = "value") -> str:
     )
 
 
+#: Units in the hidden layers of the network and of the autoencoder.
+H, CODE = 256, 32
+
 X = "list_transform(embedding, lambda v: v::DOUBLE)"
 STATS = (
     "stats AS (SELECT count(v) n, avg(v) m, stddev_pop(v) s "
@@ -142,12 +145,12 @@ def _slopes(forward, params: list[tuple[str, str]], logits: bool, step: float =
 def _mlp() -> Forward:
     weights = ", ".join(
         f"{matrix(o, i, 2 * n)} AS w{n}, {vector(o, 2 * n + 1)} AS b{n}"
-        for n, (i, o) in enumerate(((64, 16), (16, 12), (12, 10)))
+        for n, (i, o) in enumerate(((64, H), (H, H), (H, 10)))
     )
     return _forward(
         weights,
-        ("h1", mapped(affine("x", 16, "w0", "b0"), RELU)),
-        ("h2", mapped(affine("h1", 12, "w1", "b1"), RELU)),
+        ("h1", mapped(affine("x", H, "w0", "b0"), RELU)),
+        ("h2", mapped(affine("h1", H, "w1", "b1"), RELU)),
         ("z", affine("h2", 10, "w2", "b2")),
         ("y", log_softmax("z")),
     )
@@ -155,12 +158,12 @@ def _mlp() -> Forward:
 
 def _autoencoder() -> Forward:
     weights = (
-        f"{matrix(16, 64, 0)} AS w0, {vector(16, 1)} AS b0, "
-        f"{matrix(64, 16, 2)} AS w1, {vector(64, 3)} AS b1"
+        f"{matrix(CODE, 64, 0)} AS w0, {vector(CODE, 1)} AS b0, "
+        f"{matrix(64, CODE, 2)} AS w1, {vector(64, 3)} AS b1"
     )
     return _forward(
         weights,
-        ("h", mapped(affine("x", 16, "w0", "b0"), RELU)),
+        ("h", mapped(affine("x", CODE, "w0", "b0"), RELU)),
         ("y", mapped(affine("h", 64, "w1", "b1"), SIGMOID)),
     )
 
@@ -480,33 +483,33 @@ def _gradient(weights: str, steps: list[tuple[str, str]], layers) -> str:
 def _mlp_gradient() -> str:
     weights = ", ".join(
         f"{matrix(o, i, 2 * n)} AS w{n}, {vector(o, 2 * n + 1)} AS b{n}"
-        for n, (i, o) in enumerate(((64, 16), (16, 12), (12, 10)))
+        for n, (i, o) in enumerate(((64, H), (H, H), (H, 10)))
     )
     steps = [
-        ("h1", mapped(affine("x", 16, "w0", "b0"), RELU)),
-        ("h2", mapped(affine("h1", 12, "w1", "b1"), RELU)),
+        ("h1", mapped(affine("x", H, "w0", "b0"), RELU)),
+        ("h2", mapped(affine("h1", H, "w1", "b1"), RELU)),
         ("z", affine("h2", 10, "w2", "b2")),
         ("lp", log_softmax("z")),
         ("d3", "list_transform(lp, lambda v, i: exp(v) - CASE WHEN i = label1 THEN 1 ELSE 0 END)"),
-        ("d2", gated(back("w2", 12, 10, "d3"), "h2")),
-        ("d1", gated(back("w1", 16, 12, "d2"), "h1")),
+        ("d2", gated(back("w2", H, 10, "d3"), "h2")),
+        ("d1", gated(back("w1", H, H, "d2"), "h1")),
     ]
-    layers = [("fc1", "x", 64, "d1", 16), ("fc2", "h1", 16, "d2", 12), ("fc3", "h2", 12, "d3", 10)]
+    layers = [("fc1", "x", 64, "d1", H), ("fc2", "h1", H, "d2", H), ("fc3", "h2", H, "d3", 10)]
     return _gradient(weights, steps, layers)
 
 
 def _autoencoder_gradient() -> str:
     weights = (
-        f"{matrix(16, 64, 0)} AS w0, {vector(16, 1)} AS b0, "
-        f"{matrix(64, 16, 2)} AS w1, {vector(64, 3)} AS b1"
+        f"{matrix(CODE, 64, 0)} AS w0, {vector(CODE, 1)} AS b0, "
+        f"{matrix(64, CODE, 2)} AS w1, {vector(64, 3)} AS b1"
     )
     steps = [
-        ("h", mapped(affine("x", 16, "w0", "b0"), RELU)),
+        ("h", mapped(affine("x", CODE, "w0", "b0"), RELU)),
         ("y", mapped(affine("h", 64, "w1", "b1"), SIGMOID)),
         ("d2", "list_transform(list_zip(x, y), lambda v: 2 * (v[2] - v[1]) / 64 * v[2] * (1 - v[2]))"),
-        ("d1", gated(back("w1", 16, 64, "d2"), "h")),
+        ("d1", gated(back("w1", CODE, 64, "d2"), "h")),
     ]
-    return _gradient(weights, steps, [("encoder", "x", 64, "d1", 16), ("decoder", "h", 16, "d2", 64)])
+    return _gradient(weights, steps, [("encoder", "x", 64, "d1", CODE), ("decoder", "h", CODE, "d2", 64)])
 
 
 #: Training and held-out rows, both normalized by the statistics of the training rows.
@@ -826,11 +829,11 @@ def all_oracles() -> dict[str, str]:
         "softmax_sync_steps": _sync_steps(),
         "resumed_training": _sync_steps(),
         "train_softmax_full_batch": _run("softmax-run", [64, 10], 20, 0.2),
-        "train_mlp_full_batch": _run("mlp-run", [64, 16, 12, 10], 15, 0.2),
+        "train_mlp_full_batch": _run("mlp-run", [64, H, H, 10], 15, 0.2),
         # four batches: 128 rows each of about 400
         "train_softmax": _run("softmax-run", [64, 10], 5, 0.2, 4),
-        "train_mlp": _run("mlp-run", [64, 16, 12, 10], 3, 0.2, 4),
-        "train_autoencoder": _run("autoencoder-run", [64, 16, 64], 2, None, 4),
+        "train_mlp": _run("mlp-run", [64, H, H, 10], 3, 0.2, 4),
+        "train_autoencoder": _run("autoencoder-run", [64, CODE, 64], 2, None, 4),
         "score_mlp": _scores(_mlp()),
         "score_lenet": _scores(_lenet()),
         "score_rnn": _scores(_rnn()),

@@ -481,12 +481,12 @@ def criteria(spark, sf_dir):
     )
 
 
-MLP = models.mlp(DIM, (16, 12), CLASSES)
+MLP = models.mlp(DIM, (256, 256), CLASSES)
 LENET = models.lenet(SIDE, (3, 2), (6, 12), 20, CLASSES)
 RNN = models.rnn(SIDE, SIDE, 8, CLASSES)
 LSTM = models.lstm(SIDE, SIDE, 8, CLASSES)
 BIRNN = models.birnn(SIDE, SIDE, 8, CLASSES)
-AUTOENCODER = models.autoencoder(DIM, 16)
+AUTOENCODER = models.autoencoder(DIM, 32)
 
 
 def _score_query(model):
