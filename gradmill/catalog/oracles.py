@@ -531,13 +531,16 @@ def _adam(t: int, old: str, g: str, m: str, v: str) -> tuple[str, str, str]:
     return f"{old} - 0.001::DOUBLE * ({hat_m}) / (sqrt({hat_v}) + 1e-8::DOUBLE)", m1, v1
 
 
-def _run(run_id: str, sizes: list[int], epochs: int, rate: float | None, batches: int = 1) -> str:
+def _run(
+    run_id: str, sizes: list[int], epochs: int, rate: float | None, batches: int = 1, renewed: int = 0
+) -> str:
     """Descent of a rectifier network on the training rows, measured on the held-out ones.
 
     ``rate`` None is Adam on the network that reproduces its input, without
     validation. Batches are hash classes of the key. Per step: forward pass and
     errors of every row (``f``), mean gradients (``g``, ``c``), new weights
-    (``p``); the logged loss is that before the step.
+    (``p``); the logged loss is that before the step. After ``renewed`` steps the
+    last layer starts afresh and a new run is logged.
     """
     dense = list(zip(sizes, sizes[1:]))
     top, copying = len(dense) - 1, rate is None
@@ -598,19 +601,76 @@ def _run(run_id: str, sizes: list[int], epochs: int, rate: float | None, batches
             else:
                 new.append(f"{grid(f'{w} - {rate}::DOUBLE * {g}')} AS w{n}")
                 new.append(f"{line(f'{b} - {rate}::DOUBLE * {c}')} AS b{n}")
+        if t + 1 == renewed:
+            i, o = dense[top]
+            new[-2:] = [f"{matrix(o, i, 2 * top)} AS w{top}", f"{vector(o, 2 * top + 1)} AS b{top}"]
         sql += f", p{t + 1} AS MATERIALIZED (SELECT {', '.join(new)} FROM {', '.join(sources)})"
     out = [
-        f"SELECT '{run_id}' AS run_id, 'train' AS phase, 'Loss' AS tag, {t + 1} AS step, "
+        f"SELECT '{run_id}' AS run_id, 'train' AS phase, 'Loss' AS tag, {t + 1 - renewed} AS step, "
         f"{r6(f'avg({loss})')} AS value FROM f{t}"
-        for t in range(epochs * batches)
+        for t in range(renewed, epochs * batches)
     ]
-    for epoch in range(1, 1 if copying else epochs + 1):
+    for epoch in range(1 + renewed, 1 if copying else epochs + 1):
         held_out = passed(f"(SELECT * FROM (SELECT * FROM z WHERE split = 'test'), p{epoch * batches})", forward)
         hit = f"avg(CASE WHEN list_position({y}, list_max({y})) = label1 THEN 1 ELSE 0 END)"
-        out.append(f"SELECT '{run_id}', 'val', 'Top1Accuracy', {epoch * batches}, {r6(hit)} FROM {held_out}")
+        step = epoch * batches - renewed
+        out.append(f"SELECT '{run_id}', 'val', 'Top1Accuracy', {step}, {r6(hit)} FROM {held_out}")
     return sql + " " + " UNION ALL ".join(out)
 
 
+def _local_head(result: str, workers: int = 8, size: int = 16, epochs: int = 2, steps: int = 8) -> str:
+    """Worker-local steps of rate 0.01 and decay 2e-4 from the class means, averaged per epoch by rows.
+
+    ``steps`` batches of ``size`` rows are more than any worker has at the scale of the checks.
+    """
+    sql = (
+        f"WITH {CENTROIDS}, {Z}, zw AS MATERIALIZED (SELECT *, {draw('id', 0, 0)} % {workers} AS worker FROM z), "
+        "p0 AS MATERIALIZED (SELECT (SELECT list(v ORDER BY idx) FROM params WHERE param = 'weight') AS w, "
+        "(SELECT list(v ORDER BY idx) FROM params WHERE param = 'bias') AS b, 0 AS t), "
+        "own AS MATERIALIZED (SELECT worker, count(*) AS n FROM zw GROUP BY worker)"
+    )
+    logits = (
+        "list_transform(range(10), lambda k: list_dot_product(w[k * 64 + 1:k * 64 + 64], features) + b[k + 1])"
+    )
+    off = "list_transform(o, lambda v, i: exp(v) - CASE WHEN i = label1 THEN 1 ELSE 0 END)"
+    for e in range(epochs):
+        number = f"(row_number() OVER (PARTITION BY worker ORDER BY {draw('id', 0, e)}, id) - 1) // {size}"
+        sql += f", r{e} AS MATERIALIZED (SELECT *, {number} AS step FROM zw)"
+        sql += f", s{e}_0 AS MATERIALIZED (SELECT worker, w, b, t FROM own, p{e})"
+        for s in range(steps):
+            sql += (
+                f", d{e}_{s} AS MATERIALIZED (SELECT worker, features, {off} AS d FROM "
+                f"(SELECT *, {log_softmax(logits)} AS o FROM r{e} JOIN s{e}_{s} USING (worker) WHERE step = {s})), "
+                f"g{e}_{s} AS MATERIALIZED (SELECT worker, list(v ORDER BY q) AS g FROM "
+                "(SELECT worker, q, avg(CASE WHEN q < 640 THEN features[q % 64 + 1] * d[q // 64 + 1] "
+                "ELSE d[q - 640 + 1] END) AS v "
+                f"FROM (SELECT *, unnest(range(650)) AS q FROM d{e}_{s}) GROUP BY worker, q) GROUP BY worker), "
+                f"s{e}_{s + 1} AS MATERIALIZED (SELECT worker, "
+                + ", ".join(
+                    f"CASE WHEN g IS NULL THEN {k} ELSE list_transform({k}, lambda v, i: "
+                    f"v - 0.01::DOUBLE / (1 + t * 2e-4::DOUBLE) * g[i + {at}]) END AS {k}"
+                    for k, at in (("w", 0), ("b", 640))
+                )
+                + f", t + CASE WHEN g IS NULL THEN 0 ELSE 1 END AS t FROM s{e}_{s} LEFT JOIN g{e}_{s} USING (worker))"
+            )
+        mean = lambda k, n: (
+            f"(SELECT list(v ORDER BY q) FROM (SELECT q, sum(n * {k}[q + 1]) / sum(n) AS v FROM "
+            f"(SELECT n, {k}, unnest(range({n})) AS q FROM s{e}_{steps} JOIN own USING (worker)) GROUP BY q))"  # noqa: B023
+        )
+        sql += (
+            f", p{e + 1} AS MATERIALIZED (SELECT {mean('w', 640)} AS w, {mean('b', 10)} AS b, "
+            f"(SELECT max(t) FROM s{e}_{steps}) AS t)"
+        )
+    if result == "weights":
+        return (
+            f"{sql} SELECT 'classifier' AS layer, 'weight' AS param, i AS idx, {r6('w[i + 1]')} AS value FROM "
+            f"(SELECT w, unnest(range(640)) AS i FROM p{epochs}) UNION ALL SELECT 'classifier', 'bias', i, "
+            f"{r6('b[i + 1]')} FROM (SELECT b, unnest(range(10)) AS i FROM p{epochs})"
+        )
+    scored = f"(SELECT id, label1, {log_softmax(logits)} AS o FROM z, p{epochs})"
+    return f"{sql} SELECT id, label1, {best('o')} + 1 AS class1 FROM {scored}"
+
+
 _CELL = [("recurrent", p) for p in ("i2h", "h2h", "bias")]
 _HEAD = [("score", "weight"), ("score", "bias")]
 
@@ -833,6 +893,9 @@ def all_oracles() -> dict[str, str]:
         # four batches: 128 rows each of about 400
         "train_softmax": _run("softmax-run", [64, 10], 5, 0.2, 4),
         "train_mlp": _run("mlp-run", [64, H, H, 10], 3, 0.2, 4),
+        "transfer_trunk": _run("trunk-run", [64, H, H, 10], 5, 0.2, renewed=2),
+        "transfer_head": _local_head("classes"),
+        "transfer_head_weights": _local_head("weights"),
         "train_autoencoder": _run("autoencoder-run", [64, CODE, 64], 2, None, 4),
         "score_mlp": _scores(_mlp()),
         "score_lenet": _scores(_lenet()),

@@ -734,16 +734,45 @@ def _training(model, target="label1", batch_size=None, start=None, epochs=None,
     return query
 
 
-def transfer_head(spark, sf_dir):
-    """Head trained on trunk features; its weights start at the class means."""
-    data = z_samples(spark, sf_dir)
-    model = models.head(DIM, CLASSES)
+def _head_fit(spark, sf_dir):
+    """A head trained by worker-local steps on trunk features; its weights start at the class means."""
+    data, model = z_samples(spark, sf_dir), models.head(DIM, CLASSES)
     given = centroid_params(spark, sf_dir).withColumn("layer", F.lit("classifier"))
-    fitted = train.transfer_head(data, model, given)
+    return data, model, train.transfer(data, model, given, match_all=True)
+
+
+def transfer_head(spark, sf_dir):
+    data, model, fitted = _head_fit(spark, sf_dir)
     scored = score.predict(data, model, fitted.vector, ["id", "label1"])
     return scored.select("id", "label1", score.predict_class(F.col("scores")).alias("class1"))
 
 
+def transfer_head_weights(spark, sf_dir):
+    _, model, fitted = _head_fit(spark, sf_dir)
+    return _vector_rows(spark, model, fitted.vector)
+
+
+TRUNK = models.Model(
+    "trunk", MLP.input_shape,
+    tuple(("linear", "fc3_new", *layer[2:]) if layer[1] == "fc3" else layer for layer in MLP.layers),
+    MLP.criterion,
+)
+
+
+def transfer_trunk(spark, sf_dir):
+    """A trained network whose renamed last layer starts afresh; all layers are trained on."""
+    data, held_out = split_samples(spark, sf_dir)
+    old = train.fit(data, MLP, SGD(0.2), 2, 0, "sync", start=MLP.formula())
+    pretrained = model_store.to_table(spark, MLP, old.vector)
+    log = MetricsLog(spark, scratch_dir(spark, "training"))
+    train.transfer(
+        data, TRUNK, pretrained, fresh=TRUNK.formula(), optim=SGD(0.2), epochs=3, batch_size=0, mode="sync",
+        log=train.Log(log, "trunk-run"), validation=train.Validation(held_out),
+    )
+    scalars = spark.read.parquet(log.scalars)
+    return scalars.select("run_id", "phase", "tag", "step", r6(F.col("value")).alias("value"))
+
+
 def all_queries() -> dict:
     plain = [
         word_count, word_count_turns, log_error_count, event_error_count, document_lines,
@@ -756,7 +785,7 @@ def all_queries() -> dict:
         classify_images, classify_named, resize_bilinear, param_shapes, param_histogram,
         saved_model, quantize, size_report, quantized_predictions, quant_agreement, warm_start,
         metrics_log, softmax_grad_zero, mlp_gradient, autoencoder_gradient, softmax_sync_steps,
-        resumed_training, written_predictions, transfer_head,
+        resumed_training, written_predictions, transfer_head, transfer_head_weights, transfer_trunk,
     ]
     named = {f.__name__: f for f in plain}
     pixel = {

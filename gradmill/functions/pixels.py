@@ -136,6 +136,17 @@ class Pixels:
         return replace(self, columns=(None,) * len(self.columns), steps=steps).stack
 
 
+#: Images a task transforms at once: a result may be many times larger than its input.
+IMAGES = 64
+
+
+def sliced(batches, rows: int = IMAGES):
+    """Arrow batches cut to at most ``rows`` rows."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def _lists(stack: np.ndarray, present: np.ndarray) -> pa.Array:
     ends = np.concatenate([[0], np.cumsum(present * int(np.prod(stack.shape[1:])))])
     return pa.ListArray.from_arrays(
@@ -152,7 +163,7 @@ def transformed(df: DataFrame, pixels: Pixels, keep: list[str], into: str = "fea
     schema = T.StructType([*fields, T.StructField(into, T.ArrayType(T.FloatType()))])
 
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             arrays = batch.columns[n_keep:]
             valid = arrays[0].is_valid()
             present = valid.to_numpy(zero_copy_only=False)
@@ -167,6 +178,9 @@ def from_array(pixels: Column, height: int, width: int, channels: int) -> Pixels
     """Images of one size held in an array column."""
 
     def read(column: pa.Array) -> np.ndarray:
+        lengths = column.value_lengths().to_numpy(zero_copy_only=False)
+        if (lengths != height * width * channels).any():
+            raise ValueError(f"images of {sorted(set(lengths.tolist()))} values, not {height} x {width} x {channels}")
         values = column.flatten().to_numpy(zero_copy_only=False)
         return values.reshape(-1, height, width, channels)
 

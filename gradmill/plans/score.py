@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gradmill.functions import arrays
-from gradmill.functions.pixels import Pixels
+from gradmill.functions.pixels import Pixels, sliced
 from gradmill.operators.lookup import with_class_name
 from gradmill.operators.model_store import to_vector
 from gradmill.plans.models import Model
@@ -96,11 +96,13 @@ def _scored(df, model, params, keep, features, kind: str, emit) -> DataFrame:
     def read(columns, keys):
         if pixels is None:
             return rows_of(columns[0], model.inputs, keys)
-        x = pixels(columns)
-        return x, np.ones(len(x), bool)
+        there = columns[0].is_valid()
+        good = there.to_numpy(zero_copy_only=False)
+        x = pixels([c.filter(there) for c in columns]) if good.any() else np.zeros((0, model.inputs))
+        return x, good
 
     def score(batches):
-        for batch in batches:
+        for batch in batches if pixels is None else sliced(batches):
             if not batch.num_rows:
                 continue
             columns = batch.columns[:n_keep]

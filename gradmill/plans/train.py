@@ -440,14 +440,17 @@ def validate(
     return [(m, float(measures[m])) for m in validation.methods]
 
 
-def transfer_head(
-    features: DataFrame, model: Model, pretrained: DataFrame, match_all: bool = False, **options
+def transfer(
+    data: DataFrame, model: Model, pretrained: DataFrame, match_all: bool = False,
+    fresh: np.ndarray | None = None, **options
 ) -> Fit:
-    """Train a classification head on trunk features, warm-started by layer name.
+    """Train all layers of ``model``, started from a parameter table by layer name.
 
-    ``pretrained`` gives the layers it has; a renamed head starts fresh.
+    ``pretrained`` gives the layers it has; a renamed layer, such as a new head,
+    starts at ``fresh``, or at random values.
     """
-    spark = features.sparkSession
-    fresh = model_store.to_table(spark, model, model.init(options.get("seed", 0)))
-    start = model_store.warm_start(fresh, pretrained, match_all)
-    return fit(features, model, start=start, **options)
+    spark = data.sparkSession
+    if fresh is None:
+        fresh = model.init(options.get("seed", 0))
+    start = model_store.warm_start(model_store.to_table(spark, model, fresh), pretrained, match_all)
+    return fit(data, model, start=start, **options)

@@ -46,18 +46,40 @@ def _header(stream) -> tuple[int, ...]:
     return struct.unpack(f">{n_dims}i", stream.read(4 * n_dims))
 
 
+def _measured(spark: SparkSession, pairs: list[tuple[str, str]]) -> list[tuple[int, int, int]]:
+    """``(count, height, width)`` of every pair of files; tasks open them, not the driver."""
+
+    def run(batches):
+        for batch in batches:
+            found = []
+            for images, labels in zip(*(batch.column(c).to_pylist() for c in ("images", "labels"))):
+                with _open(images) as f:
+                    count, height, width = _header(f)
+                with _open(labels) as f:
+                    n_labels = _header(f)[0]
+                if n_labels != count:
+                    raise ValueError(f"{count} images but {n_labels} labels in {images}")
+                found.append((count, height, width))
+            columns = zip(*found) if found else ((), (), ())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("n"), *(pa.array(c, pa.int32()) for c in columns)],
+                names=["n", "count", "height", "width"],
+            )
+
+    rows = [(n, *pair) for n, pair in enumerate(pairs)]
+    table = spark.createDataFrame(rows, "n int, images string, labels string")
+    parts = min(len(rows), spark.sparkContext.defaultParallelism)
+    heads = table.repartition(parts).mapInArrow(run, "n int, count int, height int, width int")
+    return [tuple(r)[1:] for r in sorted(heads.collect())]
+
+
 class IdxReader(DataSourceReader):
     def __init__(self, options):
         pairs = zip(options["images"].split(","), options["labels"].split(","), strict=True)
         self.splits = int(options.get("splits", "0"))
+        self.height, self.width = int(options["height"]), int(options["width"])
         self.files, first_id = [], 0
-        for images, labels in pairs:
-            with _open(images) as f:
-                count, self.height, self.width = _header(f)
-            with _open(labels) as f:
-                n_labels = _header(f)[0]
-            if n_labels != count:
-                raise ValueError(f"{count} images but {n_labels} labels in {images}")
+        for (images, labels), count in zip(pairs, map(int, options["counts"].split(",")), strict=True):
             self.files.append((images, labels, count, first_id))
             first_id += count
 
@@ -117,7 +139,12 @@ def read_idx(
     a pair are read at the same record range, so pairing them needs no join.
     ``splits`` per file; 0 aims at 64 MB of pixels per task.
     """
+    images, labels = ([p] if isinstance(p, str) else list(p) for p in (images, labels))
+    measured = _measured(spark, list(zip(images, labels, strict=True)))
+    if len({(height, width) for _, height, width in measured}) > 1:
+        raise ValueError("the image files have different image sizes")
     spark.dataSource.register(IdxSource)
-    one = lambda paths: paths if isinstance(paths, str) else ",".join(paths)
-    reader = spark.read.format("idx").option("images", one(images)).option("labels", one(labels))
-    return reader.option("splits", splits).load()
+    reader = spark.read.format("idx").option("images", ",".join(images)).option("labels", ",".join(labels))
+    reader = reader.option("counts", ",".join(str(count) for count, *_ in measured))
+    _, height, width = measured[0]
+    return reader.option("height", height).option("width", width).option("splits", splits).load()

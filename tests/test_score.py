@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gradmill.catalog import queries as q
+from gradmill.functions import pixels as px
 from gradmill.operators import model_store, quant
 from gradmill.plans import models, score
 from gradmill.session import scratch_dir
@@ -104,3 +105,9 @@ def test_write_predictions_never_overwrites(spark, sf_dir):
     assert spark.read.parquet(path).count() == scored.count()
     with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
         score.write_predictions(scored, path)
+
+
+def test_images_of_wrong_length_are_errors(spark):
+    df = spark.createDataFrame([(1, [1.0] * 11), (2, [1.0] * 13)], "id int, v array<double>").coalesce(1)
+    with pytest.raises(Exception, match="not 2 x 2 x 3"):
+        px.transformed(df, px.from_array(F.col("v"), 2, 2, 3), ["id"]).collect()

@@ -254,13 +254,13 @@ def test_diverging_loss_is_an_error(data):
         train.fit(data, q.LINEAR, SGD(0.1), 1, 0, "sync", start=bad)
 
 
-def test_transfer_head_starts_from_the_pretrained_layer(data, spark):
+def test_transfer_starts_from_the_pretrained_layer(data, spark):
     model = models.head(64, 10)
     given = model_store.to_table(spark, model, np.ones(model.size))
-    fitted = train.transfer_head(data, model, given, epochs=0)
+    fitted = train.transfer(data, model, given, epochs=0)
     assert np.array_equal(fitted.vector, np.ones(model.size))
     renamed = given.withColumn("layer", F.lit("loss3"))
-    fresh = train.transfer_head(data, model, renamed, epochs=0)
+    fresh = train.transfer(data, model, renamed, epochs=0)
     assert np.allclose(fresh.vector, model.init(0))
     with pytest.raises(ValueError, match="no pretrained"):
-        train.transfer_head(data, model, renamed, match_all=True)
+        train.transfer(data, model, renamed, match_all=True)
