@@ -294,12 +294,13 @@ def star_components(links: DataFrame) -> DataFrame:
     links = kept(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
     while True:
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        # written before it is joined: only plain sides of a join are split where keys are hot
+        least = kept(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "star-least")
         large = kept(
             both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
             .where("a <> b").distinct(), "large-star",
         )
-        lower = large.groupBy("a").agg(F.min("b").alias("m"))
+        lower = kept(large.groupBy("a").agg(F.min("b").alias("m")), "star-lower")
         small = large.join(lower, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         after = kept(small.unionByName(lower.select("a", F.col("m").alias("b"))).distinct(), "small-star")
         if _digest(after) == _digest(links):
@@ -321,7 +322,7 @@ def components(marks: DataFrame, max_bits: int = MAX_BITS, bucket: int = BUCKET)
         first.join(roots, F.col("fp") == F.col("node"), "left")
         .select("fp", "first", F.coalesce("root", "fp").alias("root")), "simhash-roots",
     )
-    names = named.groupBy("root").agg(F.min("first").alias("component_id"))
+    names = kept(named.groupBy("root").agg(F.min("first").alias("component_id")), "simhash-names")
     return named.join(names, "root").select("fp", "component_id")
 
 
