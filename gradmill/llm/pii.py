@@ -41,7 +41,7 @@ LABELS = len(KINDS) + 1  # 0 is none
 SAMPLE_DOCS = 4096
 SAMPLE_TOKENS = 20_000
 SLOTS = 1 << 14
-FEATURES = 10
+FEATURES = 11
 STEPS = 12
 SURE = 0.9
 _OBSERVED = 30.0
@@ -134,11 +134,13 @@ def _features(text: str, start: int, end: int) -> list[int]:
     token = text[start:min(end, start + 200)]
     digits = sum(c.isdigit() for c in token)
     form = re.sub(r"[0-9]+", lambda m: f"9{min(len(m[0]), 20)}", _LETTERS.sub("a", token))[:60]
+    number = "".join(_DIGITS.findall(token))
+    check = _luhn(number) if 12 <= len(number) <= 19 else ""
     marks = "".join(sorted({c for c in token if not c.isalnum()}))
     return [_slot(x) for x in (
         "bias", "f" + form, "F" + re.sub(r"9\d*", "9", form), f"d{min(digits, 24)}", "m" + marks,
         f"l{min(end - start, 40)}", "s" + token[:2], "@" + str("@" in token),
-        "p" + _neighbour(text, start, -1), "n" + _neighbour(text, end, 1),
+        "p" + _neighbour(text, start, -1), "n" + _neighbour(text, end, 1), f"u{check}",
     )]
 
 
