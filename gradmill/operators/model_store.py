@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,11 +18,15 @@ MAX_BYTES = 1 << 30
 
 def to_table(spark: SparkSession, model: Model, vector: np.ndarray) -> DataFrame:
     """The parameters of a model as rows."""
-    rows = [
-        (layer, param, list(value.shape), value.ravel().tolist())
-        for (layer, param), value in model.split(vector).items()
-    ]
-    return spark.createDataFrame(rows, SCHEMA)
+    parts = model.split(vector)
+    ends = np.cumsum([0, *(value.size for value in parts.values())]).astype(np.int32)
+    flat = np.concatenate([value.ravel() for value in parts.values()]).astype(np.float64)
+    table = pa.table({
+        "layer": [layer for layer, _ in parts], "param": [param for _, param in parts],
+        "shape": pa.array([list(v.shape) for v in parts.values()], pa.list_(pa.int32())),
+        "values": pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
+    })
+    return spark.createDataFrame(table, SCHEMA)
 
 
 def to_vector(model: Model, params: DataFrame | np.ndarray) -> np.ndarray:
@@ -41,11 +46,14 @@ def to_vector(model: Model, params: DataFrame | np.ndarray) -> np.ndarray:
         fits = fits | (named & (F.size("values") == int(np.prod(shape))))
     rows = params.where(fits).select("layer", "param", "shape", "values").limit(len(shapes) + 1)
     found = {}
-    for row in rows.toArrow().to_pylist():
-        key = row["layer"], row["param"]
+    table = rows.toArrow()
+    heads = zip(*(table.column(c).to_pylist() for c in ("layer", "param", "shape")))
+    for n, (layer, param, shape) in enumerate(heads):
+        key = layer, param
         if key in found:
             raise ValueError(f"parameter {key} is in the table twice")
-        found[key] = np.array(row["values"]).reshape(row["shape"])
+        values = table.column("values")[n].values.to_numpy(zero_copy_only=False)
+        found[key] = values.astype(np.float64).reshape(shape)
     for key, shape in shapes.items():
         if key not in found or found[key].shape != shape:
             raise ValueError(f"parameter {key} of shape {shape} is missing from the table")

@@ -147,6 +147,7 @@ def lenet(
     side: int = 28, kernel: tuple[int, int] = (5, 5), channels: tuple[int, int] = (6, 12),
     n_fc: int = 100, n_classes: int = 10,
 ) -> Model:
+    """The names of the layers and the default sizes."""
     end = ((side - kernel[0] + 1) // 2 - kernel[1] + 1) // 2
     layers = (
         ("conv", "conv1", 1, channels[0], kernel[0]), ("tanh", "tanh1"), ("max_pool", "pool1"),
