@@ -101,7 +101,7 @@ def fit_model(slots: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Mod
     rng = np.random.default_rng(seed)
     w, v, b = np.zeros(len(used)), rng.normal(0, 0.01, (FACTORS, len(used))), model.bias
     gw, gv, gb = np.full(len(used), 1e-2), np.ones(v.shape), 1.0
-    for _ in range(max(EPOCHS, -(-LEAST_STEPS * BATCH // n))):
+    for _ in range(max(EPOCHS, -(-LEAST_STEPS // -(-n // BATCH)))):
         order = rng.permutation(n)
         for at in range(0, n, BATCH):
             part = order[at:at + BATCH]
