@@ -95,7 +95,7 @@ def fit_model(slots: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Mod
         return model
     docs = np.bincount(np.concatenate(slots), minlength=size)
     used = np.flatnonzero(docs >= LEAST_DOCS)
-    place = np.full(size, -1, np.int64)
+    place = np.full(size, -1, np.int32)
     place[used] = np.arange(len(used))
     rows = [p[p >= 0] for p in (place[s] for s in slots)]
     rng = np.random.default_rng(seed)
@@ -152,10 +152,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         .join(F.broadcast(chosen), "doc_id")  # at most `sample` narrow rows
         .select(F.xxhash64("doc_id", "text").alias("h"), "toxic", "text")
         .mapInArrow(_slot_batches, "h long, toxic int, slots binary")
-        .orderBy("h", "slots").limit(sample).toPandas()
+        .orderBy("h", "slots").limit(sample).toArrow()
     )
-    slots = [np.frombuffer(s, np.int32) for s in rows["slots"]]
-    return fit_model(slots, (rows["toxic"].to_numpy(np.float64) > 0).astype(np.float64))
+    slots = [np.frombuffer(s.as_buffer(), np.int32) for s in rows.column("slots")]
+    return fit_model(slots, (rows.column("toxic").to_numpy() > 0).astype(np.float64))
 
 
 def _slot_batches(batches):
