@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 
 #: Values per row: long vectors travel as blocks that different tasks can add up.
 BLOCK = 1 << 16
+#: Vectors that one task of the last level may add up without a level before it.
+FAN = 16
 SCHEMA = "block int, slot int, n bigint, loss double, part array<double>"
 
 Partial = tuple[int, float, np.ndarray]
@@ -61,12 +63,13 @@ def vector_sum(
     """Run ``work`` once per partition and add up its ``(n, loss, vector)`` results.
 
     ``parts`` is the number of partitions of ``df``, ``size`` the length of a
-    vector. The vectors pass through a level of about ``sqrt(parts)`` slots and a
-    last one of one row per block, so that the driver receives one vector
-    whatever the size of the cluster. None if no task had rows.
+    vector. The vectors pass through a tree: one level that adds up to ``FAN``
+    of them per block, or for more a level of about ``sqrt(parts)`` slots before
+    it, so that the driver receives one vector whatever the size of the
+    cluster. A single partition has nothing to add. None if no task had rows.
     """
-    fan = math.isqrt(max(parts, 1) - 1) + 1
-    blocks = min(fan, -(-max(size, 1) // BLOCK))
+    fan = math.isqrt(max(parts, 1) - 1) + 1 if parts > FAN else 1
+    blocks = max(1, min(parts, -(-size // BLOCK)))
 
     def task(batches):
         done = work(batches)
@@ -78,8 +81,10 @@ def vector_sum(
             yield _batch([(block, slot, n, loss, vector[at : at + BLOCK])])
 
     partials = df.mapInArrow(task, SCHEMA)
-    partials = partials.repartition(fan, "slot", "block").mapInArrow(_add, SCHEMA)
-    partials = partials.repartition(blocks, "block").mapInArrow(_add, SCHEMA)
+    if fan > 1:
+        partials = partials.repartition(fan, "slot", "block").mapInArrow(_add, SCHEMA)
+    if parts > 1:
+        partials = partials.repartition(blocks, "block").mapInArrow(_add, SCHEMA)
     sums = _fold(partials.toArrow().to_batches())
     if not sums:
         return None
