@@ -702,7 +702,7 @@ def all_oracles() -> dict[str, str]:
     split = (
         f"CASE WHEN {draw('vec_id', 42, 0)} < 3435973836 THEN 'train' ELSE 'test' END AS split"
     )
-    top5_linear = TOP5.format(scores="scores", source="scored")
+    top5_linear = TOP5.format(scores="scores", source="scored").replace("score DESC", "round(score, 9) DESC")
     out = {
         "word_count": words.format("documents"),
         "word_count_turns": words.format("conversations"),
@@ -838,7 +838,7 @@ def all_oracles() -> dict[str, str]:
         "stream_score": f"WITH {LINEAR} SELECT vec_id, {best('scores')} AS pred FROM scored",
         "classify_images": (
             f"{_picture('255')} SELECT vec_id, class_id, n_name AS name FROM "
-            f"(SELECT vec_id, list_position(scores, list_max(scores)) AS class_id FROM scored) "
+            f"(SELECT vec_id, {best('scores')} + 1 AS class_id FROM scored) "
             "LEFT JOIN nation ON n_nationkey = class_id"
         ),
         "classify_named": (

@@ -69,8 +69,11 @@ def _list_array(values: np.ndarray) -> pa.Array:
 
 
 def _best_array(out: np.ndarray, k: int) -> pa.Array:
-    """The ``k`` best (class, score) pairs per row, best first, ties to the lower class."""
-    order = np.argsort(-out, axis=1, kind="stable")[:, :k].astype(np.int32)
+    """The ``k`` best (class, score) pairs per row, best first, ties to the lower class.
+
+    Equal to nine digits is a tie, as in :func:`decided_class`.
+    """
+    order = np.argsort(-np.round(out, 9), axis=1, kind="stable")[:, :k].astype(np.int32)
     ends = np.arange(len(out) + 1, dtype=np.int32) * order.shape[1]
     pairs = pa.StructArray.from_arrays(
         [pa.array(order.ravel()), pa.array(np.take_along_axis(out, order, 1).ravel())],
