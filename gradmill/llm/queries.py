@@ -74,11 +74,16 @@ def op7_url_filter(spark, sf_dir):
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
 
-def op8_token_counts(spark, sf_dir):
+def word_vocabulary() -> list[str]:
+    """The plain pieces of the 32,000-piece vocabulary."""
     vocabulary = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
     plain = [i for i in range(vocabulary.get_piece_size())
              if not (vocabulary.is_control(i) or vocabulary.is_unknown(i) or vocabulary.is_byte(i))]
-    starts, parts = token_counts.word_pieces([vocabulary.id_to_piece(i) for i in plain])
+    return [vocabulary.id_to_piece(i) for i in plain]
+
+
+def op8_token_counts(spark, sf_dir):
+    starts, parts = token_counts.word_pieces(word_vocabulary())
     return token_counts.count(table(spark, sf_dir, "documents"), token_counts.Automaton(starts, parts))
 
 

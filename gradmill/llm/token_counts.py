@@ -2,8 +2,9 @@
 
 Words (runs without white space) are cut from the left, each time at the longest
 piece of the vocabulary: the first piece from the pieces that begin a word, the
-others from those that continue one. A word that cannot be cut counts as one
-unknown token. Only the number of pieces is wanted, so a word is read once, from
+others from those that continue one. If the bare mark of a beginning is a piece too, it
+begins the words that no longer beginning fits, and takes none of their
+characters. A word that cannot be cut counts as one unknown token. Only the number of pieces is wanted, so a word is read once, from
 left to right, by an automaton (Song et al., 2021):
 
 * a trie holds all pieces, beginnings and continuations below roots of their own;
@@ -32,11 +33,12 @@ REMEMBERED = 100_000
 
 
 class Automaton:
-    """``starts`` and ``parts``: pieces that begin and that continue a word."""
+    """``starts`` and ``parts``: pieces that begin and that continue a word; an empty start is the bare mark."""
 
     def __init__(self, starts, parts):
         self.next: list[dict[str, int]] = [{}, {}]
-        self.piece = [False, False]
+        starts = list(starts)
+        self.piece = ["" in starts, False]
         for root, pieces in ((0, starts), (1, parts)):
             for p in pieces:
                 node = root
@@ -49,6 +51,8 @@ class Automaton:
         #: where to go on when no character fits (-1: the word is unknown), and the pieces popped by that
         self.link = [-1] * len(self.next)
         self.popped = [0] * len(self.next)
+        if self.piece[0]:
+            self.link[0], self.popped[0] = 1, 1
         todo = deque((root, c, child) for root in (0, 1) for c, child in self.next[root].items())
         while todo:
             parent, c, node = todo.popleft()
@@ -66,6 +70,8 @@ class Automaton:
     def pieces(self, word: str) -> int:
         """How many pieces a word has; 0 if it cannot be cut."""
         node = n = 0
+        if not word:
+            return 0
         for c in word:
             while c not in self.next[node]:
                 n += self.popped[node]
@@ -82,9 +88,9 @@ class Automaton:
 
 
 def word_pieces(pieces: list[str], mark: str = "▁") -> tuple[list[str], list[str]]:
-    """Split a vocabulary whose pieces at the beginning of a word carry ``mark``."""
+    """Split a vocabulary whose pieces at the beginning of a word carry ``mark``; the bare mark is an empty start."""
     starts = [p[len(mark):] for p in pieces if p.startswith(mark) and mark not in p[len(mark):]]
-    return [p for p in starts if p], [p for p in pieces if p and mark not in p]
+    return starts, [p for p in pieces if p and mark not in p]
 
 
 def count(docs: DataFrame, automaton: Automaton) -> DataFrame:

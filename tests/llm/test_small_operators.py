@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from gradmill.llm import token_counts, toxicity, url_filter, vector_search
+from gradmill.llm import queries, token_counts, toxicity, url_filter, vector_search
 
 
 # --- vector search --------------------------------------------------------------
@@ -148,6 +148,40 @@ def test_automaton_against_longest_match():
             assert automaton.pieces(word) == slow_pieces(word, starts, parts), (word, starts, parts)
 
 
+def cut(word, vocabulary):
+    """Greedy cut of a word with its mark, by the vocabulary as it is; 0 if there is none."""
+    n, at, word = 0, 0, "▁" + word
+    while at < len(word):
+        size = max((k for k in range(1, len(word) - at + 1) if word[at:at + k] in vocabulary), default=0)
+        if not size:
+            return 0
+        n, at = n + 1, at + size
+    return n
+
+
+def test_words_that_begin_with_the_bare_mark(spark, sf_dir):
+    vocabulary = queries.word_vocabulary()
+    automaton = token_counts.Automaton(*token_counts.word_pieces(vocabulary))
+    words = "2024 4111-1111-1111-1111 7 garden x1 ça ßt ñandú Ωμέγα αβγ 中文维基百科 كتاب 🙂🙂 ç Übung".split()
+    words += sorted({w for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect() for w in (r.text or "").split()})
+    known = set(vocabulary)
+    for w in words:
+        assert automaton.pieces(w) == cut(w, known), w
+    assert automaton.pieces("2024") == 5 and automaton.pieces("") == 0
+
+
+def test_bare_mark_against_longest_match():
+    rng = random.Random(16)
+    for _ in range(300):
+        some = {"".join(rng.choices("abc", k=rng.randint(1, 5))) for _ in range(12)}
+        starts, parts = set(rng.sample(sorted(some), 4)), set(rng.sample(sorted(some), 7))
+        automaton = token_counts.Automaton([*starts, ""], parts)
+        vocabulary = {"▁" + p for p in starts} | {"▁"} | parts
+        for _ in range(40):
+            word = "".join(rng.choices("abc", k=rng.randint(1, 14)))
+            assert automaton.pieces(word) == cut(word, vocabulary), (word, starts, parts)
+
+
 def test_token_counts(spark):
     starts, parts = ["a", "ab", "x" * 50], ["b", "ab", "bb", "é"]
     docs = spark.createDataFrame(
