@@ -87,6 +87,20 @@ def test_labels_spread_over_skips():
     assert [f for f in found if not f[3]] == [(text.index("972-5"), 3, text.index(" and"), False)]
 
 
+@pytest.mark.parametrize("place", [0, 25, 50])
+def test_fifty_repeats_are_all_found(place):
+    model = pii.Model(np.zeros((pii.SLOTS, 5)), np.eye(5), 4 * np.eye(5))
+    parts = [f"then word{'s' * (k % 3)} 972-5555545 end" for k in range(50)]
+    parts.insert(place, "call +1 (972) 555-5545 now")
+    text = " ".join(parts)
+    want = [m.start() for m in re.finditer("972-5555545", text)]
+    found = [s for s, k, _, base in pii.spans_of([text], model)[0] if k == 3 and not base]
+    assert found == want
+    # each document by itself: the same in a batch with others
+    batch = pii.spans_of(["none here", text, "x 4711 y 4711", text], model)
+    assert batch[1] == batch[3] == pii.spans_of([text], model)[0]
+
+
 def test_query(spark, sf_dir):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     rows = queries.op1_pii(spark, sf_dir).collect()
