@@ -6,7 +6,10 @@ import public_tokenizers
 import sentencepiece
 from pyspark.sql import functions as F
 
-from gradmill.llm import decontaminate, line_dedup, packing, passages, pii, simhash, token_counts, toxicity, url_filter, vector_search
+from gradmill.llm import (
+    centroids, collocations, decontaminate, exact_dedup, line_dedup, packing, passages, pii, simhash, token_counts, toxicity, url_filter,
+    vector_search,
+)
 from gradmill.llm.tables import table
 
 
@@ -101,6 +104,19 @@ def op10_passages(spark, sf_dir):
     return passages.repeated(table(spark, sf_dir, "documents"))
 
 
+def op11_centroids(spark, sf_dir):
+    found, final = centroids.cluster(table(spark, sf_dir, "embeddings"))
+    return centroids.with_inertia(spark, found, final)
+
+
+def op12_exact_dedup(spark, sf_dir):
+    return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op13_collocations(spark, sf_dir):
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
 def all_queries():
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
@@ -174,5 +190,91 @@ FROM dw LEFT JOIN hit ON dw.doc_id = hit.doc_id LEFT JOIN found ON dw.doc_id = f
 """
 
 
+def _op11_sql(rounds: int = 5) -> str:
+    """Lloyd's rounds, one after the other; products of whole doubles are exact here."""
+    x = "list_transform(embedding, lambda e: floor(256 * CAST(e AS DOUBLE)))"
+    parts = [f"""
+WITH v AS MATERIALIZED (
+    SELECT row_number() OVER () AS row, vec_id, x, list_dot_product(x, x) AS xx
+    FROM (SELECT vec_id, {x} AS x FROM embeddings WHERE embedding IS NOT NULL AND len(embedding) = 64
+          AND len(list_filter(embedding, lambda e: isfinite(CAST(e AS DOUBLE)))) = 64)
+),
+c0 AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY h, x) - 1 AS c, x FROM
+    (SELECT sha256('2:' || CAST(vec_id AS VARCHAR)) AS h, x FROM v ORDER BY h, x LIMIT 40)
+)"""]
+    for n in range(rounds + 1):
+        parts.append(f"""
+a{n} AS MATERIALIZED (
+    SELECT v.row, min(struct_pack(d := v.xx - 2 * list_dot_product(v.x, k.x) + list_dot_product(k.x, k.x), c := k.c)) AS b
+    FROM v, c{n} k GROUP BY v.row
+)""")
+        if n < rounds:
+            parts.append(f"""
+c{n + 1} AS MATERIALIZED (
+    SELECT k.c, coalesce(m.x, k.x) AS x FROM c{n} k LEFT JOIN (
+        SELECT c, list(floor(s / n) ORDER BY i) AS x FROM (
+            SELECT c, i, sum(e) AS s, count(*) AS n
+            FROM (SELECT b.c AS c, unnest(x) AS e, unnest(range(64)) AS i FROM a{n} JOIN v USING (row)) u GROUP BY c, i) t
+        GROUP BY c) m ON m.c = k.c
+)""")
+    return ",".join(parts) + f"""
+SELECT v.vec_id, CAST(b.c AS INTEGER) AS cluster, CAST(b.d AS BIGINT) AS distance,
+       CAST(sum(b.d) OVER (PARTITION BY b.c) AS BIGINT) AS cluster_inertia, CAST(sum(b.d) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(list_transform(k.x, lambda e: CAST(CAST(e AS BIGINT) AS VARCHAR)), ',')) AS centroid_sha256
+FROM a{rounds} JOIN v USING (row) JOIN c{rounds} k ON k.c = b.c
+"""
+
+
+OP12_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
+SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+       row_number() OVER (PARTITION BY t ORDER BY doc_id) = 1 AS kept, sha256(t) AS text_sha256
+FROM d
+"""
+
+OP13_SQL = r"""
+WITH pieces AS (
+    SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM (
+        SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p FROM documents) x
+),
+total AS (SELECT lang, CAST(sum(len(w)) AS HUGEINT) AS n FROM pieces GROUP BY lang),
+f AS MATERIALIZED (
+    SELECT lang, g, CAST(count(*) AS HUGEINT) AS f FROM (
+        SELECT lang, w[i:i + k - 1] AS g FROM (
+            SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i
+            FROM pieces, (SELECT unnest(range(1, 6)) AS k) s WHERE len(w) >= k) y) z
+    GROUP BY lang, g HAVING count(*) >= 100
+),
+cuts AS (SELECT lang, g, f AS a, unnest(range(1, len(g))) AS k FROM f WHERE len(g) > 1),
+best AS (
+    SELECT c.lang, c.g, min(struct_pack(score := 1000 * c.a * t.n // (l.f * r.f), k := c.k, l := l.f, r := r.f)) AS b, any_value(c.a) AS a,
+           any_value(t.n) AS n
+    FROM cuts c JOIN total t ON t.lang = c.lang JOIN f l ON l.lang = c.lang AND l.g = c.g[1:c.k]
+    JOIN f r ON r.lang = c.lang AND r.g = c.g[c.k + 1:len(c.g)]
+    GROUP BY c.lang, c.g
+),
+inner_ AS (
+    SELECT lang, g[i:i + s - 1] AS g, max(a) AS within FROM (
+        SELECT lang, g, a, s, unnest(range(1, len(g) - s + 2)) AS i FROM (
+            SELECT lang, g, a, unnest(range(2, len(g))) AS s FROM best WHERE len(g) > 2) x) y
+    GROUP BY lang, g[i:i + s - 1]
+),
+ranked AS (
+    SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY b.b.score DESC, a DESC, array_to_string(b.g, ' ')) AS rank,
+           array_to_string(b.g, ' ') AS phrase, a, b.b.l AS l, b.b.r AS r, n, b.b.score AS score
+    FROM best b LEFT JOIN inner_ i ON i.lang = b.lang AND i.g = b.g
+    WHERE i.g IS NULL OR 100 * i.within < 100 * a
+)
+SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n,
+       CAST(score AS BIGINT) AS score
+FROM ranked WHERE rank <= 2000
+"""
+
+
 def all_oracles():
-    return {"op2_decontaminate": OP2_SQL, "op3_vector_search": OP3_SQL, "op6_line_dedup": OP6_SQL}
+    return {
+        "op2_decontaminate": OP2_SQL, "op3_vector_search": OP3_SQL, "op6_line_dedup": OP6_SQL, "op11_centroids": _op11_sql(),
+        "op12_exact_dedup": OP12_SQL, "op13_collocations": OP13_SQL,
+    }
