@@ -532,15 +532,17 @@ def _adam(t: int, old: str, g: str, m: str, v: str) -> tuple[str, str, str]:
 
 
 def _run(
-    run_id: str, sizes: list[int], epochs: int, rate: float | None, batches: int = 1, renewed: int = 0
+    run_id: str, sizes: list[int], epochs: int, rate: float | None, batches: int = 1, renewed: int = 0,
+    views: str | None = None,
 ) -> str:
     """Descent of a rectifier network on the training rows, measured on the held-out ones.
 
     ``rate`` None is Adam on the network that reproduces its input, without
-    validation. Batches are hash classes of the key. Per step: forward pass and
+    validation. Batches are hash classes of the key, dealt anew in every epoch. Per step: forward pass and
     errors of every row (``f``), mean gradients (``g``, ``c``), new weights
     (``p``); the logged loss is that before the step. After ``renewed`` steps the
-    last layer starts afresh and a new run is logged.
+    last layer starts afresh and a new run is logged. With ``views``, tables ``z0``, ``z1``, … are
+    the samples of each epoch, and nothing is measured.
     """
     dense = list(zip(sizes, sizes[1:]))
     top, copying = len(dense) - 1, rate is None
@@ -551,7 +553,7 @@ def _run(
         if copying:
             start += [f"{zeros(o, i)} AS {k}w{n}" for k in "mv"]
             start += [f"list_transform(range({o}), lambda c: 0::DOUBLE) AS {k}b{n}" for k in "mv"]
-    sql = f"WITH {ZS}, p0 AS MATERIALIZED (SELECT {', '.join(start)})"
+    sql = f"WITH {views or ZS}, p0 AS MATERIALIZED (SELECT {', '.join(start)})"
     forward, errors = [], []
     for n, (_, o) in enumerate(dense):
         out = affine("features" if n == 0 else f"h{n}", o, f"w{n}", f"b{n}")
@@ -576,10 +578,12 @@ def _run(
         return rows
 
     for t in range(epochs * batches):
-        chosen = "split = 'train'"
+        chosen, source = ("true", f"z{t // batches}") if views else ("split = 'train'", "z")
         if batches > 1:
-            chosen += f" AND {draw('id', 0, t // batches)} % {batches} = {t % batches}"
-        rows = f"(SELECT * FROM (SELECT * FROM z WHERE {chosen}), p{t})"
+            place = f"row_number() OVER (ORDER BY {draw('range', 0, t // batches)}, range) - 1"
+            mine = f"SELECT range FROM (SELECT range, {place} AS place FROM range({4 * batches})) WHERE place % {batches} = {t % batches}"
+            chosen += f" AND {draw('id', 0, 0)} % {4 * batches} IN ({mine})"
+        rows = f"(SELECT * FROM (SELECT * FROM {source} WHERE {chosen}), p{t})"
         sql += f", f{t} AS MATERIALIZED {passed(rows, forward + errors)}"
         new, sources = [], [f"p{t}"]
         for n, (i, o) in enumerate(dense):
@@ -610,7 +614,7 @@ def _run(
         f"{r6(f'avg({loss})')} AS value FROM f{t}"
         for t in range(renewed, epochs * batches)
     ]
-    for epoch in range(1 + renewed, 1 if copying else epochs + 1):
+    for epoch in range(1 + renewed, 1 if copying or views else epochs + 1):
         held_out = passed(f"(SELECT * FROM (SELECT * FROM z WHERE split = 'test'), p{epoch * batches})", forward)
         hit = f"avg(CASE WHEN list_position({y}, list_max({y})) = label1 THEN 1 ELSE 0 END)"
         step = epoch * batches - renewed
@@ -618,6 +622,17 @@ def _run(
     return sql + " " + " UNION ALL ".join(out)
 
 
+def _views(epochs: int, *steps) -> str:
+    """Samples ``z0``, ``z1``, … of the images; every step is a function of the epoch."""
+    sql = RGB
+    for e in range(epochs):
+        sql += f", y{e}_0 AS (SELECT vec_id, label + 1 AS label1, p FROM rgb)"
+        for n, step in enumerate(steps):
+            sql += f", y{e}_{n + 1} AS (SELECT vec_id, label1, {step(e)} AS p FROM y{e}_{n})"
+        sql += f", z{e} AS MATERIALIZED (SELECT vec_id AS id, label1, p AS features FROM y{e}_{len(steps)})"
+    return sql
+
+
 def _local_head(result: str, workers: int = 8, size: int = 16, epochs: int = 2, steps: int = 8) -> str:
     """Worker-local steps of rate 0.01 and decay 2e-4 from the class means, averaged per epoch by rows.
 
@@ -892,6 +907,9 @@ def all_oracles() -> dict[str, str]:
         "train_mlp_full_batch": _run("mlp-run", [64, H, H, 10], 15, 0.2),
         # four batches: 128 rows each of about 400
         "train_softmax": _run("softmax-run", [64, 10], 5, 0.2, 4),
+        "train_images": _run("images-run", [108, 10], 3, 0.2, 4, views=_views(
+            3, lambda e: U8, lambda e: random_crop(8, 6, 6, 11, e), lambda e: random_flip(6, 12, e), lambda e: NORMALIZED,
+            lambda e: chw(6))),
         "train_mlp": _run("mlp-run", [64, H, H, 10], 3, 0.2, 4),
         "transfer_trunk": _run("trunk-run", [64, H, H, 10], 5, 0.2, renewed=2),
         "transfer_head": _local_head("classes"),

@@ -29,6 +29,8 @@ TABLES = (
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 )
 DIM, CLASSES, SIDE = 64, 10, 8
+#: Workers of the runs with local steps.
+WORKERS = 8
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -725,7 +727,7 @@ def _training(model, target="label1", batch_size=None, start=None, epochs=None,
         train.fit(
             data, model, settings.optim, settings.epochs if epochs is None else epochs,
             settings.batch_size if batch_size is None else batch_size, mode or settings.mode,
-            target=target, start=start, log=train.Log(log, run_id),
+            target=target, start=start, log=train.Log(log, run_id), workers=WORKERS,
             validation=train.Validation(held_out, methods) if methods else None,
         )
         scalars = spark.read.parquet(log.scalars)
@@ -734,11 +736,26 @@ def _training(model, target="label1", batch_size=None, start=None, epochs=None,
     return query
 
 
+PICTURES = models.softmax(6 * 6 * 3, CLASSES)
+
+
+def train_images(spark, sf_dir):
+    """Loss series of training on image files that are cropped and mirrored anew in every epoch."""
+    scan = sources.image_folder(spark, _png_folder(spark, sf_dir), "train").withColumn("vec_id", _file_id())
+    log = MetricsLog(spark, scratch_dir(spark, "training"))
+    train.fit(
+        scan, PICTURES, SGD(0.2), 3, 128, "sync", key="vec_id", start=PICTURES.formula(), log=train.Log(log, "images-run"),
+        view=lambda rows, epoch: images.image_samples(rows, "vec_id", SIDE, 6, "train", 11, epoch),
+    )
+    scalars = spark.read.parquet(log.scalars)
+    return scalars.select("run_id", "phase", "tag", "step", r6(F.col("value")).alias("value"))
+
+
 def _head_fit(spark, sf_dir):
     """A head trained by worker-local steps on trunk features; its weights start at the class means."""
     data, model = z_samples(spark, sf_dir), models.head(DIM, CLASSES)
     given = centroid_params(spark, sf_dir).withColumn("layer", F.lit("classifier"))
-    return data, model, train.transfer(data, model, given, match_all=True)
+    return data, model, train.transfer(data, model, given, match_all=True, workers=WORKERS)
 
 
 def transfer_head(spark, sf_dir):
@@ -804,6 +821,7 @@ def all_queries() -> dict:
     training = {
         # four batches at the scale of the checks
         "train_softmax": _training(LINEAR, batch_size=128, start=LINEAR.formula(), epochs=5),
+        "train_images": train_images,
         "train_mlp": _training(MLP, batch_size=128, start=MLP.formula(), epochs=3),
         "train_softmax_full_batch": _training(LINEAR, batch_size=0, start=LINEAR.formula()),
         "train_mlp_full_batch": _training(MLP, batch_size=0, start=MLP.formula()),

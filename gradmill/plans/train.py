@@ -3,7 +3,9 @@
 ``sync``       one Spark job per step: tasks add up the gradient of their part
                of the minibatch, the sum is reduced over the cluster and the
                driver updates the parameters. The result does not depend on
-               the partitioning (up to rounding). For large batches.
+               the partitioning (up to rounding). Minibatches are read from a
+               table laid out for them (:mod:`layout`): a step costs what its
+               batch costs.
 ``local_sgd``  one job per epoch: a fixed number of workers, to which rows belong
                by a hash of their key, run minibatch steps and the results are
                averaged, weighted by rows (Zinkevich et al., 2010). For batches
@@ -26,10 +28,11 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradmill.functions.hashing import batch_number, keyed_hash
+from gradmill.functions.hashing import keyed_hash
 from gradmill.operators import model_store
 from gradmill.operators.inspect import param_histogram
 from gradmill.operators.metrics import MetricsLog
+from gradmill.plans import layout
 from gradmill.plans.kernels import CRITERIA
 from gradmill.plans.models import SETTINGS, Model
 from gradmill.plans.optim import Optimizer
@@ -37,10 +40,10 @@ from gradmill.plans.reduce import vector_sum
 from gradmill.plans.score import check_labels, rows_of
 
 Trigger = Callable[[int, int], bool]
+#: The samples of an epoch out of what is stored, such as randomly cropped images.
+View = Callable[[DataFrame, int], DataFrame]
 #: Epochs between two writes of the log (also written at every checkpoint and at the end).
 FLUSH_EPOCHS = 10
-#: Workers of ``local_sgd`` unless the job says otherwise; part of the job, not of the cluster.
-WORKERS = 8
 
 
 def max_epoch(n: int) -> Trigger:
@@ -88,35 +91,52 @@ class Validation:
 
 
 class Checkpoint:
-    """Parameters and optimizer state, one Parquet folder per epoch, never overwritten."""
+    """Parameters and optimizer state per epoch, never overwritten once they are complete.
+
+    ``path/saved/epoch=…`` holds the data. When it is written, a row in
+    ``path/complete/epoch=…`` says so. What a lost driver left without that row is
+    ignored by :meth:`load` and replaced by the next :meth:`save`.
+    """
+
+    COMPLETE = "step bigint, epoch int"
 
     def __init__(self, path: str, trigger: Trigger | None = None):
         self.path = path.rstrip("/")
         self.trigger = trigger or every_epoch()
 
+    def epochs(self, spark: SparkSession) -> list[int]:
+        """The complete epochs."""
+        try:
+            marks = spark.read.schema(self.COMPLETE).parquet(f"{self.path}/complete")
+            return sorted(r["epoch"] for r in marks.select("epoch").collect())
+        except AnalysisException as e:
+            if e.getCondition() == "PATH_NOT_FOUND":  # nothing saved yet
+                return []
+            raise
+
     def save(self, spark: SparkSession, model: Model, fit: Fit) -> None:
+        if fit.epoch in self.epochs(spark):
+            raise ValueError(f"epoch {fit.epoch} is already saved in {self.path}")
         packed = fit.optim.pack()
         state = [("_fit", "state", [len(packed)], packed.tolist()),
                  ("_fit", "progress", [1], [float(fit.step)])]
         table = model_store.to_table(spark, model, fit.vector).union(
             spark.createDataFrame(state, model_store.SCHEMA)
         )
-        table.coalesce(1).write.mode("errorifexists").parquet(f"{self.path}/epoch={fit.epoch}")
+        table.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/saved/epoch={fit.epoch}")
+        mark = spark.createDataFrame([(fit.step,)], "step bigint")
+        mark.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/complete/epoch={fit.epoch}")
 
     def load(self, spark: SparkSession, model: Model, fit: Fit) -> bool:
         """Continue ``fit`` from the newest complete epoch, if there is one."""
-        try:
-            table = spark.read.parquet(self.path)
-        except AnalysisException as e:
-            if e.getCondition() == "PATH_NOT_FOUND":  # nothing saved yet
-                return False
-            raise
-        epoch = table.agg(F.max("epoch")).first()[0]
-        rows = table.where(F.col("epoch") == epoch)
+        saved = self.epochs(spark)
+        if not saved:
+            return False
+        rows = spark.read.schema(model_store.SCHEMA).parquet(f"{self.path}/saved/epoch={saved[-1]}")
         own = {r["param"]: r["values"] for r in rows.where("layer = '_fit'").collect()}
         fit.vector = model_store.to_vector(model, rows.where("layer <> '_fit'"))
         fit.optim.unpack(np.array(own["state"]))
-        fit.epoch, fit.step = int(epoch), int(own["progress"][0])
+        fit.epoch, fit.step = saved[-1], int(own["progress"][0])
         return True
 
 
@@ -274,16 +294,22 @@ def fit(
     checkpoint: Checkpoint | None = None,
     resume: bool = False,
     partitions: int | None = None,
-    workers: int = WORKERS,
+    workers: int | None = None,
     seed: int = 0,
+    view: View | None = None,
+    task_rows: int = layout.TASK_ROWS,
 ) -> Fit:
     """Train ``model`` on ``(key, features, target)`` rows.
 
     Settings left out come from :data:`SETTINGS`; ``batch_size`` 0 means all rows
-    per step. The samples are kept in memory and on disk where they are read;
-    ``local_sgd`` first deals them to its ``workers``, a number of ``partitions``
-    spreads them by key. An epoch reorders rows within their task only. Rows with
-    a NULL in features or target are passed over and counted in ``Fit.skipped``.
+    per step. For minibatches in ``sync`` the samples are written once, laid out by
+    classes, and a step reads its own in tasks of ``task_rows`` rows. Else they are kept in
+    memory and on disk where they are read; ``local_sgd`` first deals them to its
+    ``workers``, which the job must name, a number of ``partitions`` spreads them by key.
+    With a ``view`` it is the rows of ``df`` that are stored, and ``view(rows, epoch)``
+    makes ``(key, features, target)`` of them anew in every pass, such as images cropped
+    and mirrored at random. Rows with a NULL in features or target are passed over
+    and counted in ``Fit.skipped``.
     """
     preset = SETTINGS.get(model.name)
     optim = copy.deepcopy(optim or preset.optim)
@@ -298,31 +324,51 @@ def fit(
     optim.start(model.size)
     if resume and checkpoint:
         checkpoint.load(spark, model, run)
+    if mode == "local_sgd" and not workers:
+        raise ValueError("local_sgd needs the number of its workers")
     columns = [F.col(c) for c in dict.fromkeys((features, target))]
-    samples = df.select(F.col(key).alias("_key"), *columns)
-    if mode == "local_sgd":
-        worker = F.pmod(keyed_hash(F.col("_key"), seed), F.lit(workers)).cast("int")
-        samples = samples.withColumn("_worker", worker).repartition(partitions or workers, "_worker")
-    elif partitions:
-        samples = samples.repartition(partitions, "_key")
-    samples = samples.persist(StorageLevel.MEMORY_AND_DISK)
+    samples = df.withColumn("_key", F.col(key)) if view else df.select(F.col(key).alias("_key"), *columns)
+
+    def shown(rows: DataFrame, epoch: int) -> DataFrame:
+        return view(rows, epoch).select(F.col(key).alias("_key"), *columns) if view else rows
+
+    worker = F.pmod(keyed_hash(F.col("_key"), seed), F.lit(workers or 1)).cast("int")
+    batches = None
+    if mode == "sync" and batch_size:
+        in_all = df.count()
+        if in_all > batch_size:
+            batches = layout.lay_out(samples, "_key", in_all, batch_size, seed, task_rows)
+            samples = batches.table
+    elif mode == "local_sgd":
+        # a worker's rows lie in the partition of its number, or with fewer partitions of several workers
+        samples = samples.repartitionById(partitions or workers, F.pmod(worker, F.lit(partitions or workers)))
+    if batches is None:
+        if mode == "sync" and partitions:
+            samples = samples.repartition(partitions, "_key")
+        samples = samples.persist(StorageLevel.MEMORY_AND_DISK)
     if validation:
         held_out = validation.data.select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
         validation = replace(validation, data=held_out)
     measuring, waiting = ThreadPoolExecutor(1), []
     try:
-        counted = samples.select(F.spark_partition_id().alias("part")).agg(
-            F.count(F.lit(1)).alias("rows"), F.max("part").alias("last")
-        ).first()
-        n_rows, parts = counted["rows"], (counted["last"] or 0) + 1
+        if batches:
+            n_rows, parts = in_all, batches.tasks
+        else:
+            counted = samples.select(F.spark_partition_id().alias("part")).agg(
+                F.count(F.lit(1)).alias("rows"), F.max("part").alias("last")
+            ).first()
+            n_rows, parts = counted["rows"], (counted["last"] or 0) + 1
         while n_rows and not stop(run.epoch, run.step):
             first_step = run.step
             if mode == "sync":
-                logged = _sync_epoch(samples, model, run, features, target, batch_size, n_rows,
-                                     parts, seed, log)
+                if batches:
+                    steps = (shown(batches.rows(c), run.epoch) for c in batches.of(run.epoch))
+                else:
+                    steps = [shown(samples, run.epoch)]
+                logged = _sync_epoch(spark, steps, model, run, features, target, parts, log)
             else:
-                logged = _local_epoch(samples, model, run, features, target,
-                                      batch_size or n_rows, workers, parts, seed)
+                logged = _local_epoch(shown(samples, run.epoch).withColumn("_worker", worker), model, run, features,
+                                      target, batch_size or n_rows, workers, parts, seed)
                 if log and any(log.parameters(run.epoch, s) for s in range(first_step + 1, run.step + 1)):
                     _log_parameters(spark, model, run, log)
             run.epoch += 1
@@ -363,31 +409,18 @@ def _gather(waiting: list[tuple[int, Future]], run: Fit, log: Log | None) -> Non
         log.flush()
 
 
-def _sync_epoch(samples, model, run, features, target, batch_size, n_rows, parts, seed, log):
-    n_batches = math.ceil(n_rows / batch_size) if batch_size else 1
-    batches = samples
-    if n_batches > 1:
-        # sorted by batch, cached blocks hold few batches each: a step skips the
-        # others by their statistics instead of scanning the partition
-        number = batch_number(F.col("_key"), n_batches, seed, run.epoch)
-        batches = samples.withColumn("_batch", number).sortWithinPartitions("_batch")
-        batches = batches.persist(StorageLevel.MEMORY_AND_DISK)
+def _sync_epoch(spark, steps, model, run, features, target, parts, log):
     logged = []
-    try:
-        for b in range(n_batches):
-            rows = batches.where(F.col("_batch") == b) if n_batches > 1 else batches
-            done = gradient_sum(rows, model, run.vector, features, target, parts, "_key")
-            if done is None:
-                continue
-            run.skipped += done.skipped
-            run.vector = run.optim.step(run.vector, done.gradient / done.rows)
-            run.step += 1
-            logged.append((run.step, _finite(done.loss / done.rows, run.step)))
-            if log and log.parameters(run.epoch, run.step):
-                _log_parameters(samples.sparkSession, model, run, log)
-    finally:
-        if n_batches > 1:
-            batches.unpersist()
+    for rows in steps:
+        done = gradient_sum(rows, model, run.vector, features, target, parts, "_key")
+        if done is None:
+            continue
+        run.skipped += done.skipped
+        run.vector = run.optim.step(run.vector, done.gradient / done.rows)
+        run.step += 1
+        logged.append((run.step, _finite(done.loss / done.rows, run.step)))
+        if log and log.parameters(run.epoch, run.step):
+            _log_parameters(spark, model, run, log)
     return logged
 
 
