@@ -6,12 +6,21 @@ from collections.abc import Mapping
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gradmill.operators.lookup import lookup, numbered_values
 
+#: Paths of named images that a scan is filtered by at most.
+LISTED = 10_000
+# The columns of Spark's image source
+IMAGE = T.StructField("image", T.StructType([
+    T.StructField("origin", T.StringType()), T.StructField("height", T.IntegerType()),
+    T.StructField("width", T.IntegerType()), T.StructField("nChannels", T.IntegerType()),
+    T.StructField("mode", T.IntegerType()), T.StructField("data", T.BinaryType()),
+]))
 IMAGE_FIELDS = ("height", "width", "nChannels", "data")
 
 
@@ -21,6 +30,19 @@ def _flat(image: DataFrame, keep: list[str]) -> DataFrame:
     )
 
 
+def _by_folder(spark: SparkSession, root: str) -> DataFrame | None:
+    """Scan of ``root/split=…/label=…`` with both as partition columns; None for another layout."""
+    plain = spark.read.format("image").option("dropInvalid", True)
+    # named here, so that labels like 01 stay strings
+    columns = T.StructType([IMAGE, T.StructField("split", T.StringType()), T.StructField("label", T.StringType())])
+    try:
+        return plain.option("basePath", root).schema(columns).load(f"{root}/split=*/label=*")
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
 def image_folder(
     spark: SparkSession, root: str, split: str | None = None, has_label: bool = True,
     classes: DataFrame | None = None,
@@ -28,22 +50,29 @@ def image_folder(
     """Decoded images ``(path, [label_name, label], height, width, nChannels, data)``.
 
     ``root/split/label/file`` as well as ``root/split=…/label=…/file`` are
-    understood. Class ids number the sorted class names from 0, unless
-    ``classes`` ``(label_name, label)`` gives them. Files that do not decode are
-    left out. The bytes are as Spark decodes them: B, G, R.
+    understood; in the second, split and label are partition columns of the scan, so a
+    filter on ``label_name`` opens the files of its folders only. Class ids number the
+    sorted class names from 0, unless ``classes`` ``(label_name, label)`` gives them. Files
+    that do not decode are left out. The bytes are as Spark decodes them: B, G, R.
     """
     folder = root.rstrip("/")
+    scan = _by_folder(spark, folder) if has_label else None
+    if scan is not None:
+        if split is not None:
+            scan = scan.where(F.col("split") == split)
+        named = scan.select("image", F.col("label").alias("label_name"))
     if split is not None:
         folder = f"{folder}/{{{split},split={split}}}"
-    scan = (
-        spark.read.format("image").option("dropInvalid", True)
-        .option("recursiveFileLookup", True).load(folder)
-    )
-    if not has_label:
-        return _flat(scan, [])
-    parent = F.element_at(F.split("image.origin", "/"), -2)
-    name = F.regexp_replace(parent, "^label=", "").alias("label_name")
-    images = _flat(scan.select("image", name), ["label_name"])
+    if scan is None:
+        scan = (
+            spark.read.format("image").option("dropInvalid", True)
+            .option("recursiveFileLookup", True).load(folder)
+        )
+        if not has_label:
+            return _flat(scan, [])
+        parent = F.element_at(F.split("image.origin", "/"), -2)
+        named = scan.select("image", F.regexp_replace(parent, "^label=", "").alias("label_name"))
+    images = _flat(named, ["label_name"])
     if classes is None:
         # the paths alone give the class names: no file is opened for them
         paths = (
@@ -55,25 +84,35 @@ def image_folder(
     return lookup(images, classes, "label_name")
 
 
+def _plain(path: Column) -> Column:
+    return F.regexp_replace(path, "^file:/+", "/")
+
+
 def named_images(
     spark: SparkSession, names: Mapping[str, str] | DataFrame, root: str | None = None
 ) -> DataFrame:
     """``(name, path, height, width, nChannels, data)`` for a list of named files.
 
     The list is ``{name: path}``, or for any number of files a table ``(name,
-    path)`` of files below the folder ``root``.
+    path)`` of files below the folder ``root``. Paths are matched against the listing
+    of the folder, which opens no file. Up to ``LISTED`` of the files found are handed to
+    the scan as a filter on their paths, so that Spark opens no other; a longer list
+    is joined to a scan of the folder.
     """
-    reader = spark.read.format("image").option("dropInvalid", True)
     if isinstance(names, DataFrame):
-        wanted = names.select("name", F.col("path").alias("wanted"))
-        scan = reader.option("recursiveFileLookup", True).load(root)
+        wanted, place, options = names.select("name", "path"), root, {"recursiveFileLookup": True}
     else:
-        wanted = spark.createDataFrame(list(names.items()), "name string, wanted string")
-        scan = reader.load(list(names.values()))
-    plain = F.regexp_replace(F.col("path"), "^file:/+", "/")
-    key = F.regexp_replace(F.col("wanted"), "^file:/+", "/")
-    images = _flat(scan, []).withColumn("key", plain)
-    return images.join(wanted.select("name", key.alias("key")), "key").drop("key")
+        wanted, place, options = spark.createDataFrame(list(names.items()), "name string, path string"), list(names.values()), {}
+    listing = spark.read.format("binaryFile").options(**options).load(place)
+    # the same file by the name users write and by the one Spark filters by
+    listed = listing.select(F.col("_metadata.file_path").alias("file"), _plain(F.col("path")).alias("key"))
+    found = listed.join(wanted.select("name", _plain(F.col("path")).alias("key")), "key").select("name", "file")
+    few = found.select("file").distinct().limit(LISTED + 1).collect()
+    scan = spark.read.format("image").option("dropInvalid", True).options(**options).load(place)
+    if len(few) <= LISTED:
+        scan = scan.where(F.col("_metadata.file_path").isin([r["file"] for r in few]))
+    images = _flat(scan.select("image", F.col("_metadata.file_path").alias("file")), ["file"])
+    return images.join(found, "file").drop("file")
 
 
 def image_sequence(spark: SparkSession, path: str, shape: tuple[int, int, int]) -> DataFrame:

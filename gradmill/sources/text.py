@@ -14,8 +14,17 @@ def _numbered_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def class_list(spark: SparkSession, path: str) -> DataFrame:
-    """``(class_id, synonyms)``: comma-separated names, trimmed; blank line = no names."""
-    names = F.transform(F.split("line", ","), lambda name: F.trim(name))
+    """``(class_id, synonyms)``: comma-separated names, trimmed; blank line = no names.
+
+    A name in double quotes may hold commas, and quotes written twice.
+    """
+    # a field is quoted or has no comma; quotes inside a plain field are part of it
+    field = r'(?:^|,)\s*("(?:[^"]|"")*"(?=\s*(?:,|$))|[^,]*)'
+    names = F.transform(F.regexp_extract_all("line", F.lit(field), F.lit(1)), lambda name: F.trim(name))
+    names = F.transform(names, lambda name: F.when(
+        name.rlike(r'^".*"$') & (F.length(name) > 1),
+        F.trim(F.replace(F.substring(name, F.lit(2), F.length(name) - 2), F.lit('""'), F.lit('"'))),
+    ).otherwise(name))
     blank = F.array().cast("array<string>")
     return _numbered_lines(spark, path).select(
         "class_id", F.when(F.col("line") == "", blank).otherwise(names).alias("synonyms")

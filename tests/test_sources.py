@@ -112,6 +112,56 @@ def test_unlabelled_and_named_images(spark, flowers):
     }
 
 
+def files_read(df) -> int:
+    """Files that the scans of the image format have opened."""
+    plan = df._jdf.queryExecution().executedPlan()
+    df._jdf.collectToPython()
+    n, todo = 0, [plan]
+    while todo:
+        node = todo.pop()
+        if node.nodeName() == "AdaptiveSparkPlan":
+            todo.append(node.executedPlan())
+        elif node.nodeName().endswith("QueryStage"):
+            todo.append(node.plan())
+        elif node.nodeName().startswith("Scan image"):
+            n += node.metrics().apply("numFiles").value()
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return n
+
+
+def test_a_filter_on_the_label_opens_its_folder_only(spark, flowers):
+    root, _ = flowers
+    classes = sources.from_rows(spark, [("daisy", 0), ("rose", 1), ("tulip", 2)], "label_name string, label int")
+    tulips = sources.image_folder(spark, str(root), "train", classes=classes).where("label_name = 'tulip'")
+    assert [r["label"] for r in tulips.collect()] == [2]
+    assert files_read(tulips) == 1
+    every = sources.image_folder(spark, str(root), classes=classes)
+    assert every.count() == 5 and files_read(every.where("label_name = 'rose'")) == 3
+    plain = sources.image_folder(spark, f"{root}/plain", "val", classes=classes).where("label_name = 'rose'")
+    assert [r["label"] for r in plain.collect()] == [1]
+
+
+def test_labels_that_look_like_numbers_stay_strings(spark, tmp_path):
+    for label in ("01", "1"):
+        files.store(f"{tmp_path}/split=train/label={label}/x.png", files.png(np.zeros((2, 2, 3))))
+    rows = sources.image_folder(spark, str(tmp_path), "train").collect()
+    assert sorted((r["label_name"], r["label"]) for r in rows) == [("01", 0), ("1", 1)]
+
+
+def test_a_list_of_names_opens_its_files_only(spark, tmp_path, monkeypatch):
+    for n in range(12):
+        (tmp_path / f"er {n % 3}").mkdir(exist_ok=True)
+        (tmp_path / f"er {n % 3}" / f"p{n}.png").write_bytes(files.png(np.full((2, 2, 3), n)))
+    names = spark.createDataFrame([(f"n{n}", f"{tmp_path}/er {n % 3}/p{n}.png") for n in (1, 5, 9)] + [("gone", f"{tmp_path}/no.png")], "name string, path string")
+    named = sources.named_images(spark, names, str(tmp_path))
+    assert {r["name"]: r["data"][0] for r in named.collect()} == {"n1": 1, "n5": 5, "n9": 9}
+    assert files_read(named) == 3
+    assert sources.named_images(spark, names.where("name = 'gone'"), str(tmp_path)).count() == 0
+    monkeypatch.setattr("gradmill.sources.images.LISTED", 2)  # a longer list is joined to the scan
+    assert sources.named_images(spark, names, str(tmp_path)).count() == 3
+
+
 def test_image_data_dispatch(spark, flowers, tmp_path):
     root, pictures = flowers
     assert sources.image_data(spark, str(root), "image", "train").count() == 3
@@ -129,10 +179,11 @@ def test_image_data_dispatch(spark, flowers, tmp_path):
 
 def test_class_list_keeps_the_blank_first_class(spark, tmp_path):
     path = tmp_path / "classes.txt"
-    path.write_text("\ntench, Tinca tinca\ngoldfish, Carassius auratus")
+    path.write_text('\ntench, Tinca tinca\ngoldfish, Carassius auratus\n"pen, quill",biro\n"say ""hi""", b"c')
     rows = sources.class_list(spark, str(path)).orderBy("class_id").collect()
     assert [(r["class_id"], r["synonyms"]) for r in rows] == [
         (0, []), (1, ["tench", "Tinca tinca"]), (2, ["goldfish", "Carassius auratus"]),
+        (3, ["pen, quill", "biro"]), (4, ['say "hi"', 'b"c']),
     ]
 
 
@@ -144,9 +195,9 @@ def test_label_lines_end_with_a_line_break(spark, tmp_path):
 
 
 def test_text_lines_from_strings_and_files(spark, tmp_path):
-    kept = sources.text_lines(spark, ["MYSQL ERROR 1\n", "MYSQL ERROR 2\n", "MYSQL\n"])
+    kept = sources.text_lines(spark, ["disk sda failed\n", "disk sdb failed again\n", "disk sdc spins\n"])
     assert kept.columns == ["line"] and kept.first()["line"].endswith("\n")
-    assert relational.like_count(kept, "line", "%ERROR%").first()["matches"] == 2
+    assert relational.like_count(kept, "line", "%failed%").first()["matches"] == 2
     (tmp_path / "log").write_text("a\nb\n")
     assert [r["line"] for r in sources.text_lines(spark, str(tmp_path / "log")).collect()] == ["a", "b"]
 
