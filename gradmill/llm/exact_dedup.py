@@ -35,49 +35,47 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", " ")
 
 
-def _stages(docs: DataFrame, carry: tuple[str, ...]) -> DataFrame:
-    """``(doc_id, text, row)``: the normalised text, and the carried columns in a struct if there are any."""
-    row = [F.struct(*carry).alias("row")] if carry else []
-    return docs.select("doc_id", normalised(F.col("text")).alias("text"), *row)
-
-
-def _shape(head: int) -> tuple[Column, Column]:
-    return F.octet_length("text"), F.xxhash64(F.substring("text", 1, head))
+def _shape(text: Column, head: int) -> tuple[Column, Column]:
+    return F.octet_length(text), F.xxhash64(F.substring(text, 1, head))
 
 
-def open_shapes(texts: DataFrame, head: int = HEAD) -> DataFrame:
+def open_shapes(docs: DataFrame, head: int = HEAD) -> DataFrame:
     """``(size, prefix)``: lengths of more than one row, refined to prefix hashes of more than one row."""
-    size, prefix = _shape(head)
+    size, prefix = _shape(normalised(F.col("text")), head)
     counts = kept(
-        texts.select(size.alias("size"), prefix.alias("prefix")).groupBy("size", "prefix").agg(F.count("*").alias("n")),
+        docs.select(size.alias("size"), prefix.alias("prefix")).groupBy("size", "prefix").agg(F.count("*").alias("n")),
         "exact-shapes",
     )
     lengths = counts.groupBy("size").agg(F.sum("n").alias("n")).where("n > 1").select("size")
     return counts.join(lengths, "size", "left_semi").where("n > 1").select("size", "prefix")
 
 
-def exact_duplicates(docs: DataFrame, carry: tuple[str, ...] = (), head: int = HEAD) -> DataFrame:
+def exact_duplicates(docs: DataFrame, carry: tuple[str, ...] = (), head: int = HEAD, digests: bool = False) -> DataFrame:
     """``(doc_id, keep_id, group_size, kept, text_sha256)`` for every row of ``(doc_id, text)``.
 
-    With ``carry``, those columns of the row follow in a struct ``row``. The digest of a
-    row that is settled earlier is computed only if the caller selects it.
+    The digest of a row that length or prefix settle is NULL, unless ``digests`` asks for
+    all. With ``carry``, those columns of the row follow in a struct ``row``.
     """
-    texts = _stages(docs, carry)
-    shape = F.xxhash64(*_shape(head))
-    marks = bitmap.of_hashes(kept(open_shapes(texts, head).select(F.xxhash64("size", "prefix").alias("h")), "exact-open"), "h",
-                             bitmap.MANY_BITS)
-    is_open = bitmap.may_hold(marks, shape, bitmap.MANY_BITS)
-    row = ["row"] if carry else []
-    digest = F.sha2("text", 256).alias("text_sha256")
-    alone = texts.where(~is_open).select(
-        "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), digest, *row)
+    shapes = kept(open_shapes(docs, head).select(F.xxhash64("size", "prefix").alias("h")), "exact-open")
+    marks = bitmap.of_hashes(shapes, "h", bitmap.MANY_BITS)
+
+    row = [F.struct(*carry).alias("row")] if carry else []
+    carried = ["row"] if carry else []
+    # named and used more than once, so that a text is normalised once
+    texts = docs.select("doc_id", normalised(F.col("text")).alias("t"), F.monotonically_increasing_id().alias("number"), *row)
+    left = bitmap.may_hold(marks, F.xxhash64(*_shape(F.col("t"), head)), bitmap.MANY_BITS)
+    digest = F.sha2("t", 256)
+    texts = texts.withColumn("left", left).withColumn("text_sha256", digest if digests else F.when(F.col("left"), digest))
     # written, so that the number of a row stays the same for all that read it
-    full = kept(texts.where(is_open).select("doc_id", digest, F.monotonically_increasing_id().alias("number"), *row), "exact-full")
+    full = kept(texts.select("doc_id", "left", "text_sha256", "number", *carried), "exact-full")
+    alone = full.where(~F.col("left")).select(
+        "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256", *carried)
+    left = full.where("left")
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "number")).alias("first")
-    groups = kept(full.groupBy("text_sha256").agg(first, F.count("*").alias("group_size")), "exact-groups")
-    met = full.join(groups, "text_sha256").select(
+    groups = kept(left.groupBy("text_sha256").agg(first, F.count("*").alias("group_size")), "exact-groups")
+    met = left.join(groups, "text_sha256").select(
         "doc_id", F.col("first.doc_id").alias("keep_id"), "group_size",
-        (F.col("number") == F.col("first.number")).alias("kept"), "text_sha256", *row)
+        (F.col("number") == F.col("first.number")).alias("kept"), "text_sha256", *carried)
     return alone.unionByName(met)
 
 

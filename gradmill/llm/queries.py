@@ -110,7 +110,7 @@ def op11_centroids(spark, sf_dir):
 
 
 def op12_exact_dedup(spark, sf_dir):
-    return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
+    return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"), digests=True)
 
 
 def op13_collocations(spark, sf_dir):

@@ -30,7 +30,7 @@ def expected(rows):
 
 
 def got(spark, rows, **kw):
-    return sorted((tuple(r) for r in exact_dedup.exact_duplicates(table(spark, rows), **kw).collect()), key=str)
+    return sorted((tuple(r) for r in exact_dedup.exact_duplicates(table(spark, rows), digests=True, **kw).collect()), key=str)
 
 
 @pytest.mark.parametrize("head", [1, 64])
@@ -64,8 +64,10 @@ def test_rows_that_stay_are_as_they_were(spark):
 
 
 def test_only_shared_shapes_are_left_open(spark):
-    texts = exact_dedup._stages(table(spark, [(1, "aa"), (2, "bb"), (3, "aa"), (4, "ccc"), (5, "d e"), (6, "d e")]), ())
-    assert exact_dedup.open_shapes(texts).count() == 2
+    docs = table(spark, [(1, "aa"), (2, "bb"), (3, "aa"), (4, "cccc"), (5, "d e"), (6, "d  e")])
+    assert exact_dedup.open_shapes(docs).count() == 2
+    hashed = {r.doc_id for r in exact_dedup.exact_duplicates(docs).collect() if r.text_sha256}
+    assert hashed == {1, 3, 5, 6}
 
 
 def test_built_in_functions_only(spark, sf_dir):
