@@ -13,6 +13,11 @@ learns what no single term tells, such as an insult next to a group's name.
 Learning happens on the driver, on a bounded sample: at most ``SAMPLE``
 labelled documents, the ones with the smallest keyed hash. Scoring is one pass
 over the table without a shuffle; only the model is broadcast.
+
+Results for the odd cases: NULL and empty texts have no terms and score as the bias
+alone; whole texts are read however long; every row gets its own score, also if it repeats
+an id or a text, and equal texts score alike. An empty table gives an empty result, and
+without labels of both sorts every score is the smoothed share of label 1.
 """
 
 from __future__ import annotations
@@ -23,10 +28,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gradmill.llm.tables import kept
+
 BITS = 18
 #: The most labelled documents that learning looks at.
 SAMPLE = 16384
@@ -82,10 +90,22 @@ def _logistic(x):
 
 
 def fit_model(slots: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Model:
+    """Learn from documents given as their sorted distinct slots."""
+    flat = np.concatenate(slots) if len(slots) else np.zeros(0, np.int32)
+    docs = np.bincount(flat, minlength=1 << BITS)
+    used = np.flatnonzero(docs >= LEAST_DOCS)
+    kept_ones = [s[docs[s] >= LEAST_DOCS] for s in slots]
+    starts = np.cumsum([0, *map(len, kept_ones)])
+    places = np.searchsorted(used, np.concatenate(kept_ones)) if len(slots) else flat
+    return learn(places.astype(np.int32), starts, used, labels, seed)
+
+
+def learn(places: np.ndarray, starts: np.ndarray, used: np.ndarray, labels: np.ndarray, seed: int = 7) -> Model:
     """Logistic loss, AdaGrad over small batches, in a fixed order of ``seed``.
 
-    With no rows or one class only, the model is its bias: the smoothed share
-    of label 1.
+    ``places`` are positions in ``used``, the slots that count, of one document after
+    another, which begin at ``starts``. With no rows or one class only, the model is its
+    bias: the smoothed share of label 1.
     """
     size, n = 1 << BITS, len(labels)
     rate = (labels.sum() + 0.01) / (n + 1.0)
@@ -93,11 +113,6 @@ def fit_model(slots: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Mod
                   np.zeros((size, FACTORS), np.float32))
     if n == 0 or labels.min() == labels.max():
         return model
-    docs = np.bincount(np.concatenate(slots), minlength=size)
-    used = np.flatnonzero(docs >= LEAST_DOCS)
-    place = np.full(size, -1, np.int32)
-    place[used] = np.arange(len(used))
-    rows = [p[p >= 0] for p in (place[s] for s in slots)]
     rng = np.random.default_rng(seed)
     w, v, b = np.zeros(len(used)), rng.normal(0, 0.01, (FACTORS, len(used))), model.bias
     gw, gv, gb = np.full(len(used), 1e-2), np.ones(v.shape), 1.0
@@ -105,8 +120,8 @@ def fit_model(slots: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Mod
         order = rng.permutation(n)
         for at in range(0, n, BATCH):
             part = order[at:at + BATCH]
-            flat = np.concatenate([rows[i] for i in part])
-            doc = np.repeat(np.arange(len(part)), [len(rows[i]) for i in part])
+            flat = np.concatenate([places[starts[i]:starts[i + 1]] for i in part])
+            doc = np.repeat(np.arange(len(part)), starts[part + 1] - starts[part])
             x = v[:, flat]
             sums = np.stack([np.bincount(doc, f, len(part)) for f in x])
             margin = b + np.bincount(doc, w[flat], len(part)) + 0.5 * (sums**2).sum(0)
@@ -138,8 +153,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """Learn ``labels.toxic`` from ``docs.text``, without the held-out documents.
 
     Labels that are NULL or whose document is missing are passed over; of
-    several labels of one document the largest counts. At most ``sample`` rows
-    come to the driver, as slot numbers.
+    several labels of one document the largest counts. The sample is written; at most
+    ``sample`` rows of it come to the driver, as the slots that enough of them have.
     """
     chosen = (
         labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
@@ -147,15 +162,41 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     )
-    rows = (
+    rows = kept(
         docs.select("doc_id", "text")
         .join(F.broadcast(chosen), "doc_id")  # at most `sample` narrow rows
         .select(F.xxhash64("doc_id", "text").alias("h"), "toxic", "text")
         .mapInArrow(_slot_batches, "h long, toxic int, slots binary")
-        .orderBy("h", "slots").limit(sample).toArrow()
-    )
-    slots = [np.frombuffer(s.as_buffer(), np.int32) for s in rows.column("slots")]
-    return fit_model(slots, (rows.column("toxic").to_numpy() > 0).astype(np.float64))
+        .orderBy("h", "slots").limit(sample), "toxicity-sample")
+    counts = rows.select("slots").mapInArrow(_slot_counts, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+    used = np.sort(counts.where(F.col("n") >= LEAST_DOCS).select("slot").toArrow().column(0).to_numpy())  # 2**BITS at most
+    shared = docs.sparkSession.sparkContext.broadcast(used)
+
+    def places(batches):
+        for b in batches:
+            found = []
+            for s in b.column(2):
+                s = np.frombuffer(s.as_buffer(), np.int32)
+                at = np.searchsorted(shared.value, s)
+                at[at == len(shared.value)] = 0
+                found.append(at[shared.value[at] == s].astype(np.int32).tobytes() if len(shared.value) else b"")
+            yield pa.RecordBatch.from_arrays([b.column(1), pa.array(found, pa.binary())], ["toxic", "places"])
+
+    sent = rows.orderBy("h", "slots").mapInArrow(places, "toxic int, places binary").toArrow()
+    labels_of = (sent.column(0).to_numpy() > 0).astype(np.float64)
+    starts = np.append(0, np.cumsum(pc.binary_length(sent.column(1)).to_numpy() // 4)).astype(np.int64)
+    flat = np.empty(starts[-1], np.int32)
+    for n, s in enumerate(sent.column(1)):
+        flat[starts[n]:starts[n + 1]] = np.frombuffer(s.as_buffer(), np.int32)
+    del sent
+    return learn(flat, starts, used, labels_of)
+
+
+def _slot_counts(batches):
+    for b in batches:
+        n = np.bincount(np.concatenate([np.frombuffer(s.as_buffer(), np.int32) for s in b.column(0)] or [np.zeros(0, np.int32)]))
+        slot = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(slot, pa.int32()), pa.array(n[slot])], ["slot", "n"])
 
 
 def _slot_batches(batches):
