@@ -117,3 +117,9 @@ def test_products_beyond_64_bits(spark):
     phrases = spark.createDataFrame([("en", ["a"], 10**15), ("en", ["b"], 10**15), ("en", ["a", "b"], 10**14 + 7)], "lang string, words array<string>, n long")
     (r,) = collocations.scored(words, phrases).collect()
     assert r.score == 1000 * (10**14 + 7) * 2 * 10**15 // 10**30
+
+
+def test_shorter_phrases_only(spark):
+    rows = corpus(9)
+    assert got(spark, rows, 5, longest=2) == slow(rows, 5, longest=2)
+    assert got(spark, rows, 5, longest=3) == slow(rows, 5, longest=3)
