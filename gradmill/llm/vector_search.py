@@ -12,15 +12,18 @@ and is left if that is below the worst k-th score of the queries in the group. T
 k best of each pair of blocks are merged per query by a window that each task
 cuts to k rows before the shuffle.
 
-Equal vectors of a block are one point of its tree; as ties go to the smaller id, only
-their k + 1 smallest ids matter. Scores are exact: products are summed in doubles
+Equal vectors of a block are one point of its tree; as ties go to the smaller id, and
+a query passes over one id, its own, only their 2 k smallest ids matter, each k times at
+most. Scores are exact: products are summed in doubles
 while no sum can reach 2**53, else as Python integers (a score beyond a long
 raises an error).
 
 Rows with a NULL id take no part, nor do vectors that are NULL or hold NULL or
 non-finite components. Vectors of different lengths have no inner product and never
 meet. A query's own row is every row with its id; repeated rows are candidates
-one by one, in any order.
+one by one, in any order. An id asks once, however many rows it has: of different vectors
+the first in order asks (arrays compare component by component, a shorter one first).
+An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -142,6 +145,8 @@ def search(queries: np.ndarray, query_ids: np.ndarray, points: np.ndarray, ids:
     points, ids = points[order], ids[order]
     distinct, of = np.unique(points, axis=0, return_inverse=True)
     by = np.argsort(of.ravel(), kind="stable")  # ids of one point in order
+    by = by[_run_places(of.ravel()[by], ids[by]) < k]
+    by = by[_run_places(of.ravel()[by]) < 2 * k]
     first = np.searchsorted(of.ravel()[by], np.arange(len(distinct) + 1))
     p, q = Tree(distinct), Tree(queries)
     bound = _bounds(q, np.array([0]), p, np.array([0]))[0]
@@ -161,7 +166,7 @@ def search(queries: np.ndarray, query_ids: np.ndarray, points: np.ndarray, ids:
             continue
         here = p.rows[p.begin[j]:p.end[j]]
         score = q.x[q.begin[i]:q.end[i]] @ p.x[p.begin[j]:p.end[j]].T
-        members = [by[first[d]:min(first[d + 1], first[d] + k + 1)] for d in here]
+        members = [by[first[d]:first[d + 1]] for d in here]
         column = np.repeat(np.arange(len(here)), [len(m) for m in members])
         found = ids[np.concatenate(members)]
         good = (score >= best.score[rows, -1][:, None]).any(0)[column]
@@ -174,6 +179,15 @@ def search(queries: np.ndarray, query_ids: np.ndarray, points: np.ndarray, ids:
     return _listed(best)
 
 
+def _run_places(*keys: np.ndarray) -> np.ndarray:
+    """The place of every row in its run of equal keys."""
+    if not len(keys[0]):
+        return np.zeros(0, np.int64)
+    new = np.append(True, np.any([k[1:] != k[:-1] for k in keys], axis=0))
+    begin = np.flatnonzero(new)
+    return np.arange(len(new)) - np.repeat(begin, np.diff(np.append(begin, len(new))))
+
+
 def _listed(best: Best):
     row, place = np.nonzero(best.score > -np.inf)
     return row, best.id[row, place], best.score[row, place].astype(np.int64)
@@ -242,7 +256,8 @@ def _arrays(ids: bytes, x: bytes, dim: int):
 def top_k(vectors: DataFrame, is_query: Column, k: int = K, block: int = BLOCK, query_block: int = QUERY_BLOCK) -> DataFrame:
     """``(query_id, rank, vec_id, score)`` for the rows of ``(vec_id, x)`` where ``is_query`` holds."""
     points = _blocks(vectors, block, "vector-blocks")
-    asked = _blocks(vectors.where(is_query), query_block, "query-blocks")
+    once = vectors.where(is_query).groupBy("vec_id").agg(F.min("x").alias("x"))
+    asked = _blocks(once, query_block, "query-blocks")
     # every query block to every block of the same length: the stated queries against all rows
     places = points.select("dim", F.pmod("block", F.lit(PARTS)).alias("part"), "block")
     sides = asked.select("dim", F.col("block").alias("asked"), F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("part"))
