@@ -17,11 +17,13 @@ from gradmill.llm import queries, token_counts, toxicity, url_filter, vector_sea
 def slow_top(rows, is_query, k):
     good = [(i, [int(np.floor(np.float64(v) * 1024)) for v in x]) for i, x in rows
             if i is not None and x is not None and all(v is not None and np.isfinite(v) for v in x)]
+    asking = {}
+    for q, x in sorted((q, x) for q, x in good if is_query(q)):
+        asking.setdefault(q, x)
     out = set()
-    for q, x in good:
-        if is_query(q):
-            s = sorted((-sum(a * b for a, b in zip(x, y)), i) for i, y in good if i != q and len(y) == len(x))
-            out |= {(q, n + 1, i, -v) for n, (v, i) in enumerate(s[:k])}
+    for q, x in asking.items():
+        s = sorted((-sum(a * b for a, b in zip(x, y)), i) for i, y in good if i != q and len(y) == len(x))
+        out |= {(q, n + 1, i, -v) for n, (v, i) in enumerate(s[:k])}
     return out
 
 
@@ -41,6 +43,16 @@ def test_top_k(spark, block, query_block):
     assert top(spark, rows, block=block, query_block=query_block) == slow_top(rows, lambda q: q % 10 == 0, 10)
 
 
+@pytest.mark.parametrize("block", [4096, 8])
+def test_repeated_vectors(spark, block):
+    same = [0.5, -0.25]
+    rows = [(10, same)] * 13 + [(i, same) for i in range(11, 20)] + [(20, same)] * 2 + [(3, [0.1, 0.1])] * 30 + [(30, [1.0, 0.0]), (30, [0.0, 1.0])]
+    rows += [(41, [2.0, 2.0])] * 25
+    want = slow_top(rows, lambda q: q % 10 == 0, 10)
+    assert {r[1] for r in want if r[0] == 10} == set(range(1, 11))
+    assert top(spark, rows, block=block) == want
+
+
 def test_vector_edge_cases(spark):
     rows = [(10, [1.0, 2.0]), (20, [1.0, 2.0]), (3, [float("nan"), 1.0]), (4, None), (None, [1.0, 1.0]), (5, [None, 1.0]),
             (6, [float("inf"), 0.0]), (7, [1.0]), (30, [1.0]), (8, [1e12, -1e3]), (9, [-0.0001, 0.5]), (40, []), (41, [])]
@@ -234,3 +246,17 @@ def test_toxicity_edge_cases(spark):
         kept = toxicity.accepted(docs, model)
         assert kept.columns == docs.columns and kept.count() <= 6
         assert toxicity.score(docs.limit(0), model).count() == 0
+
+
+def test_pair_sum_is_that_of_all_pairs():
+    rng = np.random.default_rng(4)
+    size = 1 << toxicity.BITS
+    model = toxicity.Model(-0.3, rng.normal(size=size).astype(np.float32), rng.normal(size=(size, toxicity.FACTORS)).astype(np.float32))
+    texts = ["you awful foreigners", "", None, "one", "the same the same word", " ".join(f"word{chr(97 + i)}" for i in range(20))]
+    for text, score in zip(texts, model.scores(texts)):
+        slots = toxicity.terms(text).tolist()
+        margin = model.bias + sum(float(model.weights[s]) for s in slots)
+        for n, a in enumerate(slots):
+            for b in slots[n + 1:]:
+                margin += sum(float(x) * float(y) for x, y in zip(model.vectors[a], model.vectors[b]))
+        assert abs(score - 1 / (1 + np.exp(-np.clip(margin, -40, 40)))) < 1e-6
