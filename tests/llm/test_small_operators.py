@@ -1,5 +1,7 @@
 """Vector search, URL filter, token counts, toxicity."""
 
+import collections
+import math
 import random
 import zlib
 from urllib.parse import urlsplit
@@ -128,6 +130,55 @@ def test_url_scores_separate_the_sorts(spark):
     assert all(abs(got[i].score - again[i].score) < 1e-12 and got[i].verdict == again[i].verdict for i in got)
 
 
+def slow_url_scores(urls):
+    """Scores and verdicts by a plain Markov model with dictionaries."""
+    parts = [slow_parts(u) for u in urls]
+    texts = [(h + p).encode().replace(b"\0", b"\2") for h, p in parts]
+    rules = [slow_rule(*x)[1] for x in parts]
+    held = [zlib.crc32(h.encode()) % url_filter.HELD_OUT == 0 for h, _ in parts]
+    counts = {"allow": collections.Counter(), "block": collections.Counter()}
+    for t, what, out in zip(texts, rules, held):
+        raw = b"\0" * 5 + t + b"\1"
+        for i in range(5, len(raw) if what and not out else 0):
+            for order in range(6):
+                counts[what][order, raw[i - order:i], raw[i]] += 1
+                counts[what][order, raw[i - order:i]] += 1
+
+    def chance(seen, raw, i):
+        p = 1 / 256
+        for order in range(6):
+            n = seen[order, raw[i - order:i]]
+            p = (seen[order, raw[i - order:i], raw[i]] + (math.sqrt(n) + 1) * p) / (n + math.sqrt(n) + 1)
+        return p
+
+    scores = []
+    for t in texts:
+        raw = b"\0" * 5 + t + b"\1"
+        ratio = sum(math.log(chance(counts["allow"], raw, i) / chance(counts["block"], raw, i)) for i in range(5, len(raw)))
+        scores.append(ratio / (len(t) + 1) if t else 0.0)
+    judged = [(s, w) for s, w, out in zip(scores, rules, held) if w and out]
+    n = {w: sum(x == w for _, x in judged) for w in ("allow", "block")}
+    edges = [-8 + k / 256 for k in range(4097)]
+    cost = [sum((w == "allow") / n[w] if s < e else (w == "block") / n[w] for s, w in judged) for e in edges]
+    best = [e for e, c in zip(edges, cost) if c <= min(cost) + 1e-9]
+    limit = (best[0] + best[-1]) / 2
+    return scores, [w or ("allow" if s >= limit else "block") for s, w in zip(scores, rules)]
+
+
+@pytest.mark.parametrize("parts", [1, 3, 50])
+def test_url_scores_by_brute_force(spark, sf_dir, parts, monkeypatch):
+    given = [r.url for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()]
+    mixed = [f"http://{'abcde'[i % 5]}{i % 13}.{'org/fr' if i % 3 else 'net'}/{'garden' if i % 3 else 'casino'}-{i * 7}" for i in range(300)]
+    urls = URLS + given + mixed + mixed[:40] + ["http://long.com/" + "xy" * 30_000]
+    scores, verdicts = slow_url_scores(urls)
+    monkeypatch.setattr(url_filter, "BLOCK_BYTES", 3000)
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").repartition(parts)
+    got = {r.page_id: r for r in url_filter.judge(pages).collect()}
+    assert len(got) == len(urls)
+    assert max(abs(got[i].score - s) for i, s in enumerate(scores)) < 1e-9
+    assert [got[i].verdict for i in range(len(urls))] == verdicts
+
+
 def test_urls_without_both_sorts(spark):
     pages = spark.createDataFrame([(1, "http://a.com/x"), (None, "http://b.net/")], "page_id long, url string")
     got = {r.page_id: r.verdict for r in url_filter.judge(pages).collect()}
