@@ -682,6 +682,17 @@ def _local_head(result: str, workers: int = 8, size: int = 16, epochs: int = 2,
             f"(SELECT w, unnest(range(640)) AS i FROM p{epochs}) UNION ALL SELECT 'classifier', 'bias', i, "
             f"{r6('b[i + 1]')} FROM (SELECT b, unnest(range(10)) AS i FROM p{epochs})"
         )
+    if result == "log":
+        made = " UNION ALL ".join(
+            f"SELECT s.t, s.w, s.b FROM s{e}_{s + 1} s JOIN g{e}_{s} USING (worker) WHERE s.t % 3 = 0"
+            for e in range(epochs) for s in range(steps)
+        )
+        values = " UNION ALL ".join(f"SELECT t, '{p}' AS param, unnest({c}) AS v FROM made" for p, c in (("weight", "w"), ("bias", "b")))
+        return (
+            f"{sql}, made AS ({made}) SELECT t::BIGINT AS step, 'classifier' AS layer, param, "
+            "least(greatest(floor((v - (-0.1::DOUBLE)) / (0.2::DOUBLE / 20)), -1), 20)::INT AS bucket, "
+            f"count(*) AS n FROM ({values}) GROUP BY ALL"
+        )
     scored = f"(SELECT id, label1, {log_softmax(logits)} AS o FROM z, p{epochs})"
     return f"{sql} SELECT id, label1, {best('o')} + 1 AS class1 FROM {scored}"
 
@@ -851,6 +862,8 @@ def all_oracles() -> dict[str, str]:
             f"{r6('-scores[label1]')} AS cross_entropy, {r6(one_hot_error)} AS mse FROM scored"
         ),
         "stream_score": f"WITH {LINEAR} SELECT vec_id, {best('scores')} AS pred FROM scored",
+        "predictions_in_tables": f"WITH {LINEAR} SELECT vec_id AS id, label AS truth, {best('scores')} AS pred FROM scored "
+        "JOIN embeddings USING (vec_id)",
         "classify_images": (
             f"{_picture('255')} SELECT vec_id, class_id, n_name AS name FROM "
             f"(SELECT vec_id, {best('scores')} + 1 AS class_id FROM scored) "
@@ -914,6 +927,7 @@ def all_oracles() -> dict[str, str]:
         "transfer_trunk": _run("trunk-run", [64, H, H, 10], 5, 0.2, renewed=2),
         "transfer_head": _local_head("classes"),
         "transfer_head_weights": _local_head("weights"),
+        "param_log": _local_head("log"),
         "train_autoencoder": _run("autoencoder-run", [64, CODE, 64], 2, None, 4),
         "score_mlp": _scores(_mlp()),
         "score_lenet": _scores(_lenet()),

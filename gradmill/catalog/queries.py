@@ -22,7 +22,7 @@ from gradmill.plans.optim import SGD
 from gradmill.session import scratch_dir
 from gradmill.sources.collections import lines_of
 from gradmill.sources.images import byte_pixels
-from gradmill.streaming.scoring import sample_stream, score_stream
+from gradmill.streaming.scoring import TableSink, sample_stream, score_stream, score_stream_to_table
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -512,6 +512,25 @@ def stream_score(spark, sf_dir):
     return spark.read.schema("vec_id bigint, pred int").parquet(f"{base}/out")
 
 
+def predictions_in_tables(spark, sf_dir):
+    """Streamed predictions and the true labels as bucketed tables, joined where they lie."""
+    base = scratch_dir(spark, "tables")
+    name = f"t_{base.rsplit('-', 1)[1]}"
+    stream = sample_stream(
+        spark, sf_dir, "vec_id bigint, embedding array<float>, label int", "embeddings.parquet"
+    )
+    sink = TableSink(spark, f"{name}_pred", f"{base}/pred", "id BIGINT, pred INT", "id", WORKERS)
+    query = score_stream_to_table(
+        stream, LINEAR, LINEAR.formula(), ["vec_id"], sink, f"{base}/progress", "embedding",
+        lambda scored: scored.select(F.col("vec_id").alias("id"), score.decided_class(F.col("scores")).alias("pred")),
+    )
+    query.awaitTermination()
+    truth = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("label").alias("truth"))
+    score.save_table(truth, f"{name}_truth", f"{base}/truth", "id", WORKERS)
+    # as it would be of large tables: neither side is sent to every task
+    return spark.table(f"{name}_truth").join(sink.read(spark).hint("merge"), "id").select("id", "truth", "pred")
+
+
 PICTURE = models.softmax(6 * 6 * 3, CLASSES)
 
 
@@ -751,11 +770,11 @@ def train_images(spark, sf_dir):
     return scalars.select("run_id", "phase", "tag", "step", r6(F.col("value")).alias("value"))
 
 
-def _head_fit(spark, sf_dir):
+def _head_fit(spark, sf_dir, log=None):
     """A head trained by worker-local steps on trunk features; its weights start at the class means."""
     data, model = z_samples(spark, sf_dir), models.head(DIM, CLASSES)
     given = centroid_params(spark, sf_dir).withColumn("layer", F.lit("classifier"))
-    return data, model, train.transfer(data, model, given, match_all=True, workers=WORKERS)
+    return data, model, train.transfer(data, model, given, match_all=True, workers=WORKERS, log=log)
 
 
 def transfer_head(spark, sf_dir):
@@ -769,6 +788,13 @@ def transfer_head_weights(spark, sf_dir):
     return _vector_rows(spark, model, fitted.vector)
 
 
+def param_log(spark, sf_dir):
+    """Distributions of the workers' parameters at every third of their steps, recorded while they train."""
+    log = MetricsLog(spark, scratch_dir(spark, "training"))
+    _head_fit(spark, sf_dir, train.Log(log, "head-run", train.several_iteration(3), -0.1, 0.1))
+    return log.read_histograms("head-run").select("step", "layer", "param", "bucket", "n")
+
+
 TRUNK = models.Model(
     "trunk", MLP.input_shape,
     tuple(("linear", "fc3_new", *layer[2:]) if layer[1] == "fc3" else layer for layer in MLP.layers),
@@ -798,11 +824,11 @@ def all_queries() -> dict:
         zero_based_labels, zip_by_position, reshape2d, self_target, minmax_scale, minibatches,
         image_folder, image_sequence, idx_files, class_list, label_lines, text_lines, named_images, score_linear,
         predict_class, argmax, top_k, top_k_named, class_name_lookup, order_customers, scores_by_name,
-        prediction_and_truth, top1_accuracy, label_agreement, mean_loss, criteria, stream_score,
+        prediction_and_truth, top1_accuracy, label_agreement, mean_loss, criteria, stream_score, predictions_in_tables,
         classify_images, classify_named, resize_bilinear, param_shapes, param_histogram,
         saved_model, quantize, size_report, quantized_predictions, quant_agreement, warm_start,
         metrics_log, softmax_grad_zero, mlp_gradient, autoencoder_gradient, softmax_sync_steps,
-        resumed_training, written_predictions, transfer_head, transfer_head_weights, transfer_trunk,
+        resumed_training, written_predictions, transfer_head, transfer_head_weights, param_log, transfer_trunk,
     ]
     named = {f.__name__: f for f in plain}
     pixel = {

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gradmill.functions import arrays
 
+#: Buckets of a parameter histogram, besides one on either side.
+BINS = 20
+
 
 def param_shapes(params: DataFrame) -> DataFrame:
     """``(layer, param, shape, n_values)`` of a parameter table."""
@@ -40,6 +44,25 @@ def value_histogram(
     return flat.groupBy(*by, cell.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def param_histogram(params: DataFrame, low: float, high: float, bins: int = 20) -> DataFrame:
+def bucket_counts(values: np.ndarray, low: float, high: float, bins: int = BINS) -> np.ndarray:
+    """The counts of :func:`value_histogram` for values inside a task, buckets -1 to ``bins`` in order."""
+    cells = np.nan_to_num(np.floor((values - low) / ((high - low) / bins)))
+    return np.bincount(np.clip(cells, -1, bins).astype(np.int64) + 1, minlength=bins + 2)
+
+
+def counted_buckets(counts: DataFrame, params: list[tuple[str, str]], keep: list[str], bins: int = BINS) -> DataFrame:
+    """``(keep…, layer, param, bucket, n)`` out of ``(keep…, part)``, the bucket counts of all ``params`` in a row.
+
+    Counts of the same ``keep`` are added up; empty buckets have no row.
+    """
+    names = F.array(*(F.struct(F.lit(layer).alias("layer"), F.lit(param).alias("param")) for layer, param in params))
+    sums = counts.select(*keep, F.posexplode("part").alias("at", "n")).groupBy(*keep, "at").agg(F.sum("n").alias("n"))
+    named = F.element_at(names, (F.floor(F.col("at") / (bins + 2)) + 1).cast("int"))
+    return sums.where("n > 0").withColumn("of", named).select(
+        *keep, "of.layer", "of.param", (F.col("at") % (bins + 2) - 1).alias("bucket"), F.col("n").cast("bigint").alias("n")
+    )
+
+
+def param_histogram(params: DataFrame, low: float, high: float, bins: int = BINS) -> DataFrame:
     """The value distribution of every parameter."""
     return value_histogram(params, "values", low, high, bins, ["layer", "param"])

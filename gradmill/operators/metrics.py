@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SCHEMA = (
@@ -35,8 +35,8 @@ class MetricsLog:
         if rows:
             self.append_table(self.spark.createDataFrame(rows, SCHEMA).coalesce(1))
 
-    def append_histogram(self, run_id: str, step: int, histogram: DataFrame) -> None:
-        """Append the ``(layer, param, bucket, n)`` distribution of the parameters."""
+    def append_histogram(self, run_id: str, step: int | Column, histogram: DataFrame) -> None:
+        """Append the ``(layer, param, bucket, n)`` distribution of the parameters, at one step or by a column."""
         keyed = histogram.select(
             F.lit(run_id).alias("run_id"), F.lit(step).cast("bigint").alias("step"),
             "layer", "param", "bucket", "n",

@@ -7,13 +7,16 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import StorageLevel, TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 #: Values per row: long vectors travel as blocks that different tasks can add up.
 BLOCK = 1 << 16
 #: Vectors that one task of the last level may add up without a level before it.
 FAN = 16
+#: In this slot are notes: rows beside the vectors, which nothing adds up.
+NOTES = -1
 SCHEMA = "block int, slot int, n bigint, loss double, part array<double>"
 
 Partial = tuple[int, float, np.ndarray]
@@ -59,6 +62,7 @@ def vector_sum(
     work: Callable[[Iterator[pa.RecordBatch]], Partial | None],
     parts: int,
     size: int,
+    notes: Callable[[DataFrame], None] | None = None,
 ) -> Partial | None:
     """Run ``work`` once per partition and add up its ``(n, loss, vector)`` results.
 
@@ -67,6 +71,10 @@ def vector_sum(
     of them per block, or for more a level of about ``sqrt(parts)`` slots before
     it, so that the driver receives one vector whatever the size of the
     cluster. A single partition has nothing to add. None if no task had rows.
+
+    With ``notes``, ``work`` also returns a list of ``(number, values)``. These rows
+    come out of the same pass, stay on the executors and are handed over as a table
+    ``(number, part)``; it can be read while ``notes`` runs.
     """
     fan = math.isqrt(max(parts, 1) - 1) + 1 if parts > FAN else 1
     blocks = max(1, min(parts, -(-size // BLOCK)))
@@ -75,12 +83,26 @@ def vector_sum(
         done = work(batches)
         if done is None:
             return
-        n, loss, vector = done
+        n, loss, vector, *noted = done
+        for number, values in noted[0] if noted else ():
+            yield _batch([(0, NOTES, number, 0.0, np.asarray(values, float))])
         slot = TaskContext.get().partitionId() % fan
         for block, at in enumerate(range(0, max(1, len(vector)), BLOCK)):
             yield _batch([(block, slot, n, loss, vector[at : at + BLOCK])])
 
     partials = df.mapInArrow(task, SCHEMA)
+    if notes:
+        passed = partials.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            done = _summed(passed.where(F.col("slot") != NOTES), parts, fan, blocks)
+            notes(passed.where(F.col("slot") == NOTES).select(F.col("n").alias("number"), "part"))
+            return done
+        finally:
+            passed.unpersist()
+    return _summed(partials, parts, fan, blocks)
+
+
+def _summed(partials: DataFrame, parts: int, fan: int, blocks: int) -> Partial | None:
     if fan > 1:
         partials = partials.repartition(fan, "slot", "block").mapInArrow(_add, SCHEMA)
     if parts > 1:

@@ -173,3 +173,13 @@ def top_k_named(best: DataFrame, names: DataFrame, keep: list[str]) -> DataFrame
 def write_predictions(scored: DataFrame, path: str) -> None:
     """Store a scored table."""
     scored.write.mode("errorifexists").parquet(path)
+
+
+def save_table(scored: DataFrame, name: str, path: str, key: str, buckets: int) -> None:
+    """Store a scored table as ``name`` of the session's catalog, at ``path``.
+
+    Rows lie in buckets by ``key`` and are sorted in them: tables with the same buckets
+    are joined on it without a shuffle. One file per bucket. A table of this name is an error.
+    """
+    rows = scored.repartition(buckets, key)
+    rows.write.bucketBy(buckets, key).sortBy(key).option("path", path).mode("errorifexists").saveAsTable(name)

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from gradmill.functions.hashing import keyed_hash
 from gradmill.operators import model_store
-from gradmill.operators.inspect import param_histogram
+from gradmill.operators.inspect import bucket_counts, counted_buckets, param_histogram
 from gradmill.operators.metrics import MetricsLog
 from gradmill.plans import layout
 from gradmill.plans.kernels import CRITERIA
@@ -63,7 +63,12 @@ def several_iteration(n: int) -> Trigger:
 
 @dataclass
 class Log:
-    """Where and when a run is recorded."""
+    """Where and when a run is recorded.
+
+    ``parameters`` says at which steps the distribution of the parameters is recorded. In
+    ``local_sgd`` the tasks ask it (so it has to be picklable) at their workers' own steps, and
+    what is recorded at a step are the values of all workers that made it.
+    """
 
     metrics: MetricsLog
     run_id: str
@@ -218,16 +223,20 @@ def _as_array(df: DataFrame, col: str):
     return F.col(col) if is_array else F.array(F.col(col).cast("double"))
 
 
-def _local_pass(df: DataFrame, model: Model, fit: Fit, features, target, batch_size, workers, parts):
+def _local_pass(df: DataFrame, model: Model, fit: Fit, features, target, batch_size, workers, parts, log=None):
     """One epoch of steps per worker; returns rows, loss sum and the weighted states.
 
     ``df`` is sorted by ``_worker`` within its partitions and no worker is in two
-    of them. Behind the states come the steps each worker has made.
+    of them. Behind the states come the steps each worker has made. The histograms
+    for the ``log`` are notes of the same pass, written by the tasks.
     """
     start = df.sparkSession.sparkContext.broadcast((fit.vector, fit.optim))
     size = model.size * (1 + fit.optim.slots) + 1
+    wanted, edges = (log.parameters, (log.low, log.high)) if log else (None, None)
+    epoch, before = fit.epoch, fit.step
 
     def work(batches):
+        noted = []
         n, loss, total, steps = 0, 0.0, np.zeros(size), np.zeros(workers)
         worker, vector, optim, own = None, None, None, 0
         held_x, held_y = np.zeros((0, 0)), np.zeros(0)
@@ -238,6 +247,10 @@ def _local_pass(df: DataFrame, model: Model, fit: Fit, features, target, batch_s
             vector = optim.step(vector, gradient / len(x))
             n, loss, own = n + len(x), loss + part, own + len(x)
             steps[worker] += 1
+            made = before + int(steps[worker])
+            if wanted and wanted(epoch, made):
+                counts = [bucket_counts(v.ravel(), *edges) for v in model.split(vector).values()]
+                noted.append((made, np.concatenate(counts)))
 
         def finish():
             nonlocal total
@@ -261,11 +274,15 @@ def _local_pass(df: DataFrame, model: Model, fit: Fit, features, target, batch_s
                     take(x[i : i + batch_size], y[i : i + batch_size])
                 held_x, held_y = x[whole:], y[whole:]
         finish()
-        return (n, loss, np.concatenate([total, steps])) if n else None
+        return (n, loss, np.concatenate([total, steps]), noted) if n else None
+
+    def record(notes):
+        histograms = counted_buckets(notes, list(model.shapes()), ["number"])
+        log.metrics.append_histogram(log.run_id, F.col("number"), histograms)
 
     pair = _pair(df, features, target, "_key", "_worker")
     try:
-        return vector_sum(pair, work, parts, size + workers)
+        return vector_sum(pair, work, parts, size + workers, record if log else None)
     finally:
         start.destroy()
 
@@ -359,7 +376,6 @@ def fit(
             ).first()
             n_rows, parts = counted["rows"], (counted["last"] or 0) + 1
         while n_rows and not stop(run.epoch, run.step):
-            first_step = run.step
             if mode == "sync":
                 if batches:
                     steps = (shown(batches.rows(c), run.epoch) for c in batches.of(run.epoch))
@@ -368,9 +384,7 @@ def fit(
                 logged = _sync_epoch(spark, steps, model, run, features, target, parts, log)
             else:
                 logged = _local_epoch(shown(samples, run.epoch).withColumn("_worker", worker), model, run, features,
-                                      target, batch_size or n_rows, workers, parts, seed)
-                if log and any(log.parameters(run.epoch, s) for s in range(first_step + 1, run.step + 1)):
-                    _log_parameters(spark, model, run, log)
+                                      target, batch_size or n_rows, workers, parts, seed, log)
             run.epoch += 1
             run.losses += logged
             if log:
@@ -424,10 +438,10 @@ def _sync_epoch(spark, steps, model, run, features, target, parts, log):
     return logged
 
 
-def _local_epoch(samples, model, run, features, target, batch_size, workers, parts, seed):
+def _local_epoch(samples, model, run, features, target, batch_size, workers, parts, seed, log):
     order = keyed_hash(F.col("_key"), seed, run.epoch)
     shuffled = samples.sortWithinPartitions("_worker", order, "_key")
-    done = _local_pass(shuffled, model, run, features, target, batch_size, workers, parts)
+    done = _local_pass(shuffled, model, run, features, target, batch_size, workers, parts, log)
     if done is None:
         return []
     n, loss, state = done

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gradmill.plans.models import Model
@@ -37,3 +38,48 @@ def score_stream(
         .option("path", out).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
     )
+
+
+class TableSink:
+    """A bucketed table that takes every batch of a stream once.
+
+    The rows of a batch are one partition ``batch_id``, replaced as a whole: a batch
+    that is repeated after a failure changes nothing. Within it they lie in buckets by
+    ``key``, one file each, as in :func:`score.save_table`. The table is an entry of the
+    session's catalog over the files at ``path``; a later session finds them again.
+    """
+
+    def __init__(self, spark: SparkSession, name: str, path: str, schema: str, key: str, buckets: int):
+        self.name, self.key, self.buckets = name, key, buckets
+        none = spark.createDataFrame([], f"{schema}, batch_id BIGINT")
+        self.columns = ", ".join(f"`{c}`" for c in none.columns[:-1])
+        none.write.mode("append").partitionBy("batch_id").parquet(path)  # makes the folder
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {name} ({schema}, batch_id BIGINT) USING parquet PARTITIONED BY (batch_id) "
+            f"CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {int(buckets)} BUCKETS LOCATION '{path}'"
+        )
+        spark.catalog.recoverPartitions(name)
+
+    def put(self, batch: DataFrame, batch_id: int) -> None:
+        """For ``foreachBatch``: store the rows of one batch in place of what it left before."""
+        rows = batch.repartition(self.buckets, F.col(self.key))
+        insert = f"INSERT OVERWRITE TABLE {self.name} PARTITION (batch_id = {int(batch_id)}) SELECT {self.columns} FROM {{rows}}"
+        batch.sparkSession.sql(insert, rows=rows)
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        """What is stored now; a session that read the table before may remember replaced files."""
+        spark.catalog.refreshTable(self.name)
+        return spark.table(self.name)
+
+
+def score_stream_to_table(
+    samples: DataFrame, model: Model, params: Params, keep: list[str], sink: TableSink,
+    checkpoint: str, features: str = "features",
+    finish: Callable[[DataFrame], DataFrame] = lambda scored: scored,
+) -> StreamingQuery:
+    """As :func:`score_stream`, into a table that joins without a shuffle."""
+    scored = finish(predict(samples, model, params, keep, features))
+    return (
+        scored.writeStream.foreachBatch(sink.put).option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).start()
+    )

@@ -9,7 +9,7 @@ from gradmill.functions import pixels as px
 from gradmill.operators import model_store, quant
 from gradmill.plans import models, score
 from gradmill.session import scratch_dir
-from gradmill.streaming.scoring import sample_stream, score_stream
+from gradmill.streaming.scoring import TableSink, sample_stream, score_stream, score_stream_to_table
 
 
 def test_predict_keeps_keys_and_reads_nested_arrays(spark):
@@ -98,6 +98,50 @@ def test_stream_equals_batch_and_picks_up_only_new_files(spark, sf_dir):
     assert np.allclose([r["scores"] for r in streamed], [r["scores"] for r in batch], atol=1e-12)
 
 
+class DyingSink(TableSink):
+    """Stores a batch and then fails, once, before the stream can note that it is done."""
+
+    alive = True
+
+    def put(self, batch, batch_id):
+        super().put(batch, batch_id)
+        if batch_id == 1 and self.alive:
+            self.alive = False
+            raise RuntimeError("the driver is lost")
+
+
+def test_a_repeated_batch_changes_nothing_in_the_table(spark, sf_dir):
+    base = scratch_dir(spark, "sink")
+    rows = q.raw_samples(spark, sf_dir).select("vec_id", "x")
+    rows.repartition(3).write.parquet(f"{base}/in")
+    name, model = "repeated_batches", q.LINEAR
+    sink = DyingSink(spark, name, f"{base}/table", "vec_id BIGINT, scores ARRAY<DOUBLE>", "vec_id", 4)
+
+    def run():
+        stream = sample_stream(spark, f"{base}/in", "vec_id bigint, x array<float>", files_per_batch=1)
+        score_stream_to_table(stream, model, model.formula(), ["vec_id"], sink, f"{base}/progress", "x").awaitTermination()
+
+    with pytest.raises(Exception, match="driver is lost"):
+        run()
+    assert sink.read(spark).select("batch_id").distinct().count() == 2
+    run()
+    batch = {r["vec_id"]: r["scores"] for r in score.predict(rows, model, model.formula(), ["vec_id"], "x").collect()}
+    stored = sink.read(spark).collect()
+    assert sorted(r["vec_id"] for r in stored) == sorted(batch)
+    assert all(np.allclose(r["scores"], batch[r["vec_id"]], atol=1e-12) for r in stored)
+    assert {r["batch_id"] for r in stored} == {0, 1, 2}
+    spark.sql(f"DROP TABLE {name}")  # the entry; the files stay, and another session finds them
+    again = TableSink(spark, name, f"{base}/table", "vec_id BIGINT, scores ARRAY<DOUBLE>", "vec_id", 4)
+    assert again.read(spark).count() == len(stored)
+
+
+def test_tables_with_the_same_buckets_join_without_a_shuffle(spark, sf_dir):
+    df = q.predictions_in_tables(spark, sf_dir)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    assert df.count() == spark.read.parquet(f"{sf_dir}/embeddings.parquet").count()
+
+
 def test_write_predictions_never_overwrites(spark, sf_dir):
     path = scratch_dir(spark, "predictions")
     scored = q.linear_scores(spark, sf_dir)

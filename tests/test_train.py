@@ -205,6 +205,24 @@ def test_log_validation_and_parameter_trigger(data, spark):
     assert {r["step"]: r["n"] for r in histograms} == {s: q.LINEAR.size for s in (2, 4, 6)}
 
 
+def test_workers_record_their_own_parameters(data, spark):
+    def histograms(partitions):
+        log = MetricsLog(spark, scratch_dir(spark, "log"))
+        record = train.Log(log, "run", train.several_iteration(2))
+        fitted = train.fit(data, q.LINEAR, SGD(0.2), 2, 32, "local_sgd", workers=3, partitions=partitions, log=record)
+        return fitted.step, {(r["step"], r["layer"], r["param"], r["bucket"], r["n"]) for r in log.read_histograms("run").collect()}
+
+    steps, found = histograms(3)
+    per_step = {}
+    for step, *_, n in found:
+        per_step[step] = per_step.get(step, 0) + n
+    assert per_step and all(s % 2 == 0 and s <= steps for s in per_step)
+    # all three workers make the early steps, and every value of theirs is in one bucket
+    assert per_step[2] == 3 * q.LINEAR.size and set(per_step.values()) <= {k * q.LINEAR.size for k in (1, 2, 3)}
+    assert histograms(1) == (steps, found)
+
+
+
 def test_validation_equals_the_measures_of_the_scored_table(data):
     for model in (q.LINEAR, q.RNN):
         vector = model.formula()
