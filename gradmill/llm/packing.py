@@ -233,7 +233,8 @@ def pack(docs: DataFrame, vocabulary: str, pattern: str, capacity: int = CAPACIT
     table = cut.sparkSession.sparkContext.broadcast(slots(plan(counts, capacity)))
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     bases = per_task.select("task", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    numbered = cut.join(bases, ["task", "length"]).withColumn("number", F.col("base") + F.col("place"))
+    # as many rows as there are tasks and lengths: they grow with the data, so they are not broadcast
+    numbered = cut.join(bases.hint("merge"), ["task", "length"]).withColumn("number", F.col("base") + F.col("place"))
     names = ["doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if keep_ids else [])]
     out = [cut.schema[c] for c in names]
     out += [T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())]
