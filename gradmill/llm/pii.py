@@ -22,7 +22,11 @@ hash, at most ``SAMPLE_TOKENS`` of them, labelled by the base spans. Half of
 them are seen without their form, so that the links get a weight of their own.
 
 Finding is one pass without a shuffle. NULL texts count as empty; offsets are
-code points, ends are exclusive.
+code points, ends are exclusive. Whole texts are searched; a token's form looks at its
+first 200 characters and 24 beside it, base spans have no such limit. Every row is
+searched by itself, also with a NULL id or one that repeats with the same or another
+text. Spans that start at the same place are in the order of the kinds. An empty table
+gives an empty result. Other columns are not read.
 """
 
 from __future__ import annotations

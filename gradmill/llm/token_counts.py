@@ -16,7 +16,10 @@ Every step reads a character or pops pieces that were read before, so the work i
 linear in the length of the text, however long its words are. The automaton is
 built on the driver from the vocabulary, whose size is fixed, and broadcast.
 
-Counting is one pass without a shuffle. NULL and empty texts have no words.
+Counting is one pass without a shuffle. NULL and empty texts have no words; whole texts
+are read however long; every row is counted, also with a NULL id or one that repeats, and
+equal texts count alike. Of pieces of equal length there is only one that fits, so there
+are no ties. An empty table gives an empty result. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -30,6 +33,8 @@ from pyspark.sql import types as T
 
 #: Words whose counts a task remembers; then it forgets all and goes on.
 REMEMBERED = 100_000
+#: Longer words are counted anew each time: what is remembered has a size.
+REMEMBERED_LENGTH = 64
 
 
 class Automaton:
@@ -108,9 +113,11 @@ def count(docs: DataFrame, automaton: Automaton) -> DataFrame:
                 for w in words:
                     n = known.get(w)
                     if n is None:
-                        if len(known) >= REMEMBERED:
-                            known.clear()
-                        n = known[w] = pieces(w)
+                        n = pieces(w)
+                        if len(w) <= REMEMBERED_LENGTH:
+                            if len(known) >= REMEMBERED:
+                                known.clear()
+                            known[w] = n
                     tokens += n or 1
                     unknown += not n
                 rows[d] = len(words), tokens, unknown
