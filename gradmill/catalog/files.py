@@ -63,7 +63,7 @@ def idx_pair(images: np.ndarray, labels: np.ndarray) -> tuple[bytes, bytes]:
 def write_idx_shards(
     df: DataFrame, folder: str, key: str, label: str, pixels: str, side: int,
     shard_rows: int = 100,
-) -> tuple[list[str], list[str]]:
+) -> None:
     """One IDX pair per range of ``key``; the files in order hold the rows in key order."""
     shards = max(1, df.count() // shard_rows)
     ordered = df.select(key, label, pixels).repartitionByRange(shards, key)
@@ -78,9 +78,6 @@ def write_idx_shards(
             store(f"{folder}/{first}-labels-idx1-ubyte", labels)
 
     ordered.sortWithinPartitions(key).foreachPartition(write)
-    listing = df.sparkSession.read.format("binaryFile").load(folder).select("path")
-    paths = sorted(row[0].replace("file:", "", 1) for row in listing.collect())
-    return [p for p in paths if "-images-" in p], [p for p in paths if "-labels-" in p]
 
 
 def write_sequence(df: DataFrame, path: str, label: str, pixels: str) -> None:

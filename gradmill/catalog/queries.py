@@ -348,10 +348,8 @@ def image_sequence(spark, sf_dir):
 def idx_files(spark, sf_dir):
     images_ = rgb_images(spark, sf_dir).withColumn("grey", F.filter("rgb", lambda v, i: i % 3 == 0))
     folder = scratch_dir(spark, "idx")
-    image_files, label_files = files.write_idx_shards(
-        images_, folder, "vec_id", "label", "grey", SIDE
-    )
-    scan = sources.read_idx(spark, image_files, label_files, splits=2)
+    files.write_idx_shards(images_, folder, "vec_id", "label", "grey", SIDE)
+    scan = sources.read_idx_folder(spark, folder)
     return long_form(scan, ["id", "label"], F.col("pixels"))
 
 

@@ -110,6 +110,19 @@ def with_position(
     return _numbered(*_ranked(df, key, ranges), into)
 
 
+def running_total(df: DataFrame, key: str, value: str, into: str, ranges: int | None = None) -> DataFrame:
+    """The sum of ``value`` over all rows with a smaller ``key``, summed by key ranges like ``with_position``."""
+    rows, _ = _ranked(df, key, ranges)
+    totals = rows.groupBy("_range").agg(F.sum(value).alias("_n"))
+    # one row per range, so this window stays small
+    earlier = F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
+    totals = totals.select("_range", F.coalesce(earlier, F.lit(0)).alias("_before"))
+    within = F.sum(value).over(
+        Window.partitionBy("_range").orderBy("_place").rowsBetween(Window.unboundedPreceding, -1))
+    total = (F.col("_before") + F.coalesce(within, F.lit(0))).alias(into)
+    return rows.join(totals, "_range").select(*df.columns, total)
+
+
 def zip_by_position(
     a: DataFrame, b: DataFrame, key_a: str, key_b: str, ranges: int | None = None
 ) -> DataFrame:

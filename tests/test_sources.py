@@ -8,6 +8,7 @@ import pytest
 from gradmill import sources
 from gradmill.catalog import files
 from gradmill.operators import relational
+from gradmill.operators.samples import running_total
 from gradmill.session import get_session, scratch_dir
 from gradmill.sources.images import byte_pixels
 
@@ -62,6 +63,71 @@ def test_idx_rejects_unequal_and_foreign_files(spark, idx, tmp_path):
         sources.read_idx(spark, f"{tmp_path}/text", f"{folder}/labels").collect()
 
 
+def test_running_total(spark):
+    rows = [(f"k{n:03d}", n * n % 7) for n in range(50)]
+    want, total = {}, 0
+    for key, n in rows:
+        want[key], total = total, total + n
+    for ranges in (1, 3, 60):
+        df = running_total(spark.createDataFrame(rows, "key string, n long").repartition(5), "key", "n", "before", ranges)
+        assert {r.key: r.before for r in df.collect()} == want
+
+
+@pytest.fixture()
+def idx_folder(tmp_path):
+    """Seven pairs of 0 to 6 images, some of their files gzipped, one in a folder below."""
+    rng, want = np.random.default_rng(2), []
+    for n in range(7):
+        images, labels = rng.integers(0, 256, (n, 3, 5)), rng.integers(0, 256, n)
+        folder = tmp_path / "below" if n == 0 else tmp_path
+        folder.mkdir(exist_ok=True)
+        for kind, data, packed in zip(("images-idx3", "labels-idx1"), files.idx_pair(images, labels), (n % 2, n % 3 == 0)):
+            path = folder / f"part{n}-{kind}-ubyte{'.gz' if packed else ''}"
+            path.write_bytes(gzip.compress(data) if packed else data)
+        want += zip(images.reshape(n, 15).tolist(), labels.tolist())
+    return tmp_path, want
+
+
+@pytest.mark.parametrize("threshold", ["10485760b", "1b"])
+def test_idx_folder(spark, idx_folder, threshold):
+    folder, want = idx_folder
+    (folder / "notes.txt").write_text("something else")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        df = sources.read_idx_folder(spark, str(folder))
+        assert df.dtypes == [("id", "bigint"), ("pixels", "array<float>"), ("label", "int")]
+        rows = df.orderBy("id").collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert [r.id for r in rows] == list(range(len(want)))
+    assert [(r.pixels, r.label) for r in rows] == want
+
+
+def test_idx_folder_names_what_is_wrong(spark, idx_folder, tmp_path_factory):
+    folder, _ = idx_folder
+    assert sources.read_idx_folder(spark, str(tmp_path_factory.mktemp("empty"))).collect() == []
+    image_bytes, label_bytes = files.idx_pair(np.zeros((4, 2, 2)), np.zeros(4))
+    images, labels = (folder / f"x-{kind}-ubyte" for kind in ("images-idx3", "labels-idx1"))
+
+    def fails(message):
+        with pytest.raises(Exception, match=message):
+            sources.read_idx_folder(spark, str(folder)).collect()
+
+    images.write_bytes(image_bytes)
+    fails("1 image files and 0 label files begin with .*/x-")
+    labels.write_bytes(files.idx_pair(np.zeros((3, 2, 2)), np.zeros(3))[1])
+    fails("4 images but 3 labels in .*/x-")
+    labels.write_bytes(label_bytes)
+    images.write_bytes(image_bytes[:-1])
+    fails("cut short or too long: .*/x-")
+    images.write_bytes(b"no" + image_bytes[2:])
+    fails("not an unsigned-byte IDX")
+    images.write_bytes(image_bytes)
+    (folder / "x-images-idx3-ubyte.gz").write_bytes(gzip.compress(image_bytes))
+    fails("2 image files and 1 label files begin with .*/x-")
+
+
 @pytest.fixture(scope="module")
 def flowers(tmp_path_factory):
     root = tmp_path_factory.mktemp("flowers")
