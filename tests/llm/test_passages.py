@@ -256,3 +256,42 @@ def test_split_keys_see_the_same_tokens_alike():
     assert (a == b).all() and len(np.unique(a)) > len(passages.SPLITS)
     assert passages.split_keys(x, np.zeros(0, np.int64)).shape == (0, len(passages.SPLITS))
     assert passages.split_keys(x, np.array([0, len(x) - 5])).shape == (2, len(passages.SPLITS))
+
+
+def test_pairs_are_found_beside_many_third_documents(spark):
+    """Smaller documents hold 40 words of each passage, from every place: no split of a group parts them from the pair."""
+    rng, docs, pairs = random.Random(21), [], []
+    for n in range(20):
+        a = [f"p{n}x{i}" for i in range(60)]
+        b = a[:30] + ["other"] + a[31:]
+        pairs.append((10000 + 2 * n, 10001 + 2 * n))
+        docs += [(i, " ".join(text(rng, 40) + x + text(rng, 40))) for i, x in zip(pairs[-1], (a, b))]
+        for at in range(21):
+            docs.append((100 * n + at, " ".join(text(rng, 60) + a[at:at + 40] + text(rng, 60))))
+    rows = passages.repeated(spark.createDataFrame(docs, "doc_id long, text string").repartition(4)).collect()
+    others = {}
+    for r in rows:
+        others.setdefault(r.doc_id, set()).add(r.other_id)
+    assert others == {x: {y} for pair in pairs for x, y in (pair, pair[::-1])}
+
+
+def test_surroundings_let_all_similar_stretches_pass():
+    rng, judged = random.Random(4), 0
+    for n in range(600):
+        words = 2 if n % 3 == 0 else 10**6
+        p = [f"w{rng.randrange(words)}" for _ in range(rng.randrange(50, 90))]
+        k, at = rng.randrange(1, 6), rng.randrange(12, len(p) - 12)
+        q = p[:at] + [f"w{rng.randrange(words)}" for _ in range(k)] + p[at + rng.choice([0, k]):]
+        if len(q) < 50 or slow_jaccard(p, q) < 0.8:
+            continue
+        seen, tokens = [], [passages.run_hashes(codes(w), 5) for w in (p, q)]
+        i, j = rng.choice([(i, j) for i, x in enumerate(tokens[0]) for j in np.flatnonzero(tokens[1] == x)])
+        for w, before, at in ((p, rng.randrange(200), i), (q, rng.randrange(200), j)):
+            x = codes(text(rng, before) + w + text(rng, 150))
+            seen.append((*passages.surroundings(passages.run_hashes(x, 5), before + at, 0, len(x)), min(before + at, passages.SIDE)))
+        (a, need_a, slack_a, i), (b, need_b, slack_b, j) = seen
+        judged += 1
+        assert 9 * (len(np.intersect1d(a, b)) + min(slack_a, slack_b)) >= 4 * (need_a + need_b)
+        if len(np.unique(tokens[0])) == len(tokens[0]) and k < 4:  # a few words: similar in order, not by repeats only
+            assert passages.may_be_similar(a.view(np.uint16), b.view(np.uint16), i, j)
+    assert judged > 200
