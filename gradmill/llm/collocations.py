@@ -7,7 +7,8 @@ passes over the texts, each a tokenizer in numpy over an Arrow batch:
 2. pairs of frequent words are counted by a hash (an upper bound of each pair's
    count, which drops no frequent pair); the frequent ones go into a bitmap;
 3. suffixes, cut before the first pair that is not frequent, are written with
-   the number of times a batch holds them, so a hot phrase is a row per batch.
+   the number of times a task holds them (up to ``HELD_ROWS`` different ones at a time), so
+   a hot phrase is a row per task. They are one row per word of the texts at most.
 
 The suffixes are routed by their leading words over the whole corpus: a range
 partitioning on the words splits wherever rows are many, so that a hot leading word is
@@ -44,6 +45,8 @@ TOP = 2000
 UNKNOWN = "und"
 #: Characters of text that are looked at together.
 PART = 1 << 23
+#: Distinct suffixes that a task holds before it writes them.
+HELD_ROWS = 1 << 19
 #: Suffixes that a range holds about.
 RANGE_ROWS = 500_000
 
@@ -152,8 +155,25 @@ def _counted_pairs(words):
     return run
 
 
+def _summed(rows: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ``rows``, sorted, and the sums of their ``n``."""
+    order = np.lexsort(rows.T[::-1])
+    rows, n = rows[order], n[order]
+    first = np.flatnonzero(np.append(True, (rows[1:] != rows[:-1]).any(1))) if len(rows) else np.zeros(0, np.int64)
+    return rows[first], np.add.reduceat(n, first) if len(rows) else n
+
+
+def _numbers(names: pa.Array, codes: np.ndarray, known: dict[str, int]) -> np.ndarray:
+    """The numbers in ``known``, which grows, of ``codes`` into ``names``; -1 stays."""
+    used, at = np.unique(codes, return_inverse=True)
+    found = [-1 if c < 0 else known.setdefault(names[c].as_py(), len(known)) for c in used.tolist()]
+    return np.array(found, np.int64)[at].reshape(codes.shape)
+
+
 def _suffixes(words, pairs, longest):
     def run(batches):
+        # suffixes of several parts are summed before they leave the task
+        langs, names, held, weight = {}, {}, np.zeros((0, longest + 1), np.int64), np.zeros(0, np.int64)
         for w in _parts(batches):
             h, good = _frequent_pairs(w, words.value)
             good &= _may_hold(pairs.value, h)
@@ -164,21 +184,28 @@ def _suffixes(words, pairs, longest):
             for d in range(1, longest - 1):
                 alive &= steps[start + d]
                 rows[alive, d + 2] = w.code[start[alive] + d + 1]
-            order = np.lexsort(rows.T[::-1])
-            rows = rows[order]
-            first = np.flatnonzero(np.append(True, (rows[1:] != rows[:-1]).any(1))) if len(rows) else np.zeros(0, np.int64)
-            n = np.diff(np.append(first, len(rows)))
-            rows = rows[first]
-            size = (rows[:, 1:] >= 0).sum(1)
-            flat = rows[:, 1:][rows[:, 1:] >= 0]
-            offsets = np.append(0, np.cumsum(size)).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), w.names.take(pa.array(flat)).cast(pa.string()))
-            yield pa.RecordBatch.from_arrays(
-                [w.langs.take(pa.array(rows[:, 0])).cast(pa.string()), lists, pa.array(n)], ["lang", "words", "n"])
+            rows, n = _summed(rows, np.ones(len(rows), np.int64))
+            if not len(rows):
+                continue
+            rows[:, 0], rows[:, 1:] = _numbers(w.langs, rows[:, 0], langs), _numbers(w.names, rows[:, 1:], names)
+            held, weight = _summed(np.concatenate([held, rows]), np.concatenate([weight, n]))
+            if len(held) >= HELD_ROWS:
+                yield _suffix_batch(held, weight, langs, names)
+                langs, names, held, weight = {}, {}, held[:0], weight[:0]
+        yield _suffix_batch(held, weight, langs, names)
 
     return run
 
 
+def _suffix_batch(rows: np.ndarray, n: np.ndarray, langs: dict[str, int], names: dict[str, int]) -> pa.RecordBatch:
+    size = (rows[:, 1:] >= 0).sum(1)
+    offsets = np.append(0, np.cumsum(size)).astype(np.int32)
+    flat = pa.array(list(names), pa.string()).take(pa.array(rows[:, 1:][rows[:, 1:] >= 0]))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(list(langs), pa.string()).take(pa.array(rows[:, 0])), pa.ListArray.from_arrays(pa.array(offsets), flat), pa.array(n)],
+        ["lang", "words", "n"])
+
+
 # --- the sort of a range --------------------------------------------------------
 
 

@@ -123,3 +123,22 @@ def test_shorter_phrases_only(spark):
     rows = corpus(9)
     assert got(spark, rows, 5, longest=2) == slow(rows, 5, longest=2)
     assert got(spark, rows, 5, longest=3) == slow(rows, 5, longest=3)
+
+
+def test_a_task_writes_a_suffix_once(monkeypatch):
+    import pyarrow as pa
+    from types import SimpleNamespace
+    every = SimpleNamespace(value=np.full(4, 2**64 - 1, np.uint64))  # bitmaps that hold all words and pairs
+    texts = ["one two three four", "two three. one two"] * 30
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(["en", "fr"] * 30)], ["text", "lang"])
+    monkeypatch.setattr(collocations, "PART", 40)  # many parts
+    want = Counter()
+    for g, w in pieces(zip(texts, ["en", "fr"] * 30)):
+        want.update((g, tuple(w[i:i + 5])) for i in range(len(w) - 1))
+    for held, once in ((1 << 19, True), (3, False)):
+        monkeypatch.setattr(collocations, "HELD_ROWS", held)
+        rows = [(r["lang"], tuple(r["words"]), r["n"]) for b in collocations._suffixes(every, every, 5)([batch, batch]) for r in b.to_pylist()]
+        found = Counter()
+        for g, w, n in rows:
+            found[g, w] += n
+        assert found == {k: 2 * n for k, n in want.items()} and (len(rows) == len(want)) == once
