@@ -5,7 +5,8 @@
                driver updates the parameters. The result does not depend on
                the partitioning (up to rounding). Minibatches are read from a
                table laid out for them (:mod:`layout`): a step costs what its
-               batch costs.
+               batch costs. Batches so small that one task takes several are
+               taken in runs: one job, whose task makes their steps in order.
 ``local_sgd``  one job per epoch: a fixed number of workers, to which rows belong
                by a hash of their key, run minibatch steps and the results are
                averaged, weighted by rows (Zinkevich et al., 2010). For batches
@@ -218,6 +219,57 @@ def gradient_sum(
     return GradientSum(done[0], done[1], done[2][:-1], int(done[2][-1]))
 
 
+def _steps_of_run(
+    df: DataFrame, model: Model, fit: Fit, features: str, target: str, n_batches: int
+) -> list[tuple[int, float]]:
+    """The steps of several batches in order, in one task; updates ``fit`` and returns ``(rows, loss)`` of every batch.
+
+    ``df`` is one partition in the order of its batches (:meth:`layout.Batches.run`). What
+    returns is one vector with the state of the optimizer, and three numbers per batch.
+    """
+    start = df.sparkSession.sparkContext.broadcast((fit.vector, fit.optim))
+    state = model.size + len(fit.optim.pack())
+
+    def work(batches):
+        vector, optim = start.value[0], copy.deepcopy(start.value[1])
+        rows, losses, skipped = np.zeros((3, n_batches))
+        at, gradient = None, 0.0
+
+        def finish():
+            nonlocal vector
+            if at is not None and rows[at]:
+                vector = optim.step(vector, gradient / rows[at])
+
+        for batch in batches:
+            if batch.column(3).null_count:
+                raise ValueError("a view has to keep the keys of its rows")
+            of = batch.column(3).to_numpy()
+            for n in np.unique(of).tolist():
+                within = np.flatnonzero(of == n)
+                x, y, nulls = _read_pair(batch.slice(within[0], len(within)), model)
+                if n != at:
+                    finish()
+                    at, gradient = n, 0.0
+                skipped[at] += nulls
+                if len(x):
+                    loss, part = model.loss_and_gradient(vector, x, y)
+                    rows[at], losses[at], gradient = rows[at] + len(x), losses[at] + loss, gradient + part
+        finish()
+        return int(rows.sum()), float(losses.sum()), np.concatenate([vector, optim.pack(), rows, losses, skipped])
+
+    try:
+        done = vector_sum(_pair(df, features, target, "_key", layout.BATCH), work, 1, state + 3 * n_batches)
+    finally:
+        start.destroy()
+    if done is None:
+        return []
+    rows, losses, skipped = done[2][state:].reshape(3, n_batches)
+    fit.vector = done[2][: model.size]
+    fit.optim.unpack(done[2][model.size : state])
+    fit.skipped += int(skipped[rows > 0].sum())
+    return list(zip(rows.astype(int).tolist(), losses.tolist()))
+
+
 def _as_array(df: DataFrame, col: str):
     is_array = df.schema[col].dataType.typeName() == "array"
     return F.col(col) if is_array else F.array(F.col(col).cast("double"))
@@ -320,12 +372,13 @@ def fit(
 
     Settings left out come from :data:`SETTINGS`; ``batch_size`` 0 means all rows
     per step. For minibatches in ``sync`` the samples are written once, laid out by
-    classes, and a step reads its own in tasks of ``task_rows`` rows. Else they are kept in
+    classes, and a step reads its own in tasks of ``task_rows`` rows; of smaller batches a task
+    takes as many, one after the other, as have ``task_rows`` rows. Else they are kept in
     memory and on disk where they are read; ``local_sgd`` first deals them to its
     ``workers``, which the job must name, a number of ``partitions`` spreads them by key.
     With a ``view`` it is the rows of ``df`` that are stored, and ``view(rows, epoch)``
     makes ``(key, features, target)`` of them anew in every pass, such as images cropped
-    and mirrored at random. Rows with a NULL in features or target are passed over
+    and mirrored at random; rows keep their keys. Rows with a NULL in features or target are passed over
     and counted in ``Fit.skipped``.
     """
     preset = SETTINGS.get(model.name)
@@ -377,11 +430,13 @@ def fit(
             n_rows, parts = counted["rows"], (counted["last"] or 0) + 1
         while n_rows and not stop(run.epoch, run.step):
             if mode == "sync":
-                if batches:
-                    steps = (shown(batches.rows(c), run.epoch) for c in batches.of(run.epoch))
+                if batches and batches.in_task > 1:
+                    own = (lambda rows, epoch=run.epoch: shown(rows, epoch)) if view else None
+                    logged = _epoch_in_runs(spark, batches, own, model, run, features, target, log)
                 else:
-                    steps = [shown(samples, run.epoch)]
-                logged = _sync_epoch(spark, steps, model, run, features, target, parts, log)
+                    each = batches.of(run.epoch) if batches else [None]
+                    steps = (shown(batches.rows(c) if batches else samples, run.epoch) for c in each)
+                    logged = _sync_epoch(spark, steps, model, run, features, target, parts, log)
             else:
                 logged = _local_epoch(shown(samples, run.epoch).withColumn("_worker", worker), model, run, features,
                                       target, batch_size or n_rows, workers, parts, seed, log)
@@ -438,6 +493,23 @@ def _sync_epoch(spark, steps, model, run, features, target, parts, log):
     return logged
 
 
+def _epoch_in_runs(spark, batches, view, model, run, features, target, log):
+    logged, todo = [], batches.of(run.epoch)
+    while todo:
+        size = min(len(todo), batches.in_task)
+        if log:  # a step whose parameters are recorded ends its run; a batch without rows makes none
+            size = next((n for n in range(1, size) if log.parameters(run.epoch, run.step + n)), size)
+        taken, todo = todo[:size], todo[size:]
+        before = run.step
+        for rows, loss in _steps_of_run(batches.run(taken, "_key", view), model, run, features, target, size):
+            if rows:
+                run.step += 1
+                logged.append((run.step, _finite(loss / rows, run.step)))
+        if log and run.step > before and log.parameters(run.epoch, run.step):
+            _log_parameters(spark, model, run, log)
+    return logged
+
+
 def _local_epoch(samples, model, run, features, target, batch_size, workers, parts, seed, log):
     order = keyed_hash(F.col("_key"), seed, run.epoch)
     shuffled = samples.sortWithinPartitions("_worker", order, "_key")

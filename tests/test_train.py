@@ -309,6 +309,47 @@ def test_tasks_of_a_step_follow_the_batch(spark):
     assert few.n_batches == 40 and 1 < many.rows(many.of(0)[0]).rdd.getNumPartitions() <= 10
 
 
+def jobs_of(spark, run):
+    """What ``run`` returns, and the number of Spark jobs it took."""
+    tag = f"counted-{scratch_dir(spark, 'jobs')}"
+    spark.sparkContext.setJobGroup(tag, "counted")
+    try:
+        return run(), len(spark.sparkContext.statusTracker().getJobIdsForGroup(tag))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_small_batches_are_taken_in_runs(spark, data):
+    """Steps of a run are those of one job each, and their jobs do not grow in number with the steps."""
+    rows = data.withColumn("features", F.when(F.col("id") % 7 > 0, F.col("features")))
+    for optim in (SGD(0.1, 1e-3), Adam()):
+        options = dict(epochs=2, batch_size=20, mode="sync", start=q.LINEAR.formula())
+        alone, many = jobs_of(spark, lambda: train.fit(rows, q.LINEAR, optim, task_rows=20, **options))
+        run, few = jobs_of(spark, lambda: train.fit(rows, q.LINEAR, optim, **options))
+        assert np.abs(run.vector - alone.vector).max() < 1e-9
+        assert (run.step, run.skipped, run.optim.t) == (alone.step, alone.skipped, alone.optim.t) and run.skipped > 0
+        assert [s for s, _ in run.losses] == [s for s, _ in alone.losses] == list(range(1, run.step + 1))
+        assert np.allclose([v for _, v in run.losses], [v for _, v in alone.losses])
+        assert many >= run.step and few < run.step / 2
+
+
+def test_runs_with_views_and_recorded_parameters(data, spark):
+    def fitted(task_rows):
+        log = MetricsLog(spark, scratch_dir(spark, "log"))
+        done = train.fit(
+            data, q.LINEAR, SGD(0.1), 2, 40, "sync", start=q.LINEAR.formula(), task_rows=task_rows,
+            view=lambda rows, epoch: rows.select("id", F.transform("features", lambda v: v * (epoch + 1.0)).alias("features"), "label1"),
+            log=train.Log(log, "run", train.several_iteration(5)))
+        found = log.read_histograms("run").collect()
+        return done, sorted((r["step"], r["layer"], r["param"], r["bucket"], r["n"]) for r in found)
+
+    (alone, noted), (run, noted_in_runs) = fitted(40), fitted(400)
+    assert np.abs(run.vector - alone.vector).max() < 1e-9 and run.step == alone.step
+    assert noted_in_runs == noted and {r[0] for r in noted} == set(range(5, run.step + 1, 5))
+    with pytest.raises(PythonException, match="keep the keys"):
+        train.fit(data, q.LINEAR, SGD(0.1), 1, 5, "sync", task_rows=10, view=lambda rows, epoch: rows.withColumn("id", F.col("id") + 1))
+
+
 def test_view_is_taken_anew_in_every_epoch(data):
     """Features that a view scales by the epoch, against the same steps by hand."""
     def view(rows, epoch):
