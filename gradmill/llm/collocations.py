@@ -1,14 +1,16 @@
 """Frequent phrases and their collocation scores, by multikey quicksort of suffix pointers.
 
-A suffix starts at every word of a piece and is followed for at most ``LONGEST`` words. Three
+A suffix starts at every word of a piece and is followed for at most ``LONGEST`` words. Four
 passes over the texts, each a tokenizer in numpy over an Arrow batch:
 
 1. words are counted; the frequent ones go into a bitmap of fixed size;
 2. pairs of frequent words are counted by a hash (an upper bound of each pair's
    count, which drops no frequent pair); the frequent ones go into a bitmap;
-3. suffixes, cut before the first pair that is not frequent, are written with
-   the number of times a task holds them (up to ``HELD_ROWS`` different ones at a time), so
-   a hot phrase is a row per task. They are one row per word of the texts at most.
+3. threes of words whose pairs are frequent are counted in the same way;
+4. suffixes of a frequent pair, cut before the first three words that are not frequent, are
+   written with the number of times a task holds them (up to ``HELD_ROWS`` different ones at a time), so
+   a hot phrase is a row per task. They are one row per word of the texts at most; most are
+   cut after their pair, and a task has no more of these than there are frequent pairs.
 
 The suffixes are routed by their leading words over the whole corpus: a range
 partitioning on the words splits wherever rows are many, so that a hot leading word is
@@ -18,7 +20,7 @@ leads there, and a partition below the threshold is left at once. Only phrases t
 lead the first or last suffix of a range may go on in the neighbouring one; their
 counts are given out whatever they are, and a sum over all ranges settles them.
 
-A bitmap that fills up (tens of millions of frequent pairs) prunes less and changes no
+A bitmap that fills up (tens of millions of frequent pairs or threes) prunes less and changes no
 result. Everything after that is joins and aggregates over the frequent phrases.
 
 Results for the odd cases: a NULL text is empty and has no words, a NULL language is ``und``,
@@ -47,6 +49,8 @@ UNKNOWN = "und"
 PART = 1 << 23
 #: Distinct suffixes that a task holds before it writes them.
 HELD_ROWS = 1 << 19
+#: Distinct hashes that it holds.
+HELD_HASHES = 1 << 20
 #: Suffixes that a range holds about.
 RANGE_ROWS = 500_000
 
@@ -145,16 +149,34 @@ def _frequent_pairs(w: Words, words: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return _pairs(h), good[:-1] & good[1:] & w.goes_on[1:]
 
 
-def _counted_pairs(words):
+def _frequent_threes(w: Words, words: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of all threes, where both pairs of one are frequent, and where a pair is."""
+    h, good = _frequent_pairs(w, words)
+    good &= _may_hold(pairs, h)
+    return _mixed(_mixed(h[:-1]) + h[1:]), good[:-1] & good[1:], good
+
+
+def _counted_hashes(words, pairs=None):
+    """Counts of the pairs of frequent words, or of the threes of frequent ``pairs``, by their hashes."""
     def run(batches):
+        # those of several parts are summed before they leave the task
+        held, number = np.zeros((0, 1), np.uint64), np.zeros(0, np.int64)
         for w in _parts(batches):
-            h, good = _frequent_pairs(w, words.value)
+            h, good = _frequent_pairs(w, words.value) if pairs is None else _frequent_threes(w, words.value, pairs.value)[:2]
             h, n = np.unique(h[good], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], ["h", "n"])
+            held, number = _summed(np.concatenate([held, h[:, None]]), np.concatenate([number, n]))
+            if len(held) >= HELD_HASHES:
+                yield _hash_batch(held, number)
+                held, number = held[:0], number[:0]
+        yield _hash_batch(held, number)
 
     return run
 
 
+def _hash_batch(rows: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(rows[:, 0].view(np.int64)), pa.array(n)], ["h", "n"])
+
+
 def _summed(rows: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct ``rows``, sorted, and the sums of their ``n``."""
     order = np.lexsort(rows.T[::-1])
@@ -170,19 +192,20 @@ def _numbers(names: pa.Array, codes: np.ndarray, known: dict[str, int]) -> np.nd
     return np.array(found, np.int64)[at].reshape(codes.shape)
 
 
-def _suffixes(words, pairs, longest):
+def _suffixes(words, pairs, longest, threes=None):
     def run(batches):
         # suffixes of several parts are summed before they leave the task
         langs, names, held, weight = {}, {}, np.zeros((0, longest + 1), np.int64), np.zeros(0, np.int64)
         for w in _parts(batches):
-            h, good = _frequent_pairs(w, words.value)
-            good &= _may_hold(pairs.value, h)
+            h, on, good = _frequent_threes(w, words.value, pairs.value)
+            if threes is not None:
+                on &= _may_hold(threes.value, h)
             start = np.flatnonzero(good)
             rows = np.full((len(start), longest + 1), -1, np.int64)
             rows[:, 0], rows[:, 1], rows[:, 2] = w.lang[start], w.code[start], w.code[start + 1]
-            alive, steps = np.ones(len(start), bool), np.append(good, np.zeros(longest, bool))
+            alive, steps = np.ones(len(start), bool), np.append(on, np.zeros(longest, bool))
             for d in range(1, longest - 1):
-                alive &= steps[start + d]
+                alive &= steps[start + d - 1]
                 rows[alive, d + 2] = w.code[start[alive] + d + 1]
             rows, n = _summed(rows, np.ones(len(rows), np.int64))
             if not len(rows):
@@ -304,9 +327,13 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -
     words = kept(counted.groupBy("lang", "word", "h").agg(F.sum("n").alias("n")), "phrase-words")
     single = words.where(F.col("n") >= least)
     in_words = _shared_bitmap(single.select("h"))
-    pairs = texts.mapInArrow(_counted_pairs(in_words), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    in_pairs = _shared_bitmap(kept(pairs.where(F.col("n") >= least).select("h"), "phrase-pairs"))
-    suffixes = kept(texts.mapInArrow(_suffixes(in_words, in_pairs, longest), _ROWS), "phrase-suffixes")
+
+    def frequent(hashes: DataFrame, purpose: str):
+        return _shared_bitmap(kept(hashes.groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("h"), purpose))
+
+    in_pairs = frequent(texts.mapInArrow(_counted_hashes(in_words), "h long, n long"), "phrase-pairs")
+    in_threes = frequent(texts.mapInArrow(_counted_hashes(in_words, in_pairs), "h long, n long"), "phrase-threes")
+    suffixes = kept(texts.mapInArrow(_suffixes(in_words, in_pairs, longest, in_threes), _ROWS), "phrase-suffixes")
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-suffixes.count() // RANGE_ROWS))
     counts = suffixes.repartitionByRange(parts, "lang", "words").mapInArrow(_range_counts(least, longest), _ROWS)
     phrases = counts.groupBy("lang", "words").agg(F.sum("n").alias("n")).where(F.col("n") >= least)

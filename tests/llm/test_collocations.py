@@ -70,6 +70,24 @@ def test_ranges_that_cut_through_phrases(spark, monkeypatch):
     assert got(spark, rows, 10, 3) == slow(rows, 10)
 
 
+def test_suffixes_are_cut_before_rare_threes(spark, monkeypatch):
+    """Frequent pairs in no frequent phrase of three words: a row per pair and task, not one per word of the texts."""
+    rng, written = random.Random(3), {}
+
+    def kept(df, purpose):
+        written[purpose] = real(df, purpose)
+        return written[purpose]
+
+    real = collocations.kept
+    monkeypatch.setattr(collocations, "kept", kept)
+    names = [f"w{n}" for n in range(20)]
+    rows = [(" ".join(rng.choices(names, k=200)) + " . in fact of the matter", "en") for _ in range(200)]
+    assert got(spark, rows, 60, 2) == slow(rows, 60)
+    # two tasks; besides the pairs of random words the suffixes of the one phrase
+    assert written["phrase-suffixes"].count() <= 2 * (20 * 20 + 4)
+    assert written["phrase-suffixes"].agg({"n": "sum"}).first()[0] > 30_000
+
+
 def test_one_hot_phrase(spark):
     rows = [("hot words come again and again. " * 50, "en")] * 40 + corpus(2, 50)
     assert got(spark, rows, 30) == slow(rows, 30)
