@@ -295,3 +295,56 @@ def test_surroundings_let_all_similar_stretches_pass():
         if len(np.unique(tokens[0])) == len(tokens[0]) and k < 4:  # a few words: similar in order, not by repeats only
             assert passages.may_be_similar(a.view(np.uint16), b.view(np.uint16), i, j)
     assert judged > 200
+
+
+def test_windows_of_many_texts_at_once():
+    rng = np.random.default_rng(4)
+    texts = [rng.integers(0, kinds, n).astype(np.uint32) for kinds in (2, 60, 1 << 30) for n in (0, 3, 49, 50, 51, 400)]
+    begins, found = passages.windows_of_texts(texts)
+    assert len(begins) == len(texts) + 1 and begins[-1] == found.shape[1]
+    for n, x in enumerate(texts):
+        tokens = passages.run_hashes(x, 5)
+        one = found[:, begins[n]:begins[n + 1]]
+        assert one.tolist() == passages.text_windows(x).tolist()
+        for k in range(passages.FUNCTIONS):
+            own = passages._mixed(tokens + np.uint64(int(passages._GOLD) * (2 * k + 1) % (1 << 64)))
+            seen = {(begin, c) for kk, v, l, c, r in one.T.tolist() if kk == k and v == int(own[c].view(np.int64))
+                    for begin in range(max(l, c - 45), min(c, r - 45) + 1)}
+            assert seen == {(b, b + int(own[b:b + 46].argmin())) for b in range(len(tokens) - 45)}
+
+
+def test_the_most_that_stretches_may_share():
+    rng = np.random.default_rng(6)
+    for n, kinds in ((46, 10_000), (47, 50), (120, 10_000), (200, 90)):
+        _, tokens = np.unique(rng.integers(0, kinds, n), return_inverse=True)
+        matched = rng.random(n) < 0.85
+        weight = np.where(matched, 1, np.where(np.bincount(tokens)[tokens] == 1, -8, 0))
+        total = np.append(0, np.cumsum(weight))
+        want = [max(total[e + 1] - total[s] for s in range(at + 1) for e in range(max(at, s + 45), n)) for at in range(n)]
+        assert passages._most(matched, tokens, n).tolist() == want
+
+
+def test_points_that_share_too_little_cost_no_verification(monkeypatch):
+    rng = np.random.default_rng(8)
+    a = rng.integers(0, 1 << 30, 400).astype(np.uint32)
+    b = a.copy()
+    b[::22] += 1  # 17 of 22 tokens are equal everywhere: enough for four to one on either side, not for 0.8
+    points = [(n, n) for n in range(1, 390) if 1 <= n % 22 <= 17]
+    monkeypatch.setattr(passages, "_Shifts", None)
+    assert passages.similar_stretches(a, b, points) == []
+
+
+def test_which_pairs_may_be_similar():
+    rng, pairs = np.random.default_rng(9), []
+    for n in range(300):
+        x = rng.integers(0, 300 if n % 2 else 1 << 16, rng.integers(46, 186)).astype(np.uint16)
+        y = np.where(rng.random(len(x)) < rng.choice([0.05, 0.2, 0.3]), rng.integers(0, 1 << 16, len(x)), x).astype(np.uint16)
+        at = int(rng.integers(max(0, len(x) - 93), min(93, len(x))))
+        pairs.append((x, y, at, at))
+    want = [all(passages._around(np.where(np.isin(p, q), 1, -4), at) is not None for p, q, at in ((x, y, i), (y, x, j)))
+            for x, y, i, j in pairs]
+    a, b, i, j = zip(*pairs)
+    sizes = np.array([len(x) for x in a])
+    got = passages.which_may_be_similar(np.concatenate(a), sizes, np.array(i), np.concatenate(b), sizes, np.array(j))
+    assert got.tolist() == want and 30 < sum(want) < 270
+    assert [passages.may_be_similar(*p) for p in pairs[:20]] == want[:20]
