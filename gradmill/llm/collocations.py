@@ -4,13 +4,14 @@ A suffix starts at every word of a piece and is followed for at most ``LONGEST``
 passes over the texts, each a tokenizer in numpy over an Arrow batch:
 
 1. words are counted; the frequent ones go into a bitmap of fixed size;
-2. pairs of frequent words are counted by a hash (an upper bound of each pair's
-   count, which drops no frequent pair); the frequent ones go into a bitmap;
-3. threes of words whose pairs are frequent are counted in the same way;
-4. suffixes of a frequent pair, cut before the first three words that are not frequent, are
+2. pairs of frequent words are counted by the hashes of both words; the frequent ones go into a bitmap;
+3. threes of words whose pairs are frequent are counted by a hash (an upper bound of each one's
+   count, which drops no frequent three); the frequent ones go into a bitmap;
+4. suffixes of a frequent three, cut before the first three words that are not frequent, are
    written with the number of times a task holds them (up to ``HELD_ROWS`` different ones at a time), so
-   a hot phrase is a row per task. They are one row per word of the texts at most; most are
-   cut after their pair, and a task has no more of these than there are frequent pairs.
+   a hot phrase is a row per task. They are one row per word of the texts at most. Suffixes that
+   would be cut after their frequent pair are one row for all tasks: the count of the pair less the suffixes
+   that go on. (Should two words have one hash, which is looked up, the tasks write them as well.)
 
 The suffixes are routed by their leading words over the whole corpus: a range
 partitioning on the words splits wherever rows are many, so that a hot leading word is
@@ -51,6 +52,8 @@ PART = 1 << 23
 HELD_ROWS = 1 << 19
 #: Distinct hashes that it holds.
 HELD_HASHES = 1 << 20
+#: Splits of the table that one task of the last two passes reads, so that what they have in common is a row once.
+SPLITS = 4
 #: Suffixes that a range holds about.
 RANGE_ROWS = 500_000
 
@@ -142,44 +145,72 @@ def _counted_words(batches):
              pa.array(w.hashes()[first].view(np.int64)), pa.array(n)], ["lang", "word", "h", "n"])
 
 
-def _frequent_pairs(w: Words, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all pairs, and where both words are of one piece and frequent."""
-    h = w.hashes()
+def _frequent_pairs(h: np.ndarray, w: Words, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all pairs of the words with the hashes ``h``, and where both words are of one piece and frequent."""
     good = _may_hold(words, h)
     return _pairs(h), good[:-1] & good[1:] & w.goes_on[1:]
 
 
 def _frequent_threes(w: Words, words: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of all threes, where both pairs of one are frequent, and where a pair is."""
-    h, good = _frequent_pairs(w, words)
+    h, good = _frequent_pairs(w.hashes(), w, words)
     good &= _may_hold(pairs, h)
     return _mixed(_mixed(h[:-1]) + h[1:]), good[:-1] & good[1:], good
 
 
-def _counted_hashes(words, pairs=None):
-    """Counts of the pairs of frequent words, or of the threes of frequent ``pairs``, by their hashes."""
+def _counted_pairs(words):
+    """Counts of the pairs of frequent words, by the hashes of both."""
+    def run(batches):
+        # those of several parts are summed before they leave the task
+        held, number = np.zeros((0, 2), np.uint64), np.zeros(0, np.int64)
+        for w in _parts(batches):
+            h = w.hashes()
+            pair, good = _frequent_pairs(h, w, words.value)
+            rows, n = _summed(np.stack([h[:-1], h[1:]], 1)[good], np.ones(np.count_nonzero(good), np.int64), pair[good])
+            rows, number = np.concatenate([held, rows]), np.concatenate([number, n])
+            held, number = _summed(rows, number, _mixed(_mixed(rows[:, 0]) + rows[:, 1]))
+            if len(held) >= HELD_HASHES:
+                yield _hash_batch(held, number, ["first", "second"])
+                held, number = held[:0], number[:0]
+        yield _hash_batch(held, number, ["first", "second"])
+
+    return run
+
+
+def _pair_hashes(batches):
+    for b in batches:
+        first, second = (b.column(c).to_numpy().view(np.uint64) for c in (0, 1))
+        yield pa.RecordBatch.from_arrays([pa.array(_mixed(_mixed(first) + second).view(np.int64))], ["h"])
+
+
+def _counted_threes(words, pairs):
+    """Counts of the threes of frequent ``pairs``, by their hashes."""
     def run(batches):
         # those of several parts are summed before they leave the task
         held, number = np.zeros((0, 1), np.uint64), np.zeros(0, np.int64)
         for w in _parts(batches):
-            h, good = _frequent_pairs(w, words.value) if pairs is None else _frequent_threes(w, words.value, pairs.value)[:2]
+            h, good = _frequent_threes(w, words.value, pairs.value)[:2]
             h, n = np.unique(h[good], return_counts=True)
             held, number = _summed(np.concatenate([held, h[:, None]]), np.concatenate([number, n]))
             if len(held) >= HELD_HASHES:
-                yield _hash_batch(held, number)
+                yield _hash_batch(held, number, ["h"])
                 held, number = held[:0], number[:0]
-        yield _hash_batch(held, number)
+        yield _hash_batch(held, number, ["h"])
 
     return run
 
 
-def _hash_batch(rows: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(rows[:, 0].view(np.int64)), pa.array(n)], ["h", "n"])
+def _hash_batch(rows: np.ndarray, n: np.ndarray, names: list[str]) -> pa.RecordBatch:
+    columns = [pa.array(np.ascontiguousarray(x).view(np.int64)) for x in rows.T]
+    return pa.RecordBatch.from_arrays([*columns, pa.array(n)], [*names, "n"])
+
 
+def _summed(rows: np.ndarray, n: np.ndarray, by: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ``rows``, sorted, and the sums of their ``n``.
 
-def _summed(rows: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct ``rows``, sorted, and the sums of their ``n``."""
-    order = np.lexsort(rows.T[::-1])
+    With ``by``, a hash of each, sorted by that alone; then some row may come twice if hashes meet.
+    """
+    order = np.lexsort(rows.T[::-1]) if by is None else np.argsort(by)
     rows, n = rows[order], n[order]
     first = np.flatnonzero(np.append(True, (rows[1:] != rows[:-1]).any(1))) if len(rows) else np.zeros(0, np.int64)
     return rows[first], np.add.reduceat(n, first) if len(rows) else n
@@ -192,7 +223,8 @@ def _numbers(names: pa.Array, codes: np.ndarray, known: dict[str, int]) -> np.nd
     return np.array(found, np.int64)[at].reshape(codes.shape)
 
 
-def _suffixes(words, pairs, longest, threes=None):
+def _suffixes(words, pairs, longest, threes=None, shortest=2):
+    """Suffixes of ``shortest`` words or more, two or three."""
     def run(batches):
         # suffixes of several parts are summed before they leave the task
         langs, names, held, weight = {}, {}, np.zeros((0, longest + 1), np.int64), np.zeros(0, np.int64)
@@ -200,10 +232,12 @@ def _suffixes(words, pairs, longest, threes=None):
             h, on, good = _frequent_threes(w, words.value, pairs.value)
             if threes is not None:
                 on &= _may_hold(threes.value, h)
-            start = np.flatnonzero(good)
+            start, steps = np.flatnonzero(good), np.append(on, np.zeros(longest, bool))
+            if shortest > 2:
+                start = start[steps[start]]
             rows = np.full((len(start), longest + 1), -1, np.int64)
             rows[:, 0], rows[:, 1], rows[:, 2] = w.lang[start], w.code[start], w.code[start + 1]
-            alive, steps = np.ones(len(start), bool), np.append(on, np.zeros(longest, bool))
+            alive = np.ones(len(start), bool)
             for d in range(1, longest - 1):
                 alive &= steps[start + d - 1]
                 rows[alive, d + 2] = w.code[start[alive] + d + 1]
@@ -317,6 +351,23 @@ def _shared_bitmap(hashes: DataFrame):
     return spark.sparkContext.broadcast(np.array(words, np.int64).view(np.uint64))
 
 
+def _in_larger_tasks(rows: DataFrame) -> DataFrame:
+    """``rows`` in tasks of ``SPLITS`` splits, in whole rounds of the cores; as many tasks as cores if there are so many splits."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    rounds = -(-rows.rdd.getNumPartitions() // (SPLITS * cores))
+    return rows.coalesce(max(rounds, 1) * cores)
+
+
+def _cut_after_pairs(pairs: DataFrame, single: DataFrame, long: DataFrame) -> DataFrame:
+    """``(lang, words, n)``: the occurrences of each of ``pairs``, named by ``single`` words, that no suffix of ``long`` begins with."""
+    first = single.select("lang", F.col("h").alias("first"), F.col("word").alias("a"))
+    second = single.select(F.col("h").alias("second"), F.col("word").alias("b"))
+    named = pairs.join(first, "first").join(second, "second").select("lang", F.array("a", "b").alias("words"), "n")
+    going_on = long.groupBy("lang", F.slice("words", 1, 2).alias("words")).agg(F.sum("n").alias("more"))
+    rest = F.col("n") - F.coalesce("more", F.lit(0))
+    return named.join(going_on, ["lang", "words"], "left").select("lang", "words", rest.alias("n")).where("n > 0")
+
+
 def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> tuple[DataFrame, DataFrame]:
     """Word counts ``(lang, word, n)`` over all of ``(text, lang)``, and ``(lang, words, n)`` of the frequent phrases.
 
@@ -328,12 +379,18 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -
     single = words.where(F.col("n") >= least)
     in_words = _shared_bitmap(single.select("h"))
 
-    def frequent(hashes: DataFrame, purpose: str):
-        return _shared_bitmap(kept(hashes.groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("h"), purpose))
-
-    in_pairs = frequent(texts.mapInArrow(_counted_hashes(in_words), "h long, n long"), "phrase-pairs")
-    in_threes = frequent(texts.mapInArrow(_counted_hashes(in_words, in_pairs), "h long, n long"), "phrase-threes")
-    suffixes = kept(texts.mapInArrow(_suffixes(in_words, in_pairs, longest, in_threes), _ROWS), "phrase-suffixes")
+    def frequent(counted: DataFrame, keys: list[str], purpose: str) -> DataFrame:
+        return kept(counted.groupBy(*keys).agg(F.sum("n").alias("n")).where(F.col("n") >= least), purpose)
+
+    pairs = frequent(texts.mapInArrow(_counted_pairs(in_words), "first long, second long, n long"), ["first", "second"], "phrase-pairs")
+    in_pairs = _shared_bitmap(pairs.mapInArrow(_pair_hashes, "h long"))
+    joined = _in_larger_tasks(texts)  # the rows of the passes before would not fit
+    in_threes = _shared_bitmap(frequent(joined.mapInArrow(_counted_threes(in_words, in_pairs), "h long, n long"), ["h"], "phrase-threes"))
+    if words.groupBy("h").count().where("count > 1").isEmpty():  # two hashes are two words
+        long = kept(joined.mapInArrow(_suffixes(in_words, in_pairs, longest, in_threes, 3), _ROWS), "phrase-long-suffixes")
+        suffixes = kept(long.unionByName(_cut_after_pairs(pairs, single, long)), "phrase-suffixes")
+    else:
+        suffixes = kept(joined.mapInArrow(_suffixes(in_words, in_pairs, longest, in_threes), _ROWS), "phrase-suffixes")
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-suffixes.count() // RANGE_ROWS))
     counts = suffixes.repartitionByRange(parts, "lang", "words").mapInArrow(_range_counts(least, longest), _ROWS)
     phrases = counts.groupBy("lang", "words").agg(F.sum("n").alias("n")).where(F.col("n") >= least)

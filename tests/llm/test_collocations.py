@@ -160,3 +160,68 @@ def test_a_task_writes_a_suffix_once(monkeypatch):
         for g, w, n in rows:
             found[g, w] += n
         assert found == {k: 2 * n for k, n in want.items()} and (len(rows) == len(want)) == once
+
+
+def test_pairs_that_do_not_go_on_are_one_row_for_all_tasks(spark, monkeypatch):
+    rng, written = random.Random(4), {}
+
+    def kept(df, purpose):
+        written[purpose] = real(df, purpose)
+        return written[purpose]
+
+    real = collocations.kept
+    monkeypatch.setattr(collocations, "kept", kept)
+    names = [f"w{n}" for n in range(20)]
+    rows = [(" ".join(rng.choices(names, k=200)) + " . in fact of the matter", g) for _ in range(200) for g in ("en", "fr")]
+    assert got(spark, rows, 60, 8) == slow(rows, 60)
+    sizes = [len(r["words"]) for r in written["phrase-suffixes"].collect()]
+    assert sizes.count(2) <= 2 * (20 * 20 + 4)  # once per language, in eight tasks
+    assert len(sizes) - sizes.count(2) <= 8 * 2 * 4
+
+
+@pytest.mark.parametrize("least,parts", [(3, 1), (20, 7)])
+def test_pairs_are_counted_by_their_words_if_two_words_share_a_hash(spark, monkeypatch, least, parts):
+    import pyarrow as pa
+    real, real_kept, written = collocations._counted_words, collocations.kept, {}
+
+    def counted(batches):
+        for b in real(batches):
+            yield b
+            yield pa.RecordBatch.from_arrays([pa.array(["none"] * b.num_rows), *b.columns[1:]], b.schema.names)
+
+    def kept(df, purpose):
+        written[purpose] = real_kept(df, purpose)
+        return written[purpose]
+
+    monkeypatch.setattr(collocations, "_counted_words", counted)
+    monkeypatch.setattr(collocations, "kept", kept)
+    rows = corpus(least)
+    assert got(spark, rows, least, parts) == slow(rows, least)
+    assert "phrase-long-suffixes" not in written
+
+
+def test_pairs_are_summed_within_a_task(monkeypatch):
+    import pyarrow as pa
+    from types import SimpleNamespace
+    every = SimpleNamespace(value=np.full(4, 2**64 - 1, np.uint64))
+    texts = ["one two three one two", "two three. one two"] * 30
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(["en", "fr"] * 30)], ["text", "lang"])
+    monkeypatch.setattr(collocations, "PART", 40)  # many parts
+    want = Counter()
+    for g, w in pieces(zip(texts, ["en", "fr"] * 30)):
+        want.update((g, *w[i:i + 2]) for i in range(len(w) - 1))
+    for held, once in ((1 << 20, True), (2, False)):
+        monkeypatch.setattr(collocations, "HELD_HASHES", held)
+        rows = [tuple(r.values()) for b in collocations._counted_pairs(every)([batch, batch]) for r in b.to_pylist()]
+        found = Counter()
+        for first, second, n in rows:
+            found[first, second] += n
+        assert sorted(found.values()) == sorted(2 * n for n in want.values()) and (len(rows) == len(want)) == once
+
+
+def test_tasks_read_several_splits(spark):
+    cores = spark.sparkContext.defaultParallelism
+    parts = lambda n: collocations._in_larger_tasks(spark.range(1000, numPartitions=n)).rdd.getNumPartitions()
+    assert parts(3) == min(3, cores) and parts(4 * cores) == cores
+    assert parts(8 * cores) == parts(7 * cores) == 2 * cores
+    assert collocations._in_larger_tasks(spark.range(1000, numPartitions=9 * cores)).count() == 1000
