@@ -348,3 +348,13 @@ def test_which_pairs_may_be_similar():
     got = passages.which_may_be_similar(np.concatenate(a), sizes, np.array(i), np.concatenate(b), sizes, np.array(j))
     assert got.tolist() == want and 30 < sum(want) < 270
     assert [passages.may_be_similar(*p) for p in pairs[:20]] == want[:20]
+
+
+def test_shuffle_files_go_when_a_table_is_written(spark, monkeypatch):
+    seen, real = [], passages.kept
+    monkeypatch.setattr(passages, "kept", lambda df, purpose: seen.append(spark.conf.get(passages._CLEANUP, None)) or real(df, purpose))
+    before = spark.conf.get(passages._CLEANUP, None)
+    words = " ".join(f"w{n}" for n in range(60))
+    rows = passages.repeated(spark.createDataFrame([(1, words + " a"), (2, "b " + words)], "doc_id long, text string")).collect()
+    assert sorted(r.doc_id for r in rows) == [1, 2] and seen and set(seen) == {"true"}
+    assert spark.conf.get(passages._CLEANUP, None) == before
