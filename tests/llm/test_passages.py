@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from gradmill.llm import passages
@@ -358,3 +359,52 @@ def test_shuffle_files_go_when_a_table_is_written(spark, monkeypatch):
     rows = passages.repeated(spark.createDataFrame([(1, words + " a"), (2, "b " + words)], "doc_id long, text string")).collect()
     assert sorted(r.doc_id for r in rows) == [1, 2] and seen and set(seen) == {"true"}
     assert spark.conf.get(passages._CLEANUP, None) == before
+
+
+def test_members_are_compared_as_their_stretches_are():
+    """By what similar stretches need together, not by either side alone: 17 of 22 equal tokens are not enough."""
+    rng, pairs = np.random.default_rng(11), []
+    for n in range(200):
+        x = rng.integers(0, 300 if n % 2 else 1 << 16, 2 * passages.SIDE + 1).astype(np.uint16)
+        y = np.where(rng.random(len(x)) < rng.choice([0.02, 0.08, 0.2, 0.3]), rng.integers(0, 1 << 16, len(x)), x).astype(np.uint16)
+        pairs.append((x, y))
+    x = np.arange(2 * passages.SIDE + 1).astype(np.uint16)
+    pairs.append((x, np.where(x % 22 < 17, x, x + 1000).astype(np.uint16)))
+    want = []
+    for x, y in pairs:
+        _, both = np.unique(np.concatenate([x, y]), return_inverse=True)
+        a, b = both[:len(x)], both[len(x):]
+        most = [passages._most(np.isin(p, q), p, len(both))[passages.SIDE] for p, q in ((a, b), (b, a))]
+        want.append(sum(most) >= 0 and 9 * len(np.intersect1d(a, b)) >= 4 * 2 * passages.LEAST
+                    and passages.may_be_similar(x, y, passages.SIDE, passages.SIDE))
+    held = pa.array([x.view(np.int16) for pair in pairs for x in pair], pa.list_(pa.int16()))
+    n = len(held)
+    members = passages._Members(held, np.full(n, passages.SIDE), np.full(n, passages.LEAST), np.zeros(n, int))
+    assert members.alike(np.arange(0, n, 2), np.arange(1, n, 2)).tolist() == want
+    assert 20 < sum(want) < 180 and not want[-1] and passages.may_be_similar(*pairs[-1], passages.SIDE, passages.SIDE)
+
+
+def test_open_members_that_are_alike_cost_a_candidate_each(spark, monkeypatch):
+    """Near copies whose hub only shares a phrase with them: not every one is verified with every other."""
+    rng, counts, real = random.Random(23), {}, passages.kept
+
+    def counted(df, purpose):
+        out = real(df, purpose)
+        counts[purpose] = out.count()
+        return out
+
+    p = [f"p{i}" for i in range(90)]
+    docs = [(1, " ".join(text(rng, 30) + p[25:65] + text(rng, 30)))]
+    for n in range(14):  # all differ from each other, in one word near an end
+        at = 3 + n if n % 2 else 86 - n
+        docs.append((10 + n, " ".join(text(rng, 30) + p[:at] + [f"other{n}"] + p[at + 1:] + text(rng, 30))))
+    docs.append((40, " ".join(text(rng, 30) + p[25:65] + text(rng, 30))))  # and one more that is like none
+    monkeypatch.setattr(passages, "kept", counted)
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    # no passage of 50 equal words is to cover them before
+    monkeypatch.setattr(passages, "exact_keys", lambda codes, *_: (np.zeros(0, np.int64), np.zeros(0, np.int64)))
+    rows = passages.repeated(frame).collect()
+    monkeypatch.setattr(passages, "BLOCK", 4)
+    assert sorted(map(tuple, passages.repeated(frame).collect())) == sorted(map(tuple, rows))
+    assert {r.doc_id for r in rows} == set(range(10, 24))
+    assert counts["first-candidates"] + counts["open-candidates"] <= 3 * 14
