@@ -408,3 +408,69 @@ def test_open_members_that_are_alike_cost_a_candidate_each(spark, monkeypatch):
     assert sorted(map(tuple, passages.repeated(frame).collect())) == sorted(map(tuple, rows))
     assert {r.doc_id for r in rows} == set(range(10, 24))
     assert counts["first-candidates"] + counts["open-candidates"] <= 3 * 14
+
+
+def test_codes_of_many_texts_at_once():
+    texts = [None, "", " ", "a", "A  b\t\nC\x0b\x0cd\r ", " x", "y ", "no", "blanks", "\x1c\x85 \xa0É É", "z" * 63 + " " + "z" * 64 + " " + "Z" * 65 + " " + "z" * 300, "q"]
+    for some in (pa.array(texts), pa.array(texts).slice(3, 6), pa.array([], pa.string()), pa.array([None, ""], pa.string())):
+        codes, ends = passages.codes_of_texts(some)
+        want = [passages.word_codes(x and x.encode()) for x in some.to_pylist()]
+        assert [x.tolist() for x in np.split(codes, ends[:-1])][:len(want)] == [x.tolist() for x in want]
+
+
+def test_first_and_last_texts_of_values():
+    rng = np.random.default_rng(0)
+    for n in (0, 1, 2, 5, 300, 4000):
+        value, text = rng.integers(0, max(n // 3, 1), n), rng.integers(0, 3, n)
+        want = sorted({(x, f(text[value == x])) for x in value.tolist() for f in (min, max)})
+        assert list(zip(*(x.tolist() for x in passages._first_and_last(value, text)))) == want
+
+
+def test_surroundings_of_many_windows_at_once():
+    rng = np.random.default_rng(2)
+    texts = [rng.integers(0, kinds, n).astype(np.uint32) for kinds, n in ((2, 300), (1, 90), (60, 500), (1 << 30, 400), (1 << 30, 20))]
+    ends = np.cumsum([len(x) for x in texts])
+    rows = [(n, *w) for n, x in enumerate(texts) for w in passages.text_windows(x)[2:].T.tolist()]
+    own, l, c, r = np.array(rows).T
+    begin = (ends - [len(x) for x in texts])[own]
+    held, sizes, need, slack = passages.surroundings_of_many(
+        passages.run_hashes(np.concatenate(texts), 5), ends, c + begin, l + begin, r + 5 + begin)
+    for (n, l, c, r), *got in zip(rows, np.split(held, np.cumsum(sizes)[:-1]), need.tolist(), slack.tolist()):
+        want = passages.surroundings(passages.run_hashes(texts[n], 5), c, l, r + 5)
+        assert [got[0].tolist(), *got[1:]] == [want[0].tolist(), *want[1:]]
+
+
+def test_pairs_are_verified_together_as_one_by_one():
+    rng, rows = random.Random(13), []
+    for n in range(60):
+        p = spread(rng, rng.randrange(40, 130))
+        q = p[:30] + spread(rng, n % 5) + p[30 + n % 3:]
+        rows.append((codes(spread(rng, 9) + p), codes(q + spread(rng, n % 7)), [(9 + k, k) for k in range(0, 30, 3)]))
+    found = [passages.similar_stretches(*row) for row in rows]
+    assert list(passages.similar_stretches_of(*map(list, zip(*rows)))) == found and 20 < sum(map(bool, found)) < 60
+
+
+def test_the_longest_rising_part_is_that_of_all_places():
+    rng = np.random.default_rng(7)
+    for n in range(300):
+        q = np.arange(40) * 3
+        at = rng.integers(0, 40, n % 30)
+        q[at] = rng.integers(0, 120, len(at))
+        assert passages._rising(q).tolist() == passages._longest(q.tolist()).tolist()
+
+
+def test_only_minima_of_windows_are_kept_of_a_text(spark):
+    """Windows are found again where they are needed: a column less for each of their three places and their function."""
+    words = " ".join(text(random.Random(3), 200))
+    found = passages._windows(spark.createDataFrame([(1, words), (2, None), (3, "w " * 400)], "doc_id long, text string"))
+    assert found.columns == ["doc", "text", "n_words", "value"]
+    rows = {r.doc: r.value for r in found.collect()}
+    k, value, *_ = passages.text_windows(passages.word_codes(words.encode()))
+    assert sorted(set(value.tolist())) == sorted(rows[1]) and rows[2] == [] and len(rows[3]) == passages.FUNCTIONS
+
+
+def test_a_row_per_range_of_minima_is_shuffled(spark):
+    """And no text is the only one of a value that two batches have."""
+    found = spark.createDataFrame([(n, [7, -(1 << 62) + n // 2, n]) for n in range(40)] + [(50, [100, 100])], "text long, value array<long>")
+    got = sorted(r.value for r in passages._shared(found.repartition(5)).collect())
+    assert got == sorted([-(1 << 62) + n for n in range(20)] + [7])
