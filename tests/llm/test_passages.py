@@ -474,3 +474,13 @@ def test_a_row_per_range_of_minima_is_shuffled(spark):
     found = spark.createDataFrame([(n, [7, -(1 << 62) + n // 2, n]) for n in range(40)] + [(50, [100, 100])], "text long, value array<long>")
     got = sorted(r.value for r in passages._shared(found.repartition(5)).collect())
     assert got == sorted([-(1 << 62) + n for n in range(20)] + [7])
+
+
+def test_minima_leave_the_disk_when_all_that_meet_are_written(spark, monkeypatch):
+    kept, real = {}, passages.kept
+    monkeypatch.setattr(passages, "kept", lambda df, purpose: kept.setdefault(purpose, real(df, purpose)))
+    words = " ".join(f"w{n}" for n in range(60))
+    frame = spark.createDataFrame([(1, words + " a"), (2, "b " + words), (3, words + " a")], "doc_id long, text string")
+    rows = passages.repeated(frame)
+    left = spark.read.schema(kept["compact-windows"].schema).parquet(kept["compact-windows"].inputFiles()[0].rsplit("/", 1)[0])
+    assert left.count() == 0 and {(r.doc_id, r.begin, r.end, r.other_id) for r in rows.collect()} == {(1, 0, 61, 3), (2, 1, 61, 1), (3, 0, 61, 1)}
